@@ -90,3 +90,21 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared folder (never reused)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists (local paths directly, other file systems through a listing)."""
+    if path.startswith("file:"):
+        path = path[5:]
+    if path.startswith("/"):
+        return os.path.exists(path)
+    try:
+        spark.read.format("binaryFile").load(path).limit(0).collect()
+        return True
+    except Exception:  # noqa: BLE001 - missing path raises an analysis error
+        return False
+
+
+def mark_done(spark: SparkSession, path: str) -> None:
+    """Write a completion marker folder (a one-row text table) at ``path``."""
+    spark.createDataFrame([("done",)], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from rivulet.functions.frames import add_frame
 from rivulet.operators.cdc import envelope_schema, row_image_schema
-from rivulet.session import shared_dir
+from rivulet.session import path_exists, shared_dir
 from rivulet.sources.tables import table
 
 LOG_SCHEMA = T.StructType([
@@ -114,7 +114,7 @@ def events_change_log(spark: SparkSession, sf_dir: str) -> str:
     """Materialise the events change log once per input file and session folder."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     path = f"{shared_dir(spark)}/changelog/events-{_fingerprint(src)}"
-    if not os.path.exists(f"{path}/_SUCCESS"):
+    if not path_exists(spark, f"{path}/_SUCCESS"):
         write_change_log(envelope_records(events_changes(table(spark, sf_dir, "events"))), path)
     return path
 
