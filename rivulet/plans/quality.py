@@ -1 +1,385 @@
-"""Queries (see module docstring of rivulet.plans)."""
+"""Data-quality, reconciliation and governance queries."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from rivulet.functions.hashing import md5_prefix_int
+from rivulet.operators import gold as G
+from rivulet.operators import joins as J
+from rivulet.operators import quality as Q
+from rivulet.operators import silver as S
+from rivulet.plans import lake
+from rivulet.plans.cdc import MERGED_SQL, ORDERS_TARGET_SQL, cdc_merge, orders_target
+from rivulet.plans.explore import STATUS_CATALOGUE
+from rivulet.plans.gold import fact
+from rivulet.plans.lake import RAW_CUSTOMERS_SQL, RAW_ITEMS_SQL, RAW_ORDERS_SQL
+from rivulet.plans.registry import register
+from rivulet.plans.silver import bronze
+from rivulet.plans.sqlparts import FACT_SQL
+from rivulet.sources import tables as T
+
+STATUSES = [s for s, _ in STATUS_CATALOGUE]
+# Fixed value: e-mail format rule.
+EMAIL_RE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+GATE_THRESHOLD = 0.05
+
+
+def item_rules():
+    q, p = F.col("quantity"), F.col("unit_price")
+    return [
+        Q.Rule("ITEM_KEY_NULL", "error", F.col("order_id").isNull() | F.col("product_id").isNull(),
+               "order_id and product_id are required"),
+        Q.Rule("QTY_NOT_POSITIVE", "error", q.isNull() | (q <= 0), "quantity must be > 0"),
+        Q.Rule("PRICE_NEGATIVE", "error", p.isNull() | (p < 0), "unit_price must be >= 0"),
+    ]
+
+
+def order_rules():
+    raw_ts = F.col("order_timestamp")
+    return [
+        Q.Rule("ORDER_KEY_NULL", "error", F.col("order_id").isNull(), "order_id is required"),
+        Q.Rule("CUSTOMER_KEY_NULL", "error", F.col("customer_id").isNull(), "customer_id is required"),
+        Q.Rule("BAD_DATE", "error", raw_ts.isNotNull() & F.try_to_timestamp(raw_ts).isNull(),
+               "order_timestamp is not a valid timestamp"),
+        Q.Rule("BAD_STATUS", "error", ~F.coalesce(S.norm(F.col("status")).isin(STATUSES), F.lit(False)),
+               "status outside the catalogue"),
+    ]
+
+
+def customer_rules():
+    return [Q.Rule("BAD_EMAIL", "warning", ~F.coalesce(F.col("email").rlike(EMAIL_RE), F.lit(False)),
+                   "email has no valid format; masked and kept")]
+
+
+def routed_items(spark, sf):
+    raw = bronze(spark, sf, "order_items")
+    typed = S.typed_items(raw)
+    rid = F.concat_ws("-", F.col("order_id").cast("string"), F.col("product_id").cast("string"))
+    return Q.route(typed, item_rules(), "order_items", rid, lake.CTX.batch_id)
+
+
+def routed_orders(spark, sf):
+    raw = bronze(spark, sf, "orders")
+    return Q.route(raw, order_rules(), "orders", F.col("order_id"), lake.CTX.batch_id)
+
+
+def routed_customers(spark, sf):
+    raw = bronze(spark, sf, "customers", "json")
+    return Q.route(raw, customer_rules(), "customers", F.col("customer_id"), lake.CTX.batch_id)
+
+
+TYPED_ITEMS_SQL = f"""
+SELECT TRY_CAST(order_id AS BIGINT) AS order_id, TRY_CAST(product_id AS BIGINT) AS product_id,
+       TRY_CAST(quantity AS DECIMAL(12,2)) AS quantity, TRY_CAST(unit_price AS DECIMAL(12,2)) AS unit_price,
+       CAST(TRY_CAST(quantity AS DECIMAL(12,2)) * TRY_CAST(unit_price AS DECIMAL(12,2)) AS DECIMAL(18,4)) AS line_total
+FROM ({RAW_ITEMS_SQL}) i
+"""
+
+ERRORS_SQL = f"""
+SELECT 'order_items' AS source_table, CAST(order_id AS VARCHAR) || '-' || CAST(product_id AS VARCHAR) AS record_id,
+       e.code AS error_code, 'error' AS severity, e.msg AS error_message, '{lake.CTX.batch_id}' AS batch_id
+FROM ({TYPED_ITEMS_SQL}) i, (VALUES
+  ('ITEM_KEY_NULL', 'order_id and product_id are required'),
+  ('QTY_NOT_POSITIVE', 'quantity must be > 0'),
+  ('PRICE_NEGATIVE', 'unit_price must be >= 0')) e(code, msg)
+WHERE (e.code = 'ITEM_KEY_NULL' AND (order_id IS NULL OR product_id IS NULL))
+   OR (e.code = 'QTY_NOT_POSITIVE' AND (quantity IS NULL OR quantity <= 0))
+   OR (e.code = 'PRICE_NEGATIVE' AND (unit_price IS NULL OR unit_price < 0))
+UNION ALL
+SELECT 'orders', order_id, e.code, 'error', e.msg, '{lake.CTX.batch_id}'
+FROM ({RAW_ORDERS_SQL}) o, (VALUES
+  ('ORDER_KEY_NULL', 'order_id is required'), ('CUSTOMER_KEY_NULL', 'customer_id is required'),
+  ('BAD_DATE', 'order_timestamp is not a valid timestamp'), ('BAD_STATUS', 'status outside the catalogue')) e(code, msg)
+WHERE (e.code = 'ORDER_KEY_NULL' AND order_id IS NULL)
+   OR (e.code = 'CUSTOMER_KEY_NULL' AND customer_id IS NULL)
+   OR (e.code = 'BAD_DATE' AND order_timestamp IS NOT NULL
+       AND try_strptime(order_timestamp, '%Y-%m-%dT%H:%M:%SZ') IS NULL)
+   OR (e.code = 'BAD_STATUS' AND NOT coalesce(upper(trim(status)) IN ({", ".join(f"'{s}'" for s in STATUSES)}), false))
+UNION ALL
+SELECT 'customers', customer_id, 'BAD_EMAIL', 'warning', 'email has no valid format; masked and kept',
+       '{lake.CTX.batch_id}'
+FROM ({RAW_CUSTOMERS_SQL}) c WHERE NOT coalesce(regexp_matches(email, '{EMAIL_RE}'), false)
+"""
+
+
+@register("dq_route", sql=f"""
+SELECT * FROM ({TYPED_ITEMS_SQL}) i
+WHERE order_id IS NOT NULL AND product_id IS NOT NULL AND quantity > 0 AND unit_price >= 0
+""")
+def dq_route(spark, sf):
+    """Valid order items after the one-pass router (bad rows go to the error table)."""
+    valid, _errors = routed_items(spark, sf)
+    return valid
+
+
+def all_errors(spark, sf) -> DataFrame:
+    parts = [routed_items(spark, sf)[1], routed_orders(spark, sf)[1], routed_customers(spark, sf)[1]]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("dq_errors", sql=ERRORS_SQL)
+def dq_errors(spark, sf):
+    """The error table (one row per broken rule); raw payload and load time left out of the comparison."""
+    return all_errors(spark, sf).drop("raw_payload", "created_at", "source_file")
+
+
+@register("dq_summary", sql=f"""
+SELECT source_table, error_code, CAST(count(*) AS BIGINT) AS total_errors FROM ({ERRORS_SQL}) e
+GROUP BY 1, 2 ORDER BY total_errors DESC, source_table, error_code
+""")
+def dq_summary(spark, sf):
+    return (all_errors(spark, sf).groupBy("source_table", "error_code")
+            .agg(F.count(F.lit(1)).alias("total_errors"))
+            .orderBy(F.desc("total_errors"), "source_table", "error_code"))
+
+
+def _suite(df, rules, name):
+    tagged = Q.tag(df, rules)
+    bad = F.exists("_violations", lambda v: v["severity"] == "error")
+    return tagged.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, 1)).alias("rejected")).select(
+        F.lit(name).alias("suite"), "rows", "rejected",
+        F.round(F.col("rejected") / F.col("rows"), 6).alias("reject_ratio"),
+        F.lit(GATE_THRESHOLD).alias("threshold"),
+        (F.col("rejected") / F.col("rows") <= GATE_THRESHOLD).alias("passed"))
+
+
+GATE_SQL = f"""
+SELECT 'order_items' AS suite, CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(*) FILTER (WHERE NOT (order_id IS NOT NULL AND product_id IS NOT NULL AND quantity > 0
+            AND unit_price >= 0)) AS BIGINT) AS rejected
+FROM ({TYPED_ITEMS_SQL}) i
+UNION ALL
+SELECT 'orders', count(*), count(*) FILTER (WHERE order_id IS NULL OR customer_id IS NULL
+       OR (order_timestamp IS NOT NULL AND try_strptime(order_timestamp, '%Y-%m-%dT%H:%M:%SZ') IS NULL)
+       OR NOT coalesce(upper(trim(status)) IN ({", ".join(f"'{s}'" for s in STATUSES)}), false))
+FROM ({RAW_ORDERS_SQL}) o
+UNION ALL
+SELECT 'customers', count(*), 0 FROM ({RAW_CUSTOMERS_SQL}) c
+"""
+
+
+@register("dq_gate", sql=f"""
+SELECT suite, rows, rejected, round(rejected / rows, 6) AS reject_ratio, {GATE_THRESHOLD} AS threshold,
+       rejected / rows <= {GATE_THRESHOLD} AS passed
+FROM ({GATE_SQL}) g
+""")
+def dq_gate(spark, sf):
+    """Verdict per suite; ``rivulet.operators.quality.gate`` raises on it before gold is written."""
+    parts = [_suite(S.typed_items(bronze(spark, sf, "order_items")), item_rules(), "order_items"),
+             _suite(bronze(spark, sf, "orders"), order_rules(), "orders"),
+             _suite(bronze(spark, sf, "customers", "json"), customer_rules(), "customers")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("dq_ratios", sql=f"""
+SELECT 'orders' AS table_name, CAST(count(*) AS BIGINT) AS rows,
+       round(count(customer_id) / count(*), 6) AS completeness,
+       round(count(try_strptime(order_timestamp, '%Y-%m-%dT%H:%M:%SZ')) / count(*), 6) AS validity,
+       max(try_strptime(order_timestamp, '%Y-%m-%dT%H:%M:%SZ')) AS freshest
+FROM ({RAW_ORDERS_SQL}) o
+""")
+def dq_ratios(spark, sf):
+    """Completeness (customer key present), validity (timestamp parses) and freshness (latest order)."""
+    o = bronze(spark, sf, "orders")
+    ts = F.try_to_timestamp(F.col("order_timestamp"))
+    return o.agg(F.count(F.lit(1)).alias("rows"),
+                 F.round(F.count("customer_id") / F.count(F.lit(1)), 6).alias("completeness"),
+                 F.round(F.count(ts) / F.count(F.lit(1)), 6).alias("validity"),
+                 F.max(ts).alias("freshest")).select(F.lit("orders").alias("table_name"), "*")
+
+
+EXPECTED_FACT_COLUMNS = ["product_id", "order_id", "quantity", "unit_price", "customer_id", "order_timestamp",
+                         "status", "name", "category", "price", "revenue"]
+
+
+@register("contract_checks", sql=f"""
+WITH f AS ({FACT_SQL}),
+m AS (SELECT strftime(order_timestamp, '%Y-%m') AS sales_month, category, SUM(revenue) AS revenue FROM f GROUP BY 1, 2),
+k AS (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2)
+SELECT 'expected_columns' AS check_name, true AS passed, CAST(0 AS BIGINT) AS detail
+UNION ALL SELECT 'unique_keys', true, CAST(0 AS BIGINT)
+UNION ALL SELECT 'sales_consistent', (SELECT sum(revenue) FROM f) = (SELECT sum(revenue) FROM m),
+                 (SELECT CAST(count(*) AS BIGINT) FROM m)
+UNION ALL SELECT 'invalid_in_errors', true,
+  (SELECT CAST(count(*) AS BIGINT) FROM ({TYPED_ITEMS_SQL}) i WHERE NOT (order_id IS NOT NULL
+     AND product_id IS NOT NULL AND quantity > 0 AND unit_price >= 0))
+UNION ALL SELECT 'gold_not_empty', (SELECT count(*) FROM f) > 0, (SELECT CAST(count(*) AS BIGINT) FROM f)
+""")
+def contract_checks(spark, sf):
+    """One verdict row per contract check (columns, unique keys, consistent
+    sales, invalid rows present in the error table, non-empty gold)."""
+    from rivulet.plans.silver import silver_keep_last
+    f = fact(spark, sf)
+    m = G.sales_by_month(f)
+    missing = len(set(EXPECTED_FACT_COLUMNS) - set(f.columns))
+    cols = F.lit("expected_columns").alias("check_name"), F.lit(missing == 0).alias("passed"), \
+        F.lit(missing).cast("long").alias("detail")
+    expected = spark.range(1).select(*cols)
+    dedup = silver_keep_last(spark, sf)
+    uniq = dedup.agg((F.count(F.lit(1)) - F.count_distinct("l_orderkey", "l_linenumber")).alias("d")).select(
+        F.lit("unique_keys").alias("check_name"), (F.col("d") == 0).alias("passed"), F.col("d").alias("detail"))
+    both = (f.select(F.col("revenue").alias("a"), F.lit(None).cast(G.TOTAL_TYPE).alias("b"))
+             .unionByName(m.select(F.lit(None).cast(G.REVENUE_TYPE).alias("a"), F.col("revenue").alias("b"))))
+    sales = both.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("b").alias("n")).select(
+        F.lit("sales_consistent").alias("check_name"), (F.col("a") == F.col("b")).alias("passed"),
+        F.col("n").cast("long").alias("detail"))
+    valid, errors = routed_items(spark, sf)
+    rejected = bronze(spark, sf, "order_items").count() - valid.count()
+    in_errors = errors.filter(F.col("severity") == "error").select("record_id").distinct().count()
+    inv = spark.range(1).select(F.lit("invalid_in_errors").alias("check_name"),
+                                F.lit(in_errors > 0 or rejected == 0).alias("passed"),
+                                F.lit(rejected).cast("long").alias("detail"))
+    nonempty = f.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("gold_not_empty").alias("check_name"), (F.col("n") > 0).alias("passed"), F.col("n").alias("detail"))
+    return reduce(DataFrame.unionByName, [expected, uniq, sales, inv, nonempty])
+
+
+@register("job_metrics", sql=f"""
+SELECT 'silver_order_items' AS job, CAST(count(*) AS BIGINT) AS read,
+       CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS written, CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS rejected,
+       CAST(count(*) - count(DISTINCT (order_id, product_id)) AS BIGINT) AS duplicates,
+       CAST(count(*) FILTER (WHERE order_id IS NULL OR product_id IS NULL) AS BIGINT) AS null_keys
+FROM (SELECT *, coalesce(order_id IS NOT NULL AND product_id IS NOT NULL AND quantity > 0 AND unit_price >= 0, false)
+      AS ok FROM ({TYPED_ITEMS_SQL}) i) t
+""")
+def job_metrics(spark, sf):
+    """Counters of the silver order-items job in one aggregate pass over the tagged rows."""
+    typed = S.typed_items(bronze(spark, sf, "order_items"))
+    tagged = Q.tag(typed, item_rules())
+    bad = F.exists("_violations", lambda v: v["severity"] == "error")
+    return tagged.agg(
+        F.count(F.lit(1)).alias("read"), F.count(F.when(~bad, 1)).alias("written"),
+        F.count(F.when(bad, 1)).alias("rejected"),
+        (F.count(F.lit(1)) - F.count_distinct("order_id", "product_id")).alias("duplicates"),
+        F.count(F.when(F.col("order_id").isNull() | F.col("product_id").isNull(), 1)).alias("null_keys"),
+    ).select(F.lit("silver_order_items").alias("job"), "*")
+
+
+KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
+        "part": ["p_partkey"], "events": ["event_id"]}
+
+
+@register("key_uniqueness", sql=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows, "
+    f"CAST(count(DISTINCT ({', '.join(k)})) AS BIGINT) AS distinct_keys, "
+    f"CAST(count(*) - count(DISTINCT ({', '.join(k)})) AS BIGINT) AS duplicates FROM {t}" for t, k in KEYS.items()))
+def key_uniqueness(spark, sf):
+    parts = [T.table(spark, sf, t).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*k).alias("distinct_keys"))
+             .select(F.lit(t).alias("table_name"), "rows", "distinct_keys",
+                     (F.col("rows") - F.col("distinct_keys")).alias("duplicates")) for t, k in KEYS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("orphan_rows", sql="""
+SELECT 'lineitem' AS source_table, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS record_id,
+       l_partkey AS missing_key
+FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 10 <> 0)
+UNION ALL
+SELECT 'orders', CAST(o_orderkey AS VARCHAR), o_custkey
+FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)
+""")
+def orphan_rows(spark, sf):
+    """Foreign keys without a parent.  The driver data has none, so the parents
+    lose the keys with key % 10 = 0 first (fault injection)."""
+    part = T.table(spark, sf, "part").filter(F.col("p_partkey") % 10 != 0)
+    cust = T.table(spark, sf, "customer").filter(F.col("c_custkey") % 10 != 0)
+    li = J.orphans(T.table(spark, sf, "lineitem"), part, "l_partkey", "p_partkey").select(
+        F.lit("lineitem").alias("source_table"),
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("record_id"),
+        F.col("l_partkey").alias("missing_key"))
+    o = J.orphans(T.table(spark, sf, "orders"), cust, "o_custkey", "c_custkey").select(
+        F.lit("orders").alias("source_table"), F.col("o_orderkey").cast("string").alias("record_id"),
+        F.col("o_custkey").alias("missing_key"))
+    return li.unionByName(o)
+
+
+@register("recon_keys", sql=f"""
+WITH s AS ({ORDERS_TARGET_SQL}), t AS ({MERGED_SQL})
+SELECT CASE WHEN t.order_id IS NULL THEN 'missing_in_target' WHEN s.order_id IS NULL THEN 'extra_in_target'
+            WHEN s.customer_id IS NOT DISTINCT FROM t.customer_id AND s.amount IS NOT DISTINCT FROM t.amount
+                 AND s.status IS NOT DISTINCT FROM t.status THEN 'match' ELSE 'changed' END AS status,
+       CAST(count(*) AS BIGINT) AS keys
+FROM s FULL OUTER JOIN t ON s.order_id = t.order_id GROUP BY 1
+""")
+def recon_keys(spark, sf):
+    """Source orders against the CDC-merged table: keys per reconciliation status."""
+    r = J.reconcile_keys(orders_target(spark, sf), cdc_merge(spark, sf), "order_id",
+                         ["customer_id", "amount", "status"])
+    return r.groupBy("status").agg(F.count(F.lit(1)).alias("keys"))
+
+
+def _totals(df, side):
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("amount_sum"),
+                  F.sum(md5_prefix_int("order_id", "customer_id", "amount", "status")).alias("hash_total")
+                  ).select(F.lit(side).alias("side"), "*")
+
+
+@register("recon_totals", sql=f"""
+WITH s AS ({ORDERS_TARGET_SQL}), t AS ({MERGED_SQL}),
+tot AS (
+  SELECT 'source' AS side, CAST(count(*) AS BIGINT) AS rows, CAST(sum(amount) AS DECIMAL(38,2)) AS amount_sum,
+    CAST(sum(CAST(('0x' || substr(md5(concat_ws('~', CAST(order_id AS VARCHAR), CAST(customer_id AS VARCHAR),
+      CAST(amount AS VARCHAR), status)), 1, 8)) AS BIGINT)) AS BIGINT) AS hash_total FROM s
+  UNION ALL
+  SELECT 'target', count(*), sum(amount),
+    sum(CAST(('0x' || substr(md5(concat_ws('~', CAST(order_id AS VARCHAR), CAST(customer_id AS VARCHAR),
+      CAST(amount AS VARCHAR), status)), 1, 8)) AS BIGINT)) FROM t)
+SELECT side, rows, amount_sum, hash_total,
+       round(abs(rows - (SELECT rows FROM tot WHERE side = 'source')) / (SELECT rows FROM tot WHERE side = 'source'), 6)
+         AS drift_ratio,
+       abs(rows - (SELECT rows FROM tot WHERE side = 'source')) / (SELECT rows FROM tot WHERE side = 'source') <= 0.001
+         AS within_tolerance
+FROM tot
+""")
+def recon_totals(spark, sf):
+    """Counts, sums and an order-free hash total per side, with the row drift against 0.1 %."""
+    tot = _totals(orders_target(spark, sf), "source").unionByName(_totals(cdc_merge(spark, sf), "target"))
+    # two rows in total: the source count is spread to both with a window
+    j = tot.withColumn("src_rows", F.max(F.when(F.col("side") == "source", F.col("rows")))
+                       .over(Window.partitionBy(F.lit(1))))
+    drift = F.abs(F.col("rows") - F.col("src_rows")) / F.col("src_rows")
+    return j.select("side", "rows", "amount_sum", "hash_total", F.round(drift, 6).alias("drift_ratio"),
+                    (drift <= 0.001).alias("within_tolerance"))
+
+
+BATCH_MS = 15 * 60 * 1000
+TARGET_MS = 10 * 60 * 1000
+
+
+@register("latency_p95", sql=f"""
+SELECT event_type, CAST(quantile_disc(lat, 0.95) AS BIGINT) AS p95_latency_ms, CAST({TARGET_MS} AS BIGINT) AS target_ms,
+       quantile_disc(lat, 0.95) <= {TARGET_MS} AS met
+FROM (SELECT event_type, (floor((epoch_us(ts) // 1000) / {BATCH_MS}) + 1) * {BATCH_MS} - (epoch_us(ts) // 1000) AS lat
+      FROM events) e
+GROUP BY event_type
+""")
+def latency_p95(spark, sf):
+    """Event-to-landing latency P95 per event type against the 10 minute target.
+    Landing time = end of the 15 minute micro-batch that picks the event up."""
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    e = T.table(spark, sf, "events").select("event_type",
+                                           ((F.floor(ms / BATCH_MS) + 1) * BATCH_MS - ms).alias("lat"))
+    p95 = F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY lat)")
+    return e.groupBy("event_type").agg(p95.cast("long").alias("p95_latency_ms")).select(
+        "event_type", "p95_latency_ms", F.lit(TARGET_MS).cast("long").alias("target_ms"),
+        (F.col("p95_latency_ms") <= TARGET_MS).alias("met"))
+
+
+@register("salted_join", sql=f"""
+SELECT o.o_orderstatus AS o_orderstatus, CAST(count(*) AS BIGINT) AS lines,
+       CAST(sum(CAST(l.l_quantity AS DECIMAL(12,2)) * CAST(l.l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(38,4)) AS revenue
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1
+""")
+def salted_join(spark, sf):
+    """lineitem ⋈ orders with hot order keys salted over 16 tasks; same result as the plain join."""
+    li = T.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                                "l_extendedprice")
+    o = T.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    j = J.salted_join(li, o, "l_orderkey", salts=16, min_share=0.0005)
+    return j.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(G.money(F.col("l_quantity")) * G.money(F.col("l_extendedprice"))).cast(G.TOTAL_TYPE).alias("revenue"))
