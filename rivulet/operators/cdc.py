@@ -78,8 +78,9 @@ def decode(log: DataFrame, schema: T.StructType, mode: str = "FAILFAST", lenient
     """
     strip = strip_frame_lenient if lenient_frame else strip_frame
     payload = strip(F.col("value")).cast("string")
+    extra = [c for c in ("batch_id",) if c in log.columns]
     return log.select(F.from_json(payload, schema, {"mode": mode}).alias("r"),
-                      "partition", "offset", "timestamp")
+                      "partition", "offset", "timestamp", *extra)
 
 
 def split_dead_letters(log: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
