@@ -1 +1,207 @@
-"""Queries (see module docstring of rivulet.plans)."""
+"""Streaming queries.  Each one runs its stream to completion with an
+``availableNow`` trigger into a Parquet sink in the shared folder (a fresh
+checkpoint per run) and returns the batch read of what the stream wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rivulet.operators import cdc as C
+from rivulet.operators import joins as J
+from rivulet.plans.cdc import EVENTS_CHANGES_SQL
+from rivulet.plans.registry import register
+from rivulet.plans.table import FULL_STATE_SQL, log_changes
+from rivulet.session import scratch_path
+from rivulet.sources import changelog as L
+from rivulet.sources import tables as TB
+from rivulet.streaming import windows as W
+from rivulet.streaming.cdc import start_cdc
+from rivulet.streaming.run import progress_frame, to_parquet_available_now
+from rivulet.table import VersionedTable
+
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
+
+DELAY = "10 minutes"
+
+
+def events_stream(spark, sf):
+    """The events table as a file stream (a glob on the folder; a single file path cannot be streamed)."""
+    return spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def run_to_parquet(spark, df, name):
+    out, ck = scratch_path(spark, f"{name}_out"), scratch_path(spark, f"{name}_ckpt")
+    to_parquet_available_now(df, out, ck)
+    return spark.read.parquet(out)
+
+
+def streamed_table(spark, sf, name="orders_stream"):
+    """Run the CDC stream over the change log, one log file per micro-batch."""
+    vt = VersionedTable(spark, scratch_path(spark, name), C.ORDERS, event_order=True)
+    src = L.read_change_stream(spark, L.events_change_log(spark, sf), max_files_per_trigger=1)
+    q = start_cdc(src, vt, C.ORDERS, L.ORDER_ENVELOPE, scratch_path(spark, f"{name}_ckpt"),
+                  trigger={"availableNow": True}, name=None)
+    q.awaitTermination()
+    return vt, q
+
+
+@register("cdc_stream_scan", sql=f"""
+SELECT "partition", "offset", CAST(event_time AS TIMESTAMP) AS "timestamp", CAST(order_id AS VARCHAR) AS record_key
+FROM ({EVENTS_CHANGES_SQL}) e
+""")
+def cdc_stream_scan(spark, sf):
+    src = L.read_change_stream(spark, L.events_change_log(spark, sf), max_files_per_trigger=4)
+    df = src.select("partition", "offset", "timestamp", F.col("key").cast("string").alias("record_key"))
+    return run_to_parquet(spark, df, "log_scan")
+
+
+@register("cdc_stream_merge", sql=FULL_STATE_SQL)
+def cdc_stream_merge(spark, sf):
+    """Streaming CDC: every micro-batch is decoded, collapsed and committed; the result is the latest state."""
+    vt, _ = streamed_table(spark, sf)
+    return vt.state()
+
+
+@register("stream_progress")
+def stream_progress(spark, sf):
+    """Per micro-batch metrics of the CDC stream (batch id, input rows, rates, trigger time)."""
+    _, q = streamed_table(spark, sf, "orders_stream_progress")
+    return progress_frame(spark, q)
+
+
+@register("cdc_backfill", sql=f"""
+SELECT 'match' AS status, CAST(count(*) AS BIGINT) AS keys FROM ({FULL_STATE_SQL}) s
+""")
+def cdc_backfill(spark, sf):
+    """Replay the whole log in batch into a fresh staging table, then reconcile it with the streamed table."""
+    staging = VersionedTable(spark, scratch_path(spark, "orders_staging"), C.ORDERS)
+    staging.commit_many(log_changes(spark, sf), commit_time_col="ts")
+    live, _ = streamed_table(spark, sf, "orders_live")
+    r = J.reconcile_keys(staging.state(), live.state(), "order_id", ["customer_id", "amount", "status", "ts"])
+    return r.groupBy("status").agg(F.count(F.lit(1)).alias("keys"))
+
+
+# Microsecond event times survive the text round trip (the default JSON format keeps milliseconds).
+JSON_OPTS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+TEXT_LOG_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
+
+def text_log(spark, sf) -> str:
+    """The events as a text log: one JSON document per line."""
+    path = scratch_path(spark, "events_text_log")
+    ev = TB.table(spark, sf, "events")
+    ev.select(F.to_json(F.struct(*ev.columns), JSON_OPTS).alias("value")).write.text(path)
+    return path
+
+
+@register("text_log_parse", sql=TEXT_LOG_SQL)
+def text_log_parse(spark, sf):
+    """Text-valued log: cast the value to a string and parse it with the event schema."""
+    raw = spark.read.text(text_log(spark, sf))
+    return raw.select(F.from_json(F.col("value").cast("string"), EVENTS_SCHEMA, JSON_OPTS).alias("e")).select("e.*")
+
+
+@register("stream_bronze_append", sql=TEXT_LOG_SQL)
+def stream_bronze_append(spark, sf):
+    """Stream the text log, parse it and append it to a Parquet bronze folder."""
+    raw = spark.readStream.text(text_log(spark, sf))
+    parsed = raw.select(F.from_json("value", EVENTS_SCHEMA, JSON_OPTS).alias("e")).select("e.*")
+    return run_to_parquet(spark, parsed, "bronze_events")
+
+
+CLOSED = f"(SELECT max(ts) FROM events) - INTERVAL {DELAY}"
+
+
+@register("stream_tumbling", sql=f"""
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type,
+       CAST(count(*) AS BIGINT) AS n
+FROM events GROUP BY 1, 2, 3 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED}
+""")
+def stream_tumbling(spark, sf):
+    return run_to_parquet(spark, W.tumbling(events_stream(spark, sf), "ts", "1 hour", ["event_type"], DELAY),
+                          "tumbling")
+
+
+@register("stream_sliding", sql=f"""
+WITH w AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) - k * INTERVAL 15 MINUTE AS window_start, event_type
+           FROM events, range(0, 4) t(k))
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, CAST(count(*) AS BIGINT) AS n
+FROM w GROUP BY 1, 2, 3 HAVING window_start + INTERVAL 1 HOUR <= {CLOSED}
+""")
+def stream_sliding(spark, sf):
+    return run_to_parquet(spark, W.sliding(events_stream(spark, sf), "ts", "1 hour", "15 minutes", ["event_type"],
+                                           DELAY), "sliding")
+
+
+@register("stream_session", sql=f"""
+WITH s AS (SELECT event_type, ts,
+                  CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new
+           FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s)
+SELECT min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, event_type, CAST(count(*) AS BIGINT) AS n
+FROM g GROUP BY event_type, sid HAVING max(ts) + INTERVAL 30 MINUTE <= {CLOSED}
+""")
+def stream_session(spark, sf):
+    return run_to_parquet(spark, W.sessions(events_stream(spark, sf), "ts", "30 minutes", ["event_type"], DELAY),
+                          "session")
+
+
+def events_with_replay(spark, sf) -> str:
+    """Events plus re-delivered copies of every 50th event (at-least-once source), as two files."""
+    path = scratch_path(spark, "events_replayed")
+    ev = TB.table(spark, sf, "events")
+    ev.coalesce(1).write.parquet(f"{path}/part=0")
+    ev.filter(F.col("event_id") % 50 == 0).coalesce(1).write.parquet(f"{path}/part=1")
+    return path
+
+
+@register("stream_dedup", sql="SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type FROM events")
+def stream_dedup(spark, sf):
+    src = spark.readStream.schema(EVENTS_SCHEMA).parquet(events_with_replay(spark, sf) + "/*")
+    d = W.dedup_within_watermark(src, "ts", ["event_id"], "1 hour").select("event_id", "ts", "user_id", "event_type")
+    return run_to_parquet(spark, d, "dedup")
+
+
+@register("stream_interval_join", sql="""
+SELECT v.event_id AS view_id, p.event_id AS purchase_id, v.user_id, CAST(v.ts AS TIMESTAMP) AS view_ts,
+       CAST(p.ts AS TIMESTAMP) AS purchase_ts
+FROM events v JOIN events p ON v.user_id = p.user_id AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 1 HOUR
+WHERE v.event_type = 'view' AND p.event_type = 'purchase'
+""")
+def stream_interval_join(spark, sf):
+    """Views followed by a purchase of the same user within one hour (stream-stream join)."""
+    views = events_stream(spark, sf).filter(F.col("event_type") == "view")
+    buys = events_stream(spark, sf).filter(F.col("event_type") == "purchase")
+    j = W.interval_join(views, buys, "user_id", "ts", "ts", "1 hour", "1 hour").select(
+        F.col("l.event_id").alias("view_id"), F.col("r.event_id").alias("purchase_id"), F.col("l.user_id"),
+        F.col("l.ts").alias("view_ts"), F.col("r.ts").alias("purchase_ts"))
+    return run_to_parquet(spark, j, "interval_join")
+
+
+LATE_SHIFT_HOURS = 3
+
+
+@register("late_rows", sql=f"""
+SELECT event_id, CAST(ts - INTERVAL {LATE_SHIFT_HOURS} HOUR AS TIMESTAMP) AS ts,
+       CAST((SELECT max(ts) FROM events) - INTERVAL {DELAY} AS TIMESTAMP) AS watermark
+FROM events WHERE event_id % 50 = 0 AND ts - INTERVAL {LATE_SHIFT_HOURS} HOUR < (SELECT max(ts) FROM events) - INTERVAL {DELAY}
+""")
+def late_rows(spark, sf):
+    """Late rows are kept, not lost: rows older than the watermark of the
+    batches before them go to a side table.  The second log file re-sends every
+    50th event three hours late."""
+    from rivulet.streaming.late import route_late
+    path = scratch_path(spark, "events_late")
+    ev = TB.table(spark, sf, "events")
+    ev.coalesce(1).write.parquet(f"{path}/f0")
+    (ev.filter(F.col("event_id") % 50 == 0)
+       .withColumn("ts", F.col("ts") - F.expr(f"INTERVAL {LATE_SHIFT_HOURS} HOURS"))
+       .coalesce(1).write.parquet(f"{path}/f1"))
+    src = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path + "/f*")
+    on_time, late = scratch_path(spark, "on_time"), scratch_path(spark, "late")
+    route_late(src, "ts", DELAY, on_time, late, scratch_path(spark, "late_ckpt"))
+    return spark.read.parquet(late).select("event_id", "ts", "watermark")

@@ -28,8 +28,12 @@ HISTORY_SCHEMA = ("snapshot_id long, committed_at timestamp, operation string, b
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, cfg: TableConfig):
+    def __init__(self, spark: SparkSession, path: str, cfg: TableConfig, event_order: bool = False):
+        """``event_order``: the last change per key is chosen by event order
+        (ts_ms, partition, offset) before commit order, so commits that arrive
+        out of order cannot let an older change win (the "guard" option)."""
         self.spark, self.path, self.cfg = spark, path.rstrip("/"), cfg
+        self.event_order = event_order
         self.log_path = f"{self.path}/log"
         self.snap_path = f"{self.path}/snapshot"
         self.hist_path = f"{self.path}/_history"
@@ -113,7 +117,7 @@ class VersionedTable:
             return base
         tail = (self.spark.read.parquet(self.log_path)
                 .filter(F.col("batch_id").isin(appended)))  # partition pruning on batch_id
-        order = ("batch_id", *ORDER_COLS)
+        order = (*ORDER_COLS, "batch_id") if self.event_order else ("batch_id", *ORDER_COLS)
         w = Window.partitionBy(self.cfg.key).orderBy(*[F.col(c).desc() for c in order])
         last = tail.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
         return merge(base, last, self.cfg)
