@@ -48,8 +48,22 @@ ORDERS = TableConfig("orders", "order_id",
                      {"customer_id": "long", "amount": "decimal(12,2)", "status": "string"})
 
 
+_SIMPLE_TYPES = {"long": T.LongType(), "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
+                 "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+                 "date": T.DateType(), "binary": T.BinaryType()}
+
+
+def parse_type(name: str) -> T.DataType:
+    """Type name as used in table configs (``long``, ``decimal(12,2)``, ...) -> DataType."""
+    name = name.strip().lower()
+    if name.startswith("decimal(") and name.endswith(")"):
+        p, s = name[8:-1].split(",")
+        return T.DecimalType(int(p), int(s))
+    return _SIMPLE_TYPES[name]
+
+
 def row_image_schema(fields: dict) -> T.StructType:
-    return T.StructType([T.StructField(n, T._parse_datatype_string(t), True) for n, t in fields.items()])
+    return T.StructType([T.StructField(n, parse_type(t), True) for n, t in fields.items()])
 
 
 def envelope_schema(image: T.StructType) -> T.StructType:

@@ -36,7 +36,12 @@ def list_tables(spark: SparkSession, db: str) -> list[str]:
 
 
 def _as_struct(s) -> T.StructType:
-    return s if isinstance(s, T.StructType) else T._parse_datatype_string(s)
+    """StructType, or a ``name type, ...`` string of simple types."""
+    if isinstance(s, T.StructType):
+        return s
+    from rivulet.operators.cdc import parse_type
+    fields = [f.strip().split(None, 1) for f in s.split(",") if f.strip()]
+    return T.StructType([T.StructField(n, parse_type(t)) for n, t in fields])
 
 
 def schema_drift(spark: SparkSession, base: str, expected: dict) -> DataFrame:
