@@ -30,7 +30,7 @@ SELECT op, ts_ms, "partition", "offset", order_id,
        CASE WHEN op <> 'd' THEN customer_id END AS customer_id,
        CASE WHEN op <> 'd' THEN CAST(amount AS DECIMAL(12,2)) END AS amount,
        CASE WHEN op <> 'd' THEN status END AS status,
-       epoch_ms(ts_ms) AS ts
+       epoch_ms(ts_ms) AS ts, batch_id
 FROM ({EVENTS_CHANGES_SQL}) e
 """
 
@@ -180,7 +180,8 @@ SELECT order_id, ts_ms, op, arg_min("partition", struct_pack(p := "partition", o
        arg_min(customer_id, struct_pack(p := "partition", o := "offset")) AS customer_id,
        arg_min(amount, struct_pack(p := "partition", o := "offset")) AS amount,
        arg_min(status, struct_pack(p := "partition", o := "offset")) AS status,
-       arg_min(ts, struct_pack(p := "partition", o := "offset")) AS ts
+       arg_min(ts, struct_pack(p := "partition", o := "offset")) AS ts,
+       arg_min(batch_id, struct_pack(p := "partition", o := "offset")) AS batch_id
 FROM ({NORMALIZED_SQL}) n GROUP BY order_id, ts_ms, op
 """)
 def cdc_dedup(spark, sf):
