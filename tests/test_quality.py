@@ -16,8 +16,8 @@ def test_route_partitions_rows(spark):
     assert valid.count() == 2                              # id 1 and 4 (4 only has a warning)
     rejected = errors.filter("severity = 'error'").select("record_id").distinct().count()
     assert valid.count() + rejected == df.count()
-    codes = sorted((r["record_id"], r["error_code"]) for r in errors.collect())
-    assert codes == [(None, "KEY"), (None, "QTY"), ("2", "EMAIL"), ("2", "QTY"), ("4", "EMAIL")]
+    codes = sorted((r["record_id"] or "", r["error_code"]) for r in errors.collect())
+    assert codes == [("", "KEY"), ("", "QTY"), ("2", "EMAIL"), ("2", "QTY"), ("4", "EMAIL")]
     assert errors.filter("raw_payload IS NULL").count() == 0
 
 
