@@ -105,12 +105,9 @@ def inline_rows(spark, sf):
 
 @register("text_preview", sql=r"""
 SELECT doc_id, substr(text, 1, 120) AS preview,
-       CASE WHEN regexp_replace(text, '\s+', '', 'g') = '' THEN ''
-            ELSE array_to_string(list_slice(regexp_split_to_array(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\s+'), 1, 20), ' ')
-       END AS first_words,
+       regexp_replace(regexp_extract(text, '^\s*((?:\S+\s+){0,19}\S+)', 1), '\s+', ' ', 'g') AS first_words,
        CAST(length(text) AS INTEGER) AS n_chars,
-       CAST(CASE WHEN regexp_replace(text, '\s+', '', 'g') = '' THEN 0
-            ELSE len(regexp_split_to_array(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\s+')) END AS INTEGER) AS n_words
+       CAST(len(regexp_extract_all(text, '\S+')) AS INTEGER) AS n_words
 FROM documents
 """)
 def text_preview(spark, sf):

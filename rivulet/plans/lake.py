@@ -19,6 +19,7 @@ from rivulet.session import mark_done, path_exists, shared_dir
 from rivulet.sinks.files import land_raw
 from rivulet.sources import tables as T
 
+LAYOUT_VERSION = "1"
 INGESTION_DATE = "2026-05-20"
 SECOND_DATE = "2026-05-21"
 CTX = build_run_context(process_date=INGESTION_DATE)
@@ -63,7 +64,8 @@ def raw_items(spark, sf):
 
 def landed(spark, sf) -> str:
     """Land the four datasets once per input folder and session folder; returns the lake root."""
-    token = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:10]
+    # the layout version is part of the name: a changed landing rule never reuses old files
+    token = hashlib.sha1(f"{LAYOUT_VERSION}:{os.path.abspath(sf)}".encode()).hexdigest()[:10]
     base = f"{shared_dir(spark)}/lake-{token}"
     marker = f"{base}/_landed"
     if not path_exists(spark, f"{marker}/_SUCCESS"):

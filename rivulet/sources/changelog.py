@@ -46,6 +46,7 @@ ORDER_ENVELOPE = envelope_schema(ORDER_IMAGE)
 OP_BY_EVENT = {"signup": "c", "purchase": "r", "error": "d"}
 DEFAULT_OP = "u"
 SCHEMA_ID = 1
+LOG_LAYOUT_VERSION = "1"
 HOUR_MS = 3_600_000
 PARTITIONS = 4
 DAYS_PER_BATCH = 3
@@ -99,7 +100,7 @@ def envelope_records(changes: DataFrame) -> DataFrame:
 
 def _fingerprint(path: str) -> str:
     st = os.stat(path) if os.path.exists(path) else None
-    token = f"{path}:{st.st_size}:{st.st_mtime_ns}" if st else path
+    token = f"{LOG_LAYOUT_VERSION}:{path}:{st.st_size}:{st.st_mtime_ns}" if st else f"{LOG_LAYOUT_VERSION}:{path}"
     return hashlib.sha1(token.encode()).hexdigest()[:12]
 
 

@@ -47,7 +47,9 @@ class VersionedTable:
 
     def _commits(self) -> list:
         # Metadata only: one small row per commit.
-        return [r.asDict() for r in self.history().collect()]
+        if not path_exists(self.spark, self.hist_path):
+            return []
+        return [r.asDict() for r in self.spark.read.schema(HISTORY_SCHEMA).parquet(self.hist_path).collect()]
 
     def _record(self, rows: list[tuple]) -> None:
         df = self.spark.createDataFrame(rows, HISTORY_SCHEMA)
@@ -70,18 +72,26 @@ class VersionedTable:
         """
         key = self.cfg.key
         cols = list(changes.columns)
+        # last change per (commit, key); the window's shuffle on (batch_id, key)
+        # also spreads every commit over all writer tasks, so no commit is
+        # written by a single task however large it is
         w = Window.partitionBy("batch_id", key).orderBy(*[F.col(c).desc() for c in ORDER_COLS])
-        collapsed = (changes.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
-        (collapsed.select(*cols).repartition("batch_id")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(self.log_path))
-        when = F.col(commit_time_col) if commit_time_col else F.lit(committed_at or dt.datetime.now(dt.timezone.utc))
-        hist = (collapsed.groupBy("batch_id")
-                .agg(F.max(when).cast("timestamp").alias("committed_at"), F.count(F.lit(1)).alias("added_changes"))
-                .select(F.col("batch_id").alias("snapshot_id"), "committed_at", F.lit("append").alias("operation"),
-                        F.lit(None).cast("long").alias("base_snapshot"), "added_changes"))
-        hist.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("snapshot_id").parquet(self.hist_path)
+        collapsed = (changes.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+                     .select(*cols).persist())
+        try:
+            (collapsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id").parquet(self.log_path))
+            when = (F.col(commit_time_col) if commit_time_col
+                    else F.lit(committed_at or dt.datetime.now(dt.timezone.utc)))
+            hist = (collapsed.groupBy("batch_id")
+                    .agg(F.max(when).cast("timestamp").alias("committed_at"),
+                         F.count(F.lit(1)).alias("added_changes"))
+                    .select(F.col("batch_id").alias("snapshot_id"), "committed_at", F.lit("append").alias("operation"),
+                            F.lit(None).cast("long").alias("base_snapshot"), "added_changes"))
+            hist.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("snapshot_id").parquet(self.hist_path)
+        finally:
+            collapsed.unpersist()
 
     # ------------------------------------------------------------ reads
     def _empty_state(self) -> DataFrame:
@@ -90,8 +100,9 @@ class VersionedTable:
             types[self.cfg.ts_col] = "timestamp"
         return self.spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in types.items()))
 
-    def resolve(self, as_of: int | None = None, ts: dt.datetime | str | None = None) -> int | None:
-        commits = self._commits()
+    def resolve(self, as_of: int | None = None, ts: dt.datetime | str | None = None,
+                commits: list | None = None) -> int | None:
+        commits = self._commits() if commits is None else commits
         if ts is not None:
             if isinstance(ts, str):
                 ts = dt.datetime.fromisoformat(ts)
@@ -103,7 +114,7 @@ class VersionedTable:
     def state(self, as_of: int | None = None, ts: dt.datetime | str | None = None) -> DataFrame:
         """Table content as of a snapshot id or a commit time (latest by default)."""
         commits = self._commits()
-        target = self.resolve(as_of, ts)
+        target = self.resolve(as_of, ts, commits)
         if target is None:
             return self._empty_state()
         visible = [c for c in commits if c["snapshot_id"] <= target]
@@ -120,6 +131,9 @@ class VersionedTable:
         order = (*ORDER_COLS, "batch_id") if self.event_order else ("batch_id", *ORDER_COLS)
         w = Window.partitionBy(self.cfg.key).orderBy(*[F.col(c).desc() for c in order])
         last = tail.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        if base_id is None:
+            # MERGE into an empty table: only inserts, i.e. changes whose op is not 'd' (a NULL op never inserts)
+            return last.filter(F.coalesce(F.col("op") != "d", F.lit(False))).select(*self.cfg.target_columns)
         return merge(base, last, self.cfg)
 
     # ------------------------------------------------------------ maintenance
