@@ -240,42 +240,49 @@ def flatten(decoded: DataFrame, image_cols: list[str], key: str) -> DataFrame:
 
 # ---------------------------------------------------------------- SCD type 2
 
+DAY_MS = 86_400_000
+
+
 def scd2_history(changes: DataFrame, cfg: TableConfig, value_cols: list[str] | None = None,
-                 order: tuple[str, ...] = ORDER_COLS) -> DataFrame:
+                 order: tuple[str, ...] = ORDER_COLS, chunk_ms: int = DAY_MS) -> DataFrame:
     """Versions per key: consecutive identical images are one version;
     ``valid_from`` = ts of the change, ``valid_to`` = ts of the next kept change
     (a delete closes the open version and opens none), ``is_current`` for the
     open version of a live key.
+
+    The previous / next change of a key come from :mod:`rivulet.operators.sequence`
+    (per-key windows cut into ``chunk_ms`` event-time chunks), so a key with a
+    very long history is not one task.
     """
+    from rivulet.operators.sequence import shift, time_chunk
     key, ts = cfg.key, cfg.ts_col
     vals = value_cols or list(cfg.columns)
-    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
+    chunk = time_chunk(F.col("ts_ms"), chunk_ms)
+    base = changes.select(key, "op", *order, ts, *vals)
+    step = shift(base, key, list(order), F.struct(F.struct(*[F.col(c) for c in vals]).alias("img"),
+                                                   F.col("op").alias("op")), "_prev", chunk)
     img = F.struct(*[F.col(c) for c in vals])
-    step = (changes.select(key, "op", *order, ts, *vals)
-            .withColumn("_img", img)
-            .withColumn("_prev_img", F.lag("_img").over(w))
-            .withColumn("_prev_op", F.lag("op").over(w)))
-    changed = (F.coalesce(F.col("op") == "d", F.lit(False)) | F.col("_prev_op").isNull()
-               | F.coalesce(F.col("_prev_op") == "d", F.lit(False))
-               | ~F.col("_img").eqNullSafe(F.col("_prev_img")))
-    kept = step.filter(changed).drop("_img", "_prev_img", "_prev_op")
-    w2 = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
-    versions = (kept.withColumn("valid_to", F.lead(ts).over(w2))
-                    .filter(~F.coalesce(F.col("op") == "d", F.lit(False))))
+    changed = (F.coalesce(F.col("op") == "d", F.lit(False)) | F.col("_prev").isNull()
+               | F.coalesce(F.col("_prev.op") == "d", F.lit(False))
+               | ~img.eqNullSafe(F.col("_prev.img")))
+    kept = step.filter(changed).drop("_prev")
+    versions = (shift(kept, key, list(order), F.col(ts), "valid_to", chunk, forward=True)
+                .filter(~F.coalesce(F.col("op") == "d", F.lit(False))))
     return versions.select(key, *vals, F.col(ts).alias("valid_from"), "valid_to",
                            F.col("valid_to").isNull().alias("is_current"), *[c for c in order if c != "ts_ms"])
 
 
 def as_of_lookup(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
-                 value_cols: list[str], tie_break: list[str] | None = None) -> DataFrame:
+                 value_cols: list[str], tie_break: list[str] | None = None, chunk_ms: int = DAY_MS) -> DataFrame:
     """Attach to each fact the dimension version valid at its time
     (``valid_from <= ts < valid_to``; open versions have ``valid_to`` NULL).
 
-    Written as a union + ``last(ignorenulls)`` scan instead of a range join,
-    so no pair of (fact, version) rows is ever materialised: each fact takes
-    the latest version start at or before its time, then the version's end is
-    checked.
+    Written as a union + "last version so far" scan instead of a range join,
+    so no (fact, version) pair is ever materialised; the scan is chunked by
+    event time (see :mod:`rivulet.operators.sequence`) so a hot key is spread
+    over many tasks.
     """
+    from rivulet.operators.sequence import last_non_null, time_chunk
     tb = tie_break or []
     v = versions.select(F.col(key), F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"),
                         F.struct(*[F.col(c) for c in tb]).alias("_tb"),
@@ -285,9 +292,8 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
                      F.lit(None).cast(v.schema["_tb"].dataType).alias("_tb"),
                      F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), F.struct(*fcols).alias("_f"))
     v = v.withColumn("_f", F.lit(None).cast(f.schema["_f"].dataType))
-    w = (Window.partitionBy(key).orderBy("_t", "_kind", "_tb")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = v.unionByName(f).withColumn("_cur", F.last("_v", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
+    u = last_non_null(v.unionByName(f), key, ["_t", "_kind", "_tb"], "_v", "_cur",
+                      time_chunk(F.unix_millis(F.col("_t")), chunk_ms)).filter(F.col("_kind") == 1)
     valid = F.col("_cur").isNotNull() & (F.col("_cur.valid_to").isNull() | (F.col("_t") < F.col("_cur.valid_to")))
     return u.select(*[F.col(f"_f.{c}").alias(c) for c in fcols],
                     *[F.when(valid, F.col(f"_cur.{c}")).alias(c) for c in value_cols])
