@@ -60,3 +60,14 @@ def gate(verdicts: DataFrame, passed_col: str = "passed") -> None:
     failed = verdicts.filter(~F.col(passed_col)).limit(20).collect()
     if failed:
         raise RuntimeError(f"quality gate failed: {[r.asDict() for r in failed]}")
+
+
+def observe_job(df: DataFrame, name: str, key_cols: list[str]):
+    """Attach job counters (rows, NULL keys) to ``df`` without an extra pass:
+    they are filled in by whatever action writes ``df``.  Returns (df, Observation)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    null_key = F.lit(False)
+    for c in key_cols:
+        null_key = null_key | F.col(c).isNull()
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(F.when(null_key, 1)).alias("null_keys")), obs

@@ -33,21 +33,22 @@ def silver_customers(raw: DataFrame) -> DataFrame:
     return keep_last(masked, ["customer_id"], [])
 
 
-def typed_items(raw: DataFrame) -> DataFrame:
-    """Raw string order items -> typed; a bad number becomes NULL (try_cast), never an error."""
+def typed_items(raw: DataFrame, id_type: str = "long") -> DataFrame:
+    """Raw string order items -> typed; a bad number becomes NULL (try_cast), never an error.
+    ``id_type="string"`` keeps business keys such as ``O001`` as they are."""
     q = F.col("quantity").try_cast("decimal(12,2)")
     p = F.col("unit_price").try_cast("decimal(12,2)")
-    return raw.select(F.col("order_id").try_cast("long").alias("order_id"),
-                      F.col("product_id").try_cast("long").alias("product_id"),
+    return raw.select(F.col("order_id").try_cast(id_type).alias("order_id"),
+                      F.col("product_id").try_cast(id_type).alias("product_id"),
                       q.alias("quantity"), p.alias("unit_price"),
                       (q * p).cast("decimal(18,4)").alias("line_total"))
 
 
-def typed_orders(raw: DataFrame, statuses: list[str] | None = None) -> DataFrame:
+def typed_orders(raw: DataFrame, statuses: list[str] | None = None, id_type: str = "long") -> DataFrame:
     ts = F.try_to_timestamp(F.col("order_timestamp"))
     st = norm(F.col("status"))
-    out = raw.select(F.col("order_id").try_cast("long").alias("order_id"),
-                     F.col("customer_id").try_cast("long").alias("customer_id"),
+    out = raw.select(F.col("order_id").try_cast(id_type).alias("order_id"),
+                     F.col("customer_id").try_cast(id_type).alias("customer_id"),
                      ts.alias("order_timestamp"), st.alias("status"),
                      F.to_date(ts).alias("order_date"))
     if statuses is not None:

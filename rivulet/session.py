@@ -80,10 +80,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="rivulet-")
         spark.conf.set("spark.checkpoint.dir", base)
-    try:
-        spark.sparkContext.setCheckpointDir(base)
-    except Exception:  # pragma: no cover - Connect sessions have no context
-        pass
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # pragma: no cover - Connect sessions have no context
+            pass
     return base.rstrip("/")
 
 
