@@ -163,7 +163,7 @@ SELECT 'customers', count(*), 0 FROM ({RAW_CUSTOMERS_SQL}) c
 
 
 @register("dq_gate", sql=f"""
-SELECT suite, rows, rejected, round(rejected / rows, 6) AS reject_ratio, {GATE_THRESHOLD} AS threshold,
+SELECT suite, rows, rejected, round(rejected / rows, 6) AS reject_ratio, CAST({GATE_THRESHOLD} AS DOUBLE) AS threshold,
        rejected / rows <= {GATE_THRESHOLD} AS passed
 FROM ({GATE_SQL}) g
 """)
@@ -328,7 +328,7 @@ tot AS (
   SELECT 'target', count(*), sum(amount),
     sum(CAST(('0x' || substr(md5(concat_ws('~', CAST(order_id AS VARCHAR), CAST(customer_id AS VARCHAR),
       CAST(amount AS VARCHAR), status)), 1, 8)) AS BIGINT)) FROM t)
-SELECT side, rows, amount_sum, hash_total,
+SELECT side, rows, amount_sum, CAST(hash_total AS BIGINT) AS hash_total,
        round(abs(rows - (SELECT rows FROM tot WHERE side = 'source')) / (SELECT rows FROM tot WHERE side = 'source'), 6)
          AS drift_ratio,
        abs(rows - (SELECT rows FROM tot WHERE side = 'source')) / (SELECT rows FROM tot WHERE side = 'source') <= 0.001

@@ -42,6 +42,7 @@ def run_to_parquet(spark, df, name):
 def streamed_table(spark, sf, name="orders_stream"):
     """Run the CDC stream over the change log, one log file per micro-batch."""
     vt = VersionedTable(spark, scratch_path(spark, name), C.ORDERS, event_order=True)
+    # one file per trigger: the log folders are replayed as a sequence of micro-batches
     src = L.read_change_stream(spark, L.events_change_log(spark, sf), max_files_per_trigger=1)
     q = start_cdc(src, vt, C.ORDERS, L.ORDER_ENVELOPE, scratch_path(spark, f"{name}_ckpt"),
                   trigger={"availableNow": True}, name=None)
@@ -54,7 +55,7 @@ SELECT "partition", "offset", CAST(event_time AS TIMESTAMP) AS "timestamp", CAST
 FROM ({EVENTS_CHANGES_SQL}) e
 """)
 def cdc_stream_scan(spark, sf):
-    src = L.read_change_stream(spark, L.events_change_log(spark, sf), max_files_per_trigger=4)
+    src = L.read_change_stream(spark, L.events_change_log(spark, sf), max_files_per_trigger=2 * L.PARTITIONS)
     df = src.select("partition", "offset", "timestamp", F.col("key").cast("string").alias("record_key"))
     return run_to_parquet(spark, df, "log_scan")
 

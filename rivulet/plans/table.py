@@ -122,7 +122,8 @@ def retention(spark, sf):
     newest = ids[-1] if ids else 0
     kept = log.filter(F.col("batch_id") > F.lit(newest - RETAIN_BATCHES))
     kept.write.mode("overwrite").partitionBy("batch_id").parquet(kept_path)
-    return spark.read.parquet(kept_path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("changes"))
+    return (spark.read.schema(L.LOG_SCHEMA).parquet(kept_path)
+            .groupBy("batch_id").agg(F.count(F.lit(1)).alias("changes")))
 
 
 @register("create_or_replace", sql=f"""

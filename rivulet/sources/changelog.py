@@ -46,7 +46,7 @@ ORDER_ENVELOPE = envelope_schema(ORDER_IMAGE)
 OP_BY_EVENT = {"signup": "c", "purchase": "r", "error": "d"}
 DEFAULT_OP = "u"
 SCHEMA_ID = 1
-LOG_LAYOUT_VERSION = "1"
+LOG_LAYOUT_VERSION = "2"
 HOUR_MS = 3_600_000
 PARTITIONS = 4
 DAYS_PER_BATCH = 3
@@ -105,9 +105,11 @@ def _fingerprint(path: str) -> str:
 
 
 def write_change_log(df_records: DataFrame, path: str) -> str:
-    """Write records by batch; overwrite per batch folder so replays replace themselves."""
-    (df_records.repartition("batch_id")
-        .write.mode("overwrite").partitionBy("batch_id").parquet(path))
+    """Write records by batch, one file per (batch, broker partition), like a
+    topic segment; overwrite per batch folder so replays replace themselves."""
+    (df_records.repartition("batch_id", "partition").sortWithinPartitions("partition", "offset")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id").parquet(path))
     return path
 
 

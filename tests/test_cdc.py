@@ -5,7 +5,6 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from rivulet.functions.frames import add_frame
 from rivulet.operators import cdc as C
 from rivulet.sources import changelog as L
 from rivulet.table import VersionedTable
