@@ -166,11 +166,16 @@ def merge(target: DataFrame, changes: DataFrame, cfg: TableConfig, soft_delete:
     matched            -> update every non-key column (NULL overwrites)
     not matched & op<>'d' -> insert;  NULL op: matched -> update, else ignored.
 
-    One full outer join on the key.  ``guard`` only applies a change that is
-    newer than the row it replaces (needs ``ts_ms`` on the target).
+    Plain mode is an anti join + union: the target is only streamed past the
+    change keys (a broadcast when the change set is small, as a micro-batch
+    is), never shuffled for it.  ``soft_delete`` and ``guard`` (apply a change
+    only when newer than the row it replaces; needs ``ts_ms`` on the target)
+    use one full outer join on the key.
     """
     key = cfg.key
     cols = [c for c in cfg.target_columns if c != key]
+    if not soft_delete and not guard:
+        return _merge_anti_union(target, changes, key, cols)
     t = target.select(key, *cols, *([F.col("ts_ms")] if guard and "ts_ms" in target.columns else []),
                       *([F.col("is_deleted")] if soft_delete and "is_deleted" in target.columns else []))
     s_cols = [key, "op", *cols] + (["ts_ms"] if guard else [])
@@ -205,6 +210,30 @@ def merge(target: DataFrame, changes: DataFrame, cfg: TableConfig, soft_delete:
     return out
 
 
+def _merge_anti_union(target: DataFrame, changes: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    s = changes.select(key, "op", *cols)
+    unchanged = target.select(key, *cols).join(s.select(key), key, "left_anti")
+    upserts = s.filter(F.coalesce(F.col("op") != "d", F.lit(False)))
+    # NULL op updates a row only when the key is in the target (MERGE's three-valued logic);
+    # such changes are rare, and with none of them AQE drops this branch at run time.
+    null_op = s.filter(F.col("op").isNull())
+    matched = target.select(key).join(null_op.select(key), key, "left_semi")
+    updates = null_op.join(matched, key, "left_semi")
+    return unchanged.unionByName(upserts.unionByName(updates).select(key, *cols))
+
+
+def resnapshot(source: DataFrame, cfg: TableConfig, snapshot_ts_ms: int, predicate: Column | None = None,
+               order_col: str | None = None) -> DataFrame:
+    """Re-read a bounded slice of the source table as ``op='r'`` change rows
+    (an incremental snapshot) stamped ``snapshot_ts_ms``, ready to be unioned
+    with the live changes and collapsed: a later live change of a key wins."""
+    df = source if predicate is None else source.filter(predicate)
+    cols = [F.col(c).cast(t).alias(c) for c, t in cfg.columns.items()]
+    return df.select(F.lit("r").alias("op"), F.lit(snapshot_ts_ms).cast("long").alias("ts_ms"),
+                     F.lit(-1).alias("partition"), F.col(order_col or cfg.key).cast("long").alias("offset"),
+                     F.col(cfg.key).cast("long").alias(cfg.key), *cols)
+
+
 def apply_changes(target: DataFrame, changes: DataFrame, cfg: TableConfig, **kw) -> DataFrame:
     """Collapse a raw batch of changes and merge it (one micro-batch of D7)."""
     return merge(target, collapse(changes, cfg), cfg, **kw)

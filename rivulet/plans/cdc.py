@@ -278,10 +278,8 @@ def cdc_resnapshot(spark, sf, since: str = "1998-01-01", snapshot_ts_ms: int = 0
     placed since ``since``) as op='r' rows stamped at ``snapshot_ts_ms`` and
     merge them with the live changes; a later live change of a key wins."""
     live = normalized(spark, sf)
-    src = T.orders(spark, sf).filter(F.col("order_timestamp") >= F.lit(since).cast("timestamp_ntz"))
-    snap = src.select(F.lit("r").alias("op"), F.lit(snapshot_ts_ms).cast("long").alias("ts_ms"),
-                      F.lit(-1).alias("partition"), F.col("order_id").alias("offset"), "order_id", "customer_id",
-                      F.col("amount").cast("decimal(12,2)").alias("amount"), "status")
+    snap = C.resnapshot(T.orders(spark, sf), C.ORDERS, snapshot_ts_ms,
+                        F.col("order_timestamp") >= F.lit(since).cast("timestamp_ntz"))
     allc = snap.unionByName(live.select("op", "ts_ms", "partition", "offset", "order_id", "customer_id",
                                         "amount", "status"))
     return C.collapse(allc, C.ORDERS).select("order_id", "customer_id", "amount", "status", "op")

@@ -51,3 +51,8 @@ def export_sample(df: DataFrame, n: int, path: str, order_by: list[str]) -> str:
     """Deterministic bounded sample: first ``n`` rows by ``order_by`` into one Parquet file."""
     df.orderBy(*order_by).limit(n).coalesce(1).write.mode("overwrite").parquet(path)
     return path
+
+
+def preview(df: DataFrame, n: int = 10) -> tuple[str, list]:
+    """Schema string and the first ``n`` rows (only ``n`` rows reach the driver)."""
+    return df.schema.simpleString(), df.limit(n).collect()

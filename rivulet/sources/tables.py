@@ -73,3 +73,8 @@ def orders_for_profiling(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _status(F.col("o_orderstatus")).alias("status"),
                     F.when(F.col("o_orderkey") % 3 == 0, F.lit("EUR")).otherwise(F.lit("USD")).alias("currency"),
                     F.col("o_orderdate").alias("order_ts"))
+
+
+def integer_range(spark: SparkSession, n: int, partitions: int | None = None) -> DataFrame:
+    """``id`` from 0 to n-1, generated in parallel (the smoke-test source)."""
+    return spark.range(0, n, numPartitions=partitions)
