@@ -154,11 +154,11 @@ def stream_session(spark, sf):
 
 
 def events_with_replay(spark, sf) -> str:
-    """Events plus re-delivered copies of every 50th event (at-least-once source), as two files."""
+    """Events plus re-delivered copies of every 50th event (at-least-once source), as two folders."""
     path = scratch_path(spark, "events_replayed")
     ev = TB.table(spark, sf, "events")
-    ev.coalesce(1).write.parquet(f"{path}/part=0")
-    ev.filter(F.col("event_id") % 50 == 0).coalesce(1).write.parquet(f"{path}/part=1")
+    ev.write.parquet(f"{path}/part=0")
+    ev.filter(F.col("event_id") % 50 == 0).write.parquet(f"{path}/part=1")
     return path
 
 
@@ -200,11 +200,17 @@ def late_rows(spark, sf):
     from rivulet.streaming.late import route_late
     path = scratch_path(spark, "events_late")
     ev = TB.table(spark, sf, "events")
-    ev.coalesce(1).write.parquet(f"{path}/f0")
-    (ev.filter(F.col("event_id") % 50 == 0)
-       .withColumn("ts", F.col("ts") - F.expr(f"INTERVAL {LATE_SHIFT_HOURS} HOURS"))
-       .coalesce(1).write.parquet(f"{path}/f1"))
-    src = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path + "/f*")
     on_time, late = scratch_path(spark, "on_time"), scratch_path(spark, "late")
-    route_late(src, "ts", DELAY, on_time, late, scratch_path(spark, "late_ckpt"))
+    ckpt = scratch_path(spark, "late_ckpt")
+
+    def run():
+        src = spark.readStream.schema(EVENTS_SCHEMA).parquet(path)
+        route_late(src, "ts", DELAY, on_time, late, ckpt)
+
+    ev.write.parquet(path)                    # first delivery: one micro-batch
+    run()
+    (ev.filter(F.col("event_id") % 50 == 0)   # re-sent three hours late, picked up after a restart
+       .withColumn("ts", F.col("ts") - F.expr(f"INTERVAL {LATE_SHIFT_HOURS} HOURS"))
+       .write.mode("append").parquet(path))
+    run()
     return spark.read.parquet(late).select("event_id", "ts", "watermark")

@@ -147,11 +147,10 @@ class VersionedTable:
         """Fold the log up to ``upto`` into one snapshot (files sized by row count)."""
         upto = self.resolve(upto)
         st = self.state(upto)
-        n = st.count()
-        files = max(1, -(-n // target_file_rows))
-        # same id as the last folded commit: readers as of upto now start from it
+        # same id as the last folded commit: readers as of upto now start from it.
+        # Written beside it first, since the state may read an older snapshot of the same id.
         st_path = f"{self.snap_path}/upto={upto}"
-        st.repartition(files).write.mode("overwrite").parquet(st_path + "-tmp")
+        st.write.mode("overwrite").option("maxRecordsPerFile", target_file_rows).parquet(st_path + "-tmp")
         self.spark.read.parquet(st_path + "-tmp").write.mode("overwrite").parquet(st_path)
         self._record([(upto, self._commit_time(upto), "compact", upto, 0)])
         return upto
