@@ -23,18 +23,24 @@ def profile_counts(df: DataFrame, dims=("status", "currency")) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def numeric_profile(df: DataFrame, col: str) -> DataFrame:
-    """count, mean, stddev, min, 25/50/75 % (exact, discrete) and max of one column.
+def numeric_profile(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """count, mean, stddev, min, 25/50/75 % and max of one column.
 
+    ``exact``: discrete percentiles (``percentile_disc``); their final merge
+    keeps one counter per distinct value, so for very high-cardinality columns
+    pass ``exact=False`` to use ``percentile_approx`` (rank error <= n/accuracy).
     Not ``summary()``: its percentiles are approximate and its output is strings.
     """
     c = F.col(col)
+
+    def pct(p):
+        if exact:
+            return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{col}`)")
+        return F.percentile_approx(c, p, accuracy)
+
     return df.agg(
         F.count(c).alias("n"), F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("sd"),
-        F.min(c).alias("mn"),
-        F.expr(f"percentile_disc(0.25) WITHIN GROUP (ORDER BY `{col}`)").alias("p25"),
-        F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{col}`)").alias("p50"),
-        F.expr(f"percentile_disc(0.75) WITHIN GROUP (ORDER BY `{col}`)").alias("p75"),
+        F.min(c).alias("mn"), pct(0.25).alias("p25"), pct(0.5).alias("p50"), pct(0.75).alias("p75"),
         F.max(c).alias("mx"))
 
 
