@@ -10,18 +10,13 @@ from rivulet.table import VersionedTable
 
 
 def upsert_batch(table: VersionedTable, cfg: TableConfig, envelope):
-    """The foreachBatch callback: decode and normalise the micro-batch, skip it
-    when empty, commit it under the micro-batch id.  The commit overwrites its
+    """The foreachBatch callback: decode and normalise the micro-batch and
+    commit it under the micro-batch id (nothing is recorded for an empty one).  The commit overwrites its
     own batch folder, so a replayed micro-batch replaces itself (exactly-once
     effect with an at-least-once source)."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        changes = normalize(decode(batch, envelope), cfg).persist()
-        try:
-            if changes.isEmpty():
-                return
-            table.commit(changes, batch_id)
-        finally:
-            changes.unpersist()
+        # an empty micro-batch writes nothing and records no commit (see VersionedTable.commit)
+        table.commit(normalize(decode(batch, envelope), cfg), batch_id)
     return run
 
 

@@ -57,9 +57,27 @@ class VersionedTable:
            .partitionBy("snapshot_id").parquet(self.hist_path))
 
     # ------------------------------------------------------------ writes
-    def commit(self, changes: DataFrame, batch_id: int, committed_at: dt.datetime | None = None) -> None:
-        """Append one batch of normalised changes as commit ``batch_id`` (idempotent on replay)."""
-        self.commit_many(changes.withColumn("batch_id", F.lit(batch_id).cast("long")), committed_at)
+    def commit(self, changes: DataFrame, batch_id: int, committed_at: dt.datetime | None = None) -> int:
+        """Append one batch of normalised changes as commit ``batch_id`` (idempotent on replay).
+
+        One job: the collapsed changes are written while an observation counts
+        them; the history row is then written from that count.  An empty batch
+        writes nothing and records no commit.  Returns the number of changes kept.
+        """
+        from pyspark.sql import Observation
+        key = self.cfg.key
+        w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in ORDER_COLS])
+        collapsed = (changes.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+                     .withColumn("batch_id", F.lit(batch_id).cast("long")))
+        obs = Observation(f"commit_{batch_id}")
+        observed = collapsed.observe(obs, F.count(F.lit(1)).alias("n"))
+        (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id").parquet(self.log_path))
+        n = int(obs.get.get("n", 0) or 0)
+        if n:
+            when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            self._record([(batch_id, when, "append", None, n)])
+        return n
 
     def commit_many(self, changes: DataFrame, committed_at: dt.datetime | None = None,
                     commit_time_col: str | None = None) -> None:
