@@ -32,7 +32,7 @@ def built_table(spark, sf) -> VersionedTable:
 
 
 def _nth_snapshot(vt: VersionedTable, n: int) -> int:
-    ids = sorted(r["snapshot_id"] for r in vt._commits())
+    ids = vt.snapshot_ids()
     return ids[min(n, len(ids) - 1)]
 
 
@@ -76,8 +76,7 @@ def table_history(spark, sf):
     return built_table(spark, sf).history()
 
 
-FULL_STATE_SQL = state_sql("(SELECT max(batch_id) FROM events_batches)").replace(
-    "(SELECT max(batch_id) FROM events_batches)", f"(SELECT max(batch_id) FROM ({EVENTS_CHANGES_SQL}) z)")
+FULL_STATE_SQL = state_sql(f"(SELECT max(batch_id) FROM ({EVENTS_CHANGES_SQL}) z)")
 
 
 @register("compact", sql=FULL_STATE_SQL)

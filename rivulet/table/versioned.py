@@ -51,6 +51,10 @@ class VersionedTable:
             return []
         return [r.asDict() for r in self.spark.read.schema(HISTORY_SCHEMA).parquet(self.hist_path).collect()]
 
+    def snapshot_ids(self) -> list[int]:
+        """Readable snapshot ids, oldest first."""
+        return sorted(c["snapshot_id"] for c in self._commits())
+
     def _record(self, rows: list[tuple]) -> None:
         df = self.spark.createDataFrame(rows, HISTORY_SCHEMA)
         (df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
