@@ -3,7 +3,7 @@
 Layout below ``path``::
 
     log/batch_id=<n>/          collapsed changes of commit n (overwritten on replay)
-    snapshot/upto=<n>/         full state as of n (written by compact / rollback)
+    snapshot/upto=<n>-<uid>/   full state as of n (written by compact / rollback; a new folder each time)
     _history/snapshot_id=<n>/  one metadata row per commit, written last
 
 Readers only trust commits listed in ``_history``.  State as of n = newest
@@ -16,6 +16,7 @@ down.  One writer per table.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from rivulet.operators.cdc import ORDER_COLS, TableConfig, merge
 from rivulet.session import path_exists
 
 HISTORY_SCHEMA = ("snapshot_id long, committed_at timestamp, operation string, base_snapshot long, "
-                  "added_changes long")
+                  "added_changes long, location string")
 
 
 class VersionedTable:
@@ -80,7 +81,7 @@ class VersionedTable:
         n = int(obs.get.get("n", 0) or 0)
         if n:
             when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-            self._record([(batch_id, when, "append", None, n)])
+            self._record([(batch_id, when, "append", None, n, None)])
         return n
 
     def commit_many(self, changes: DataFrame, committed_at: dt.datetime | None = None,
@@ -109,7 +110,8 @@ class VersionedTable:
                     .agg(F.max(when).cast("timestamp").alias("committed_at"),
                          F.count(F.lit(1)).alias("added_changes"))
                     .select(F.col("batch_id").alias("snapshot_id"), "committed_at", F.lit("append").alias("operation"),
-                            F.lit(None).cast("long").alias("base_snapshot"), "added_changes"))
+                            F.lit(None).cast("long").alias("base_snapshot"), "added_changes",
+                            F.lit(None).cast("string").alias("location")))
             hist.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
                 .partitionBy("snapshot_id").parquet(self.hist_path)
         finally:
@@ -141,10 +143,11 @@ class VersionedTable:
             return self._empty_state()
         visible = [c for c in commits if c["snapshot_id"] <= target]
         bases = [c for c in visible if c["operation"] in ("compact", "rollback")]
-        base_id = max((c["snapshot_id"] for c in bases), default=None)
+        base_row = max(bases, key=lambda c: c["snapshot_id"], default=None)
+        base_id = base_row["snapshot_id"] if base_row else None
         appended = sorted(c["snapshot_id"] for c in visible
                           if c["operation"] == "append" and (base_id is None or c["snapshot_id"] > base_id))
-        base = (self.spark.read.parquet(f"{self.snap_path}/upto={base_id}") if base_id is not None
+        base = (self.spark.read.parquet(base_row["location"]) if base_row is not None
                 else self._empty_state())
         if not appended:
             return base
@@ -159,30 +162,25 @@ class VersionedTable:
         return merge(base, last, self.cfg)
 
     # ------------------------------------------------------------ maintenance
-    def _publish_snapshot(self, state: DataFrame, new_id: int, operation: str, base: int | None,
-                          files: int | None = None) -> None:
-        out = state if files is None else state.repartition(files)
-        out.write.mode("overwrite").parquet(f"{self.snap_path}/upto={new_id}")
-        self._record([(new_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, base, 0)])
+    def _publish_snapshot(self, state: DataFrame, sid: int, operation: str, base: int | None,
+                          committed_at=None, target_file_rows: int = 5_000_000) -> str:
+        """Write ``state`` to a new snapshot folder, then record it (history row last).
+        A failed write leaves an unlisted folder that no reader uses."""
+        loc = f"{self.snap_path}/upto={sid}-{uuid.uuid4().hex[:12]}"
+        state.write.mode("overwrite").option("maxRecordsPerFile", target_file_rows).parquet(loc)
+        when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        self._record([(sid, when, operation, base, 0, loc)])
+        return loc
 
     def compact(self, upto: int | None = None, target_file_rows: int = 5_000_000) -> int:
-        """Fold the log up to ``upto`` into one snapshot (files sized by row count)."""
-        upto = self.resolve(upto)
-        st = self.state(upto)
-        # same id as the last folded commit: readers as of upto now start from it.
-        # Written beside it first, since the state may read an older snapshot of the same id.
-        st_path = f"{self.snap_path}/upto={upto}"
-        st.write.mode("overwrite").option("maxRecordsPerFile", target_file_rows).parquet(st_path + "-tmp")
-        self.spark.read.parquet(st_path + "-tmp").write.mode("overwrite").parquet(st_path)
-        self._record([(upto, self._commit_time(upto), "compact", upto, 0)])
+        """Fold the log up to ``upto`` into one snapshot (files of at most ``target_file_rows`` rows);
+        readers as of ``upto`` and later start from it."""
+        commits = self._commits()
+        upto = self.resolve(upto, commits=commits)
+        when = next((c["committed_at"] for c in commits if c["snapshot_id"] == upto), None)
+        self._publish_snapshot(self.state(upto), upto, "compact", upto, when, target_file_rows)
         return upto
 
-    def _commit_time(self, sid: int):
-        for c in self._commits():
-            if c["snapshot_id"] == sid:
-                return c["committed_at"]
-        return None
-
     def rollback(self, to: int) -> int:
         """Publish the state as of ``to`` as a new, latest snapshot."""
         latest = self.resolve()
@@ -192,15 +190,16 @@ class VersionedTable:
 
     def expire(self, before: int) -> None:
         """Expire history before ``before``: the state as of ``before`` becomes a
-        snapshot, older snapshot ids are no longer readable."""
+        snapshot and older snapshot ids are no longer listed (so not readable)."""
         self.compact(before)
-        kept = [c for c in self._commits() if c["snapshot_id"] >= before]
-        self.spark.createDataFrame([tuple(c[k] for k in ("snapshot_id", "committed_at", "operation",
-                                                          "base_snapshot", "added_changes")) for c in kept],
-                                   HISTORY_SCHEMA).coalesce(1).write.mode("overwrite") \
-            .partitionBy("snapshot_id").parquet(self.hist_path + "-kept")
-        hist = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.hist_path + "-kept")
-        hist.write.mode("overwrite").partitionBy("snapshot_id").parquet(self.hist_path)
+        kept = [tuple(c[k] for k in ("snapshot_id", "committed_at", "operation", "base_snapshot",
+                                     "added_changes", "location"))
+                for c in self._commits() if c["snapshot_id"] >= before]
+        staged = f"{self.hist_path}-kept-{uuid.uuid4().hex[:12]}"
+        (self.spark.createDataFrame(kept, HISTORY_SCHEMA).coalesce(1).write.mode("overwrite")
+            .partitionBy("snapshot_id").parquet(staged))
+        (self.spark.read.schema(HISTORY_SCHEMA).parquet(staged).write.mode("overwrite")
+            .option("partitionOverwriteMode", "static").partitionBy("snapshot_id").parquet(self.hist_path))
 
     def log(self) -> DataFrame:
         return self.spark.read.parquet(self.log_path)

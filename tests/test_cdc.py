@@ -131,3 +131,9 @@ def test_versioned_table_batches_equal_one_collapse(spark, tmp_dir):
     assert sorted(vt.state().collect()) == sorted(once.collect())
     vt.rollback(first)
     assert sorted(vt.state().collect()) == early
+    # expiry: older ids disappear from the listing, the latest state is unchanged
+    ids = vt.snapshot_ids()
+    latest_state = sorted(vt.state().collect())
+    vt.expire(ids[2])
+    assert min(vt.snapshot_ids()) == ids[2]
+    assert sorted(vt.state().collect()) == latest_state
