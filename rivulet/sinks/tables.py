@@ -69,3 +69,22 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
     ensure_namespace(spark, name.split(".", 1)[0])
     (df.write.mode("overwrite").format("parquet").option("path", table_location(spark, name))
        .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+
+
+def upsert_table(df: DataFrame, name: str, key: str) -> None:
+    """Silver "upsert" mode: rows of ``df`` replace rows with the same key, other
+    rows stay (MERGE with every change an update).  The merged result is staged
+    in a new folder first because the table is read while it is rewritten."""
+    from rivulet.operators.cdc import TableConfig, merge
+    from rivulet.session import scratch_path
+
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        write_table(df, name)
+        return
+    cfg = TableConfig(name, key, {c: "string" for c in df.columns if c != key}, ts_col=None)
+    changes = df.withColumn("op", F.lit("u"))
+    merged = merge(spark.table(name).select(*df.columns), changes, cfg)
+    staged = scratch_path(spark, "upsert_stage")
+    merged.write.parquet(staged)
+    write_table(spark.read.parquet(staged), name)

@@ -25,3 +25,39 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
                      float(p.get("processedRowsPerSecond") or 0.0),
                      int((p.get("durationMs") or {}).get("triggerExecution") or 0), p.get("name")))
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+
+
+class ProgressCollector:
+    """Collect per-batch progress of streaming queries through a listener
+    (batch id, input rows, rates, trigger time) and expose it as a DataFrame."""
+
+    def __init__(self, spark: SparkSession):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        self.spark, self.rows = spark, []
+        outer = self
+
+        class _Listener(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                outer.rows.append((int(p.batchId), int(p.numInputRows), float(p.inputRowsPerSecond or 0.0),
+                                   float(p.processedRowsPerSecond or 0.0),
+                                   int((p.durationMs or {}).get("triggerExecution", 0)), p.name))
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        self.listener = _Listener()
+        spark.streams.addListener(self.listener)
+
+    def frame(self) -> DataFrame:
+        return self.spark.createDataFrame(list(self.rows), PROGRESS_SCHEMA)
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self.listener)

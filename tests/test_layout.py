@@ -47,3 +47,28 @@ def test_catalog_helpers(spark):
         raise AssertionError("expected an error")
     except RuntimeError as e:
         assert "by name or by path" in str(e)
+
+
+def test_upsert_table(spark):
+    from rivulet.sinks.tables import upsert_table, write_table
+    name = unique_table_name(spark, "silver", "cust_up")
+    write_table(spark.createDataFrame([("1", "a"), ("2", "b")], "customer_id string, v string"), name)
+    upsert_table(spark.createDataFrame([("2", "B"), ("3", "c")], "customer_id string, v string"), name, "customer_id")
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [("1", "a"), ("2", "B"), ("3", "c")]
+
+
+def test_progress_listener(spark):
+    from rivulet.session import scratch_path
+    from rivulet.streaming.run import ProgressCollector, to_parquet_available_now
+    src_dir = scratch_path(spark, "src")
+    table(spark, SF, "region").write.parquet(src_dir)
+    pc = ProgressCollector(spark)
+    try:
+        to_parquet_available_now(spark.readStream.schema("r_regionkey int, r_name string").parquet(src_dir),
+                                 scratch_path(spark, "out"), scratch_path(spark, "ck"))
+        import time
+        time.sleep(1)
+        rows = pc.frame().collect()
+    finally:
+        pc.close()
+    assert sum(r["num_input_rows"] for r in rows) == 5
