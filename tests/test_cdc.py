@@ -137,3 +137,21 @@ def test_versioned_table_batches_equal_one_collapse(spark, tmp_dir):
     vt.expire(ids[2])
     assert min(vt.snapshot_ids()) == ids[2]
     assert sorted(vt.state().collect()) == latest_state
+
+
+def test_empty_batch_and_empty_table(spark, tmp_dir):
+    vt = VersionedTable(spark, tmp_dir, C.ORDERS)
+    assert vt.state().count() == 0 and vt.snapshot_ids() == []
+    assert vt.commit(changes(spark, []), 7) == 0          # empty micro-batch: nothing recorded
+    assert vt.snapshot_ids() == []
+    assert vt.commit(changes(spark, [("c", 1, 0, 1, 1, 1, "1.00", "A")]), 8) == 1
+    assert vt.snapshot_ids() == [8] and vt.state().count() == 1
+
+
+def test_update_with_null_after_image(spark):
+    env = [{"op": "c", "ts_ms": 1000, "after": {"order_id": 1, "amount": 2.0, "status": "A"}},
+           {"op": "u", "ts_ms": 2000, "before": {"order_id": 1}, "after": None}]
+    n = C.normalize(C.decode(framed_log(spark, env), L.ORDER_ENVELOPE), C.ORDERS)
+    out = C.apply_changes(spark.createDataFrame([], TARGET), n, C.ORDERS).collect()
+    # the update without an after image keeps the key and overwrites the columns with NULL
+    assert len(out) == 1 and out[0]["status"] is None and out[0]["order_id"] == 1
