@@ -38,3 +38,20 @@ def test_stream_then_restart(spark):
     n_commits = len(vt._commits())
     run()                                   # nothing new: no commit
     assert len(vt._commits()) == n_commits
+
+
+def test_stream_dead_letters(spark):
+    import json
+    rows = [(0, 1, None, None, bytearray(b"\x00\x00\x00\x00\x01" + json.dumps(
+                {"op": "c", "ts_ms": 1000, "after": {"order_id": 1, "amount": 1.0, "status": "A"}}).encode()), 0),
+            (0, 2, None, None, bytearray(b"\x00\x00\x00\x00\x01{broken"), 0)]
+    log = scratch_path(spark, "dl_log")
+    spark.createDataFrame(rows, L.LOG_SCHEMA).write.partitionBy("batch_id").parquet(log)
+    vt = VersionedTable(spark, scratch_path(spark, "dl_vt"), C.ORDERS)
+    dead = scratch_path(spark, "dead")
+    q = start_cdc(L.read_change_stream(spark, log), vt, C.ORDERS, L.ORDER_ENVELOPE, scratch_path(spark, "dl_ck"),
+                  trigger={"availableNow": True}, dead_letter_path=dead)
+    q.awaitTermination()
+    assert vt.state().count() == 1
+    d = spark.read.parquet(dead).collect()
+    assert len(d) == 1 and d[0]["cause"] == "UNPARSEABLE" and d[0]["offset"] == 2
