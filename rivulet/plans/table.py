@@ -31,6 +31,24 @@ def built_table(spark, sf) -> VersionedTable:
     return vt
 
 
+TABLE_LAYOUT_VERSION = 1
+
+
+def shared_table(spark, sf) -> VersionedTable:
+    """The versioned orders table built once per change log and shared folder,
+    for the read-only queries (time travel, history, diffs); maintenance
+    queries build their own copy with :func:`built_table`."""
+    from rivulet.session import path_exists, shared_dir
+    log = L.events_change_log(spark, sf)
+    vt = VersionedTable(spark, f"{shared_dir(spark)}/tables/orders-v{TABLE_LAYOUT_VERSION}-{log.rstrip('/').rsplit('/', 1)[-1]}",
+                       C.ORDERS)
+    if not path_exists(spark, f"{vt.path}/_built/_SUCCESS"):
+        vt.commit_many(log_changes(spark, sf), commit_time_col="ts")
+        from rivulet.session import mark_done
+        mark_done(spark, f"{vt.path}/_built")
+    return vt
+
+
 def _nth_snapshot(vt: VersionedTable, n: int) -> int:
     ids = vt.snapshot_ids()
     return ids[min(n, len(ids) - 1)]
@@ -53,7 +71,7 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY batch_id DESC, ts_ms D
 @register("time_travel_snapshot", sql=state_sql(BATCHES_SQL.format(n=5)))
 def time_travel_snapshot(spark, sf):
     """State of the versioned orders table as of its 6th snapshot."""
-    vt = built_table(spark, sf)
+    vt = shared_table(spark, sf)
     return vt.state(as_of=_nth_snapshot(vt, 5))
 
 
@@ -66,14 +84,19 @@ WHERE status = 'purchase'
 """)
 def time_travel_timestamp(spark, sf):
     """Orders as of a point in time (latest commit at or before it), filtered on status."""
-    vt = built_table(spark, sf)
+    vt = shared_table(spark, sf)
     return vt.state(ts=AS_OF_TS).filter(F.col("status") == "purchase")
 
 
-@register("table_history")
+@register("table_history", sql=f"""
+SELECT batch_id AS snapshot_id, max(epoch_ms(ts_ms)) AS committed_at, 'append' AS operation,
+       CAST(NULL AS BIGINT) AS base_snapshot, CAST(count(DISTINCT order_id) AS BIGINT) AS added_changes
+FROM ({EVENTS_CHANGES_SQL}) e GROUP BY batch_id ORDER BY snapshot_id DESC
+""")
 def table_history(spark, sf):
-    """Commit history of the versioned table, newest first."""
-    return built_table(spark, sf).history()
+    """Commit history of the versioned table, newest first (one commit per log batch;
+    ``added_changes`` = keys changed in the commit)."""
+    return shared_table(spark, sf).history().drop("location")
 
 
 FULL_STATE_SQL = state_sql(f"(SELECT max(batch_id) FROM ({EVENTS_CHANGES_SQL}) z)")
@@ -255,7 +278,7 @@ SELECT 'added', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) y
 """)
 def snapshot_diff(spark, sf):
     """Rows removed and added between the 4th and 6th snapshots (exceptAll both ways)."""
-    vt = built_table(spark, sf)
+    vt = shared_table(spark, sf)
     a, b = vt.state(as_of=_nth_snapshot(vt, 3)), vt.state(as_of=_nth_snapshot(vt, 5))
     return (a.exceptAll(b).select(F.lit("removed").alias("change"), "*")
             .unionByName(b.exceptAll(a).select(F.lit("added").alias("change"), "*")))
