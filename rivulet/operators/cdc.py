@@ -121,7 +121,8 @@ def split_dead_letters(log: DataFrame, schema: T.StructType) -> tuple[DataFrame,
 
 # ---------------------------------------------------------------- normalise
 
-def normalize(decoded: DataFrame, cfg: TableConfig, soft_delete: bool = False) -> DataFrame:
+def normalize(decoded: DataFrame, cfg: TableConfig, soft_delete: bool = False,
+              with_event_ts: bool = False) -> DataFrame:
     """Envelope -> one flat change row: op, order columns, key, typed columns, ts.
 
     Key = coalesce(after.key, before.key); other columns come from ``after``
@@ -139,6 +140,9 @@ def normalize(decoded: DataFrame, cfg: TableConfig, soft_delete: bool = False) -
     cols += [image(c).cast(t).alias(c) for c, t in cfg.columns.items()]
     if cfg.ts_col:
         cols.append(F.timestamp_seconds(F.floor(F.col("r.ts_ms") / 1000)).alias(cfg.ts_col))
+    if with_event_ts:
+        # millisecond event time next to the second-precision ``ts`` the target keeps
+        cols.append(F.timestamp_millis(F.col("r.ts_ms")).alias("event_ts"))
     extra = [F.col("batch_id")] if "batch_id" in decoded.columns else []
     return decoded.select(*cols, *extra).where(F.col(cfg.key).isNotNull())
 

@@ -205,14 +205,18 @@ def export_json(spark, sf):
     return spark.read.schema("event_type string, events long").json(path)
 
 
-@register("export_sample", sql="""
-SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate LIMIT 100
+LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
+                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+@register("export_sample", sql=f"""
+SELECT * FROM lineitem ORDER BY {", ".join(LINEITEM_ORDER)} LIMIT 100
 """)
 def export_sample(spark, sf):
     """Deterministic 100-row sample (ordered by key) exported to one Parquet file."""
     from rivulet.sinks.files import export_sample as es
-    path = es(T.table(spark, sf, "lineitem"), 100, scratch_path(spark, "export_sample"),
-              ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])
+    # every column in the order: the 100 rows do not depend on partitioning
+    path = es(T.table(spark, sf, "lineitem"), 100, scratch_path(spark, "export_sample"), LINEITEM_ORDER)
     return spark.read.parquet(path)
 
 
