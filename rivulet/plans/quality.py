@@ -359,7 +359,9 @@ GROUP BY event_type
 """)
 def latency_p95(spark, sf):
     """Event-to-landing latency P95 per event type against the 10 minute target.
-    Landing time = end of the 15 minute micro-batch that picks the event up."""
+    Landing time = end of the 15 minute micro-batch that picks the event up.
+    Latencies are whole milliseconds below the batch interval, so the exact
+    per-group percentile keeps at most 900,000 distinct values per group."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     e = T.table(spark, sf, "events").select("event_type",
                                            ((F.floor(ms / BATCH_MS) + 1) * BATCH_MS - ms).alias("lat"))
