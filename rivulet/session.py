@@ -27,6 +27,9 @@ _DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # session windows are pre-merged inside each input partition before the
+    # shuffle, so a hot key's events are not all shipped to one task unmerged
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
