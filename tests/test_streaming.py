@@ -55,3 +55,19 @@ def test_stream_dead_letters(spark):
     assert vt.state().count() == 1
     d = spark.read.parquet(dead).collect()
     assert len(d) == 1 and d[0]["cause"] == "UNPARSEABLE" and d[0]["offset"] == 2
+
+
+def test_dedup_hot_copies(spark):
+    from rivulet.plans.streaming import EVENTS_SCHEMA
+    from rivulet.streaming.run import to_parquet_available_now
+    from rivulet.streaming.windows import dedup_within_watermark
+    ev = table(spark, SF, "events")
+    hot = ev.filter("event_id = 1")
+    src = scratch_path(spark, "hot_src")
+    copies = hot.withColumn("_r", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("_r")  # 500 copies of one record
+    ev.unionByName(copies).write.parquet(src)
+    out = scratch_path(spark, "hot_out")
+    d = dedup_within_watermark(spark.readStream.schema(EVENTS_SCHEMA).parquet(src), "ts", ["event_id"], "1 hour")
+    to_parquet_available_now(d, out, scratch_path(spark, "hot_ck"))
+    got = spark.read.parquet(out)
+    assert got.count() == ev.count() and got.filter("event_id = 1").count() == 1
