@@ -63,3 +63,17 @@ def standardize_names(df: DataFrame, rename: dict[str, str] | None = None) -> Da
     if rename:
         out = out.withColumnsRenamed({k: v for k, v in rename.items() if k in out.columns})
     return out
+
+
+def add_audit_columns(df: DataFrame, batch_id: str | Column, source_system: str,
+                      ingestion_date: Column | None = None) -> DataFrame:
+    """Audit columns of a raw read: load time, ingestion date, source file (from
+    the file source's ``_metadata``), batch id and source system."""
+    bid = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
+    out = df.select("*", F.col("_metadata.file_path").alias("source_file"))
+    return (out.withColumn("ingestion_timestamp", F.current_timestamp())
+               .withColumn("ingestion_date", ingestion_date if ingestion_date is not None
+                           else (F.col("ingestion_date") if "ingestion_date" in df.columns
+                                 else F.current_date()))
+               .withColumn("batch_id", bid)
+               .withColumn("source_system", F.lit(source_system)))

@@ -57,10 +57,8 @@ def bronze_audit(spark, sf):
     """Audit columns added at read time: source file, ingestion date, batch id,
     source system (and a load timestamp, left out of the comparison)."""
     base = lake.landed(spark, sf)
-    df = (spark.read.option("header", True).csv(f"{base}/bronze/orders")
-          .select("*", F.col("_metadata.file_path").alias("source_file"))
-          .withColumn("batch_id", batch_id_for_date(F.col("ingestion_date")))
-          .withColumn("source_system", F.lit("erp")))
+    raw = spark.read.option("header", True).csv(f"{base}/bronze/orders")
+    df = S.add_audit_columns(raw, batch_id_for_date(F.col("ingestion_date")), "erp")
     return (df.groupBy(F.lit("orders").alias("dataset"), "ingestion_date", "batch_id", "source_system")
               .agg(F.count(F.lit(1)).alias("row_count"),
                    F.bool_and(F.col("source_file").isNotNull()).alias("all_have_file")))
