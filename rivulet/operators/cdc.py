@@ -215,15 +215,18 @@ def merge(target: DataFrame, changes: DataFrame, cfg: TableConfig, soft_delete:
 
 
 def _merge_anti_union(target: DataFrame, changes: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    s = changes.select(key, "op", *cols)
+    # The change set (one row per key) is read by three branches; it is
+    # checkpointed once (reliable checkpoint in the shared folder) so the log
+    # is decoded and collapsed a single time and the lineage is cut.
+    s = changes.select(key, "op", *cols).checkpoint(eager=True)
     unchanged = target.select(key, *cols).join(s.select(key), key, "left_anti")
-    upserts = s.filter(F.coalesce(F.col("op") != "d", F.lit(False)))
-    # NULL op updates a row only when the key is in the target (MERGE's three-valued logic);
-    # such changes are rare, and with none of them AQE drops this branch at run time.
-    null_op = s.filter(F.col("op").isNull())
+    upserts = s.filter(F.coalesce(F.col("op") != "d", F.lit(False))).select(key, *cols)
+    # NULL op updates a row only when the key is in the target (MERGE's three-valued logic)
+    # (the target is streamed past the few NULL-op keys; with none, AQE skips the branch)
+    null_op = s.filter(F.col("op").isNull()).select(key, *cols)
     matched = target.select(key).join(null_op.select(key), key, "left_semi")
     updates = null_op.join(matched, key, "left_semi")
-    return unchanged.unionByName(upserts.unionByName(updates).select(key, *cols))
+    return unchanged.unionByName(upserts).unionByName(updates)
 
 
 def resnapshot(source: DataFrame, cfg: TableConfig, snapshot_ts_ms: int, predicate: Column | None = None,
