@@ -279,21 +279,27 @@ def flatten(decoded: DataFrame, image_cols: list[str], key: str) -> DataFrame:
 DAY_MS = 86_400_000
 
 
+# A key with more rows than this gets its per-key windows cut into time chunks.
+MAX_KEY_ROWS = 5_000_000
+
+
 def scd2_history(changes: DataFrame, cfg: TableConfig, value_cols: list[str] | None = None,
-                 order: tuple[str, ...] = ORDER_COLS, chunk_ms: int = DAY_MS) -> DataFrame:
+                 order: tuple[str, ...] = ORDER_COLS, chunk_ms: int = DAY_MS,
+                 max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
     """Versions per key: consecutive identical images are one version;
     ``valid_from`` = ts of the change, ``valid_to`` = ts of the next kept change
     (a delete closes the open version and opens none), ``is_current`` for the
     open version of a live key.
 
-    The previous / next change of a key come from :mod:`rivulet.operators.sequence`
-    (per-key windows cut into ``chunk_ms`` event-time chunks), so a key with a
-    very long history is not one task.
+    The previous / next change of a key come from :mod:`rivulet.operators.sequence`:
+    when a key has more than ``max_key_rows`` changes the per-key windows are
+    cut into ``chunk_ms`` event-time chunks, so a key with a very long history
+    is not one task (one counting pass decides).
     """
-    from rivulet.operators.sequence import shift, time_chunk
+    from rivulet.operators.sequence import choose_chunk, shift, time_chunk
     key, ts = cfg.key, cfg.ts_col
     vals = value_cols or list(cfg.columns)
-    chunk = time_chunk(F.col("ts_ms"), chunk_ms)
+    chunk = choose_chunk(changes, key, time_chunk(F.col("ts_ms"), chunk_ms), max_key_rows)
     base = changes.select(key, "op", *order, ts, *vals)
     step = shift(base, key, list(order), F.struct(F.struct(*[F.col(c) for c in vals]).alias("img"),
                                                    F.col("op").alias("op")), "_prev", chunk)
@@ -309,7 +315,8 @@ def scd2_history(changes: DataFrame, cfg: TableConfig, value_cols: list[str] | N
 
 
 def as_of_lookup(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
-                 value_cols: list[str], tie_break: list[str] | None = None, chunk_ms: int = DAY_MS) -> DataFrame:
+                 value_cols: list[str], tie_break: list[str] | None = None, chunk_ms: int = DAY_MS,
+                 max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
     """Attach to each fact the dimension version valid at its time
     (``valid_from <= ts < valid_to``; open versions have ``valid_to`` NULL).
 
@@ -318,7 +325,7 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
     event time (see :mod:`rivulet.operators.sequence`) so a hot key is spread
     over many tasks.
     """
-    from rivulet.operators.sequence import last_non_null, time_chunk
+    from rivulet.operators.sequence import choose_chunk, last_non_null, time_chunk
     tb = tie_break or []
     v = versions.select(F.col(key), F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"),
                         F.struct(*[F.col(c) for c in tb]).alias("_tb"),
@@ -328,8 +335,9 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
                      F.lit(None).cast(v.schema["_tb"].dataType).alias("_tb"),
                      F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), F.struct(*fcols).alias("_f"))
     v = v.withColumn("_f", F.lit(None).cast(f.schema["_f"].dataType))
-    u = last_non_null(v.unionByName(f), key, ["_t", "_kind", "_tb"], "_v", "_cur",
-                      time_chunk(F.unix_millis(F.col("_t")), chunk_ms)).filter(F.col("_kind") == 1)
+    both = v.unionByName(f)
+    chunk = choose_chunk(both, key, time_chunk(F.unix_millis(F.col("_t")), chunk_ms), max_key_rows)
+    u = last_non_null(both, key, ["_t", "_kind", "_tb"], "_v", "_cur", chunk).filter(F.col("_kind") == 1)
     valid = F.col("_cur").isNotNull() & (F.col("_cur.valid_to").isNull() | (F.col("_t") < F.col("_cur.valid_to")))
     return u.select(*[F.col(f"_f.{c}").alias(c) for c in fcols],
                     *[F.when(valid, F.col(f"_cur.{c}")).alias(c) for c in value_cols])

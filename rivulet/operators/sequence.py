@@ -30,10 +30,26 @@ def _carry(edges: DataFrame, key: str, value: str, forward: bool, skip_nulls: bo
     return edges.select(key, "_c", c.alias("_carry"))
 
 
-def shift(df: DataFrame, key: str, order: list[str], value: Column, out: str, chunk: Column,
+def largest_key_rows(df: DataFrame, key: str) -> int:
+    """Rows of the most frequent key (one aggregation; partial counts map-side)."""
+    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    return int(r["m"] or 0)
+
+
+def choose_chunk(df: DataFrame, key: str, chunk: Column, max_key_rows: int) -> Column | None:
+    """``chunk`` when some key has more than ``max_key_rows`` rows, else None
+    (a plain per-key window is then cheaper and still bounded)."""
+    return chunk if largest_key_rows(df, key) > max_key_rows else None
+
+
+def shift(df: DataFrame, key: str, order: list[str], value: Column, out: str, chunk: Column | None,
           forward: bool = False) -> DataFrame:
     """``out`` = previous (``forward=False``) or next value of ``value`` among the
-    rows of the same key in ``order``.  ``chunk`` must be non-decreasing in ``order``."""
+    rows of the same key in ``order``.  ``chunk`` must be non-decreasing in
+    ``order``; ``None`` means one plain window per key."""
+    if chunk is None:
+        wk = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
+        return df.withColumn(out, (F.lead if forward else F.lag)(value).over(wk))
     w = Window.partitionBy(key, "_c").orderBy(*[F.col(c) for c in order])
     step = F.lead if forward else F.lag
     d = (df.withColumn("_c", chunk).withColumn("_v", value)
@@ -48,8 +64,13 @@ def shift(df: DataFrame, key: str, order: list[str], value: Column, out: str, ch
              .drop("_c", "_v", "_inner", "_first", "_last", "_carry"))
 
 
-def last_non_null(df: DataFrame, key: str, order: list[str], value: str, out: str, chunk: Column) -> DataFrame:
+def last_non_null(df: DataFrame, key: str, order: list[str], value: str, out: str,
+                  chunk: Column | None) -> DataFrame:
     """``out`` = the last non-NULL ``value`` at or before each row (same key, in ``order``)."""
+    if chunk is None:
+        wk = (Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(wk))
     w = Window.partitionBy(key, "_c").orderBy(*[F.col(c) for c in order])
     d = (df.withColumn("_c", chunk)
            .withColumn("_inner", F.last(value, ignorenulls=True).over(
