@@ -18,6 +18,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.llm.common import binary_column, staged
 from rivulet.llm.components import connected_components
@@ -66,7 +67,7 @@ def fingerprint(text: bytes | None, k: int = SHINGLE_WORDS, bits=None, block: in
 def with_fingerprint(docs: DataFrame, text_col: str = "text", out: str = "fingerprint",
                      k: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` with the signed 64-bit SimHash of ``text_col`` in column ``out``."""
-    schema = docs.schema.add(out, "long")
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
 
     def run(batches):
         import numpy as np
