@@ -23,3 +23,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.simhash import near_duplicates
 
     return near_duplicates(spark, read(spark, sf_dir, "documents"))
+
+
+@query("op2_quality_bands")
+def op2_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.quality import quality
+
+    return quality(read(spark, sf_dir, "documents").select("doc_id", "text"))
