@@ -30,3 +30,11 @@ def op2_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.quality import quality
 
     return quality(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.tokens import token_counts, tokenizer_text
+
+    return token_counts(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                        tokenizer_text(spark, "byte_bpe_50k.json"))
