@@ -38,3 +38,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return token_counts(read(spark, sf_dir, "documents").select("doc_id", "text"),
                         tokenizer_text(spark, "byte_bpe_50k.json"))
+
+
+@query("op10_html_text")
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.html import extract
+
+    return extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
