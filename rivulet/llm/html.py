@@ -38,8 +38,7 @@ NO_TEXT_WORDS = frozenset("""ad ads adv advert adverts advertisement adsense ale
     pagination popup privacy promo promotion recommended related replies reply respond search share sharing shop sidebar
     signup social sponsor sponsored subscribe subscription tags toolbar toc tooltip warning widget""".split())
 REMARK_WORDS = frozenset("ad ads advert comment comments promo related reply".split())
-PAGE_PARTS = frozenset(["header", "masthead", "banner", "header"])
-PARENTS = frozenset(["html", "body", "main"])
+HEADER_WORDS = frozenset(["header", "masthead", "banner"])
 UNMARKED = frozenset(["b", "i", "em", "strong", "u", "a", "br", "img", "html", "body", "main", "h1"])
 
 MARKUP = re.compile(
@@ -61,7 +60,7 @@ def _no_text(name: str, attributes: str, in_article: bool) -> bool:
     words = {w for _, value in ATTRIBUTE.findall(attributes) for w in WORD.findall(value.lower())}
     if name == "article":
         return bool(words & REMARK_WORDS)
-    return bool(words & (NO_TEXT_WORDS - PAGE_PARTS if in_article else NO_TEXT_WORDS))
+    return bool(words & (NO_TEXT_WORDS - HEADER_WORDS if in_article else NO_TEXT_WORDS))
 
 
 class _Page:
@@ -139,7 +138,6 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         if _no_text(name, attributes, page.article > 0):
             if name in VOID or attributes.endswith("/"):
                 continue
-            page.end_line() if name in BLOCKS else None
             skipped, depth = name, 1
             continue
         if name in ("article", "main"):

@@ -45,3 +45,56 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.html import extract
 
     return extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+OP8_SQL = """
+WITH RECURSIVE p AS (
+  SELECT page_id, html,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(verdict, rhost, rpath) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+                                        ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+u AS (
+  SELECT page_id, p.host, p.path, html,
+         arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS said
+  FROM p LEFT JOIN rules ON (p.host = rhost OR ends_with(p.host, '.' || rhost)) AND starts_with(p.path, rpath)
+  GROUP BY ALL),
+seed AS (
+  SELECT host, count(*) FILTER (said = 'allow') AS good, count(*) FILTER (rule = 'net/') AS bad
+  FROM u WHERE host <> '' GROUP BY host),
+link AS (
+  SELECT src, dst, count(*) AS n
+  FROM (SELECT host AS src, lower(unnest(regexp_extract_all(
+          html, '(?i)\\bhref\\s*=\\s*["'']?\\s*(?:https?:)?//([^/?#"''\\s>]+)', 1))) AS dst FROM u WHERE host <> '')
+  WHERE src <> dst GROUP BY ALL),
+-- a state '*' keeps score 1 and feeds the seeds; each row moves a share w of a score
+move AS (
+  SELECT 'trust' AS kind, src AS a, dst AS b, 0.85 * n / sum(n) OVER (PARTITION BY src) AS w FROM link
+  UNION ALL SELECT 'distrust', dst, src, 0.85 * n / sum(n) OVER (PARTITION BY dst) FROM link
+  UNION ALL SELECT 'trust', '*', host, 0.15 * good / sum(good) OVER () FROM seed
+  UNION ALL SELECT 'distrust', '*', host, 0.15 * bad / sum(bad) OVER () FROM seed
+  UNION ALL SELECT unnest(['trust', 'distrust']), '*', '*', 1.0),
+score AS (
+  SELECT 0 AS round, kind, '*' AS host, 1.0::DOUBLE AS s FROM (SELECT unnest(['trust', 'distrust']) AS kind)
+  UNION ALL
+  SELECT round + 1, score.kind, b, sum(s * w) FROM score JOIN move ON move.kind = score.kind AND a = host
+  WHERE round < 100 GROUP BY ALL),
+last AS (
+  SELECT host, coalesce(sum(s) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(s) FILTER (kind = 'distrust'), 0) AS d
+  FROM score WHERE round = 100 AND host <> '*' GROUP BY host),
+bad AS (
+  SELECT host FROM last
+  WHERE d > t AND d >= 0.1 * (SELECT avg(d) FROM last JOIN seed USING (host) WHERE bad > 0))
+SELECT page_id, host, path, rule,
+       coalesce(said, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
+FROM u
+"""
+
+
+@query("op8_url_graph", OP8_SQL)
+def op8_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.urls import judge
+
+    return judge(spark, read(spark, sf_dir, "pages").select("page_id", "url", "html"))
