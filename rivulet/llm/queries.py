@@ -98,3 +98,26 @@ def op8_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.urls import judge
 
     return judge(spark, read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+    AND list_bool_or([x <> 0 FOR x IN embedding]))
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.e, v.e) DESC, v.vec_id) AS rank
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 20 = 0)
+WHERE rank <= 20
+"""
+
+
+@query("op4_rotated_codes", OP4_SQL)
+def op4_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from rivulet.llm.ann import nearest
+
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
