@@ -121,3 +121,10 @@ def op4_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.ann import nearest
 
     return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op7_line_alignment")
+def op7_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.linedup import drop_common_blocks
+
+    return drop_common_blocks(spark, read(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -72,7 +72,8 @@ def host_links(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """(src, dst, n): links between different hosts; ``pages`` has ``host`` and the page's html."""
     found = F.explode(F.regexp_extract_all(F.col(html_col), F.lit(LINK), 1))
     return pages.where(F.col(html_col).contains("//") & (F.col("host") != "")) \
-        .select(F.col("host").alias("src"), F.translate(found, UPPER, LOWER).alias("dst")) \
+        .select(F.col("host").alias("src"), found.alias("dst")) \
+        .select("src", F.translate("dst", UPPER, LOWER).alias("dst")) \
         .where("src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
