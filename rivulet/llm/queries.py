@@ -128,3 +128,46 @@ def op7_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.linedup import drop_common_blocks
 
     return drop_common_blocks(spark, read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _op3_sql(buckets: int = 8, batch_tokens: int = 16_384, seed: int = 29) -> str:
+    """The dynamic programme with one common table for each number of buckets."""
+    steps = "".join(f""",
+d{k} AS (
+  SELECT h.j, h.g, h.c, min(d.cost + h.g * (h.c - d.c)) AS cost,
+         list_append(arg_min(d.path, (d.cost + h.g * (h.c - d.c))::HUGEINT * 1000000 + d.j), h.g) AS path
+  FROM h JOIN d{k - 1} AS d ON d.j < h.j GROUP BY ALL)""" for k in range(2, buckets + 1))
+    ends = " UNION ALL ".join(f"SELECT {k} AS k, cost, path FROM d{k} WHERE j = (SELECT max(j) FROM h)"
+                              for k in range(1, buckets + 1))
+    return f"""
+WITH t AS (
+  SELECT doc_id, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) + 1 AS n,
+         md5('{seed}|0|' || coalesce(doc_id::VARCHAR, 'null') || '|' || md5(coalesce(text, ''))) AS key
+  FROM documents),
+own AS (
+  SELECT doc_id, n, key, (ceil(n / pow(2, greatest(0, length(bin(n - 1)) - 11)))
+                          * pow(2, greatest(0, length(bin(n - 1)) - 11)))::BIGINT AS grid FROM t),
+h AS (SELECT row_number() OVER (ORDER BY grid) AS j, grid AS g, (sum(count(*)) OVER (ORDER BY grid))::BIGINT AS c
+      FROM own GROUP BY grid),
+d1 AS (SELECT j, g, c, g * c AS cost, [g] AS path FROM h){steps},
+best AS (SELECT path FROM ({ends}) ORDER BY cost, k LIMIT 1),
+b AS (SELECT unnest(path) AS edge FROM best),
+placed AS (SELECT doc_id, n, key, (SELECT min(edge) FROM b WHERE edge >= grid) AS bucket FROM own),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY key, doc_id) - 1 AS rank,
+                  greatest(1, {batch_tokens} // bucket) AS size FROM placed)
+SELECT doc_id, n::BIGINT AS n_tokens, bucket, rank // size AS batch, rank % size AS place FROM ranked
+"""
+
+
+@query("op3_length_buckets", _op3_sql())
+def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.packing import pack
+
+    return pack(spark, read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op9_mixing")
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.mixing import mix
+
+    return mix(spark, read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).drop("text")
