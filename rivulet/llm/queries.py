@@ -136,7 +136,7 @@ def _op3_sql(buckets: int = 8, batch_tokens: int = 16_384, seed: int = 29) -> st
 d{k} AS (
   SELECT h.j, h.g, h.c, min(d.cost + h.g * (h.c - d.c)) AS cost,
          list_append(arg_min(d.path, (d.cost + h.g * (h.c - d.c))::HUGEINT * 1000000 + d.j), h.g) AS path
-  FROM h JOIN d{k - 1} AS d ON d.j < h.j GROUP BY ALL)""" for k in range(2, buckets + 1))
+  FROM h JOIN d{k - 1} AS d ON d.j < h.j GROUP BY h.j, h.g, h.c)""" for k in range(2, buckets + 1))
     ends = " UNION ALL ".join(f"SELECT {k} AS k, cost, path FROM d{k} WHERE j = (SELECT max(j) FROM h)"
                               for k in range(1, buckets + 1))
     return f"""
@@ -155,7 +155,7 @@ b AS (SELECT unnest(path) AS edge FROM best),
 placed AS (SELECT doc_id, n, key, (SELECT min(edge) FROM b WHERE edge >= grid) AS bucket FROM own),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY key, doc_id) - 1 AS rank,
                   greatest(1, {batch_tokens} // bucket) AS size FROM placed)
-SELECT doc_id, n::BIGINT AS n_tokens, bucket, rank // size AS batch, rank % size AS place FROM ranked
+SELECT doc_id, n::BIGINT AS n_tokens, bucket, (rank // size)::BIGINT AS batch, (rank % size)::BIGINT AS place FROM ranked
 """
 
 
