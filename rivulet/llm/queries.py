@@ -171,3 +171,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.mixing import mix
 
     return mix(spark, read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).drop("text")
+
+
+@query("op5_partial_matching")
+def op5_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from rivulet.llm.ppm import scores
+
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return scores(spark, read(spark, sf_dir, "documents"), held)
