@@ -66,7 +66,7 @@ def inner(a, b):
 
 
 def search_cell(queries, query_ids, vectors, ids, k: int, rotate, deviations: float = ERROR_DEVIATIONS):
-    """(query, id, score) of the k best rows of a block for each query of a block."""
+    """(query's place in the block, id, score) of the k best rows of a block for each query of a block."""
     import numpy as np
 
     dim = vectors.shape[1]
@@ -91,7 +91,7 @@ def search_cell(queries, query_ids, vectors, ids, k: int, rotate, deviations: fl
             pick = np.flatnonzero(near[q])
             score = inner(np.broadcast_to(queries[at + q], (len(pick), dim)), vectors[pick])
             best = np.lexsort((ids[pick], -score))[:k]
-            own_q.append(np.full(len(best), query_ids[at + q]))
+            own_q.append(np.full(len(best), at + q))
             own_v.append(ids[pick][best])
             own_s.append(score[best])
     return np.concatenate(own_q), np.concatenate(own_v), np.concatenate(own_s)
@@ -109,9 +109,10 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "
     largest inner product for each query row, its own id left out.
 
     Nearest first, ties to the smaller id; fewer rows if there are fewer
-    candidates.  Rows with a NULL id, or a vector that is NULL, zero or holds
+    candidates.  Each row of a repeated id is a candidate, and each such query
+    row has a result of its own.  Rows with a NULL id, or a vector that is NULL, zero or holds
     NULL or non-finite numbers, take no part; vectors of another length than
-    the query are no candidates.  Of repeated ids each row is a candidate.
+    the query are no candidates; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
@@ -128,10 +129,10 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "
     def all_of(count):
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    cells = rows.select("id", "vec", "dim", F.lit(False).alias("asks"), blocks(row_blocks).alias("r"),
+    cells = rows.select("id", "place", "vec", "dim", F.lit(False).alias("asks"), blocks(row_blocks).alias("r"),
                         all_of(query_blocks).alias("q")) \
-        .unionAll(rows.where("asks").select("id", "vec", "dim", F.lit(True), all_of(row_blocks).alias("r"),
-                                            blocks(query_blocks).alias("q")).select("id", "vec", "dim", F.lit(True), "r", "q"))
+        .unionAll(rows.where("asks").select("id", "place", "vec", "dim", F.lit(True), all_of(row_blocks).alias("r"),
+                                            blocks(query_blocks).alias("q")))
 
     def run(key, table):
         import numpy as np
@@ -139,20 +140,22 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "
 
         dim = key[0].as_py()
         asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
-        ids = table.column("id").to_numpy()
+        ids, places = table.column("id").to_numpy(), table.column("place").to_numpy()
         flat = table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
         if asks.any() and not asks.all():
             order = np.argsort(ids[~asks], kind="stable")
             q, v, s = search_cell(flat[asks], ids[asks], flat[~asks][order], ids[~asks][order], k, rotation(dim), deviations)
         else:
             q, v, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()),
-                         "score": pa.array(s, pa.float64())})
+        return pa.table({"query_id": pa.array(ids[asks][q], pa.int64()), "query": pa.array(places[asks][q], pa.int64()),
+                         "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
+
+    made = "query_id long, query long, vec_id long, score double"
 
     if n == 0:
-        found = spark.createDataFrame([], "query_id long, vec_id long, score double")
+        found = spark.createDataFrame([], made)
     else:
-        found = cells.groupBy("dim", "r", "q").applyInArrow(run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        found = cells.groupBy("dim", "r", "q").applyInArrow(run, made)
+    rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id"))
     return found.where("score IS NOT NULL").withColumn("rank", rank).where(F.col("rank") <= k) \
         .select("query_id", "rank", F.col("vec_id").alias(id_col), "score")

@@ -46,7 +46,8 @@ MARKUP = re.compile(
     r"|<(script|style|svg|math|noembed|noframes|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?/][^>]*>", re.S | re.I)
+    r"|<[!?/][^>]*>"
+    r"|</?[a-zA-Z][^<>]*\Z", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 WORD = re.compile(r"[a-z]+")
 
