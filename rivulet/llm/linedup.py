@@ -153,7 +153,7 @@ def deletions(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text
     shared = lines.groupBy("hash").count().where("count > 1").select("hash")
     taking_part = pairs.select("doc").unionAll(pairs.select("first")).distinct()
     sequences = staged(spark, lines.join(taking_part, "doc", "left_semi").join(shared, "hash", "left_semi")
-                       .groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("place", "index", "hash", "words"))).alias("seq")),
+                       .groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("place", "index", "hash", "words"))).alias("seq")),
                        "sequences")
     both = pairs.join(sequences.select(F.col("doc").alias("first"), F.col("seq").alias("a")), "first") \
         .join(sequences.select("doc", F.col("seq").alias("b")), "doc")
