@@ -10,7 +10,8 @@ import sys
 import types
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rivulet.session import scratch_path
 
@@ -23,6 +24,12 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def document_key(id_col: str, text_col: str) -> Column:
+    """The key of a document, in the order earlier to later: NULL ids last; rows that repeat id and text are one."""
+    return F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"),
+                    F.xxhash64(F.col(text_col)).alias("content"))
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker process, so compiled
     tables are built once per worker and not once per task."""

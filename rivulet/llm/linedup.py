@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.llm.common import binary_column, staged
+from rivulet.llm.common import binary_column, document_key, staged
 
 #: Words of the shortest block that is deleted.
 MIN_BLOCK_WORDS = 25
@@ -113,16 +113,10 @@ def common_blocks(a: list, b: list, min_words: int = MIN_BLOCK_WORDS) -> list[in
     return out
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> F.Column:
-    """The key of a document, in the order earlier to later: NULL ids last; rows that repeat id and text are one."""
-    return F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"),
-                    F.xxhash64(F.col(text_col)).alias("content"))
-
-
 def deletions(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
     """(doc, deleted, partners): documents that lose lines, the lines' indexes, and the ids they are aligned with."""
-    keyed = docs.select(_keyed(docs, id_col, text_col).alias("doc"), F.col(text_col).alias("txt")).where("txt <> ''")
+    keyed = docs.select(document_key(id_col, text_col).alias("doc"), F.col(text_col).alias("txt")).where("txt <> ''")
     key_type = keyed.schema["doc"].dataType
     line = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("index", T.IntegerType()),
                          T.StructField("hash", T.LongType()), T.StructField("words", T.IntegerType()),
@@ -194,9 +188,9 @@ def drop_common_blocks(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     """
     lost = deletions(spark, docs, id_col, text_col, min_words)
     empty = F.array().cast("array<int>")
-    marked = docs.withColumn("__doc", _keyed(docs, id_col, text_col)) \
-        .join(lost.select(F.col("doc").alias("__doc"), F.col("deleted").alias("__gone"), F.col("partners").alias("__with")),
-              "__doc", "left")
+    marked = docs.withColumn("__doc", document_key(id_col, text_col)) \
+        .join(lost.select(F.col("doc").alias("__doc"), F.col("deleted").alias("__gone"), F.col("partners").alias("__with"))
+              .hint("merge"), "__doc", "left")
     kept = [c for c in docs.columns if c not in (deleted, partners)]
     out = marked.select(*[F.col(f"`{c}`") for c in kept], F.coalesce("__gone", empty).alias(deleted),
                         F.coalesce("__with", F.array().cast(T.ArrayType(docs.schema[id_col].dataType))).alias(partners))

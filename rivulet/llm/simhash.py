@@ -16,11 +16,11 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.llm.common import binary_column, staged
+from rivulet.llm.common import binary_column, document_key, staged
 from rivulet.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -269,12 +269,13 @@ def component_of(spark: SparkSession, own: DataFrame, max_bits: int = MAX_BITS)
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with exactly one row of each near-duplicate group: the one with the
-    smallest id (NULL ids last; of rows with equal ids, any one)."""
-    rid, fp = "__row", "__fp"
-    with_fp = staged(spark, with_fingerprint(docs, text_col, fp, k).withColumn(rid, F.monotonically_increasing_id()),
-                     "neardup")
-    own = with_fp.select(F.col(id_col).alias("id"), F.col(fp).alias("fp"), F.col(rid).alias("row"))
-    first = F.min(F.struct(F.col("id").isNull(), "id", "row")).getField("row").alias(rid)
+    smallest id (NULL ids last, then the text's hash; of equal rows, one)."""
+    key = document_key(id_col, text_col)
+    own = staged(spark, with_fingerprint(docs.select(F.col(id_col).alias("id"), key.alias("key"), F.col(text_col).alias("txt")),
+                                         "txt", "fp", k).select("id", "key", "fp"), "fingerprints")
     keep = component_of(spark, own, max_bits).withColumn("group", F.coalesce("component", "fp")) \
-        .groupBy(F.col("component").isNull(), "group").agg(first).select(rid)
-    return with_fp.join(keep, rid, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+        .groupBy(F.col("component").isNull(), "group").agg(F.min("key").alias("__key")).select("__key")
+    # one shuffle of the texts at any size; rows that repeat a key are cut to one per task before it
+    place = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    return docs.withColumn("__key", key.cast(own.schema["key"].dataType)).withColumn("__again", place).where("__again = 1") \
+        .join(keep.hint("merge"), "__key", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
