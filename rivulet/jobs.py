@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rivulet.context import RunContext
+from rivulet.context import DailyRun
 from rivulet.operators import cdc as C
 from rivulet.operators import gold as G
 from rivulet.operators import quality as Q
@@ -18,7 +18,7 @@ from rivulet.streaming.cdc import start_cdc
 from rivulet.table import VersionedTable
 
 
-def run_medallion(spark: SparkSession, base: str, ctx: RunContext, gate: bool = True,
+def run_medallion(spark: SparkSession, base: str, ctx: DailyRun, gate: bool = True,
                   id_type: str = "string") -> dict:
     """bronze (landed files of ``ctx.ingestion_date``) -> silver (typed, masked,
     de-duplicated, bad rows in ``silver.data_quality_errors``) -> gold (fact,

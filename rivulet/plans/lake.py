@@ -14,7 +14,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from rivulet.context import build_run_context
+from rivulet.context import DailyRun
 from rivulet.session import mark_done, path_exists, shared_dir
 from rivulet.sinks.files import land_raw
 from rivulet.sources import tables as T
@@ -22,8 +22,8 @@ from rivulet.sources import tables as T
 LAYOUT_VERSION = "1"
 INGESTION_DATE = "2026-05-20"
 SECOND_DATE = "2026-05-21"
-CTX = build_run_context(process_date=INGESTION_DATE)
-CTX2 = build_run_context(process_date=SECOND_DATE)
+CTX = DailyRun.for_day(INGESTION_DATE)
+CTX2 = DailyRun.for_day(SECOND_DATE)
 BAD_DATE = "2026-13-40"
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 

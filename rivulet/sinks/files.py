@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from rivulet.context import RunContext
+from rivulet.context import DailyRun
 
 
 def _json_array_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -28,7 +28,7 @@ def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None
     df.mapInPandas(_json_array_document, "value string").write.mode(mode).text(path)
 
 
-def land_raw(df: DataFrame, base: str, dataset: str, ctx: RunContext, fmt: str = "csv") -> str:
+def land_raw(df: DataFrame, base: str, dataset: str, ctx: DailyRun, fmt: str = "csv") -> str:
     """Land a dataset under ``bronze/<dataset>/ingestion_date=<day>/``.
 
     The day folder is overwritten, so re-running a day replaces it (idempotent).

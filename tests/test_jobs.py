@@ -3,14 +3,14 @@
 import json
 from decimal import Decimal
 
-from rivulet.context import build_run_context
+from rivulet.context import DailyRun
 from rivulet.jobs import run_medallion
 from rivulet.sinks.files import land_raw
 from rivulet.sources.schemas import normalize_schema_text, value_schema
 
 
 def test_medallion_on_sample_rows(spark, tmp_dir):
-    ctx = build_run_context(process_date="2026-05-20")
+    ctx = DailyRun.for_day("2026-05-20")
     customers = spark.createDataFrame(
         [("C001", "Ana Lopez", "ana@example.com", "+15550001", "US", "retail"),
          ("C002", "Luis Perez", "luis@example.com", "+15550002", "US", "retail")],
