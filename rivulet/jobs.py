@@ -55,8 +55,10 @@ def run_medallion(spark: SparkSession, base: str, ctx: DailyRun, gate: bool = Tr
 
 
 def run_cdc(spark: SparkSession, log_path: str, table_path: str, checkpoint: str,
-            trigger: dict | None = None, kafka: dict | None = None) -> StreamingQuery:
-    """Start the CDC stream: change log (or Kafka) -> versioned orders table, every 15 s by default."""
+            trigger: dict | None = None, kafka: dict | None = None, compact_every: int = 100) -> StreamingQuery:
+    """Start the CDC stream: change log (or Kafka) -> versioned orders table, every 15 s by
+    default; the log is folded into a snapshot every ``compact_every`` micro-batches."""
     vt = VersionedTable(spark, table_path, C.ORDERS, event_order=True)
     src = L.read_change_stream(spark, log_path, kafka=kafka)
-    return start_cdc(src, vt, C.ORDERS, L.ORDER_ENVELOPE, checkpoint, trigger, name="cdc_orders")
+    return start_cdc(src, vt, C.ORDERS, L.ORDER_ENVELOPE, checkpoint, trigger, name="cdc_orders",
+                     compact_every=compact_every)

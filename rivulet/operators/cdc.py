@@ -170,19 +170,20 @@ def merge(target: DataFrame, changes: DataFrame, cfg: TableConfig, soft_delete:
     matched            -> update every non-key column (NULL overwrites)
     not matched & op<>'d' -> insert;  NULL op: matched -> update, else ignored.
 
-    Plain mode is an anti join + union: the target is only streamed past the
-    change keys (a broadcast when the change set is small, as a micro-batch
-    is), never shuffled for it.  ``soft_delete`` and ``guard`` (apply a change
-    only when newer than the row it replaces; needs ``ts_ms`` on the target)
-    use one full outer join on the key.
+    Plain mode is a left join + an anti join: the target is only streamed past
+    the change keys (a broadcast when the change set is small, as a micro-batch
+    is).  ``soft_delete`` and ``guard`` (apply a change only when it is newer,
+    by those of ``ts_ms, partition, offset`` that the target keeps, than the
+    row it replaces) use one full outer join on the key.
     """
     key = cfg.key
     cols = [c for c in cfg.target_columns if c != key]
     if not soft_delete and not guard:
-        return _merge_anti_union(target, changes, key, cols)
-    t = target.select(key, *cols, *([F.col("ts_ms")] if guard and "ts_ms" in target.columns else []),
+        return _merge_plain(target, changes, key, cols)
+    marks = [c for c in ORDER_COLS if c in target.columns] if guard else []
+    t = target.select(key, *cols, *marks,
                       *([F.col("is_deleted")] if soft_delete and "is_deleted" in target.columns else []))
-    s_cols = [key, "op", *cols] + (["ts_ms"] if guard else [])
+    s_cols = [key, "op", *cols, *marks]
     s = changes.select(*s_cols)
     ts_ = t.select([F.col(c).alias(f"t_{c}") for c in t.columns])
     ss = s.select([F.col(c).alias(f"s_{c}") for c in s.columns])
@@ -190,8 +191,9 @@ def merge(target: DataFrame, changes: DataFrame, cfg: TableConfig, soft_delete:
     matched = F.col(f"t_{key}").isNotNull()
     has_change = F.col(f"s_{key}").isNotNull()
     op = F.col("s_op")
-    if guard and "t_ts_ms" in j.columns:
-        newer = F.col("t_ts_ms").isNull() | (F.col("s_ts_ms") > F.col("t_ts_ms"))
+    if marks:
+        newer = F.col(f"t_{marks[0]}").isNull() | (F.struct(*[F.col(f"s_{c}") for c in marks])
+                                                   > F.struct(*[F.col(f"t_{c}") for c in marks]))
         has_change = has_change & (~matched | newer)
     is_delete = F.coalesce(op == "d", F.lit(False))
     take_source = has_change & (matched | F.coalesce(op != "d", F.lit(False)))
@@ -209,24 +211,21 @@ def merge(target: DataFrame, changes: DataFrame, cfg: TableConfig, soft_delete:
     out = j.filter(keep).select(
         F.when(has_change, F.col(f"s_{key}")).otherwise(F.col(f"t_{key}")).alias(key),
         *[F.when(has_change, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in cols],
-        *([F.when(has_change, F.col("s_ts_ms")).otherwise(F.col("t_ts_ms")).alias("ts_ms")]
-          if guard and "t_ts_ms" in j.columns else []))
+        *[F.when(has_change, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in marks])
     return out
 
 
-def _merge_anti_union(target: DataFrame, changes: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    # The change set (one row per key) is read by three branches; it is
-    # checkpointed once (reliable checkpoint in the shared folder) so the log
-    # is decoded and collapsed a single time and the lineage is cut.
-    s = changes.select(key, "op", *cols).checkpoint(eager=True)
-    unchanged = target.select(key, *cols).join(s.select(key), key, "left_anti")
-    upserts = s.filter(F.coalesce(F.col("op") != "d", F.lit(False))).select(key, *cols)
-    # NULL op updates a row only when the key is in the target (MERGE's three-valued logic)
-    # (the target is streamed past the few NULL-op keys; with none, AQE skips the branch)
-    null_op = s.filter(F.col("op").isNull()).select(key, *cols)
-    matched = target.select(key).join(null_op.select(key), key, "left_semi")
-    updates = null_op.join(matched, key, "left_semi")
-    return unchanged.unionByName(upserts).unionByName(updates)
+def _merge_plain(target: DataFrame, changes: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    # one left join streams the target past the change keys (a broadcast when
+    # the change set is small), one anti join finds the inserts; nothing runs here
+    s = changes.select(F.col(key).alias("_k"), "op", *[F.col(c).alias(f"_s_{c}") for c in cols])
+    met = F.col("_k").isNotNull()
+    kept = target.select(key, *cols).join(s, F.col(key) == F.col("_k"), "left") \
+        .filter(~met | F.coalesce(F.col("op") != "d", F.lit(True))) \
+        .select(key, *[F.when(met, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+    inserts = changes.filter(F.coalesce(F.col("op") != "d", F.lit(False))).select(key, *cols) \
+        .join(target.select(key), key, "left_anti")
+    return kept.unionByName(inserts.select(key, *cols))
 
 
 def resnapshot(source: DataFrame, cfg: TableConfig, snapshot_ts_ms: int, predicate: Column | None = None,
@@ -279,27 +278,21 @@ def flatten(decoded: DataFrame, image_cols: list[str], key: str) -> DataFrame:
 DAY_MS = 86_400_000
 
 
-# A key with more rows than this gets its per-key windows cut into time chunks.
-MAX_KEY_ROWS = 5_000_000
-
-
 def scd2_history(changes: DataFrame, cfg: TableConfig, value_cols: list[str] | None = None,
-                 order: tuple[str, ...] = ORDER_COLS, chunk_ms: int = DAY_MS,
-                 max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+                 order: tuple[str, ...] = ORDER_COLS, chunk_ms: int = DAY_MS) -> DataFrame:
     """Versions per key: consecutive identical images are one version;
     ``valid_from`` = ts of the change, ``valid_to`` = ts of the next kept change
     (a delete closes the open version and opens none), ``is_current`` for the
     open version of a live key.
 
-    The previous / next change of a key come from :mod:`rivulet.operators.sequence`:
-    when a key has more than ``max_key_rows`` changes the per-key windows are
-    cut into ``chunk_ms`` event-time chunks, so a key with a very long history
-    is not one task (one counting pass decides).
+    The previous / next change of a key come from :mod:`rivulet.operators.sequence`,
+    whose windows are cut into ``chunk_ms`` event-time chunks, so a key with a
+    very long history is not one task.  No job runs before the result is asked.
     """
-    from rivulet.operators.sequence import choose_chunk, shift, time_chunk
+    from rivulet.operators.sequence import shift, time_chunk
     key, ts = cfg.key, cfg.ts_col
     vals = value_cols or list(cfg.columns)
-    chunk = choose_chunk(changes, key, time_chunk(F.col("ts_ms"), chunk_ms), max_key_rows)
+    chunk = time_chunk(F.col("ts_ms"), chunk_ms)
     base = changes.select(key, "op", *order, ts, *vals)
     step = shift(base, key, list(order), F.struct(F.struct(*[F.col(c) for c in vals]).alias("img"),
                                                    F.col("op").alias("op")), "_prev", chunk)
@@ -315,8 +308,7 @@ def scd2_history(changes: DataFrame, cfg: TableConfig, value_cols: list[str] | N
 
 
 def as_of_lookup(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
-                 value_cols: list[str], tie_break: list[str] | None = None, chunk_ms: int = DAY_MS,
-                 max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+                 value_cols: list[str], tie_break: list[str] | None = None, chunk_ms: int = DAY_MS) -> DataFrame:
     """Attach to each fact the dimension version valid at its time
     (``valid_from <= ts < valid_to``; open versions have ``valid_to`` NULL).
 
@@ -325,7 +317,7 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
     event time (see :mod:`rivulet.operators.sequence`) so a hot key is spread
     over many tasks.
     """
-    from rivulet.operators.sequence import choose_chunk, last_non_null, time_chunk
+    from rivulet.operators.sequence import last_non_null, time_chunk
     tb = tie_break or []
     v = versions.select(F.col(key), F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"),
                         F.struct(*[F.col(c) for c in tb]).alias("_tb"),
@@ -336,7 +328,7 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
                      F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), F.struct(*fcols).alias("_f"))
     v = v.withColumn("_f", F.lit(None).cast(f.schema["_f"].dataType))
     both = v.unionByName(f)
-    chunk = choose_chunk(both, key, time_chunk(F.unix_millis(F.col("_t")), chunk_ms), max_key_rows)
+    chunk = time_chunk(F.unix_millis(F.col("_t")), chunk_ms)
     u = last_non_null(both, key, ["_t", "_kind", "_tb"], "_v", "_cur", chunk).filter(F.col("_kind") == 1)
     valid = F.col("_cur").isNotNull() & (F.col("_cur.valid_to").isNull() | (F.col("_t") < F.col("_cur.valid_to")))
     return u.select(*[F.col(f"_f.{c}").alias(c) for c in fcols],

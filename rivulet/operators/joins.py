@@ -27,20 +27,24 @@ def reconcile_keys(source: DataFrame, target: DataFrame, key: str, compare: list
 def hot_keys(df: DataFrame, key: str, min_share: float) -> DataFrame:
     """Keys holding at least ``min_share`` of the rows.  At most 1/min_share
     keys can qualify, so the result has a proven size bound."""
-    total = df.count()
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") >= F.lit(max(1, int(total * min_share)))).select(key)
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_all"))
+    return counts.join(F.broadcast(total), F.col("_n") >= F.col("_all") * min_share).select(key)
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 16, min_share: float = 0.01,
                 how: str = "inner") -> DataFrame:
-    """Equi-join that spreads hot keys of ``big`` over ``salts`` tasks.
+    """Equi-join (``inner`` or ``left``) that spreads hot keys of ``big`` over ``salts`` tasks.
 
     Only keys holding at least ``min_share`` of ``big`` are salted: their big
     rows get a salt from a hash of the row, their small rows are replicated
     once per salt; every other key keeps salt 0 and is joined as usual.  The
-    hot-key list has at most 1/min_share rows, which is why it may be broadcast.
+    hot-key list has at most 1/min_share rows, which is why it may be
+    broadcast.  Joins that keep unmatched rows of ``small`` are refused: a
+    replicated row would count as unmatched for every salt it does not meet.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter"):
+        raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
     hot = F.broadcast(hot_keys(big, key, min_share).withColumn("_hot", F.lit(True)))
     b = (big.join(hot, key, "left")
             .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(salts)))

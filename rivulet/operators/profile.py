@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.session import scratch_path
+
 
 def counts_by(df: DataFrame, col: str) -> DataFrame:
     """Rows per value of ``col``, most frequent first (ties by value)."""
@@ -23,33 +25,20 @@ def profile_counts(df: DataFrame, dims=("status", "currency")) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def numeric_profile(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10_000,
-                    distributed: bool = False) -> DataFrame:
-    """count, mean, stddev, min, 25/50/75 % and max of one column.
+def numeric_profile(df: DataFrame, col: str) -> DataFrame:
+    """count, mean, stddev, min, 25/50/75 % and max of one column, one row.
 
-    ``exact``: discrete percentiles (``percentile_disc``), whose final merge
-    keeps one counter per distinct value; ``distributed=True`` computes the
-    same exact values with :func:`exact_percentiles` (bucket descent, nothing
-    large in one task) for very high-cardinality columns; ``exact=False`` uses
-    ``percentile_approx`` (rank error <= n/accuracy).
+    The percentiles are exact and discrete (see :func:`exact_percentiles`).
     Not ``summary()``: its percentiles are approximate and its output is strings.
     """
     c = F.col(col)
-    if distributed:
-        found = exact_percentiles(df, col, [0.25, 0.5, 0.75])
-        dtype = df.schema[col].dataType
-
-    def pct(p):
-        if distributed:
-            return F.lit(found[p]).cast(dtype)
-        if exact:
-            return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{col}`)")
-        return F.percentile_approx(c, p, accuracy)
-
-    return df.agg(
-        F.count(c).alias("n"), F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("sd"),
-        F.min(c).alias("mn"), pct(0.25).alias("p25"), pct(0.5).alias("p50"), pct(0.75).alias("p75"),
-        F.max(c).alias("mx"))
+    points = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
+    found = exact_percentiles(df, col, list(points))
+    wide = found.agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for p, name in points.items()])
+    rest = df.agg(F.count(c).alias("n"), F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("sd"),
+                  F.min(c).alias("mn"), F.max(c).alias("mx"))
+    # one row on either side
+    return rest.join(F.broadcast(wide)).select("n", "mean", "sd", "mn", "p25", "p50", "p75", "mx")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -69,80 +58,30 @@ def daily_activity(df: DataFrame, ts: str, measure: str) -> DataFrame:
               .orderBy("order_date"))
 
 
-def _pick(counts: DataFrame, cond, want: dict, before: int) -> dict:
-    """Walk the (at most ``collect_below``) candidate values in order and pick each position."""
-    out, todo = {}, sorted(want.items(), key=lambda kv: kv[1])
-    for r in counts.filter(cond).orderBy("v").collect():
-        before += int(r["c"])
-        while todo and before >= todo[0][1]:
-            out[todo.pop(0)[0]] = r["v"]
-        if not todo:
-            break
-    return out
-
-
-def exact_percentiles(df: DataFrame, col: str, ps: list[float], buckets: int = 1024,
-                      collect_below: int = 10_000) -> dict:
-    """Exact discrete percentiles (same definition as ``percentile_disc``: the
-    value at 1-based position max(1, ceil(p * n)) in sorted order) without
-    holding all distinct values in one task.
-
-    The column is first reduced to (value, count) pairs with a partial
-    aggregation.  Then, per percentile, the candidate value range is cut into
-    ``buckets`` equal-width buckets; one aggregation returns the count, min
-    and max of each bucket (``buckets`` rows reach the driver), the bucket
-    holding the wanted position is kept and cut again, until at most
-    ``collect_below`` distinct values are left, which are read in order.
-    Every pass is distributed; the driver only ever sees bucket summaries and
-    the final small candidate list.
-    """
-    import math
+def exact_percentiles(df: DataFrame, col: str, ps: list[float], by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., p, value): exact discrete percentiles, per group if ``by`` is given.
 
-    c = F.col(col)
-    counts = df.filter(c.isNotNull()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("c")).persist()
-    try:
-        tot = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"),
-                         F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-        n = int(tot["n"] or 0)
-        out = {}
-        if n == 0:
-            return {p: None for p in ps}
-        # 1-based positions, in double arithmetic as percentile_disc computes them
-        want = {p: max(1, math.ceil(p * n)) for p in ps}
-        if int(tot["d"]) <= collect_below or tot["lo"] == tot["hi"]:
-            return _pick(counts, F.lit(True), want, 0)
-        def level(cond, lo, hi):
-            width = (float(hi) - float(lo)) / buckets
-            b = F.least(F.floor((F.col("v").cast("double") - F.lit(float(lo))) / F.lit(width)),
-                        F.lit(buckets - 1)).cast("int")
-            rows = (counts.filter(cond).groupBy(b.alias("b"))
-                    .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"),
-                         F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect())
-            return b, rows
-
-        def locate(b, rows, pos, before):
-            for r in rows:
-                if before + int(r["n"]) >= pos:
-                    return b == F.lit(r["b"]), r, before
-                before += int(r["n"])
-            raise AssertionError("position beyond the total count")
-
-        # first level once for every percentile; percentiles landing in the same small bucket share one read
-        b0, rows0 = level(F.lit(True), tot["lo"], tot["hi"])
-        shared: dict = {}
-        for p, pos in want.items():
-            cond, r, before = locate(b0, rows0, pos, 0)
-            lo, hi, distinct = r["lo"], r["hi"], int(r["d"])
-            while distinct > collect_below and lo != hi:
-                b, rows = level(cond, lo, hi)
-                c2, r, before = locate(b, rows, pos, before)
-                cond, lo, hi, distinct = cond & c2, r["lo"], r["hi"], int(r["d"])
-            if lo == hi:
-                out[p] = lo
-            else:
-                shared.setdefault((str(cond), before), (cond, before, {}))[2][p] = pos
-        for cond, before, wanted in shared.values():
-            out.update(_pick(counts, cond, wanted, before))
-        return out
-    finally:
-        counts.unpersist()
+    Same definition as ``percentile_disc``: the value at 1-based position
+    max(1, ceil(p * n)) in sorted order; NaN sorts last; a group without values
+    has no row.  The column is reduced to (value, count) pairs with partial
+    aggregation and range-partitioned; the counts of whole partitions give each
+    partition's first position, and a running count inside it finds the value.
+    No task holds all distinct values and nothing reaches the driver.
+    """
+    by = list(by)
+    spark = df.sparkSession
+    pairs = df.filter(F.col(col).isNotNull()).groupBy(*by, F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    # written once: the partition numbers must not change between the two reads
+    path = scratch_path(spark, "percentiles")
+    pairs.repartitionByRange(*by, "v").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    pairs = spark.read.parquet(path)
+    sums = pairs.groupBy(*by, "part").agg(F.sum("c").alias("s"))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    sums = sums.select(*by, "part", (F.sum("s").over(group.orderBy("part")) - F.col("s")).alias("before"),
+                       F.sum("s").over(group).alias("n"))
+    inside = Window.partitionBy("part", *by).orderBy("v")
+    placed = pairs.join(sums, ["part", *by]).withColumn("until", F.col("before") + F.sum("c").over(inside))
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in ps]))
+    at = F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("n")))
+    return placed.withColumn("p", wanted).filter((at <= F.col("until")) & (at > F.col("until") - F.col("c"))) \
+        .select(*by, "p", F.col("v").alias("value"))

@@ -57,7 +57,7 @@ def gate(verdicts: DataFrame, passed_col: str = "passed") -> None:
 
     Only the verdict rows (one per check) reach the driver.
     """
-    failed = verdicts.filter(~F.col(passed_col)).limit(20).collect()
+    failed = verdicts.filter(~F.coalesce(F.col(passed_col), F.lit(False))).collect()
     if failed:
         raise RuntimeError(f"quality gate failed: {[r.asDict() for r in failed]}")
 

@@ -30,26 +30,17 @@ def _carry(edges: DataFrame, key: str, value: str, forward: bool, skip_nulls: bo
     return edges.select(key, "_c", c.alias("_carry"))
 
 
-def largest_key_rows(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key (one aggregation; partial counts map-side)."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(r["m"] or 0)
+def _join_carry(rows: DataFrame, carry: DataFrame, key: str) -> DataFrame:
+    """Attach the carried value by key and chunk; the chunk of rows without a time is NULL and matches itself."""
+    c = carry.select(F.col(key).alias("_ck"), F.col("_c").alias("_cc"), "_carry")
+    return rows.join(c, (rows[key] == c["_ck"]) & rows["_c"].eqNullSafe(c["_cc"]), "left").drop("_ck", "_cc")
 
 
-def choose_chunk(df: DataFrame, key: str, chunk: Column, max_key_rows: int) -> Column | None:
-    """``chunk`` when some key has more than ``max_key_rows`` rows, else None
-    (a plain per-key window is then cheaper and still bounded)."""
-    return chunk if largest_key_rows(df, key) > max_key_rows else None
-
-
-def shift(df: DataFrame, key: str, order: list[str], value: Column, out: str, chunk: Column | None,
+def shift(df: DataFrame, key: str, order: list[str], value: Column, out: str, chunk: Column,
           forward: bool = False) -> DataFrame:
     """``out`` = previous (``forward=False``) or next value of ``value`` among the
     rows of the same key in ``order``.  ``chunk`` must be non-decreasing in
-    ``order``; ``None`` means one plain window per key."""
-    if chunk is None:
-        wk = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
-        return df.withColumn(out, (F.lead if forward else F.lag)(value).over(wk))
+    ``order``, NULL first."""
     w = Window.partitionBy(key, "_c").orderBy(*[F.col(c) for c in order])
     step = F.lead if forward else F.lag
     d = (df.withColumn("_c", chunk).withColumn("_v", value)
@@ -58,24 +49,19 @@ def shift(df: DataFrame, key: str, order: list[str], value: Column, out: str, ch
            .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
     # the value a neighbouring chunk needs: first row's value (for lead), last row's (for lag)
     edges = d.filter(F.col("_first") if forward else F.col("_last")).select(key, "_c", F.col("_v").alias("_e"))
-    d = d.join(_carry(edges, key, "_e", forward), [key, "_c"], "left")
+    d = _join_carry(d, _carry(edges, key, "_e", forward), key)
     at_edge = F.col("_last") if forward else F.col("_first")
     return (d.withColumn(out, F.when(at_edge, F.col("_carry")).otherwise(F.col("_inner")))
              .drop("_c", "_v", "_inner", "_first", "_last", "_carry"))
 
 
-def last_non_null(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                  chunk: Column | None) -> DataFrame:
+def last_non_null(df: DataFrame, key: str, order: list[str], value: str, out: str, chunk: Column) -> DataFrame:
     """``out`` = the last non-NULL ``value`` at or before each row (same key, in ``order``)."""
-    if chunk is None:
-        wk = (Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(wk))
     w = Window.partitionBy(key, "_c").orderBy(*[F.col(c) for c in order])
     d = (df.withColumn("_c", chunk)
            .withColumn("_inner", F.last(value, ignorenulls=True).over(
                w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
            .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
     edges = d.filter("_last").select(key, "_c", F.col("_inner").alias("_e"))
-    d = d.join(_carry(edges, key, "_e", False, skip_nulls=True), [key, "_c"], "left")
+    d = _join_carry(d, _carry(edges, key, "_e", False, skip_nulls=True), key)
     return d.withColumn(out, F.coalesce(F.col("_inner"), F.col("_carry"))).drop("_c", "_inner", "_last", "_carry")

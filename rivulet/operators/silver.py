@@ -27,10 +27,12 @@ def keep_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def silver_customers(raw: DataFrame) -> DataFrame:
-    """Masked copies of email and phone next to the raw ones; one row per customer."""
+    """Masked copies of email and phone next to the raw ones; one row per
+    customer, the latest by ``created_at`` and ingestion date where the raw rows have them."""
+    latest = [F.col(c).desc_nulls_last() for c in ("created_at", "ingestion_date") if c in raw.columns]
     masked = (raw.withColumn("email_masked", mask_prefix(F.col("email")))
                  .withColumn("phone_masked", mask_prefix(F.col("phone"))))
-    return keep_last(masked, ["customer_id"], [])
+    return keep_last(masked, ["customer_id"], latest)
 
 
 def typed_items(raw: DataFrame, id_type: str = "long") -> DataFrame:

@@ -91,12 +91,10 @@ SELECT sales_month, product_id, revenue, rank FROM (
   FROM (SELECT strftime(order_timestamp, '%Y-%m') AS sales_month, product_id,
                CAST(SUM(revenue) AS DECIMAL(38,4)) AS revenue
         FROM ({FACT_SQL}) f GROUP BY 1, 2) m) r
-WHERE rank <= 10
 """)
 def product_rank_by_month(spark, sf):
-    # k=10 per month: Spark plans a WindowGroupLimit before the shuffle, so a
-    # large month never ships more than k rows per task.
-    return G.product_rank_by_month(fact(spark, sf), k=10)
+    """Every product's rank in every month."""
+    return G.product_rank_by_month(fact(spark, sf))
 
 
 @register("category_trend", sql=f"""

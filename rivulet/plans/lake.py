@@ -1,25 +1,22 @@
 """Bronze landing of the driver tables (shared by the silver and quality queries).
 
 The driver data is clean, so the landing injects the documented faults into
-the raw files: bad dates (o_orderkey % 83 = 0), unknown status (% 79), NULL
-customer key (% 101), negative quantity (l_partkey % 97), negative price
+the raw files: bad dates (o_orderkey % 83 = 0), unknown status (% 79),
+a valid (% 73, REFUNDED) and an invalid one (% 71, RETURNED), NULL customer key (% 101), negative quantity (l_partkey % 97), negative price
 (l_partkey % 89), e-mail without '@' (c_custkey % 13).  Every row is landed;
 the faults only change values.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import functions as F
 
 from rivulet.context import DailyRun
-from rivulet.session import mark_done, path_exists, shared_dir
+from rivulet.session import content_token, published
 from rivulet.sinks.files import land_raw
 from rivulet.sources import tables as T
 
-LAYOUT_VERSION = "1"
+LAYOUT_VERSION = "2"
 INGESTION_DATE = "2026-05-20"
 SECOND_DATE = "2026-05-21"
 CTX = DailyRun.for_day(INGESTION_DATE)
@@ -50,7 +47,8 @@ def raw_orders(spark, sf):
                     F.when(k % 101 == 0, F.lit(None)).otherwise(F.col("customer_id")).cast("string").alias("customer_id"),
                     F.when(k % 83 == 0, F.lit(BAD_DATE)).otherwise(F.date_format("order_timestamp", ISO))
                      .alias("order_timestamp"),
-                    F.when(k % 79 == 0, F.lit("UNKNOWN")).otherwise(F.col("status")).alias("status"))
+                    F.when(k % 79 == 0, F.lit("UNKNOWN")).when(k % 73 == 0, F.lit("REFUNDED"))
+                     .when(k % 71 == 0, F.lit("RETURNED")).otherwise(F.col("status")).alias("status"))
 
 
 def raw_items(spark, sf):
@@ -63,19 +61,17 @@ def raw_items(spark, sf):
 
 
 def landed(spark, sf) -> str:
-    """Land the four datasets once per input folder and session folder; returns the lake root."""
-    # the layout version is part of the name: a changed landing rule never reuses old files
-    token = hashlib.sha1(f"{LAYOUT_VERSION}:{os.path.abspath(sf)}".encode()).hexdigest()[:10]
-    base = f"{shared_dir(spark)}/lake-{token}"
-    marker = f"{base}/_landed"
-    if not path_exists(spark, f"{marker}/_SUCCESS"):
+    """The lake root with the four datasets, landed once for the input files as they are now."""
+    def land(base):
         land_raw(raw_customers(spark, sf), base, "customers", CTX, fmt="json")
         land_raw(raw_products(spark, sf), base, "products", CTX)
         land_raw(raw_orders(spark, sf), base, "orders", CTX)
         land_raw(raw_orders(spark, sf), base, "orders", CTX2)  # re-delivery on the next day
         land_raw(raw_items(spark, sf), base, "order_items", CTX)
-        mark_done(spark, marker)
-    return base
+
+    tables = ("customer", "nation", "orders", "lineitem", "part")
+    token = "-".join(content_token(spark, LAYOUT_VERSION, path=f"{sf.rstrip('/')}/{t}.parquet")[:6] for t in tables)
+    return published(spark, f"lake-{token}", land)
 
 
 # ---------------------------------------------------------------- SQL twins of the raw files
@@ -98,7 +94,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
        CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
        CASE WHEN o_orderkey % 83 = 0 THEN '2026-13-40' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END
          AS order_timestamp,
-       CASE WHEN o_orderkey % 79 = 0 THEN 'UNKNOWN' ELSE CASE o_orderstatus WHEN 'O' THEN 'CREATED'
+       CASE WHEN o_orderkey % 79 = 0 THEN 'UNKNOWN' WHEN o_orderkey % 73 = 0 THEN 'REFUNDED'
+            WHEN o_orderkey % 71 = 0 THEN 'RETURNED' ELSE CASE o_orderstatus WHEN 'O' THEN 'CREATED'
             WHEN 'P' THEN 'PAID' WHEN 'F' THEN 'SHIPPED' ELSE o_orderstatus END END AS status
 FROM orders
 """

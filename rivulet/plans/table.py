@@ -9,7 +9,7 @@ from rivulet.plans.cdc import EVENTS_CHANGES_SQL
 from rivulet.plans.gold import fact
 from rivulet.plans.registry import register
 from rivulet.plans.sqlparts import FACT_SQL
-from rivulet.session import scratch_path
+from rivulet.session import file_statuses, published, scratch_path
 from rivulet.sinks import tables as K
 from rivulet.sources import catalog as CAT
 from rivulet.sources import changelog as L
@@ -31,27 +31,23 @@ def built_table(spark, sf) -> VersionedTable:
     return vt
 
 
-TABLE_LAYOUT_VERSION = 1
+TABLE_LAYOUT_VERSION = 2
 
 
 def shared_table(spark, sf) -> VersionedTable:
     """The versioned orders table built once per change log and shared folder,
     for the read-only queries (time travel, history, diffs); maintenance
     queries build their own copy with :func:`built_table`."""
-    from rivulet.session import path_exists, shared_dir
     log = L.events_change_log(spark, sf)
-    vt = VersionedTable(spark, f"{shared_dir(spark)}/tables/orders-v{TABLE_LAYOUT_VERSION}-{log.rstrip('/').rsplit('/', 1)[-1]}",
-                       C.ORDERS)
-    if not path_exists(spark, f"{vt.path}/_built/_SUCCESS"):
-        vt.commit_many(log_changes(spark, sf), commit_time_col="ts")
-        from rivulet.session import mark_done
-        mark_done(spark, f"{vt.path}/_built")
-    return vt
+    name = f"orders-v{TABLE_LAYOUT_VERSION}-{log.rstrip('/').rsplit('/', 1)[-1]}"
+    path = published(spark, name, lambda folder: VersionedTable(spark, folder, C.ORDERS).commit_many(
+        log_changes(spark, sf), commit_time_col="ts"))
+    return VersionedTable(spark, path, C.ORDERS)
 
 
 def _nth_snapshot(vt: VersionedTable, n: int) -> int:
-    ids = vt.snapshot_ids()
-    return ids[min(n, len(ids) - 1)]
+    """The id of the (n+1)-th snapshot; IndexError if there are fewer."""
+    return vt.snapshot_ids()[n]
 
 
 BATCHES_SQL = f"(SELECT DISTINCT batch_id FROM ({EVENTS_CHANGES_SQL}) b ORDER BY batch_id LIMIT 1 OFFSET {{n}})"
@@ -96,7 +92,7 @@ FROM ({EVENTS_CHANGES_SQL}) e GROUP BY batch_id ORDER BY snapshot_id DESC
 def table_history(spark, sf):
     """Commit history of the versioned table, newest first (one commit per log batch;
     ``added_changes`` = keys changed in the commit)."""
-    return shared_table(spark, sf).history().drop("location")
+    return shared_table(spark, sf).history().drop("location", "generation")
 
 
 FULL_STATE_SQL = state_sql(f"(SELECT max(batch_id) FROM ({EVENTS_CHANGES_SQL}) z)")
@@ -126,26 +122,23 @@ def rollback(spark, sf):
     return vt.state()
 
 
-RETAIN_BATCHES = 4
+RETAIN_DAYS = 12
 
 
 @register("retention", sql=f"""
-SELECT batch_id, CAST(count(*) AS BIGINT) AS changes FROM ({EVENTS_CHANGES_SQL}) e
-WHERE batch_id > (SELECT max(batch_id) FROM ({EVENTS_CHANGES_SQL}) m) - {RETAIN_BATCHES} GROUP BY batch_id
+SELECT CAST(event_time AS DATE) AS day, CAST(count(*) AS BIGINT) AS changes FROM ({EVENTS_CHANGES_SQL}) e
+WHERE CAST(event_time AS DATE) > (SELECT max(CAST(event_time AS DATE)) FROM ({EVENTS_CHANGES_SQL}) m) - {RETAIN_DAYS}
+GROUP BY 1
 """)
 def retention(spark, sf):
-    """Raw change log kept for the last 4 batches (3 days each); older batch
-    folders are dropped by overwriting the kept range."""
-    path = L.events_change_log(spark, sf)
-    log = spark.read.schema(L.LOG_SCHEMA).parquet(path)
+    """Raw change log kept for the last RETAIN_DAYS days before the newest record."""
+    log = spark.read.schema(L.LOG_SCHEMA).parquet(L.events_change_log(spark, sf))
+    newest = log.agg(F.to_date(F.max("timestamp")).alias("newest"))
+    kept = log.join(F.broadcast(newest), F.to_date("timestamp") > F.date_sub("newest", RETAIN_DAYS)).drop("newest")
     kept_path = scratch_path(spark, "log_retained")
-    # batch ids are partition values (one per commit): listing them is metadata-sized
-    ids = sorted(r[0] for r in log.select("batch_id").distinct().collect())
-    newest = ids[-1] if ids else 0
-    kept = log.filter(F.col("batch_id") > F.lit(newest - RETAIN_BATCHES))
-    kept.write.mode("overwrite").partitionBy("batch_id").parquet(kept_path)
+    kept.write.partitionBy("batch_id").parquet(kept_path)
     return (spark.read.schema(L.LOG_SCHEMA).parquet(kept_path)
-            .groupBy("batch_id").agg(F.count(F.lit(1)).alias("changes")))
+            .groupBy(F.to_date("timestamp").alias("day")).agg(F.count(F.lit(1)).alias("changes")))
 
 
 @register("create_or_replace", sql=f"""
@@ -254,13 +247,22 @@ def partition_days(spark, sf):
     return back.groupBy("order_day", "order_month").agg(F.count(F.lit(1)).alias("orders"))
 
 
-@register("file_profile")
+@register("file_profile", sql=f"""
+SELECT batch_id, true AS has_files, true AS all_sized FROM ({EVENTS_CHANGES_SQL}) e GROUP BY batch_id
+""")
 def file_profile(spark, sf):
-    """Files behind the change log: count and mean size per batch folder."""
-    log = spark.read.schema(L.LOG_SCHEMA).parquet(L.events_change_log(spark, sf))
-    files = log.select("batch_id", F.col("_metadata.file_path").alias("f"),
-                       F.col("_metadata.file_size").alias("size")).distinct()
-    return files.groupBy("batch_id").agg(F.count(F.lit(1)).alias("files"), F.avg("size").alias("mean_bytes"))
+    """Per batch folder of the change log, from the file listing alone: whether
+    it has files and none is empty (:func:`file_sizes` gives count and mean size)."""
+    return file_sizes(spark, L.events_change_log(spark, sf)).select(
+        "batch_id", (F.col("files") > 0).alias("has_files"), (F.col("smallest_bytes") > 0).alias("all_sized"))
+
+
+def file_sizes(spark, path: str):
+    """Files, mean and smallest size per batch folder; no row is read."""
+    rows = [(name, size) for name, size, _ in file_statuses(spark, path)]
+    return spark.createDataFrame(rows, "name string, bytes long") \
+        .groupBy(F.regexp_extract("name", "batch_id=(-?[0-9]+)", 1).cast("long").alias("batch_id")) \
+        .agg(F.count("*").alias("files"), F.avg("bytes").alias("mean_bytes"), F.min("bytes").alias("smallest_bytes"))
 
 
 @register("schema_drift")

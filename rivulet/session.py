@@ -7,6 +7,7 @@ left alone when the cluster already set them.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -32,6 +33,11 @@ _DEFAULTS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+#: Folder of a one-process session that names none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+#: Published folders that this process has looked up, by application and name.
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
 
 def build_session(master: str | None = None, app_name: str = "rivulet",
                   shuffle_partitions: int | None = None) -> SparkSession:
@@ -58,35 +64,26 @@ def configure(spark: SparkSession) -> SparkSession:
     """Pin result-affecting settings on an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     for k, v in _DEFAULTS.items():
-        if k == "spark.sql.session.timeZone":
-            continue
-        try:
-            current = spark.conf.get(k, None)
-        except Exception:  # pragma: no cover - conf not settable
-            current = None
-        if current is None:
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # pragma: no cover - static conf
-                pass
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a fresh folder under the system temp dir is chosen and
-    recorded in the session so every later call agrees.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a session that runs
+    in one process (``local[...]``, as in tests) may go without: it gets a
+    fresh folder; on a cluster a missing setting is an error, because the
+    executors would not see the driver's disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(spark.sparkContext.applicationId)
     if not base:
-        base = tempfile.mkdtemp(prefix="rivulet-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:  # pragma: no cover - Connect sessions have no context
-            pass
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
+        base = _LOCAL_DIRS[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="rivulet-")
+        spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
@@ -95,19 +92,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``, and the path in it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists (local paths directly, other file systems through a listing)."""
-    if path.startswith("file:"):
-        path = path[5:]
-    if path.startswith("/"):
-        return os.path.exists(path)
-    try:
-        spark.read.format("binaryFile").load(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing path raises an analysis error
-        return False
-
-
-def mark_done(spark: SparkSession, path: str) -> None:
-    """Write a completion marker folder (a one-row text table) at ``path``."""
-    spark.createDataFrame([("done",)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    """Whether ``path`` exists in its own file system; an unreachable one raises."""
+    fs, target = _file_system(spark, path)
+    return bool(fs.exists(target))
+
+
+def file_statuses(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time) of the data files of ``path``, from the listing alone."""
+    fs, target = _file_system(spark, path)
+    found, files = [], fs.listFiles(target, True)
+    while files.hasNext():
+        f = files.next()
+        name = f.getPath().toString()
+        if not f.getPath().getName().startswith(("_", ".")):
+            found.append((name, int(f.getLen()), int(f.getModificationTime())))
+    return sorted(found)
+
+
+def content_token(spark: SparkSession, *parts: str, path: str) -> str:
+    """Short name for the data at ``path`` as it is now: it changes when a file does."""
+    listing = repr((parts, path.rstrip("/"), [(n, size, at) for n, size, at in file_statuses(spark, path)]))
+    return hashlib.sha1(listing.encode()).hexdigest()[:12]
+
+
+def published(spark: SparkSession, name: str, build) -> str:
+    """The folder that ``build(folder)`` filled under ``name``.
+
+    It is built into a new folder, and a one-line file that names the folder is
+    written last; later calls read that file.  A folder is never written again,
+    so DataFrames over it stay valid; of two builders at once either one's
+    folder is used, whole.
+    """
+    ref = f"{shared_dir(spark)}/published/{name}"
+    key = (spark.sparkContext.applicationId, ref)
+    if key not in _PUBLISHED:
+        if not path_exists(spark, f"{ref}/_SUCCESS"):
+            folder = scratch_path(spark, name)
+            build(folder)
+            spark.createDataFrame([(folder,)], "value string").coalesce(1).write.mode("ignore").text(ref)
+        _PUBLISHED[key] = spark.read.text(ref).first()[0]
+    return _PUBLISHED[key]

@@ -2,30 +2,39 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rivulet.context import DailyRun
 
 
-def _json_array_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    # One pretty-printed JSON array per task: the task's rows (one input split,
-    # bounded by spark.sql.files.maxPartitionBytes) become one document.
-    records: list = []
-    for pdf in batches:
-        records.extend(json.loads(pdf.to_json(orient="records", date_format="iso")))
-    if records:
-        yield pd.DataFrame({"value": [json.dumps(records, ensure_ascii=True, indent=2)]})
-
-
 def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write files that each hold one multi-line JSON array (what an external
-    producer lands).  Each task writes exactly one text file holding one
-    document, so the multi-line JSON reader parses every file whole."""
-    df.mapInPandas(_json_array_document, "value string").write.mode(mode).text(path)
+    producer lands).  A task streams its rows out one line at a time, so the
+    multi-line JSON reader parses every file whole and no task holds its rows."""
+    records = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+    def lines(batches):  # local, so that it travels to the executors by value
+        held = None
+        for batch in batches:
+            out = []
+            for record in batch["value"]:
+                out.append("[" if held is None else held + ",")
+                held = record
+            if out:
+                yield pd.DataFrame({"value": out})
+        if held is not None:
+            yield pd.DataFrame({"value": [held, "]"]})
+
+    records.mapInPandas(lines, "value string").write.mode(mode).text(path)
+
+
+def store_json_records(df: DataFrame, path: str, key: str) -> str:
+    """One JSON object per record under ``<path>/<key>=<value>/``, written in parallel."""
+    record = F.to_json(F.struct(*df.columns)).alias("value")
+    df.select(key, record).write.mode("overwrite").partitionBy(key).text(path)
+    return path
 
 
 def land_raw(df: DataFrame, base: str, dataset: str, ctx: DailyRun, fmt: str = "csv") -> str:

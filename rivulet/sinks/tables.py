@@ -71,20 +71,27 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
        .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
 
 
-def upsert_table(df: DataFrame, name: str, key: str) -> None:
-    """Silver "upsert" mode: rows of ``df`` replace rows with the same key, other
-    rows stay (MERGE with every change an update).  The merged result is staged
-    in a new folder first because the table is read while it is rewritten."""
-    from rivulet.operators.cdc import TableConfig, merge
+def upsert_table(df: DataFrame, name: str, key: str, order: list[str] | None = None) -> None:
+    """Silver "upsert" mode: rows of ``df`` replace rows with the same key, other rows stay.
+
+    Of rows of ``df`` that share a key the last one by ``order`` counts (then by
+    all columns).  The merged table is written to a new folder, and one catalog
+    change points the table there: readers see the old or the new content.
+    """
+    from rivulet.operators.silver import keep_last
     from rivulet.session import scratch_path
 
     spark = df.sparkSession
-    if not spark.catalog.tableExists(name):
-        write_table(df, name)
-        return
-    cfg = TableConfig(name, key, {c: "string" for c in df.columns if c != key}, ts_col=None)
-    changes = df.withColumn("op", F.lit("u"))
-    merged = merge(spark.table(name).select(*df.columns), changes, cfg)
-    staged = scratch_path(spark, "upsert_stage")
-    merged.write.parquet(staged)
-    write_table(spark.read.parquet(staged), name)
+    last = keep_last(df, [key], [F.col(c).desc_nulls_last() for c in order or []])
+    if spark.catalog.tableExists(name):
+        old = spark.table(name).select(*df.columns)
+        last = old.join(last.select(key), key, "left_anti").select(*df.columns).unionByName(last)
+    else:
+        ensure_namespace(spark, name.split(".", 1)[0])
+    folder = scratch_path(spark, name.replace(".", "-"))
+    last.write.parquet(folder)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=folder, source="parquet")

@@ -14,8 +14,8 @@ status = event_type, customer_id = props.k).
 
 from __future__ import annotations
 
-import hashlib
-import os
+import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from rivulet.functions.frames import add_frame
 from rivulet.operators.cdc import envelope_schema, row_image_schema
-from rivulet.session import path_exists, shared_dir
+from rivulet.session import content_token, published
 from rivulet.sources.tables import table
 
 LOG_SCHEMA = T.StructType([
@@ -46,7 +46,10 @@ ORDER_ENVELOPE = envelope_schema(ORDER_IMAGE)
 OP_BY_EVENT = {"signup": "c", "purchase": "r", "error": "d"}
 DEFAULT_OP = "u"
 SCHEMA_ID = 1
-LOG_LAYOUT_VERSION = "2"
+LOG_LAYOUT_VERSION = "3"
+#: Writer tasks for each batch and broker partition, and offsets that stay together.
+WRITERS_PER_PARTITION = 4
+OFFSETS_PER_RUN = 100_000
 HOUR_MS = 3_600_000
 PARTITIONS = 4
 DAYS_PER_BATCH = 3
@@ -98,28 +101,22 @@ def envelope_records(changes: DataFrame) -> DataFrame:
         F.col("batch_id"))
 
 
-def _fingerprint(path: str) -> str:
-    st = os.stat(path) if os.path.exists(path) else None
-    token = f"{LOG_LAYOUT_VERSION}:{path}:{st.st_size}:{st.st_mtime_ns}" if st else f"{LOG_LAYOUT_VERSION}:{path}"
-    return hashlib.sha1(token.encode()).hexdigest()[:12]
-
-
-def write_change_log(df_records: DataFrame, path: str) -> str:
-    """Write records by batch, one file per (batch, broker partition), like a
-    topic segment; overwrite per batch folder so replays replace themselves."""
-    (df_records.repartition("batch_id", "partition").sortWithinPartitions("partition", "offset")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(path))
+def write_change_log(df_records: DataFrame, path: str, spread: int = WRITERS_PER_PARTITION) -> str:
+    """Write records by batch into a new folder; the rows of a (batch, broker
+    partition) are dealt over ``spread`` writer tasks by offset range, so that
+    each file stays a run of offsets and no task writes a quarter of a batch."""
+    run = F.floor(F.col("offset") / OFFSETS_PER_RUN) % spread
+    (df_records.withColumn("_run", run).repartition("batch_id", "partition", "_run")
+        .sortWithinPartitions("batch_id", "partition", "offset").drop("_run")
+        .write.partitionBy("batch_id").parquet(path))
     return path
 
 
 def events_change_log(spark: SparkSession, sf_dir: str) -> str:
-    """Materialise the events change log once per input file and session folder."""
-    src = f"{sf_dir.rstrip('/')}/events.parquet"
-    path = f"{shared_dir(spark)}/changelog/events-{_fingerprint(src)}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_change_log(envelope_records(events_changes(table(spark, sf_dir, "events"))), path)
-    return path
+    """The events change log, written once for the events as they are now."""
+    token = content_token(spark, LOG_LAYOUT_VERSION, path=f"{sf_dir.rstrip('/')}/events.parquet")
+    return published(spark, f"changelog-{token}", lambda folder: write_change_log(
+        envelope_records(events_changes(table(spark, sf_dir, "events"))), folder))
 
 
 def read_change_batch(spark: SparkSession, path: str, start: dict | str = "earliest",
@@ -130,31 +127,40 @@ def read_change_batch(spark: SparkSession, path: str, start: dict | str = "earli
     (inclusive start, exclusive end, as broker offsets are).  The offset
     predicates are pushed into the Parquet scan.
     """
-    df = spark.read.schema(LOG_SCHEMA).parquet(path)
-    if isinstance(start, dict):
-        cond = None
-        for p, o in start.items():
-            c = (F.col("partition") == p) & (F.col("offset") >= o)
-            cond = c if cond is None else cond | c
-        df = df.filter(cond)
-    if isinstance(end, dict):
-        cond = None
-        for p, o in end.items():
-            c = (F.col("partition") == p) & (F.col("offset") < o)
-            cond = c if cond is None else cond | c
-        df = df.filter(cond)
-    return df
+    return _between(spark.read.schema(LOG_SCHEMA).parquet(path), start, end)
+
+
+def _between(log: DataFrame, start: dict | str, end: dict | str) -> DataFrame:
+    """Records from ``start`` (inclusive) to ``end`` (exclusive), by partition; partitions not named are left out."""
+    for bound, inside in ((start, lambda o: F.col("offset") >= o), (end, lambda o: F.col("offset") < o)):
+        if isinstance(bound, dict):
+            log = log.filter(reduce(lambda x, y: x | y, [(F.col("partition") == p) & inside(o) for p, o in bound.items()],
+                                    F.lit(False)))
+    return log
 
 
 def read_change_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                       kafka: dict | None = None) -> DataFrame:
-    """Streaming scan: Kafka when configured and available, else the log folder."""
+                       kafka: dict | None = None, start: dict | str = "earliest",
+                       fail_on_data_loss: bool = True) -> DataFrame:
+    """Streaming scan: Kafka when configured and available, else the log folder.
+
+    ``start`` is ``earliest`` or ``{partition: offset}`` (inclusive); with
+    ``fail_on_data_loss=False`` records or files that are gone are skipped
+    instead of stopping the query.
+    """
     if kafka:
-        reader = spark.readStream.format("kafka")
-        for k, v in kafka.items():
-            reader = reader.option(k, v)
-        return reader.load()
-    reader = spark.readStream.schema(LOG_SCHEMA).option("pathGlobFilter", "*.parquet")
+        offsets = start if isinstance(start, str) else json.dumps({kafka["subscribe"]: start})
+        options = {"startingOffsets": offsets, "failOnDataLoss": str(fail_on_data_loss).lower(), **kafka}
+        return spark.readStream.format("kafka").options(**options).load()
+    reader = spark.readStream.schema(LOG_SCHEMA).option("pathGlobFilter", "*.parquet") \
+        .option("ignoreMissingFiles", str(not fail_on_data_loss).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    return _between(reader.parquet(path), start, "latest")
+
+
+def read_kafka_batch(spark: SparkSession, kafka: dict, start: dict | str = "earliest", end: dict | str = "latest") -> DataFrame:
+    """Bounded read of a topic with its headers (needs the Kafka data source on the class path)."""
+    place = lambda x: x if isinstance(x, str) else json.dumps({kafka["subscribe"]: x})
+    return spark.read.format("kafka").options(includeHeaders="true", startingOffsets=place(start),
+                                              endingOffsets=place(end), **kafka).load()

@@ -18,24 +18,32 @@ def read_jdbc(spark: SparkSession, url: str, table: str, props: dict, partition_
     return r.load()
 
 
+def table_exists(spark: SparkSession, url: str, table: str, props: dict) -> bool:
+    """Whether the database has ``table``, asked of its metadata."""
+    jvm = spark.sparkContext._jvm
+    options = jvm.java.util.Properties()
+    for k, v in props.items():
+        options.setProperty(k, str(v))
+    if "driver" in props:
+        jvm.java.lang.Class.forName(props["driver"])
+    connection = jvm.java.sql.DriverManager.getConnection(url, options)
+    try:
+        schema, _, plain = table.rpartition(".")
+        found = connection.getMetaData().getTables(None, schema or None, plain, None)
+        return bool(found.next())
+    finally:
+        connection.close()
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, props: dict, mode: str = "append",
                create_if_missing: bool = True, batch_size: int = 10_000) -> str:
-    """Append over JDBC; when the append fails because the table is missing and
-    ``create_if_missing`` is set, the table is created by an overwrite write.
-    Returns the mode that succeeded."""
-    def writer(m):
-        w = df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch_size)
-        for k, v in props.items():
-            w = w.option(k, v)
-        return w.mode(m)
-    try:
-        writer(mode).save()
-        return mode
-    except Exception:  # noqa: BLE001 - driver-specific "no such table" errors
-        if not create_if_missing or mode != "append":
-            raise
-        writer("overwrite").save()
-        return "overwrite"
+    """Write over JDBC and return the mode used.  An append to a table that is
+    not there creates it when ``create_if_missing`` is set; any failure of a
+    write is raised, and an existing table is never replaced by an append."""
+    if mode == "append" and not create_if_missing and not table_exists(df.sparkSession, url, table, props):
+        raise LookupError(f"no table {table}")
+    df.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch_size, **props).mode(mode).save()
+    return mode
 
 
 def export_mart(df: DataFrame, target: str, url: str | None = None, props: dict | None = None,

@@ -9,12 +9,19 @@ from rivulet.operators.cdc import TableConfig, decode, normalize, split_dead_let
 from rivulet.table import VersionedTable
 
 
-def upsert_batch(table: VersionedTable, cfg: TableConfig, envelope, dead_letter_path: str | None = None):
+def upsert_batch(table: VersionedTable, cfg: TableConfig, envelope, dead_letter_path: str | None = None,
+                 compact_every: int | None = None):
     """The foreachBatch callback: decode and normalise the micro-batch and
     commit it under the micro-batch id (nothing is recorded for an empty one).  The commit overwrites its
     own batch folder, so a replayed micro-batch replaces itself (exactly-once
-    effect with an at-least-once source)."""
+    effect with an at-least-once source).  With ``compact_every`` the log is
+    folded into a snapshot after every so many micro-batches."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            table.compact()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
         # an empty micro-batch writes nothing and records no commit (see VersionedTable.commit)
         if dead_letter_path is None:
             table.commit(normalize(decode(batch, envelope), cfg), batch_id)
@@ -32,10 +39,10 @@ def upsert_batch(table: VersionedTable, cfg: TableConfig, envelope, dead_letter_
 
 def start_cdc(stream: DataFrame, table: VersionedTable, cfg: TableConfig, envelope, checkpoint: str,
               trigger: dict | None = None, name: str | None = None,
-              dead_letter_path: str | None = None) -> StreamingQuery:
+              dead_letter_path: str | None = None, compact_every: int | None = None) -> StreamingQuery:
     """Start the CDC apply stream (default trigger: every 15 seconds).  Without
     ``dead_letter_path`` an undecodable record stops the query (FAILFAST)."""
-    w = (stream.writeStream.foreachBatch(upsert_batch(table, cfg, envelope, dead_letter_path))
+    w = (stream.writeStream.foreachBatch(upsert_batch(table, cfg, envelope, dead_letter_path, compact_every))
          .option("checkpointLocation", checkpoint).outputMode("update"))
     if name:
         w = w.queryName(name)

@@ -5,36 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.session import path_exists
+
 
 def route_late(stream: DataFrame, ts: str, delay: str, on_time_path: str, late_path: str, checkpoint: str,
                trigger: dict | None = None) -> None:
     """Inside ``foreachBatch``: watermark = (latest event time of earlier
-    micro-batches) - delay, kept in a one-row Parquet table next to the
-    checkpoint.  Rows older than it are appended to ``late_path`` with the
-    watermark they missed; the rest go to ``on_time_path``."""
-    wm_path = checkpoint.rstrip("/") + "_watermark"
-    delay_expr = F.expr(f"INTERVAL {delay}")
+    micro-batches) - delay.  Rows older than it go to ``late_path`` with the
+    watermark they missed; the rest go to ``on_time_path``.
+
+    Each micro-batch owns the folder ``batch_id=<n>`` of both outputs and of
+    the watermark table, which holds the latest event time up to and including
+    that batch.  A replayed batch reads its predecessor's watermark again and
+    overwrites its own folders, so it changes nothing.
+    """
+    seen_path = checkpoint.rstrip("/") + "_watermark"
+
+    def folder(base: str, batch_id: int) -> str:
+        return f"{base.rstrip('/')}/batch_id={batch_id}"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.withColumn(ts, F.col(ts).cast("timestamp")).persist()
+        before = None
+        if batch_id > 0 and path_exists(spark, folder(seen_path, batch_id - 1)):
+            before = spark.read.schema("max_seen timestamp").parquet(folder(seen_path, batch_id - 1)).first()["max_seen"]
+        rows = batch.withColumn(ts, F.col(ts).cast("timestamp")).persist()
         try:
-            try:
-                prev = spark.read.parquet(wm_path).first()
-                max_seen = prev["max_seen"] if prev else None
-            except Exception:  # noqa: BLE001 - first batch: no watermark yet
-                max_seen = None
-            if max_seen is None:
-                b.write.mode("append").parquet(on_time_path)
-            else:
-                wm = F.lit(max_seen).cast("timestamp") - delay_expr
-                b.filter(F.col(ts) >= wm).write.mode("append").parquet(on_time_path)
-                b.filter(F.col(ts) < wm).withColumn("watermark", wm).write.mode("append").parquet(late_path)
-            new_max = b.agg(F.max(ts).alias("m")).first()["m"]
-            if new_max is not None and (max_seen is None or new_max > max_seen):
-                spark.createDataFrame([(new_max,)], "max_seen timestamp").write.mode("overwrite").parquet(wm_path)
+            mark = F.lit(before).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+            late = F.coalesce(F.col(ts) < mark, F.lit(False))
+            rows.filter(~late).write.mode("overwrite").parquet(folder(on_time_path, batch_id))
+            rows.filter(late).withColumn("watermark", mark).write.mode("overwrite").parquet(folder(late_path, batch_id))
+            latest = rows.agg(F.max(ts).alias("max_seen")).select(
+                F.greatest("max_seen", F.lit(before).cast("timestamp")).alias("max_seen"))
+            latest.coalesce(1).write.mode("overwrite").parquet(folder(seen_path, batch_id))
         finally:
-            b.unpersist()
+            rows.unpersist()
 
     q = (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())

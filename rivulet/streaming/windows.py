@@ -29,28 +29,10 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: list[str], delay: str) -> D
             .select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *keys, "n"))
 
 
-def _local_dedup(keys: list[str]):
-    def run(batches):
-        seen = set()                       # keys met in this task (bounded by the task's input)
-        for pdf in batches:
-            pdf = pdf.drop_duplicates(subset=keys)
-            k = list(map(tuple, pdf[keys].itertuples(index=False, name=None)))
-            mask = [x not in seen for x in k]
-            seen.update(k)
-            yield pdf[mask]
-    return run
-
-
-def dedup_within_watermark(df: DataFrame, ts: str, keys: list[str], delay: str,
-                           pre_dedup: bool = True) -> DataFrame:
-    """Stateful de-duplication; state for a key is dropped once the watermark passes it.
-
-    ``pre_dedup`` first drops copies inside each input task (Arrow batches,
-    no shuffle), so a record re-sent a huge number of times reaches the
-    stateful shuffle at most once per task.
-    """
-    if pre_dedup:
-        df = df.mapInPandas(_local_dedup(keys), df.schema)
+def dedup_within_watermark(df: DataFrame, ts: str, keys: list[str], delay: str) -> DataFrame:
+    """Stateful de-duplication; state for a key is dropped once the watermark
+    passes it.  Copies are told apart after the watermark only, so a late copy
+    never stands in for one that is on time."""
     return with_event_time(df, ts, delay).dropDuplicatesWithinWatermark(keys)
 
 

@@ -2,15 +2,20 @@
 
 Layout below ``path``::
 
-    log/batch_id=<n>/          collapsed changes of commit n (overwritten on replay)
-    snapshot/upto=<n>-<uid>/   full state as of n (written by compact / rollback; a new folder each time)
-    _history/snapshot_id=<n>/  one metadata row per commit, written last
-
-Readers only trust commits listed in ``_history``.  State as of n = newest
-snapshot m <= n, merged with the last change per key of the log batches in
-(m, n].  This is merge-on-read: a commit writes only its own changes, never
-the whole table; ``compact`` folds the log into a snapshot when reads slow
-down.  One writer per table.
+    log/batch_id=<n>/              collapsed changes of commit n (overwritten on replay)
+    snapshot/upto=<n>-<uid>/       last change of every key as of n (a new folder each time)
+    _history/snapshot_id=<n>/generation=<g>/
+                                   one metadata row per entry, written last
+
+Commits are entries of generation 0 under their micro-batch id.  Maintenance
+(compact, rollback, expire) adds an entry of the next generation under the id
+it applies to, so it never takes an id that a micro-batch will use, and a
+replayed micro-batch never replaces it.  Readers only trust listed entries:
+state as of n = last change per key of the newest snapshot entry and of the
+log batches after it.  Snapshots keep the order columns and the tombstones of
+deleted keys, so a change that arrives late meets the same rows whether the
+log was compacted or not.  This is merge-on-read: a commit writes only its own
+changes; nothing is ever rewritten in place.  One writer per table.
 """
 
 from __future__ import annotations
@@ -21,10 +26,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.cdc import ORDER_COLS, TableConfig, merge
+from rivulet.operators.cdc import ORDER_COLS, TableConfig
 from rivulet.session import path_exists
 
-HISTORY_SCHEMA = ("snapshot_id long, committed_at timestamp, operation string, base_snapshot long, "
+HISTORY_SCHEMA = ("snapshot_id long, generation int, committed_at timestamp, operation string, base_snapshot long, "
                   "added_changes long, location string")
 
 
@@ -40,26 +45,29 @@ class VersionedTable:
         self.hist_path = f"{self.path}/_history"
 
     # ------------------------------------------------------------ metadata
-    def history(self) -> DataFrame:
-        """Commits, newest first."""
+    def _listed(self) -> DataFrame:
+        """Entries that are not expired (an ``expire`` entry hides all before it)."""
         if not path_exists(self.spark, self.hist_path):
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
-        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.hist_path).orderBy(F.desc("snapshot_id"))
+        rows = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.hist_path)
+        last = rows.filter("operation = 'expire'").agg(F.max(F.struct("snapshot_id", "generation"))).first()[0]
+        if last is None:
+            return rows
+        sid, gen = last
+        return rows.filter((F.col("snapshot_id") > sid) | ((F.col("snapshot_id") == sid) & (F.col("generation") >= gen)))
 
-    def _commits(self) -> list:
-        # Metadata only: one small row per commit.
-        if not path_exists(self.spark, self.hist_path):
-            return []
-        return [r.asDict() for r in self.spark.read.schema(HISTORY_SCHEMA).parquet(self.hist_path).collect()]
+    def history(self) -> DataFrame:
+        """Entries, newest first."""
+        return self._listed().orderBy(F.desc("snapshot_id"), F.desc("generation"))
 
     def snapshot_ids(self) -> list[int]:
         """Readable snapshot ids, oldest first."""
-        return sorted(c["snapshot_id"] for c in self._commits())
+        return [r[0] for r in self._listed().select("snapshot_id").distinct().orderBy("snapshot_id").collect()]
 
     def _record(self, rows: list[tuple]) -> None:
         df = self.spark.createDataFrame(rows, HISTORY_SCHEMA)
         (df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("snapshot_id").parquet(self.hist_path))
+           .partitionBy("snapshot_id", "generation").parquet(self.hist_path))
 
     # ------------------------------------------------------------ writes
     def commit(self, changes: DataFrame, batch_id: int, committed_at: dt.datetime | None = None) -> int:
@@ -81,7 +89,7 @@ class VersionedTable:
         n = int(obs.get.get("n", 0) or 0)
         if n:
             when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-            self._record([(batch_id, when, "append", None, n, None)])
+            self._record([(batch_id, 0, when, "append", None, n, None)])
         return n
 
     def commit_many(self, changes: DataFrame, committed_at: dt.datetime | None = None,
@@ -109,11 +117,12 @@ class VersionedTable:
             hist = (collapsed.groupBy("batch_id")
                     .agg(F.max(when).cast("timestamp").alias("committed_at"),
                          F.count(F.lit(1)).alias("added_changes"))
-                    .select(F.col("batch_id").alias("snapshot_id"), "committed_at", F.lit("append").alias("operation"),
+                    .select(F.col("batch_id").alias("snapshot_id"), F.lit(0).alias("generation"), "committed_at",
+                            F.lit("append").alias("operation"),
                             F.lit(None).cast("long").alias("base_snapshot"), "added_changes",
                             F.lit(None).cast("string").alias("location")))
             hist.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-                .partitionBy("snapshot_id").parquet(self.hist_path)
+                .partitionBy("snapshot_id", "generation").parquet(self.hist_path)
         finally:
             collapsed.unpersist()
 
@@ -124,82 +133,89 @@ class VersionedTable:
             types[self.cfg.ts_col] = "timestamp"
         return self.spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in types.items()))
 
-    def resolve(self, as_of: int | None = None, ts: dt.datetime | str | None = None,
-                commits: list | None = None) -> int | None:
-        commits = self._commits() if commits is None else commits
+    def _until(self, as_of: int | None, ts: dt.datetime | str | None) -> DataFrame:
+        entries = self._listed()
         if ts is not None:
-            if isinstance(ts, str):
-                ts = dt.datetime.fromisoformat(ts)
-            commits = [c for c in commits if c["committed_at"] is not None and c["committed_at"] <= ts]
-        if as_of is not None:
-            commits = [c for c in commits if c["snapshot_id"] <= as_of]
-        return max((c["snapshot_id"] for c in commits), default=None)
+            moment = dt.datetime.fromisoformat(ts) if isinstance(ts, str) else ts
+            entries = entries.filter(F.col("committed_at") <= F.lit(moment).cast("timestamp"))
+        return entries if as_of is None else entries.filter(F.col("snapshot_id") <= as_of)
+
+    def resolve(self, as_of: int | None = None, ts: dt.datetime | str | None = None) -> int | None:
+        """The newest snapshot id, at or before an id or a time."""
+        return self._until(as_of, ts).agg(F.max("snapshot_id")).first()[0]
+
+    def _last_changes(self, as_of: int | None, ts: dt.datetime | str | None = None) -> DataFrame | None:
+        """The last change of every key, tombstones included; ``op`` is 'd' for a key that is not there."""
+        entries = self._until(as_of, ts)
+        base = entries.filter("location IS NOT NULL").orderBy(F.desc("snapshot_id"), F.desc("generation")).limit(1).first()
+        appended = entries.filter("operation = 'append'")
+        if base is not None:
+            appended = appended.filter(F.col("snapshot_id") > base["snapshot_id"])
+        columns = [*self.cfg.target_columns, "op", *ORDER_COLS, "batch_id"]
+        parts = []
+        if base is not None:
+            parts.append(self.spark.read.parquet(base["location"]).select(*columns))
+        if path_exists(self.spark, self.log_path):
+            parts.append(self.spark.read.parquet(self.log_path)
+                         .join(appended.select(F.col("snapshot_id").alias("batch_id")), "batch_id", "left_semi")
+                         .select(*columns))
+        if not parts:
+            return None
+        order = (*ORDER_COLS, "batch_id") if self.event_order else ("batch_id", *ORDER_COLS)
+        w = Window.partitionBy(self.cfg.key).orderBy(*[F.col(c).desc() for c in order])
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        last = rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        # a change without an operation updates a row that is there and never inserts
+        # one: the last change with an operation before it tells which
+        known, unknown = last.filter("op IS NOT NULL"), last.filter("op IS NULL")
+        told = rows.join(unknown.select(self.cfg.key), self.cfg.key, "left_semi").filter("op IS NOT NULL") \
+            .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+        there = told.filter("op <> 'd'").select(self.cfg.key)
+        return known.unionByName(unknown.join(there, self.cfg.key, "left_semi").withColumn("op", F.lit("u"))) \
+            .unionByName(unknown.join(there, self.cfg.key, "left_anti").withColumn("op", F.lit("d")))
 
     def state(self, as_of: int | None = None, ts: dt.datetime | str | None = None) -> DataFrame:
         """Table content as of a snapshot id or a commit time (latest by default)."""
-        commits = self._commits()
-        target = self.resolve(as_of, ts, commits)
-        if target is None:
+        last = self._last_changes(as_of, ts)
+        if last is None:
             return self._empty_state()
-        visible = [c for c in commits if c["snapshot_id"] <= target]
-        bases = [c for c in visible if c["operation"] in ("compact", "rollback")]
-        base_row = max(bases, key=lambda c: c["snapshot_id"], default=None)
-        base_id = base_row["snapshot_id"] if base_row else None
-        appended = sorted(c["snapshot_id"] for c in visible
-                          if c["operation"] == "append" and (base_id is None or c["snapshot_id"] > base_id))
-        base = (self.spark.read.parquet(base_row["location"]) if base_row is not None
-                else self._empty_state())
-        if not appended:
-            return base
-        tail = (self.spark.read.parquet(self.log_path)
-                .filter(F.col("batch_id").isin(appended)))  # partition pruning on batch_id
-        order = (*ORDER_COLS, "batch_id") if self.event_order else ("batch_id", *ORDER_COLS)
-        w = Window.partitionBy(self.cfg.key).orderBy(*[F.col(c).desc() for c in order])
-        last = tail.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-        if base_id is None:
-            # MERGE into an empty table: only inserts, i.e. changes whose op is not 'd' (a NULL op never inserts)
-            return last.filter(F.coalesce(F.col("op") != "d", F.lit(False))).select(*self.cfg.target_columns)
-        return merge(base, last, self.cfg)
+        return last.filter("op <> 'd'").select(*self.cfg.target_columns)
 
     # ------------------------------------------------------------ maintenance
-    def _publish_snapshot(self, state: DataFrame, sid: int, operation: str, base: int | None,
-                          committed_at=None, target_file_rows: int = 5_000_000) -> str:
-        """Write ``state`` to a new snapshot folder, then record it (history row last).
-        A failed write leaves an unlisted folder that no reader uses."""
-        loc = f"{self.snap_path}/upto={sid}-{uuid.uuid4().hex[:12]}"
-        state.write.mode("overwrite").option("maxRecordsPerFile", target_file_rows).parquet(loc)
-        when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self._record([(sid, when, operation, base, 0, loc)])
-        return loc
+    def _publish(self, content: int, at: int, operation: str, committed_at: dt.datetime,
+                 target_file_rows: int = 5_000_000) -> None:
+        """Write the changes as of ``content`` to a new folder, then list it under id
+        ``at`` (entry last).  A failed write leaves a folder that no reader uses."""
+        last = self._last_changes(content)
+        if last is None:
+            raise LookupError("the table has no commits")
+        loc = f"{self.snap_path}/upto={at}-{uuid.uuid4().hex[:12]}"
+        last.write.option("maxRecordsPerFile", target_file_rows).parquet(loc)
+        gen = self._listed().filter(F.col("snapshot_id") == at).agg(F.max("generation")).first()[0]
+        self._record([(at, (gen or 0) + 1, committed_at, operation, content, 0, loc)])
+
+    def _time_of(self, sid: int) -> dt.datetime:
+        return self._listed().filter(F.col("snapshot_id") == sid).agg(F.min("committed_at")).first()[0]
 
     def compact(self, upto: int | None = None, target_file_rows: int = 5_000_000) -> int:
         """Fold the log up to ``upto`` into one snapshot (files of at most ``target_file_rows`` rows);
         readers as of ``upto`` and later start from it."""
-        commits = self._commits()
-        upto = self.resolve(upto, commits=commits)
-        when = next((c["committed_at"] for c in commits if c["snapshot_id"] == upto), None)
-        self._publish_snapshot(self.state(upto), upto, "compact", upto, when, target_file_rows)
+        upto = self.resolve(upto)
+        if upto is not None:
+            self._publish(upto, upto, "compact", self._time_of(upto), target_file_rows)
         return upto
 
     def rollback(self, to: int) -> int:
-        """Publish the state as of ``to`` as a new, latest snapshot."""
+        """The state as of ``to`` becomes the latest state, until further commits."""
         latest = self.resolve()
-        new_id = (latest or 0) + 1
-        self._publish_snapshot(self.state(to), new_id, "rollback", to)
-        return new_id
+        self._publish(to, latest, "rollback", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+        return latest
 
     def expire(self, before: int) -> None:
-        """Expire history before ``before``: the state as of ``before`` becomes a
-        snapshot and older snapshot ids are no longer listed (so not readable)."""
-        self.compact(before)
-        kept = [tuple(c[k] for k in ("snapshot_id", "committed_at", "operation", "base_snapshot",
-                                     "added_changes", "location"))
-                for c in self._commits() if c["snapshot_id"] >= before]
-        staged = f"{self.hist_path}-kept-{uuid.uuid4().hex[:12]}"
-        (self.spark.createDataFrame(kept, HISTORY_SCHEMA).coalesce(1).write.mode("overwrite")
-            .partitionBy("snapshot_id").parquet(staged))
-        (self.spark.read.schema(HISTORY_SCHEMA).parquet(staged).write.mode("overwrite")
-            .option("partitionOverwriteMode", "static").partitionBy("snapshot_id").parquet(self.hist_path))
+        """Older ids than ``before`` are no longer readable; the state as of
+        ``before`` and later is unchanged.  One entry does it, so a crash leaves
+        the table as it was."""
+        self._publish(before, before, "expire", self._time_of(before))
 
     def log(self) -> DataFrame:
         return self.spark.read.parquet(self.log_path)

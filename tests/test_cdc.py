@@ -125,7 +125,7 @@ def test_versioned_table_batches_equal_one_collapse(spark, tmp_dir):
     vt.commit(ch.filter(F.col("batch_id") == last).drop("batch_id"), last)
     assert sorted(vt.state().collect()) == sorted(once.collect())
     # time travel, rollback and compaction
-    first = sorted(r["snapshot_id"] for r in vt._commits())[0]
+    first = vt.snapshot_ids()[0]
     early = sorted(vt.state(as_of=first).collect())
     vt.compact()
     assert sorted(vt.state().collect()) == sorted(once.collect())
@@ -155,3 +155,69 @@ def test_update_with_null_after_image(spark):
     out = C.apply_changes(spark.createDataFrame([], TARGET), n, C.ORDERS).collect()
     # the update without an after image keeps the key and overwrites the columns with NULL
     assert len(out) == 1 and out[0]["status"] is None and out[0]["order_id"] == 1
+
+
+def commit(vt, spark, batch, *rows):
+    vt.commit(changes(spark, [(op, t, 0, o, k, 1, "1.00", s) for op, t, o, k, s in rows]), batch)
+
+
+def statuses(vt, **kw):
+    return sorted((r["order_id"], r["status"]) for r in vt.state(**kw).collect())
+
+
+def test_rollback_stays_when_the_stream_goes_on(spark, tmp_dir):
+    vt = VersionedTable(spark, tmp_dir, C.ORDERS)
+    commit(vt, spark, 1, ("c", 10, 1, 1, "good"))
+    commit(vt, spark, 2, ("u", 20, 2, 1, "BAD"), ("c", 20, 3, 2, "BAD"))
+    vt.rollback(1)
+    assert statuses(vt) == [(1, "good")]
+    commit(vt, spark, 2, ("u", 20, 2, 1, "BAD"), ("c", 20, 3, 2, "BAD"))     # the rolled-back batch is replayed
+    commit(vt, spark, 3, ("c", 30, 4, 3, "new"))
+    assert statuses(vt) == [(1, "good"), (3, "new")] and statuses(vt, as_of=1) == [(1, "good")]
+
+
+def test_replay_after_expire_loses_nothing(spark, tmp_dir):
+    vt = VersionedTable(spark, tmp_dir, C.ORDERS)
+    commit(vt, spark, 1, ("c", 10, 1, 1, "a"))
+    commit(vt, spark, 2, ("c", 20, 2, 2, "b"))
+    commit(vt, spark, 3, ("c", 30, 3, 3, "c"))
+    vt.expire(2)
+    commit(vt, spark, 2, ("c", 20, 2, 2, "b"))
+    commit(vt, spark, 1, ("c", 10, 1, 1, "a"))
+    assert statuses(vt) == [(1, "a"), (2, "b"), (3, "c")] and statuses(vt, as_of=2) == [(1, "a"), (2, "b")]
+    assert vt.snapshot_ids() == [2, 3] and statuses(vt, as_of=1) == []
+
+
+def test_event_order_with_and_without_compaction(spark, tmp_dir):
+    found = []
+    for compacted in (False, True):
+        vt = VersionedTable(spark, f"{tmp_dir}/{compacted}", C.ORDERS, event_order=True)
+        commit(vt, spark, 1, ("c", 100, 1, 1, "newest"), ("c", 50, 2, 2, "x"), ("d", 90, 3, 2, "x"), (None, 10, 9, 5, "?"))
+        if compacted:
+            vt.compact()
+        commit(vt, spark, 2, ("u", 60, 4, 1, "older"), ("u", 70, 5, 2, "older"), (None, 200, 6, 1, "none"), (None, 200, 7, 9, "none"))
+        if compacted:
+            vt.compact()
+        commit(vt, spark, 3, ("u", 95, 8, 1, "late"))
+        found.append(statuses(vt))
+    # an update without an operation meets the row that is there; one without a row does nothing
+    assert found == [[(1, "none")], [(1, "none")]]
+
+
+def test_guard_breaks_ties_by_partition_and_offset(spark):
+    t = seed(spark).withColumns({"ts_ms": F.lit(100).cast("long"), "partition": F.lit(0), "offset": F.lit(5).cast("long")})
+    ch = changes(spark, [("u", 100, 0, 6, 1, 9, "1.00", "NEWER"), ("u", 100, 0, 4, 2, 9, "1.00", "OLDER")])
+    out = as_dict(C.merge(t, C.collapse(ch, C.ORDERS), C.ORDERS, guard=True))
+    assert out[1] == (9, "NEWER") and out[2] == (1, "PAID")
+
+
+def test_the_log_is_written_once(spark):
+    sf = "/root/testdata/sf0.001"
+    first = spark.read.schema(L.LOG_SCHEMA).parquet(L.events_change_log(spark, sf))
+    n = first.count()
+    path = L.events_change_log(spark, sf)
+    second = spark.read.schema(L.LOG_SCHEMA).parquet(path)
+    from rivulet.session import file_statuses
+    before = file_statuses(spark, path)
+    assert L.events_change_log(spark, sf) == path and file_statuses(spark, path) == before
+    assert first.count() == second.count() == n > 0
