@@ -198,9 +198,6 @@ EXPECTED_FACT_COLUMNS = ["product_id", "order_id", "quantity", "unit_price", "cu
                          "status", "name", "category", "price", "revenue"]
 
 
-BAD_ITEM_SQL = "NOT coalesce(order_id IS NOT NULL AND product_id IS NOT NULL AND quantity > 0 AND unit_price >= 0, false)"
-
-
 @register("contract_checks", sql=f"""
 WITH f AS ({FACT_SQL}),
 typed AS ({TYPED_ITEMS_SQL}),
@@ -217,7 +214,7 @@ broken(check_name, detail) AS (
   UNION ALL SELECT 'sales_consistent', (SELECT CAST(count(DISTINCT (strftime(order_timestamp, '%Y-%m'), category)) AS BIGINT)
     FROM f WHERE status = 'SHIPPED')
   UNION ALL SELECT 'invalid_in_errors', (SELECT CAST(count(*) AS BIGINT) FROM typed
-    WHERE {BAD_ITEM_SQL} AND NOT coalesce(quantity <= 0, false))
+    WHERE (quantity IS NULL OR quantity <= 0) AND order_id IS NOT NULL AND product_id IS NOT NULL AND unit_price >= 0)
   UNION ALL SELECT 'gold_not_empty', CAST(0 AS BIGINT))
 SELECT 'clean' AS run, check_name, CASE check_name WHEN 'gold_not_empty' THEN detail > 0 ELSE detail = 0 END AS passed, detail
 FROM clean
