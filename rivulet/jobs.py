@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import time
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,7 +13,9 @@ from rivulet.context import DailyRun
 from rivulet.operators import cdc as C
 from rivulet.operators import gold as G
 from rivulet.operators import quality as Q
+from rivulet.operators import rules as R
 from rivulet.operators import silver as S
+from rivulet.session import scratch_path
 from rivulet.sinks.tables import write_table
 from rivulet.sources import changelog as L
 from rivulet.sources.files import read_bronze
@@ -18,31 +23,66 @@ from rivulet.streaming.cdc import start_cdc
 from rivulet.table import VersionedTable
 
 
-def run_medallion(spark: SparkSession, base: str, ctx: DailyRun, gate: bool = True,
-                  id_type: str = "string") -> dict:
-    """bronze (landed files of ``ctx.ingestion_date``) -> silver (typed, masked,
-    de-duplicated, bad rows in ``silver.data_quality_errors``) -> gold (fact,
-    marts).  The fact is written once and read back for the marts instead of
-    being recomputed for every output.  With ``gate`` the run stops before gold
-    when a quality suite fails."""
-    from rivulet.plans.quality import item_rules, order_rules, customer_rules, _suite
-    day = ctx.ingestion_date
-    customers = S.silver_customers(read_bronze(spark, base, "customers", day, "json",
-                                               "customer_id string, name string, email string, phone string, "
-                                               "country string, segment string"))
-    products = read_bronze(spark, base, "products", day, "csv")
-    orders_raw = read_bronze(spark, base, "orders", day, "csv")
-    items = S.typed_items(read_bronze(spark, base, "order_items", day, "csv"), id_type=id_type)
-    items_ok, item_errors = Q.route(items, item_rules(), "order_items", items["order_id"].cast("string"), ctx.batch_id)
-    orders_ok, order_errors = Q.route(orders_raw, order_rules(), "orders", orders_raw["order_id"], ctx.batch_id)
-    _, cust_errors = Q.route(customers, customer_rules(), "customers", customers["customer_id"], ctx.batch_id)
-    write_table(item_errors.unionByName(order_errors).unionByName(cust_errors), "silver.data_quality_errors")
+#: Columns of the raw datasets, all read as strings.
+RAW_COLUMNS = {
+    "customers": ("customer_id", "first_name", "last_name", "email", "phone", "country", "created_at"),
+    "products": ("product_id", "name", "category", "price"),
+    "orders": ("order_id", "customer_id", "order_timestamp", "status"),
+    "order_items": ("order_id", "product_id", "quantity", "unit_price"),
+}
+KEYS = {"customers": ["customer_id"], "products": ["product_id"], "orders": ["order_id"],
+        "order_items": ["order_id", "product_id"]}
+RULES = {"customers": R.customer_rules, "products": R.product_rules, "orders": R.order_rules, "order_items": R.item_rules}
+GATE_THRESHOLD = 0.05
+
+
+def _to_silver(spark: SparkSession, base: str, name: str, columns: tuple[str, ...], run: DailyRun, id_type: str):
+    """(valid rows, error rows, verdict, metrics) of one raw dataset, which is parsed and tagged once."""
+    started = time.monotonic()
+    fmt = "json" if name == "customers" else "csv"
+    raw = read_bronze(spark, base, name, run.ingestion_date, fmt, ", ".join(f"{c} string" for c in columns),
+                      source_file="source_file")
+    if name == "order_items":
+        raw = S.typed_items(raw, id_type, keep=("source_file",))
+    observed, counters = Q.observe_job(Q.tag(raw, RULES[name]()), name, KEYS[name])
+    path = scratch_path(spark, f"tagged_{name}")
+    observed.write.parquet(path)
+    tagged = spark.read.parquet(path)
+    payload = [c for c in raw.columns if c != "source_file"]
+    record = F.concat_ws("-", *[F.col(c).cast("string") for c in KEYS[name]])
+    valid, errors = Q.split(tagged, name, record, run.batch_id, F.col("source_file"), payload)
+    valid = valid.drop("source_file")
+    if name == "customers":
+        rows = S.silver_customers(valid)
+    else:
+        rows = S.keep_last(S.typed_orders(valid, id_type=id_type) if name == "orders" else valid, KEYS[name],
+                           [F.col("order_timestamp").desc_nulls_last()] if name == "orders" else [])
+    write_table(rows, f"silver.{name}")
+    seen = counters.get
+    written = spark.table(f"silver.{name}").count()
+    metrics = (f"silver_{name}", run.batch_id, seen["read"], written, seen["rejected"],
+               seen["read"] - seen["rejected"] - written, seen["null_keys"], time.monotonic() - started, "SUCCESS")
+    return errors, Q.suite(tagged, name, GATE_THRESHOLD), metrics
+
+
+def run_medallion(spark: SparkSession, base: str, run: DailyRun, gate: bool = True, id_type: str = "string",
+                  columns: dict[str, tuple[str, ...]] | None = None) -> dict:
+    """bronze (landed files of the run's day) -> silver (typed, masked, one row per
+    key, bad rows in ``silver.data_quality_errors`` with their source file,
+    counters in ``silver.job_metrics``) -> gold (fact, marts).
+
+    ``columns`` replaces the raw columns of a dataset.  Each raw dataset is
+    parsed once; the fact is written once and read back for the marts.  With
+    ``gate`` the run stops before gold when a dataset's rejected share is too high.
+    """
+    names = {**RAW_COLUMNS, **(columns or {})}
+    errors, verdicts, metrics = zip(*(_to_silver(spark, base, n, c, run, id_type) for n, c in names.items()))
+    write_table(reduce(DataFrame.unionByName, errors), "silver.data_quality_errors")
+    write_table(spark.createDataFrame(list(metrics), "job string, batch_id string, read long, written long, rejected long, "
+                                      "duplicates long, null_keys long, duration_seconds double, status string"),
+                "silver.job_metrics")
     if gate:
-        Q.gate(_suite(items, item_rules(), "order_items").unionByName(_suite(orders_raw, order_rules(), "orders")))
-    orders = S.typed_orders(orders_ok, id_type=id_type)
-    for name, df in (("customers", customers), ("products", products), ("orders", orders),
-                     ("order_items", items_ok)):
-        write_table(df, f"silver.{name}")
+        Q.gate(reduce(DataFrame.unionByName, verdicts))
     prod = spark.table("silver.products").withColumn("product_id", F.col("product_id").try_cast(id_type))
     fact = G.fact_sales(spark.table("silver.order_items"), spark.table("silver.orders").drop("order_date"), prod)
     write_table(fact, "gold.fact_sales")
@@ -51,7 +91,7 @@ def run_medallion(spark: SparkSession, base: str, ctx: DailyRun, gate: bool = Tr
     write_table(G.customer_lifetime_value(fact), "gold.customer_lifetime_value")
     write_table(prod, "gold.dim_product")
     write_table(spark.table("silver.customers"), "gold.dim_customer")
-    return {"batch_id": ctx.batch_id, "gold_tables": 5}
+    return {"batch_id": run.batch_id, "gold_tables": 5}
 
 
 def run_cdc(spark: SparkSession, log_path: str, table_path: str, checkpoint: str,

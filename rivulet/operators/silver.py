@@ -35,15 +35,15 @@ def silver_customers(raw: DataFrame) -> DataFrame:
     return keep_last(masked, ["customer_id"], latest)
 
 
-def typed_items(raw: DataFrame, id_type: str = "long") -> DataFrame:
+def typed_items(raw: DataFrame, id_type: str = "long", keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw string order items -> typed; a bad number becomes NULL (try_cast), never an error.
-    ``id_type="string"`` keeps business keys such as ``O001`` as they are."""
+    ``id_type="string"`` keeps business keys such as ``O001`` as they are; ``keep`` carries further columns."""
     q = F.col("quantity").try_cast("decimal(12,2)")
     p = F.col("unit_price").try_cast("decimal(12,2)")
     return raw.select(F.col("order_id").try_cast(id_type).alias("order_id"),
                       F.col("product_id").try_cast(id_type).alias("product_id"),
                       q.alias("quantity"), p.alias("unit_price"),
-                      (q * p).cast("decimal(18,4)").alias("line_total"))
+                      (q * p).cast("decimal(18,4)").alias("line_total"), *keep)
 
 
 def typed_orders(raw: DataFrame, statuses: list[str] | None = None, id_type: str = "long") -> DataFrame:

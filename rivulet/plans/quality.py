@@ -13,9 +13,9 @@ from rivulet.operators import joins as J
 from rivulet.operators import quality as Q
 from rivulet.operators import silver as S
 from rivulet.operators.profile import exact_percentiles
+from rivulet.operators.rules import EMAIL_RE, customer_rules, item_rules, order_rules
 from rivulet.plans import lake
 from rivulet.plans.cdc import MERGED_SQL, ORDERS_TARGET_SQL, cdc_merge, orders_target
-from rivulet.plans.explore import STATUS_CATALOGUE
 from rivulet.plans.gold import fact
 from rivulet.plans.lake import RAW_CUSTOMERS_SQL, RAW_ITEMS_SQL, RAW_ORDERS_SQL
 from rivulet.plans.registry import register
@@ -24,39 +24,9 @@ from rivulet.plans.sqlparts import FACT_SQL
 from rivulet.session import scratch_path
 from rivulet.sources import tables as T
 
-STATUSES = [s for s, _ in STATUS_CATALOGUE]
-# Fixed value: e-mail format rule.
-EMAIL_RE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 GATE_THRESHOLD = 0.05
 
 
-def item_rules():
-    q, p = F.col("quantity"), F.col("unit_price")
-    return [
-        Q.Rule("ITEM_KEY_NULL", "error", F.col("order_id").isNull() | F.col("product_id").isNull(),
-               "order_id and product_id are required"),
-        Q.Rule("QTY_NOT_POSITIVE", "error", q.isNull() | (q <= 0), "quantity must be > 0"),
-        Q.Rule("PRICE_NEGATIVE", "error", p.isNull() | (p < 0), "unit_price must be >= 0"),
-    ]
-
-
-def order_rules():
-    raw_ts = F.col("order_timestamp")
-    return [
-        Q.Rule("ORDER_KEY_NULL", "error", F.col("order_id").isNull(), "order_id is required"),
-        Q.Rule("CUSTOMER_KEY_NULL", "error", F.col("customer_id").isNull(), "customer_id is required"),
-        Q.Rule("BAD_DATE", "error", raw_ts.isNotNull() & F.try_to_timestamp(raw_ts).isNull(),
-               "order_timestamp is not a valid timestamp"),
-        Q.Rule("BAD_STATUS", "error", ~F.coalesce(S.norm(F.col("status")).isin(STATUSES), F.lit(False)),
-               "status outside the catalogue"),
-    ]
-
-
-def customer_rules():
-    return [Q.Rule("BAD_EMAIL", "warning", ~F.coalesce(F.col("email").rlike(EMAIL_RE), F.lit(False)),
-                   "email has no valid format; masked and kept")]
-
-
 def routed_items(spark, sf):
     raw = bronze(spark, sf, "order_items")
     typed = S.typed_items(raw)
@@ -140,13 +110,7 @@ def dq_summary(spark, sf):
 
 
 def _suite(df, rules, name):
-    tagged = Q.tag(df, rules)
-    bad = F.exists("_violations", lambda v: v["severity"] == "error")
-    return tagged.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, 1)).alias("rejected")).select(
-        F.lit(name).alias("suite"), "rows", "rejected",
-        F.round(F.col("rejected") / F.col("rows"), 6).alias("reject_ratio"),
-        F.lit(GATE_THRESHOLD).alias("threshold"),
-        (F.col("rejected") / F.col("rows") <= GATE_THRESHOLD).alias("passed"))
+    return Q.suite(Q.tag(df, rules), name, GATE_THRESHOLD)
 
 
 GATE_SQL = f"""

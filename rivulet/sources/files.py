@@ -26,8 +26,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_bronze(spark: SparkSession, base: str, dataset: str, ingestion_date: str, fmt: str,
-                schema: T.StructType | str | None = None, keep_partition: bool = False) -> DataFrame:
-    """One day of a landed dataset.
+                schema: T.StructType | str | None = None, keep_partition: bool = False,
+                source_file: str | None = None) -> DataFrame:
+    """One day of a landed dataset; ``source_file`` names a column for the path of each row's file.
 
     Reads the dataset root and filters on the ``ingestion_date`` partition
     column, so only that day's folder is listed and read (partition pruning);
@@ -38,5 +39,7 @@ def read_bronze(spark: SparkSession, base: str, dataset: str, ingestion_date: st
         df = read_json(spark, root, schema)
     else:
         df = read_csv(spark, root, schema)
+    if source_file:
+        df = df.select("*", F.col("_metadata.file_path").alias(source_file))
     df = df.filter(F.col("ingestion_date") == F.lit(ingestion_date).cast("date"))
     return df if keep_partition else df.drop("ingestion_date")

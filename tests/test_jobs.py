@@ -3,38 +3,87 @@
 import json
 from decimal import Decimal
 
+import pytest
+
 from rivulet.context import DailyRun
 from rivulet.jobs import run_medallion
-from rivulet.sinks.files import land_raw
 from rivulet.sources.schemas import normalize_schema_text, value_schema
 
 
-def test_medallion_on_sample_rows(spark, tmp_dir):
-    ctx = DailyRun.for_day("2026-05-20")
-    customers = spark.createDataFrame(
-        [("C001", "Ana Lopez", "ana@example.com", "+15550001", "US", "retail"),
-         ("C002", "Luis Perez", "luis@example.com", "+15550002", "US", "retail")],
-        "customer_id string, name string, email string, phone string, country string, segment string")
-    products = spark.createDataFrame([("P001", "Keyboard", "Accessories", "49.9"), ("P002", "Mouse", "Accessories", "24.9")],
-                                     "product_id string, name string, category string, price string")
-    orders = spark.createDataFrame([("O001", "C001", "2026-05-20T12:00:00Z", "PAID"),
-                                    ("O002", "C002", "2026-05-20T13:00:00Z", "PAID")],
-                                   "order_id string, customer_id string, order_timestamp string, status string")
-    items = spark.createDataFrame([("O001", "P001", "1", "49.9"), ("O002", "P002", "2", "24.9")],
-                                  "order_id string, product_id string, quantity string, unit_price string")
-    land_raw(customers, tmp_dir, "customers", ctx, fmt="json")
-    for name, df in (("products", products), ("orders", orders), ("order_items", items)):
-        land_raw(df, tmp_dir, name, ctx)
-    land_raw(items, tmp_dir, "order_items", ctx)            # a rerun of the day replaces it
-    out = run_medallion(spark, tmp_dir, ctx)
-    assert out == {"batch_id": "batch_20260520", "gold_tables": 5}
-    m = spark.table("gold.sales_by_month").collect()
-    assert [(r["sales_month"], r["category"], r["revenue"]) for r in m] == [("2026-05", "Accessories", Decimal("99.7000"))]
-    ltv = {r["customer_id"]: r["lifetime_value"] for r in spark.table("gold.customer_lifetime_value").collect()}
-    assert ltv == {"C001": Decimal("49.9000"), "C002": Decimal("49.8000")}
-    masked = {r["customer_id"]: (r["email_masked"], r["phone_masked"]) for r in spark.table("silver.customers").collect()}
-    assert masked["C001"] == ("an***", "+1***")
+# The sample files.
+CUSTOMERS = """[
+  {
+    "customer_id": "C001",
+    "first_name": "Ana",
+    "last_name": "Lopez",
+    "email": "ana@example.com",
+    "phone": "+15550001",
+    "country": "US",
+    "created_at": "2026-05-20T10:00:00Z"
+  },
+  {
+    "customer_id": "C002",
+    "first_name": "Luis",
+    "last_name": "Perez",
+    "email": "luis@example.com",
+    "phone": "+15550002",
+    "country": "US",
+    "created_at": "2026-05-20T11:00:00Z"
+  }
+]"""
+FILES = {
+    "customers": CUSTOMERS,
+    "products": "product_id,name,category,price\nP001,Keyboard,Accessories,49.9\nP002,Mouse,Accessories,24.9\n",
+    "orders": "order_id,customer_id,order_timestamp,status\nO001,C001,2026-05-20T12:00:00Z,PAID\n"
+              "O002,C002,2026-05-20T13:00:00Z,PAID\n",
+    "order_items": "order_id,product_id,quantity,unit_price\nO001,P001,1,49.9\nO002,P002,2,24.9\n",
+}
+
+
+def land(spark, base, files):
+    for name, text in files.items():
+        spark.createDataFrame([(text.rstrip("\n"),)], "value string").coalesce(1).write.mode("append") \
+            .text(f"{base}/bronze/{name}/ingestion_date=2026-05-20")
+
+
+def rows(spark, table, *columns):
+    return sorted(map(tuple, spark.table(table).select(*columns).collect()))
+
+
+def test_medallion_on_the_sample_files(spark, tmp_dir):
+    land(spark, tmp_dir, FILES)
+    assert run_medallion(spark, tmp_dir, DailyRun.for_day("2026-05-20")) == {"batch_id": "batch_20260520", "gold_tables": 5}
+    assert rows(spark, "gold.sales_by_month", "sales_month", "category", "revenue") == [("2026-05", "Accessories", Decimal("99.7000"))]
+    assert rows(spark, "gold.customer_lifetime_value", "customer_id", "lifetime_value") == [
+        ("C001", Decimal("49.9000")), ("C002", Decimal("49.8000"))]
+    assert rows(spark, "silver.customers", "customer_id", "first_name", "last_name", "created_at", "email_masked", "phone_masked") == [
+        ("C001", "Ana", "Lopez", "2026-05-20T10:00:00Z", "an***", "+1***"),
+        ("C002", "Luis", "Perez", "2026-05-20T11:00:00Z", "lu***", "+1***")]
     assert spark.table("silver.data_quality_errors").count() == 0
+    counted = rows(spark, "silver.job_metrics", "job", "read", "written", "rejected", "duplicates", "null_keys", "status")
+    assert counted == [(f"silver_{n}", 2, 2, 0, 0, 0, "SUCCESS") for n in ("customers", "order_items", "orders", "products")]
+    assert spark.table("silver.job_metrics").where("duration_seconds > 0").count() == 4
+
+
+def test_bad_and_repeated_rows(spark, tmp_dir):
+    land(spark, tmp_dir, FILES)
+    land(spark, tmp_dir, {
+        "customers": CUSTOMERS.replace("2026-05-20T10", "2026-05-21T10").replace("Ana", "Anna").replace("luis@", "luis"),
+        "products": "product_id,name,category,price\nP003,Cable,Accessories,-1\n",
+        "orders": "order_id,customer_id,order_timestamp,status\nO001,C001,2026-05-20T15:00:00Z,REFUNDED\n"
+                  "O003,C001,2026-05-20T15:00:00Z,RETURNED\n,C001,2026-13-40,PAID\n",
+        "order_items": "order_id,product_id,quantity,unit_price\nO001,P001,0,49.9\nO001,P001,1,49.9\n"})
+    run_medallion(spark, tmp_dir, DailyRun.for_day("2026-05-20"), gate=False)
+    found = spark.table("silver.data_quality_errors")
+    assert sorted((r.source_table, r.error_code) for r in found.collect()) == [
+        ("customers", "BAD_EMAIL"), ("order_items", "QTY_NOT_POSITIVE"), ("orders", "BAD_DATE"), ("orders", "BAD_STATUS"),
+        ("orders", "ORDER_KEY_NULL"), ("products", "PRICE_NEGATIVE")]
+    assert found.where("source_file LIKE '%ingestion_date=2026-05-20%'").count() == 6
+    assert rows(spark, "silver.orders", "order_id", "status") == [("O001", "REFUNDED"), ("O002", "PAID")]
+    assert ("C001", "Anna") in rows(spark, "silver.customers", "customer_id", "first_name")
+    assert rows(spark, "silver.job_metrics", "job", "read", "written", "rejected", "duplicates")[2] == ("silver_orders", 5, 2, 2, 1)
+    with pytest.raises(RuntimeError, match="orders"):
+        run_medallion(spark, tmp_dir, DailyRun.for_day("2026-05-20"))
 
 
 def test_value_schema_lookup():
