@@ -85,3 +85,14 @@ def test_lookup_finds_all_keys_and_no_other():
     value, found = table.get(keys)
     assert found[::2].all() and not found[1::2].any() and (value[::2] == keys[::2] * 0.5).all()
     assert not Lookup(keys[:0], keys[:0] * 0.5).get(keys)[1].any()
+
+
+def test_edge_cases(spark, docs, clashing):
+    from tests.llm.conftest import DOCS
+
+    rows = [("" if i is None else i, t) for i, t, *_ in DOCS]
+    want = sorted(map(str, (("None" if r[0] == "" else r[0], *r[1:5], *(f"{x:.9g}" for x in r[5:])) for r in brute(rows))))
+    flag = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    for frame in (docs, clashing):
+        got = scores(spark, frame, flag, word_share=0.001, gram_share=0.001).collect()
+        assert sorted(map(str, (("None" if r[0] is None else r[0], *r[1:5], *(f"{x:.9g}" for x in r[5:])) for r in got))) == want
