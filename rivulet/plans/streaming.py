@@ -17,7 +17,7 @@ from rivulet.sources import changelog as L
 from rivulet.sources import tables as TB
 from rivulet.streaming import windows as W
 from rivulet.streaming.cdc import start_cdc
-from rivulet.streaming.run import progress_frame, to_parquet_available_now
+from rivulet.streaming.run import ProgressLog, to_parquet_available_now
 from rivulet.table import VersionedTable
 
 EVENTS_SCHEMA = T.StructType([
@@ -69,11 +69,18 @@ def cdc_stream_merge(spark, sf):
     return vt.state()
 
 
-@register("stream_progress")
+@register("stream_progress", sql="""
+SELECT CAST(sum(1) AS BIGINT) AS num_input_rows, true AS consecutive, true AS timed FROM events
+""")
 def stream_progress(spark, sf):
-    """Per micro-batch metrics of the CDC stream (batch id, input rows, rates, trigger time)."""
+    """Per micro-batch metrics of the CDC stream, from the progress table: all rows
+    are accounted for, batch ids are consecutive from 0, every batch has its times."""
+    log = ProgressLog(spark, scratch_path(spark, "progress"))
     _, q = streamed_table(spark, sf, "orders_stream_progress")
-    return progress_frame(spark, q)
+    rows = log.close().filter(F.col("query_id") == str(q.id)).filter("num_input_rows > 0")
+    return rows.agg(F.sum("num_input_rows").alias("num_input_rows"),
+                    ((F.min("batch_id") == 0) & (F.max("batch_id") + 1 == F.count_distinct("batch_id"))).alias("consecutive"),
+                    F.bool_and((F.col("batch_seconds") > 0) & (F.col("lag_seconds") >= 0)).alias("timed"))
 
 
 @register("cdc_backfill", sql=f"""

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import time
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-PROGRESS_SCHEMA = ("batch_id long, num_input_rows long, input_rows_per_second double, "
-                   "processed_rows_per_second double, trigger_ms long, query_name string")
-
+from rivulet.session import path_exists
 
 def to_parquet_available_now(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Append a stream to Parquet, processing everything available, then stop."""
@@ -17,35 +18,36 @@ def to_parquet_available_now(df: DataFrame, path: str, checkpoint: str, mode: st
     return q
 
 
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Per micro-batch metrics of a finished or running query (one small row per batch)."""
-    rows = []
-    for p in query.recentProgress:
-        rows.append((int(p["batchId"]), int(p.get("numInputRows") or 0), float(p.get("inputRowsPerSecond") or 0.0),
-                     float(p.get("processedRowsPerSecond") or 0.0),
-                     int((p.get("durationMs") or {}).get("triggerExecution") or 0), p.get("name")))
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+class ProgressLog:
+    """Per micro-batch metrics of streaming queries, appended to a table as they
+    are reported: none is lost when a query runs longer than Spark's own history.
 
+    ``batch_seconds`` is the trigger's run time, ``lag_seconds`` the time from
+    the batch's start to its report, and ``checkpoint_age_seconds`` the time
+    since the batch before it was reported.
+    """
 
-class ProgressCollector:
-    """Collect per-batch progress of streaming queries through a listener
-    (batch id, input rows, rates, trigger time) and expose it as a DataFrame."""
+    SCHEMA = ("query_id string, query_name string, batch_id long, num_input_rows long, input_rows_per_second double, "
+              "processed_rows_per_second double, batch_seconds double, lag_seconds double, checkpoint_age_seconds double")
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, path: str):
         from pyspark.sql.streaming import StreamingQueryListener
 
-        self.spark, self.rows = spark, []
-        outer = self
+        self.spark, self.path = spark, path
+        log, last = self, {}
 
-        class _Listener(StreamingQueryListener):
+        class Listener(StreamingQueryListener):
             def onQueryStarted(self, event):
                 pass
 
             def onQueryProgress(self, event):
-                p = event.progress
-                outer.rows.append((int(p.batchId), int(p.numInputRows), float(p.inputRowsPerSecond or 0.0),
-                                   float(p.processedRowsPerSecond or 0.0),
-                                   int((p.durationMs or {}).get("triggerExecution", 0)), p.name))
+                p, now = event.progress, time.time()
+                began = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).timestamp()
+                row = (str(p.id), p.name, int(p.batchId), int(p.numInputRows), float(p.inputRowsPerSecond or 0.0),
+                       float(p.processedRowsPerSecond or 0.0), (p.durationMs or {}).get("triggerExecution", 0) / 1000,
+                       now - began, now - last.get(p.id, began))
+                last[p.id] = now
+                spark.createDataFrame([row], log.SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
             def onQueryIdle(self, event):
                 pass
@@ -53,11 +55,13 @@ class ProgressCollector:
             def onQueryTerminated(self, event):
                 pass
 
-        self.listener = _Listener()
+        self.listener = Listener()
         spark.streams.addListener(self.listener)
 
-    def frame(self) -> DataFrame:
-        return self.spark.createDataFrame(list(self.rows), PROGRESS_SCHEMA)
-
-    def close(self) -> None:
+    def close(self) -> DataFrame:
+        """Stop listening, after what is under way is written; returns the table (one row per batch)."""
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
         self.spark.streams.removeListener(self.listener)
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path)

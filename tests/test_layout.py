@@ -59,16 +59,13 @@ def test_upsert_table(spark):
 
 def test_progress_listener(spark):
     from rivulet.session import scratch_path
-    from rivulet.streaming.run import ProgressCollector, to_parquet_available_now
+    from rivulet.streaming.run import ProgressLog, to_parquet_available_now
     src_dir = scratch_path(spark, "src")
     table(spark, SF, "region").write.parquet(src_dir)
-    pc = ProgressCollector(spark)
+    log = ProgressLog(spark, scratch_path(spark, "progress"))
     try:
         to_parquet_available_now(spark.readStream.schema("r_regionkey int, r_name string").parquet(src_dir),
                                  scratch_path(spark, "out"), scratch_path(spark, "ck"))
-        import time
-        time.sleep(1)
-        rows = pc.frame().collect()
     finally:
-        pc.close()
+        rows = log.close().collect()
     assert sum(r["num_input_rows"] for r in rows) == 5
