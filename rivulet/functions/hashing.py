@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 
 def surrogate_key(*cols: Column | str) -> Column:
-    """SHA-256 over the key columns joined with ``~`` (NULL parts are skipped)."""
-    return F.sha2(F.concat_ws("~", *[F.col(c) if isinstance(c, str) else c for c in cols]), 256)
+    """SHA-256 over the key columns joined with ``~``; a NULL part is a NUL
+    character, so that ("a", NULL) and (NULL, "a") are different keys."""
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\x00")) for c in cols]
+    return F.sha2(F.concat_ws("~", *parts), 256)
 
 
 def md5_prefix_int(*cols: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.functions.frames import frame_schema_id, strip_frame, strip_frame_lenient
+from rivulet.functions.frames import add_frame, frame_schema_id, strip_frame, strip_frame_lenient
 from rivulet.operators import cdc as C
 from rivulet.plans.registry import register
 from rivulet.plans.sqlparts import STATUS_SQL
@@ -207,18 +207,22 @@ def cdc_flatten(spark, sf):
 
 
 @register("cdc_dead_letter", sql=f"""
-SELECT "partition", "offset", CASE WHEN "offset" % 97 = 0 THEN 'UNPARSEABLE' END AS cause,
-       CASE WHEN "offset" % 97 = 0 THEN 'dead' ELSE 'good' END AS route,
-       CASE WHEN "offset" % 97 <> 0 THEN op END AS op
-FROM ({EVENTS_CHANGES_SQL}) e
+WITH c AS (SELECT "partition", "offset", op, CASE
+    WHEN "offset" % 89 = 0 THEN 'NULL_VALUE' WHEN "offset" % 83 = 0 THEN 'SHORT_FRAME'
+    WHEN "offset" % 97 = 0 THEN 'UNPARSEABLE' WHEN "offset" % 79 = 0 THEN 'NOT_A_CHANGE' END AS cause
+  FROM ({EVENTS_CHANGES_SQL}) e)
+SELECT "partition", "offset", cause, CASE WHEN cause IS NULL THEN 'good' ELSE 'dead' END AS route,
+       CASE WHEN cause IS NULL THEN op END AS op FROM c
 """)
 def cdc_dead_letter(spark, sf):
-    """PERMISSIVE decode with dead-letter routing.  Corruption is injected into
-    the records with offset % 97 = 0 (payload truncated); every record ends on
-    exactly one side."""
+    """PERMISSIVE decode with dead-letter routing.  One fault of each cause is
+    injected by offset: no value, less than a frame, a truncated payload, a
+    heartbeat (a record without an operation); every record ends on exactly one side."""
     log = change_log(spark, sf)
-    broken = F.col("offset") % 97 == 0
-    log = log.withColumn("value", F.when(broken, F.substring("value", 1, 20)).otherwise(F.col("value")))
+    at, v = F.col("offset"), F.col("value")
+    heartbeat = F.concat(F.substring(v, 1, 5), F.encode(F.lit('{"ts_ms": 1}'), "UTF-8"))
+    log = log.withColumn("value", F.when(at % 89 == 0, F.lit(None)).when(at % 83 == 0, F.substring(v, 1, 3))
+                         .when(at % 97 == 0, F.substring(v, 1, 20)).when(at % 79 == 0, heartbeat).otherwise(v))
     good, dead = C.split_dead_letters(log, L.ORDER_ENVELOPE)
     g = good.select("partition", "offset", F.lit(None).cast("string").alias("cause"),
                     F.lit("good").alias("route"), F.col("r.op").alias("op"))
@@ -229,6 +233,8 @@ def cdc_dead_letter(spark, sf):
 # customers captured as a second table: snapshot rows + one update per order
 CUSTOMERS_CFG = C.TableConfig("customers", "customer_id",
                               {"name": "string", "segment": "string", "last_order_id": "long"}, ts_col=None)
+CUSTOMERS_ENVELOPE = C.envelope_schema(C.row_image_schema({"customer_id": "long", **CUSTOMERS_CFG.columns}))
+CUSTOMERS_SCHEMA_ID = 2
 
 
 @register("cdc_customers", sql="""
@@ -244,8 +250,8 @@ SELECT customer_id, name, segment, last_order_id FROM ch
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY ts_ms DESC, p DESC, o DESC) = 1
 """)
 def cdc_customers(spark, sf):
-    """Multi-table capture: the same decode/normalise/collapse path driven by a
-    second table config (customers: snapshot rows, then one update per order)."""
+    """Multi-table capture: a log of a second table (customers: snapshot rows, then
+    one update per order) through decode, normalise, collapse and merge, driven by its own config."""
     c = T.table(spark, sf, "customer")
     o = T.table(spark, sf, "orders")
     snap = c.select(F.col("c_custkey").alias("customer_id"), F.lit("r").alias("op"), F.lit(0).cast("long").alias("ts_ms"),
@@ -258,8 +264,13 @@ def cdc_customers(spark, sf):
                      (F.col("o_custkey") % 4).cast("int").alias("partition"), F.col("o_orderkey").alias("offset"),
                      F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
                      F.col("o_orderkey").alias("last_order_id")))
-    changes = snap.unionByName(upd)
-    return C.collapse(changes, CUSTOMERS_CFG).select("customer_id", "name", "segment", "last_order_id")
+    image = F.struct("customer_id", "name", "segment", "last_order_id")
+    envelope = F.struct("op", "ts_ms", image.alias("after"))
+    log = snap.unionByName(upd).select("partition", "offset", F.timestamp_millis("ts_ms").alias("timestamp"),
+                                       add_frame(F.encode(F.to_json(envelope), "UTF-8"), CUSTOMERS_SCHEMA_ID).alias("value"))
+    changes = C.normalize(C.decode(log, CUSTOMERS_ENVELOPE), CUSTOMERS_CFG)
+    empty = spark.createDataFrame([], C.row_image_schema({"customer_id": "long", **CUSTOMERS_CFG.columns}))
+    return C.apply_changes(empty, changes, CUSTOMERS_CFG)
 
 
 @register("cdc_resnapshot", sql=f"""

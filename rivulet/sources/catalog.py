@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -12,19 +13,20 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
 
 def load_table(spark: SparkSession, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Table by catalog name, else by path; one clear error when neither works."""
-    errors = []
+    cause = None
     try:
         if spark.catalog.tableExists(name):
             return spark.table(name)
-        errors.append(f"{name}: not in the catalog")
-    except Exception as e:  # noqa: BLE001 - unknown catalog / namespace
-        errors.append(f"{name}: {type(e).__name__}")
+        said = [f"{name}: not in the catalog"]
+    except AnalysisException as e:  # an unknown catalog or namespace
+        cause, said = e, [f"{name}: {e}"]
     if path:
         try:
             return spark.read.format(fmt).load(path)
-        except Exception as e:  # noqa: BLE001
-            errors.append(f"{path}: {type(e).__name__}")
-    raise RuntimeError("could not load the table by name or by path: " + "; ".join(errors))
+        except AnalysisException as e:
+            cause = e
+            said.append(f"{path}: {e}")
+    raise RuntimeError("could not load the table by name or by path: " + "; ".join(said)) from cause
 
 
 def list_namespaces(spark: SparkSession) -> list[str]:

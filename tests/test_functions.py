@@ -53,3 +53,8 @@ def test_surrogate_key_is_stable(spark):
     k1 = df.select(surrogate_key(F.col("a").cast("string"), F.col("b").cast("string"))).first()[0]
     import hashlib
     assert k1 == hashlib.sha256(b"1~2").hexdigest()
+
+
+def test_surrogate_key_tells_null_parts_apart(spark):
+    rows = spark.createDataFrame([("a", None), (None, "a"), ("a", ""), (None, None)], "a string, b string")
+    assert rows.select(surrogate_key("a", "b").alias("k")).distinct().count() == 4
