@@ -166,7 +166,58 @@ def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark, read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query("op9_mixing")
+def _fill_sql(name: str, source: str, group: str) -> str:
+    """Split ``amount`` among the rows (w, cap, id) of a group by weight; what one cannot hold goes to the others."""
+    order = f"PARTITION BY {group} ORDER BY cap / w, id"
+    return f"""
+{name}_o AS (
+  SELECT *, coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+         sum(w) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wrest,
+         row_number() OVER ({order}) AS k FROM {source}),
+{name}_f AS (
+  SELECT *, min(CASE WHEN cap > (amount - used) / wrest * w THEN k END) OVER (PARTITION BY {group}) AS open_from FROM {name}_o),
+{name} AS (
+  SELECT *, CASE WHEN open_from IS NULL OR k < open_from THEN cap
+                 ELSE w * max(CASE WHEN k = open_from THEN (amount - used) / wrest END) OVER (PARTITION BY {group}) END AS x
+  FROM {name}_f)"""
+
+
+def _op9_sql() -> str:
+    from rivulet.llm.mixing import BUDGET_SHARE, MAX_EPOCHS, SEED, TREE
+
+    rows = ", ".join(f"('{d}', {TREE.domains[d]}, '{lang}', {TREE.languages[lang]}, '{s}', {TREE.sources[d][s]})"
+                     for d, lang, s in TREE.leaves())
+    return f"""
+WITH tree(domain, dw, lang, lw, source, sw) AS (
+  SELECT a, b::DOUBLE, c, d::DOUBLE, e, f::DOUBLE FROM (VALUES {rows}) v(a, b, c, d, e, f)),
+docs AS (
+  SELECT doc_id, lang, source, coalesce(t.domain, '*') AS d, CASE WHEN lang IN (SELECT lang FROM tree) THEN lang ELSE '*' END AS l,
+         CASE WHEN t.domain IS NULL THEN '*' ELSE source END AS s, md5(coalesce(text, '')) AS content,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n
+  FROM documents LEFT JOIN (SELECT DISTINCT domain, source AS src FROM tree WHERE source <> '*') t ON source = t.src),
+leaf AS (
+  SELECT tree.*, coalesce(sum(n), 0)::DOUBLE AS total, {MAX_EPOCHS} * coalesce(sum(n), 0)::DOUBLE AS room
+  FROM tree LEFT JOIN docs ON domain = d AND tree.lang = l AND tree.source = s GROUP BY ALL),
+a1 AS (SELECT 0 AS g, domain AS id, any_value(dw) AS w, sum(room) AS cap,
+              (SELECT floor({BUDGET_SHARE} * sum(total)) FROM leaf) AS amount FROM leaf GROUP BY domain),{_fill_sql("f1", "a1", "g")},
+a2 AS (SELECT domain, lang AS id, any_value(lw) AS w, sum(room) AS cap, any_value(f1.x) AS amount
+       FROM leaf JOIN f1 ON f1.id = domain GROUP BY domain, lang),{_fill_sql("f2", "a2", "domain")},
+a3 AS (SELECT leaf.domain, lang, source AS id, sw AS w, room AS cap, f2.x AS amount, total
+       FROM leaf JOIN f2 ON f2.domain = leaf.domain AND f2.id = lang),{_fill_sql("f3", "a3", "domain, lang")},
+goal AS (
+  SELECT domain, lang, id AS source, total, CASE WHEN total > 0 THEN floor(floor(x + 1e-6) / total) ELSE 0 END::BIGINT AS epochs,
+         floor(x + 1e-6) AS want FROM f3),
+keyed AS (
+  SELECT docs.*, epochs, want - epochs * total AS rest,
+         md5('{SEED}|' || (epochs + 1) || '|' || coalesce(doc_id::VARCHAR, 'null') || '|' || content) AS key
+  FROM docs JOIN goal ON domain = d AND goal.lang = l AND goal.source = s),
+placed AS (SELECT *, sum(n) OVER (PARTITION BY d, l, s ORDER BY key) AS upto FROM keyed),
+taken AS (SELECT *, epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS times FROM placed)
+SELECT doc_id, lang, source, d || '/' || l || '/' || s AS leaf, n AS n_tokens, unnest(range(1, times + 1)) AS epoch FROM taken
+"""
+
+
+@query("op9_mixing", _op9_sql())
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.mixing import mix
 
