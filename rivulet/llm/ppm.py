@@ -26,7 +26,8 @@ ORDER = 4
 WORD_SHARE = 1 / (1 << 21)
 GRAM_SHARE = 1 / (1 << 22)
 END = b"\n"
-PIECE = 1 << 22
+#: Bytes that are coded at once, when counting and when scoring, and positions looked up at once.
+PIECE, SCORED_PIECE, LOOKED_UP = 1 << 22, 1 << 20, 1 << 18
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -39,7 +40,7 @@ def coded_bytes(words: list[bytes]) -> bytes:
     return b" ".join(words) + END
 
 
-def grams_of(texts: list[bytes], order: int = ORDER):
+def grams_of(texts: list[bytes], order: int = ORDER, size_of_piece: int = PIECE):
     """(gram, owner) of every byte of the texts, in pieces of bounded size.
 
     A gram holds the ``order`` bytes before (``END`` before the text) and the byte.
@@ -48,8 +49,8 @@ def grams_of(texts: list[bytes], order: int = ORDER):
 
     def pieces():
         for i, text in enumerate(texts):
-            for at in range(0, len(text), PIECE):
-                yield i, (END * order if at == 0 else text[at - order:at]) + text[at:at + PIECE]
+            for at in range(0, len(text), size_of_piece):
+                yield i, (END * order if at == 0 else text[at - order:at]) + text[at:at + size_of_piece]
 
     def coded(parts):
         buf = np.frombuffer(b"".join(p for _, p in parts), np.uint8)
@@ -70,7 +71,7 @@ def grams_of(texts: list[bytes], order: int = ORDER):
     for piece in pieces():
         held.append(piece)
         size += len(piece[1])
-        if size >= PIECE:
+        if size >= size_of_piece:
             yield coded(held)
             held, size = [], 0
     if held:
@@ -229,9 +230,15 @@ def scores(spark: SparkSession, docs: DataFrame, held_out: Column, id_col: str =
         keys, c = word_table.value
         known = dict(zip(keys, np.log10((c + 1) / below).tolist()))
         table = Lookup(*gram_table.value)
+
+        def looked_up(coded):
+            for code, owner in coded:
+                for at in range(0, len(code), LOOKED_UP):
+                    yield code[at:at + LOOKED_UP], owner[at:at + LOOKED_UP]
+
         pair = lambda kind, t: pa.list_(pa.struct([(kind, t), ("n", pa.int64())]))
         for whole in batches:
-            for batch in slices(whole, 2 * PIECE, "txt"):
+            for batch in slices(whole, 2 * SCORED_PIECE, "txt"):
                 texts, tokens, met, base, rare = [], [], [], [], []
                 for text in binary_column(batch, "txt"):
                     words = tokens_of(text)
@@ -249,7 +256,7 @@ def scores(spark: SparkSession, docs: DataFrame, held_out: Column, id_col: str =
                         base.append(float(sum(got)))
                 score = np.zeros(len(texts))
                 odd = [[] for _ in texts]
-                for code, owner in grams_of(texts, order):
+                for code, owner in looked_up(grams_of(texts, order, SCORED_PIECE)):
                     value, found = table.get(code)
                     score += np.bincount(owner[found], weights=value[found], minlength=len(texts))
                     miss = np.stack([owner[~found].astype(np.int64), code[~found]], axis=1)
