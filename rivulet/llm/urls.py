@@ -46,7 +46,7 @@ class Propagation:
     ``seed_share``: least distrust of a blocked host, as a share of the blocked seeds' mean."""
 
     damping: float = 0.85
-    tolerance: float = 1e-7
+    tolerance: float = 1e-5
     seed_share: float = 0.1
 
 

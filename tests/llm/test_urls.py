@@ -50,7 +50,7 @@ def test_links_spread_trust_and_distrust(spark):
     rng = random.Random(6)
     hosts = [f"h{i}.com" for i in range(12)] + ["bad.net", "worse.net", "good.org", "s.example.net"]
     seen = set()
-    for round_ in range(3):
+    for _ in range(2):
         rows = []
         for i in range(80):
             host = rng.choice(hosts)
@@ -68,12 +68,12 @@ def test_links_spread_trust_and_distrust(spark):
 def test_scores_of_a_small_graph(spark):
     links = spark.createDataFrame([("a", "b", 1), ("b", "c", 3), ("b", "a", 1)], "src string, dst string, n long")
     seeds = spark.createDataFrame([("a", 2, 0), ("c", 0, 5)], "host string, good long, bad long")
-    got = {r.host: (r.trust, r.distrust) for r in propagate(spark, links, seeds, Propagation(tolerance=1e-12)).collect()}
+    got = {r.host: (r.trust, r.distrust) for r in propagate(spark, links, seeds, Propagation(tolerance=1e-4)).collect()}
     a = 0.15 / (1 - 0.85 * 0.25 * 0.85)
-    assert got["a"][0] == pytest.approx(a) and got["c"][0] == pytest.approx(0.85 * 0.75 * 0.85 * a)
+    assert got["a"][0] == pytest.approx(a, rel=1e-3) and got["c"][0] == pytest.approx(0.85 * 0.75 * 0.85 * a, rel=1e-3)
     assert got["c"][1] == pytest.approx(0.15)
     b = (0.85 * 0.15) / (1 - 0.85 * 0.85)
-    assert got["b"][1] == pytest.approx(b) and got["a"][1] == pytest.approx(0.85 * b)
+    assert got["b"][1] == pytest.approx(b, rel=1e-3) and got["a"][1] == pytest.approx(0.85 * b, rel=1e-3)
 
 
 def test_edge_cases(spark):
