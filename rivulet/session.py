@@ -133,10 +133,14 @@ def published(spark: SparkSession, name: str, build) -> str:
     """
     ref = f"{shared_dir(spark)}/published/{name}"
     key = (spark.sparkContext.applicationId, ref)
-    if key not in _PUBLISHED:
-        if not path_exists(spark, f"{ref}/_SUCCESS"):
-            folder = scratch_path(spark, name)
-            build(folder)
-            spark.createDataFrame([(folder,)], "value string").coalesce(1).write.mode("ignore").text(ref)
-        _PUBLISHED[key] = spark.read.text(ref).first()[0]
-    return _PUBLISHED[key]
+    folder = _PUBLISHED.get(key)
+    if folder is None and path_exists(spark, f"{ref}/_SUCCESS"):
+        folder = spark.read.text(ref).first()[0]
+    if folder is None or not path_exists(spark, folder):  # never built, or removed since
+        fresh = scratch_path(spark, name)
+        build(fresh)
+        spark.createDataFrame([(fresh,)], "value string").coalesce(1).write \
+            .mode("ignore" if folder is None else "overwrite").text(ref)
+        folder = spark.read.text(ref).first()[0]
+    _PUBLISHED[key] = folder
+    return folder

@@ -221,3 +221,15 @@ def test_the_log_is_written_once(spark):
     before = file_statuses(spark, path)
     assert L.events_change_log(spark, sf) == path and file_statuses(spark, path) == before
     assert first.count() == second.count() == n > 0
+
+
+def test_a_published_folder_that_was_removed_is_built_again(spark):
+    from rivulet.session import _file_system, published, scratch_path
+    name = scratch_path(spark, "p").rsplit("/", 1)[-1]
+    build = lambda folder: spark.range(3).write.parquet(folder)
+    first = published(spark, name, build)
+    assert published(spark, name, build) == first
+    fs, path = _file_system(spark, first)
+    assert fs.delete(path, True)
+    again = published(spark, name, build)
+    assert again != first and published(spark, name, build) == again and spark.read.parquet(again).count() == 3
