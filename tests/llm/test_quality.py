@@ -98,3 +98,40 @@ def test_whole_table_by_brute_force(spark):
     passed_base = [r for r in got.values() if r.doc_id in good and not r.base_failed]
     assert passed_base and all(r.kept for r in passed_base)
     assert docs.where(F.col("doc_id").isNull()).count() == 0
+
+
+def clean_text(table, lang, n_bytes):
+    """Distinct lines of texts labelled good, in a seeded order, joined up to ``n_bytes``."""
+    import pyarrow.dataset as ds
+    import pyarrow.parquet as pq
+
+    labels = pq.read_table(f"/root/testdata/{table}/labels.parquet", columns=["doc_id", "quality"]).to_pylist()
+    good, lines, held = {r["doc_id"] for r in labels if r["quality"] == 1}, {}, 0
+    docs = ds.dataset(f"/root/testdata/{table}/documents.parquet")
+    for batch in docs.to_batches(columns=["doc_id", "lang", "text"], batch_size=4096):
+        for r in batch.to_pylist():
+            if r["lang"] == lang and r["doc_id"] in good:
+                for x in r["text"].encode().split(b"\n"):
+                    if x.strip() and x not in lines:
+                        lines[x] = True
+                        held += len(x) + 1
+        if held > 1.1 * n_bytes:
+            break
+    assert held > n_bytes
+    lines = list(lines)
+    random.Random(9).shuffle(lines)
+    return b"\n".join(lines)[:n_bytes].decode(errors="ignore").encode()
+
+
+def test_very_long_clean_texts_stay():
+    judge = Judge(Bands())
+    for lang in ("de", "en", "es", "fr"):
+        for table, n_bytes in (("sf0.1", 100_000), ("sf0.1", 300_000), ("check_l", 1_000_000), ("check_l", 10_000_000)):
+            text = clean_text(table, lang, n_bytes)
+            assert judge.accepts(text), (lang, n_bytes, judge.ratio(text))
+    # a text that says the same in other words is still too repetitive at any length
+    rng = random.Random(6)
+    names = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+    for n in (3_000, 30_000):
+        again = " ".join(f"the {rng.choice(names)} of the list is the same as any other {rng.choice(names)}" for _ in range(n))
+        assert not judge.accepts(again.encode())
