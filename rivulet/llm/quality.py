@@ -27,7 +27,8 @@ class Bands:
     the limits are interpolated over the logarithm of the length, outside them
     the nearest holds.  ``chunk``: lowest and highest ratio of a chunk of
     ``chunk_bytes``; a text is rejected when more than ``chunk_share`` of its
-    full chunks are outside.  The defaults were set on labelled texts: just
+    chunks are outside.  The last chunk of a text that does not divide evenly is
+    its last ``chunk_bytes``; shorter texts have no chunk, only the whole's limits.  The defaults were set on labelled texts: just
     outside the ratios that texts labelled good have at each length.  Over 51,200
     bytes, where few texts are labelled, they were set on distinct lines of good
     texts, joined per language, up to 20 MB: the ratio jumps where the compressor
@@ -37,15 +38,15 @@ class Bands:
 
     level: int = 3
     whole: tuple = (
-        (50, 0.50, 1.45), (100, 0.70, 1.50), (200, 0.95, 1.62), (283, 1.05, 1.70), (400, 1.20, 1.77),
-        (566, 1.25, 1.86), (800, 1.35, 1.99), (1131, 1.45, 2.08), (1600, 1.50, 2.15), (2263, 1.55, 2.21),
-        (3200, 1.60, 2.26), (4525, 1.65, 2.32), (6400, 1.70, 2.36), (9051, 1.70, 2.41), (12800, 1.70, 2.45),
-        (18102, 1.70, 2.49), (25600, 1.70, 2.54), (51200, 1.70, 2.60), (102400, 1.70, 2.66), (262144, 1.70, 2.68),
-        (262145, 1.70, 2.76), (409600, 1.70, 2.80), (819200, 1.70, 2.84), (1638400, 1.70, 2.86), (3276800, 1.70, 2.87),
-        (6553600, 1.70, 2.88))
+        (20, 0.58, 1.45), (50, 0.78, 1.45), (100, 0.90, 1.50), (200, 1.09, 1.62), (283, 1.18, 1.70), (400, 1.29, 1.77),
+        (566, 1.38, 1.86), (800, 1.48, 1.99), (1131, 1.58, 2.08), (1600, 1.69, 2.15), (2263, 1.78, 2.21),
+        (3200, 1.87, 2.26), (4525, 1.93, 2.32), (6400, 1.99, 2.36), (9051, 2.09, 2.41), (12800, 2.14, 2.45),
+        (18102, 2.20, 2.49), (25600, 2.25, 2.54), (51200, 2.28, 2.60), (102400, 2.30, 2.66), (262144, 2.30, 2.68),
+        (262145, 2.38, 2.76), (409600, 2.40, 2.80), (819200, 2.43, 2.84), (1638400, 2.44, 2.86), (3276800, 2.45, 2.87),
+        (6553600, 2.46, 2.88))
     chunk_bytes: int = 2048
-    chunk: tuple = (1.50, 2.16)
-    chunk_share: float = 0.5
+    chunk: tuple = (1.75, 2.18)
+    chunk_share: float = 0.1
 
 
 BASE_FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -113,17 +114,20 @@ class Judge:
         return len(data) / len(self.pack(data))
 
     def chunks_outside(self, data: bytes) -> tuple[int, int]:
-        """Full chunks, and how many of them are outside the chunk band."""
+        """Chunks, and how many of them are outside the chunk band."""
         step, (low, high) = self.bands.chunk_bytes, self.bands.chunk
-        ratios = [self.ratio(data[i:i + step]) for i in range(0, len(data) - step + 1, step)]
+        starts = list(range(0, len(data) - step + 1, step))
+        if starts and starts[-1] + step < len(data):
+            starts.append(len(data) - step)
+        ratios = [self.ratio(data[i:i + step]) for i in starts]
         return len(ratios), sum(not low <= r <= high for r in ratios)
 
     def accepts(self, data: bytes) -> bool:
         low, high = self.limits(len(data))
         if not low <= self.ratio(data) <= high:
             return False
-        full, outside = self.chunks_outside(data)
-        return outside <= self.bands.chunk_share * full
+        n, outside = self.chunks_outside(data)
+        return outside <= self.bands.chunk_share * n
 
 
 def quality(docs: DataFrame, text_col: str = "text", bands: Bands = Bands()) -> DataFrame:

@@ -135,3 +135,21 @@ def test_very_long_clean_texts_stay():
     for n in (3_000, 30_000):
         again = " ".join(f"the {rng.choice(names)} of the list is the same as any other {rng.choice(names)}" for _ in range(n))
         assert not judge.accepts(again.encode())
+
+
+def test_texts_with_incompressible_lines_go():
+    import base64
+
+    rng, judge = random.Random(7), Judge(Bands())
+    pool = clean_text("sf0.1", "en", 1_000_000)
+    for n_bytes in (2_000, 5_000, 7_000, 15_000, 30_000, 200_000):
+        for share in (0.3, 0.4):
+            for _ in range(10):
+                at = rng.randrange(len(pool) - n_bytes)
+                clean = pool[at:at + n_bytes]
+                assert judge.accepts(clean)
+                noise = base64.encodebytes(rng.randbytes(int(n_bytes * share / (1 - share) * 0.74)))
+                assert not judge.accepts(clean + b"\n" + noise), (n_bytes, share)
+    # the last, partial chunk counts
+    clean = pool[:2 * 2048]
+    assert judge.chunks_outside(clean + base64.encodebytes(rng.randbytes(1200))) == (3, 1)
