@@ -8,12 +8,15 @@ never with all of them, so pairs grow with the lines and every block of that
 many words is met in its earliest place.  Pairs are aligned by patience diff
 (lines unique on both sides, their longest increasing order, then the stretches
 between them), and aligned blocks of at least ``MIN_BLOCK_WORDS`` words are
-deleted from the later document.  The earliest copy of a line always stays.
+deleted from the later document, whose other lines are aligned again until it
+shares no such block with the earlier one: passages in another order and
+repeated ones go too.  The earliest copy of a line always stays.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,8 @@ from rivulet.llm.common import binary_column, document_key, staged
 
 #: Words of the shortest block that is deleted.
 MIN_BLOCK_WORDS = 25
+#: Alignments of a pair before the shared runs that are left are taken at once.
+ROUNDS = 3
 
 
 def line_hashes(text: bytes | None, min_words: int = MIN_BLOCK_WORDS):
@@ -93,12 +98,8 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(a: list, b: list, min_words: int = MIN_BLOCK_WORDS) -> list[int]:
-    """Line indexes of ``b`` in aligned blocks of at least ``min_words`` words.
-
-    ``a`` and ``b`` are lists of (place among the lines with words, index,
-    hash, words); a block is consecutive on both sides.
-    """
+def aligned_blocks(a: list, b: list, min_words: int = MIN_BLOCK_WORDS) -> list[int]:
+    """Positions in ``b`` of one alignment's blocks of at least ``min_words`` words."""
     out, block, words, last = [], [], 0, None
     for i, j in [*patience([x[2] for x in a], [x[2] for x in b]), (None, None)]:
         here = (a[i][0], b[j][0]) if i is not None else None
@@ -107,12 +108,58 @@ def common_blocks(a: list, b: list, min_words: int = MIN_BLOCK_WORDS) -> list[in
                 out += block
             block, words = [], 0
         if here is not None:
-            block.append(b[j][1])
+            block.append(j)
             words += b[j][3]
         last = here
     return out
 
 
+def shortest_runs(seq: list, min_words: int = MIN_BLOCK_WORDS):
+    """(start, end) of the shortest runs of neighbouring lines with ``min_words``
+    words, from each line on and up to each line."""
+    total = [0, *accumulate(x[3] for x in seq)]
+    edges = [0, *(i for i in range(1, len(seq)) if seq[i][0] != seq[i - 1][0] + 1), len(seq)]
+    for lo, hi in zip(edges, edges[1:]):
+        for i in range(lo, hi):
+            end = bisect_left(total, total[i] + min_words, i + 1, hi + 1)
+            if end <= hi:
+                yield i, end
+            start = bisect_right(total, total[i + 1] - min_words, lo, i + 1) - 1
+            if start >= lo:
+                yield start, i + 1
+
+
+def shared_lines(a: list, b: list, min_words: int = MIN_BLOCK_WORDS) -> list[int]:
+    """Positions in ``b`` that lie in a run of at least ``min_words`` words that ``a`` holds anywhere."""
+    held = {hash(tuple([x[2] for x in a[i:j]])) for i, j in shortest_runs(a, min_words)}
+    found = set()
+    for i, j in shortest_runs(b, min_words):
+        if hash(tuple([x[2] for x in b[i:j]])) in held:
+            found.update(range(i, j))
+    return sorted(found)
+
+
+def common_blocks(a: list, b: list, min_words: int = MIN_BLOCK_WORDS) -> list[int]:
+    """Line indexes of ``b`` in blocks of at least ``min_words`` words shared with ``a``.
+
+    ``a`` and ``b`` are lists of (place among the lines with words, index,
+    hash, words); a block is consecutive on both sides.  One alignment finds
+    blocks in one order and each once, so the lines it leaves are aligned with
+    the whole of ``a`` again.  What ``ROUNDS`` alignments leave (a passage
+    repeated many times), or one that finds no block (no line is unique, or
+    short lines in another order win), is taken from the shared runs directly.
+    """
+    out = []
+    for n in range(ROUNDS + 1):
+        b = [b[j] for j in shared_lines(a, b, min_words)]
+        if not b:
+            break
+        gone = set(aligned_blocks(a, b, min_words) if n < ROUNDS else ()) or set(range(len(b)))
+        out += [b[j][1] for j in gone]
+        b = [x for j, x in enumerate(b) if j not in gone]
+    return sorted(out)
+
+
 def deletions(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
     """(doc, deleted, partners): documents that lose lines, the lines' indexes, and the ids they are aligned with."""

@@ -113,3 +113,49 @@ def test_edge_cases(spark, docs, clashing, empty):
     assert set(clashing.columns) < set(out.columns) and out.count() == len(DOCS)
     assert out.where("doc_id = 3").first().text is None and out.where("doc_id = 4").first().text == ""
     assert drop_common_blocks(spark, empty).count() == 0
+
+
+def left_over(a, b, gone, min_words=MIN_BLOCK_WORDS):
+    """Whether a block of enough words of ``a`` is left in ``b``; all runs against all runs."""
+    def runs(spec):
+        for i in range(len(spec)):
+            for j in range(i + 1, len(spec) + 1):
+                part = spec[i:j]
+                if all(q[0] == p[0] + 1 for p, q in zip(part, part[1:])) and sum(x[3] for x in part) >= min_words:
+                    yield tuple(x[2] for x in part)
+    return bool(set(runs(a)) & set(runs([x for x in b if x[1] not in gone])))
+
+
+def test_no_block_is_left_in_any_order_or_repeat():
+    seq = lambda spec: [(p, p, h, w) for p, (h, w) in enumerate(spec)]
+    p, q, short = [(1, 15), (2, 15)], [(3, 15), (4, 15)], [(h, 1) for h in range(20, 30)]
+    assert common_blocks(seq(p + q), seq(q + p)) == [0, 1, 2, 3]
+    assert common_blocks(seq(p), seq(p + [(9, 3)] + p)) == [0, 1, 3, 4]
+    assert common_blocks(seq([(1, 30)]), seq([(1, 30)] * 7)) == list(range(7))
+    # no line is unique on both sides
+    assert common_blocks(seq([(7, 1)] + (p + [(5, 1)]) * 2), seq([(8, 1)] + (p + [(6, 1)]) * 2)) == [1, 2, 4, 5]
+    # ten short lines in order outnumber the passage that crosses them
+    apart = [x for h in short for x in (h, (100 + h[0], 1))]
+    assert common_blocks(seq(p + apart), seq([x for h in short for x in (h, (200 + h[0], 1))] + p)) == [20, 21]
+    # a short line at the end of a block belongs to it
+    assert common_blocks(seq([(1, 30), (2, 1)]), seq([(5, 9), (1, 30), (2, 1), (6, 9)])) == [1, 2]
+    rng = random.Random(11)
+    for _ in range(2000):
+        weight = [rng.choice([1, 8, 14, 26]) for _ in range(6)]
+        a, b = (seq([(h, weight[h]) for h in (rng.randrange(6) for _ in range(rng.randint(0, 9)))]) for _ in range(2))
+        gone = common_blocks(a, b)
+        assert len(gone) == len(set(gone)) and not left_over(a, b, set(gone))
+        assert all(any(x[2] == y[2] for y in a) for x in b if x[1] in set(gone))
+
+
+def test_crossing_and_repeated_passages(spark):
+    p, q = words(40, "p"), words(40, "q")
+    rows = [(1, "\n".join([p, words(9, "a"), q])), (2, "\n".join([q, words(30, "b"), p])), (3, "\n".join([p, words(8, "c"), p, p]))]
+    got = {r.doc_id: list(r.deleted) for r in
+           drop_common_blocks(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [], 2: [0, 2], 3: [0, 2, 3]}
+
+
+def test_many_repeats_take_linear_time():
+    many = [(i, i, i % 3, 26) for i in range(60_000)]
+    assert common_blocks(many[:3], many) == list(range(60_000))
