@@ -6,8 +6,10 @@ side bars, notices, adverts, forms, scripts, reader comments) leave blank
 lines.  The text lengths of the lines, links left out, are summed over a
 sliding window of lines.  The sum surges where text begins and dives to zero
 where as many blank lines follow as the window holds; the text between a surge
-and its dive is a stretch.  If the page marks an article, the stretches in it
-are kept; otherwise those that hold a fair share of the largest one's text.
+and its dive is a stretch.  Those that hold a fair share of the largest one's text
+are chosen.  Marked articles are a check afterwards: if a chosen stretch lies in
+one, the text is that of the marked articles, all of it; if none does (articles
+that are teasers beside the text), the choice stands.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 from rivulet.llm.common import slices
 
 WINDOW_LINES = 3
-#: A stretch outside a marked article is kept from this share of the largest one's text on.
+#: A stretch is chosen from this share of the largest one's text on.
 LEAST_SHARE = 0.25
 
 # Element names and the words of class, id and role that mark what is no article text.
@@ -177,18 +179,15 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     lines = lines_of(html)
-    if any(inside and text for text, _, inside in lines):
-        lines = [x if x[2] else ("", 0, False) for x in lines]
-        marked = True
-    else:
-        marked = False
     # in an article a line of links only is still its text
-    lengths = [(len(text) if marked else free) for text, free, _ in lines]
+    lengths = [len(text) if inside else free for text, free, inside in lines]
     found = stretches(lengths)
     if not found:
         return ""
     sums = [sum(lengths[a:b]) for a, b in found]
-    kept = [s for s, n in zip(found, sums) if marked or n >= LEAST_SHARE * max(sums)]
+    kept = [s for s, n in zip(found, sums) if n >= LEAST_SHARE * max(sums)]
+    if any(lines[a][2] for a, _ in kept):
+        kept = [(a, b) for a, b in found if lines[a][2]]
     return "\n\n".join(text for a, b in kept for text, _, _ in lines[a:b] if text)
 
 

@@ -68,3 +68,10 @@ def test_every_page_gives_its_article(spark):
         inside = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.S)[1].replace("<br>", " ")
         blocks = (" ".join(H.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)[^>]*>", inside))
         assert got[r.page_id] == "\n\n".join(x for x in blocks if x)
+
+
+def test_the_stretches_choose_also_where_articles_are_marked():
+    long = "This is the text of the page, and it goes on for quite a while in this way. " * 3
+    teaser = "<article><h3>Next</h3><p>More about it.</p></article>"
+    assert main_text(f"<body><div><h1>Title</h1><p>{long}</p></div>{teaser}{teaser}</body>") == f"Title\n\n{long.strip()}"
+    assert main_text(f"<body><p>out</p><article><p>{long}</p><aside>x</aside><p>End.</p></article></body>") == f"{long.strip()}\n\nEnd."
