@@ -7,7 +7,9 @@ lines.  The text lengths of the lines, links left out, are summed over a
 sliding window of lines.  The sum surges where text begins and dives to zero
 where as many blank lines follow as the window holds; the text between a surge
 and its dive is a stretch.  Those that hold a fair share of the largest one's text
-are chosen.  Marked articles are a check afterwards: if a chosen stretch lies in
+are chosen, and shorter ones between them or in a container of chosen text.  An
+element counts as no article text by a whole class, or by one part of a class
+(``cookie-notice``) unless it holds over half of the page's text.  Marked articles are a check afterwards: if a chosen stretch lies in
 one, the text is that of the marked articles, all of it; if none does (articles
 that are teasers beside the text), the choice stands.
 """
@@ -50,27 +52,68 @@ MARKUP = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*>"
     r"|</?[a-zA-Z][^<>]*\Z", re.S | re.I)
+#: Containers of lines; a line's own element (a paragraph, a heading, an item) is none.
+CONTAINERS = frozenset("article aside blockquote body center dd details div fieldset main section td th".split())
+#: First parts of a class that say what the element has or lacks, not what it is.
+ABOUT = frozenset("has have no not show with without".split())
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 WORD = re.compile(r"[a-z]+")
 
 
-def _no_text(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element that opens holds no article text."""
+def _no_text(name: str, attributes: str, in_article: bool) -> int:
+    """Whether an element that opens holds no article text: 0 no, 1 by a word
+    that is one part of a class only (``widget-container``), 2 by its name or a whole class."""
     if name in NO_TEXT and not (name == "header" and in_article):
-        return True
+        return 2
     if name in UNMARKED or "=" not in attributes:
-        return False
-    words = {w for _, value in ATTRIBUTE.findall(attributes) for w in WORD.findall(value.lower())}
-    if name == "article":
-        return bool(words & REMARK_WORDS)
-    return bool(words & (NO_TEXT_WORDS - HEADER_WORDS if in_article else NO_TEXT_WORDS))
+        return 0
+    listed = REMARK_WORDS if name == "article" else NO_TEXT_WORDS - HEADER_WORDS if in_article else NO_TEXT_WORDS
+    found = 0
+    for _, value in ATTRIBUTE.findall(attributes):
+        for token in value.lower().strip("\"'").split():
+            words = WORD.findall(token)
+            if token in listed:
+                return 2
+            about = next((i for i, w in enumerate(words) if w in ABOUT), len(words))
+            if not listed.isdisjoint(words[:about]):
+                found = 1
+    return found
+
+
+def _wrappers(html: str) -> set[int]:
+    """Starts of the elements with over half of the page's text."""
+    opened: list[tuple[str, int, int]] = []  # name, start, text before
+    names: dict[str, int] = {}
+    sizes, text, at = [], 0, 0
+    for m in MARKUP.finditer(html):
+        text += len(html[at:m.start()].strip())
+        at = m.end()
+        name = (m[3] or m[6] or "").lower()
+        if not name or name in VOID:
+            continue
+        if not (m[2] or m[5]):
+            opened.append((name, m.start(), text))
+            names[name] = names.get(name, 0) + 1
+        elif names.get(name):
+            last = ""
+            while last != name:
+                last, start, before = opened.pop()
+                names[last] -= 1
+                sizes.append((start, text - before))
+    text += len(html[at:].strip())
+    sizes += [(start, text - before) for _, start, before in opened]
+    return {start for start, n in sizes if 2 * n > text}
 
 
 class _Page:
-    """Lines of a page: text, length without links, whether inside a marked article."""
+    """Lines of a page: text, length without links, whether inside a marked article, start of its container."""
 
     def __init__(self):
         self.lines: list[tuple[str, int, bool]] = []
+        self.holders: list[int] = []  # the container of each line
+        self.up: dict[int, int] = {}  # the container of each container
+        self.open: list[tuple[str, int]] = []
+        self.opened: dict[str, int] = {}
         self.parts: list[str] = []
         self.linked = 0
         self.in_link = 0
@@ -87,17 +130,37 @@ class _Page:
             line = " ".join(unescape("".join(self.parts)).split())
             if line:
                 self.lines.append((line, max(len(line) - self.linked, 0), self.article > 0))
+                self.holders.append(self.holder())
             self.parts.clear()
         self.linked = 0
 
     def gap(self) -> None:
         self.end_line()
         self.lines += [("", 0, self.article > 0)] * WINDOW_LINES
+        self.holders += [-1] * WINDOW_LINES
+
+    def holder(self) -> int:
+        return self.open[-1][1] if self.open else -1
+
+    def enter(self, name: str, start: int) -> None:
+        self.up[start] = self.holder()
+        self.open.append((name, start))
+        self.opened[name] = self.opened.get(name, 0) + 1
+
+    def leave(self, name: str) -> None:
+        last = ""
+        while last != name and self.opened.get(name):
+            last = self.open.pop()[0]
+            self.opened[last] -= 1
 
 
 def lines_of(html: str) -> list[tuple[str, int, bool]]:
     """The page as lines; blank ones stand where elements without article text were."""
-    page, at = _Page(), 0
+    return _read(html).lines
+
+
+def _read(html: str) -> _Page:
+    page, at, wrappers = _Page(), 0, None
     skipped, depth = "", 0  # the element that is being left out, and how deep it is nested in itself
     for m in MARKUP.finditer(html):
         start, end = m.span()
@@ -128,6 +191,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         if closing:
             if name in BLOCKS:
                 page.end_line()
+            if name in CONTAINERS:
+                page.leave(name)
             if name in ("article", "main") and page.article:
                 page.article -= 1
                 if not page.article:
@@ -138,11 +203,17 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         attributes = m[4] or m[7] or ""
         if name in BLOCKS:
             page.end_line()
-        if _no_text(name, attributes, page.article > 0):
+        out = _no_text(name, attributes, page.article > 0)
+        if out == 1:
+            wrappers = _wrappers(html) if wrappers is None else wrappers
+            out = start not in wrappers
+        if out:
             if name in VOID or attributes.endswith("/"):
                 continue
             skipped, depth = name, 1
             continue
+        if name in CONTAINERS:
+            page.enter(name, start)
         if name in ("article", "main"):
             if not page.article:
                 page.gap()
@@ -154,7 +225,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     if not skipped:
         page.text(html[at:])
     page.end_line()
-    return page.lines
+    return page
 
 
 def stretches(lengths: list[int], window: int = WINDOW_LINES) -> list[tuple[int, int]]:
@@ -178,7 +249,8 @@ def main_text(html: str | None) -> str:
     """The article's blocks in page order, joined by an empty line; "" if there is none."""
     if not html:
         return ""
-    lines = lines_of(html)
+    page = _read(html)
+    lines = page.lines
     # in an article a line of links only is still its text
     lengths = [len(text) if inside else free for text, free, inside in lines]
     found = stretches(lengths)
@@ -188,6 +260,17 @@ def main_text(html: str | None) -> str:
     kept = [s for s, n in zip(found, sums) if n >= LEAST_SHARE * max(sums)]
     if any(lines[a][2] for a, _ in kept):
         kept = [(a, b) for a, b in found if lines[a][2]]
+    else:
+        # short ones stay between the chosen, and where their container holds chosen text
+        around = {-1}
+        for a, b in kept:
+            for h in page.holders[a:b]:
+                while h not in around:
+                    around.add(h)
+                    h = page.up[h]
+        first, last = kept[0][0], kept[-1][1]
+        kept = [(a, b) for a, b in found if first <= a < last or any(
+            text and h in around for (text, _, _), h in zip(lines[a:b], page.holders[a:b]))]
     return "\n\n".join(text for a, b in kept for text, _, _ in lines[a:b] if text)
 
 

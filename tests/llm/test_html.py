@@ -75,3 +75,29 @@ def test_the_stretches_choose_also_where_articles_are_marked():
     teaser = "<article><h3>Next</h3><p>More about it.</p></article>"
     assert main_text(f"<body><div><h1>Title</h1><p>{long}</p></div>{teaser}{teaser}</body>") == f"Title\n\n{long.strip()}"
     assert main_text(f"<body><p>out</p><article><p>{long}</p><aside>x</aside><p>End.</p></article></body>") == f"{long.strip()}\n\nEnd."
+
+
+LONG = "This is the text of the page, and it goes on for quite a while in this way. " * 3
+
+
+@pytest.mark.parametrize("mark", ['class="content has-sidebar"', 'class="elementor-widget-container"', 'id="page-with-toc"',
+                                  'class="no-comments"', 'class="search-result-page"'])
+def test_wrappers_keep_their_text(mark):
+    inner = f"<h1>Title</h1><p>{LONG}</p><div class='cookie-notice'>We use cookies</div><div class=ad>x</div>"
+    want = f"Title\n\n{LONG.strip()}"
+    assert main_text(f"<body><nav>n</nav><div {mark}>{inner}</div><footer>f</footer></body>") == want
+    assert main_text(f"<body><article><div {mark}>{inner}</div></article></body>") == want
+    assert main_text(f"<body><div {mark}><div {mark}>{inner}</div></div></body>") == want
+
+
+def test_short_stretches_of_the_text_stay():
+    for cut in ("<div class=ad>buy</div>", "<aside>a</aside>"):
+        body = f"<h1>Title</h1>{cut}<p>{LONG}</p>{cut}<p>Short.</p>{cut}<p>{LONG}</p>{cut}<p>End.</p>"
+        want = "\n\n".join(["Title", LONG.strip(), "Short.", LONG.strip(), "End."])
+        assert main_text(f"<body>{body}</body>") == want
+        assert main_text(f"<body><div>{body}</div>{cut}<div>tiny</div></body>") == want
+        assert main_text(f"<body><div><h1>Title</h1>{cut}<div><p>{LONG}</p></div></div></body>") == f"Title\n\n{LONG.strip()}"
+
+
+def test_many_nested_wrappers():
+    assert main_text("<div class=widget-area>" * 20_000 + LONG) == LONG.strip()
