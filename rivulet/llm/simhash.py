@@ -255,12 +255,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         F.col("component").alias("component_id"))
 
 
-def component_of(spark: SparkSession, own: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``own`` (id, fp, ...) with ``component``, the smallest id of the fingerprint's component."""
+def rooted(spark: SparkSession, own: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, first, root) of each fingerprint of ``own`` (id, fp, ...): its smallest id and its component's root fingerprint."""
     distinct = staged(spark, own.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
     roots = connected_components(spark, fingerprint_links(spark, distinct, max_bits))
-    placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def component_of(spark: SparkSession, own: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``own`` (id, fp, ...) with ``component``, the smallest id of the fingerprint's component."""
+    placed = rooted(spark, own, max_bits)
     named = staged(spark, placed.join(placed.groupBy("root").agg(F.min("first").alias("component")), "root")
                    .select("fp", "component"), "components")
     return own.join(named, "fp")
@@ -269,12 +274,16 @@ def component_of(spark: SparkSession, own: DataFrame, max_bits: int = MAX_BITS)
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with exactly one row of each near-duplicate group: the one with the
-    smallest id (NULL ids last, then the text's hash; of equal rows, one)."""
+    smallest id (NULL ids last, then the text's hash; of equal rows, one).
+
+    A group is a component of fingerprints, whatever its ids: texts that repeat
+    an id but are not near stay in groups of their own.
+    """
     key = document_key(id_col, text_col)
     own = staged(spark, with_fingerprint(docs.select(F.col(id_col).alias("id"), key.alias("key"), F.col(text_col).alias("txt")),
                                          "txt", "fp", k).select("id", "key", "fp"), "fingerprints")
-    keep = component_of(spark, own, max_bits).withColumn("group", F.coalesce("component", "fp")) \
-        .groupBy(F.col("component").isNull(), "group").agg(F.min("key").alias("__key")).select("__key")
+    keep = own.join(rooted(spark, own, max_bits).select("fp", "root"), "fp") \
+        .groupBy("root").agg(F.min("key").alias("__key")).select("__key")
     # one shuffle of the texts at any size; rows that repeat a key are cut to one per task before it
     place = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
     return docs.withColumn("__key", key.cast(own.schema["key"].dataType)).withColumn("__again", place).where("__again = 1") \

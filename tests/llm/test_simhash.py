@@ -114,3 +114,22 @@ def test_one_of_each_group_stays(spark, docs, clashing, empty):
     only_null = docs.where("doc_id IS NULL").unionAll(docs.where("doc_id IS NULL"))
     assert drop_near_duplicates(spark, only_null).count() == 2
     assert drop_near_duplicates(spark, docs.select(F.lit(None).cast("long").alias("doc_id"), "text")).count() == 7
+
+
+def test_groups_are_components_not_ids(spark):
+    rng = random.Random(12)
+    text = lambda: [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    a, b = text(), text()
+    copies = [" ".join([*b[:400 - i], *[f"x{j}" for j in range(i)]]) for i in range(30)]
+    copies = [c for c in copies if near(brute_fingerprint(c), brute_fingerprint(copies[0]))
+              and brute_fingerprint(c) != brute_fingerprint(copies[0])][:2]
+    assert copies and not near(brute_fingerprint(" ".join(a)), brute_fingerprint(" ".join(b)))
+    a, b = " ".join(a), " ".join(b)
+    kept = lambda rows: sorted(map(tuple, drop_near_duplicates(
+        spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    # one id on two different texts
+    assert kept([(5, a), (5, b), *[(7 + i, c) for i, c in enumerate(copies)]]) == sorted([(5, a), (5, b)], key=str)
+    # near copies without ids
+    left = kept([(None, b), *[(None, c) for c in copies]])
+    assert len(left) == 1 and left[0][1] in [b, *copies]
+    assert kept([(None, b), (3, copies[0])]) == [(3, copies[0])]
