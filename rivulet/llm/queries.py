@@ -232,3 +232,10 @@ def op5_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
     return scores(spark, read(spark, sf_dir, "documents"), held)
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.runs import periodic_runs, run_digest
+
+    return run_digest(periodic_runs(read(spark, sf_dir, "documents"), plant=True))
