@@ -239,3 +239,12 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.runs import periodic_runs, run_digest
 
     return run_digest(periodic_runs(read(spark, sf_dir, "documents"), plant=True))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from rivulet.llm.whitening import whiten
+
+    return whiten(spark, read(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
