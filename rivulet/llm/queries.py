@@ -248,3 +248,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.whitening import whiten
 
     return whiten(spark, read(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query("op11_ngram_join")
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.ngram_join import jaccard_components
+
+    return jaccard_components(spark, read(spark, sf_dir, "documents"))
