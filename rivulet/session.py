@@ -27,6 +27,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
+    # rows reach Python workers in batches of this size, whatever their length;
+    # Spark's 64 MB is held several times over (JVM, pipe, Arrow, Python objects)
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # session windows are pre-merged inside each input partition before the
     # shuffle, so a hot key's events are not all shipped to one task unmerged
