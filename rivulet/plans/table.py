@@ -31,7 +31,7 @@ def built_table(spark, sf) -> VersionedTable:
     return vt
 
 
-TABLE_LAYOUT_VERSION = 2
+TABLE_LAYOUT_VERSION = 3
 
 
 def shared_table(spark, sf) -> VersionedTable:
@@ -92,7 +92,7 @@ FROM ({EVENTS_CHANGES_SQL}) e GROUP BY batch_id ORDER BY snapshot_id DESC
 def table_history(spark, sf):
     """Commit history of the versioned table, newest first (one commit per log batch;
     ``added_changes`` = keys changed in the commit)."""
-    return shared_table(spark, sf).history().drop("location", "generation")
+    return shared_table(spark, sf).history()
 
 
 FULL_STATE_SQL = state_sql(f"(SELECT max(batch_id) FROM ({EVENTS_CHANGES_SQL}) z)")

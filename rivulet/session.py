@@ -108,6 +108,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared storage with all it holds (nothing if it isn't there)."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def file_statuses(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """(name, bytes, modification time) of the data files of ``path``, from the listing alone."""
     fs, target = _file_system(spark, path)

@@ -3,6 +3,7 @@
 import json
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators import cdc as C
@@ -185,7 +186,10 @@ def test_replay_after_expire_loses_nothing(spark, tmp_dir):
     commit(vt, spark, 2, ("c", 20, 2, 2, "b"))
     commit(vt, spark, 1, ("c", 10, 1, 1, "a"))
     assert statuses(vt) == [(1, "a"), (2, "b"), (3, "c")] and statuses(vt, as_of=2) == [(1, "a"), (2, "b")]
-    assert vt.snapshot_ids() == [2, 3] and statuses(vt, as_of=1) == []
+    assert vt.snapshot_ids() == [2, 3]
+    for unknown in (1, 99):  # an expired id and one that never was
+        with pytest.raises(LookupError):
+            vt.state(as_of=unknown)
 
 
 def test_event_order_with_and_without_compaction(spark, tmp_dir):
