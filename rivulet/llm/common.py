@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import sys
 import types
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,16 @@ def binary_column(batch, name: str):
     return col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()).to_pylist()
 
 
+def word_numbers(split: list):
+    """(numbers, distinct words, words per list) of lists of words: equal words have equal numbers, counted from 0."""
+    import numpy as np
+
+    number = defaultdict(count().__next__)
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    flat = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+    return flat, list(number), sizes
+
+
 def slices(batch, max_bytes: int, name: str) -> Iterator:
     """Cut a batch so that each piece holds about ``max_bytes`` of column
     ``name`` (a longer single row is a piece of its own)."""

@@ -11,8 +11,8 @@ period were kept, the whole run would have a period of at most k.  Kept
 occurrences are over k words apart, so each has at most four partners in its
 octave and the pairs stay linear in the text, also in one of a repeated word.  Every pair
 seeds a diagonal, extended to both sides by comparing k-grams of falling length;
-a table of the furthest word covered on each lag drops pairs that lie on a
-diagonal already extended.
+a table of the furthest word covered on each lag of a document drops pairs that
+lie on a diagonal already extended.
 
 k-grams are named by pairs of k/2-grams, so two are equal exactly if their names
 are: there is no hashing and the result is exact.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.llm.common import binary_column, slices
+from rivulet.llm.common import binary_column, slices, word_numbers
 
 MIN_WORDS = 24
 MIN_PERIODS = 3
@@ -160,11 +160,9 @@ def _diagonals(levels, i, lag, first, length, doc, min_words, min_periods):
     import numpy as np
 
     out = []
-    same = doc[i] == doc[i + lag]
-    i, lag = i[same], lag[same]
     while len(i):
-        # of each lag, extend the first pair that no diagonal covers yet
-        head = np.r_[True, lag[1:] != lag[:-1]]
+        # of each document and lag, extend the first pair that no diagonal covers yet
+        head = np.r_[True, (lag[1:] != lag[:-1]) | (doc[i[1:]] != doc[i[:-1]])]
         a, q = i[head], lag[head]
         own = np.searchsorted(first, a, "right") - 1
         ahead = np.minimum(_extend(levels, a, a + q, 1), first[own] + length[own] - q - a)
@@ -186,9 +184,7 @@ def _search(texts: list, ids: list | None, min_words: int, min_periods: int):
     split = [(t or b"").split() for t in texts]
     if ids is not None:
         split = [planted(w, d) for w, d in zip(split, ids)]
-    number: dict[bytes, int] = {}
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    words = np.fromiter((number.setdefault(w, len(number)) for ws in split for w in ws), np.int64, int(sizes.sum()))
+    words, _, sizes = word_numbers(split)
     doc = np.repeat(np.arange(len(split)), sizes)
     start, end, period = find_runs(words, doc, min_words, min_periods)
     base = np.r_[0, np.cumsum(sizes)]
