@@ -6,4 +6,4 @@ returns a DataFrame and ``oracle_sql`` is the same result written in plain SQL
 """
 
 from rivulet.plans.registry import REGISTRY, register  # noqa: F401
-from rivulet.plans import gold, explore, cdc, silver, quality, table, streaming, history  # noqa: F401
+from rivulet.plans import gold, explore, cdc, silver, quality, table, streaming, history, discovery  # noqa: F401

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from rivulet.operators import cdc as C
 from rivulet.operators import scd2 as H
-from rivulet.plans.cdc import EVENTS_CHANGES_SQL, SCD2_SQL, normalized
+from rivulet.operators import snapshot as S
+from rivulet.plans.cdc import EVENTS_CHANGES_SQL, MERGED_SQL, SCD2_SQL, normalized, orders_target
 from rivulet.plans.registry import register
 from rivulet.plans.streaming import run_to_parquet
 from rivulet.session import scratch_path
@@ -40,3 +41,46 @@ def stream_scd2(spark, sf):
     log = L.read_change_stream(spark, L.events_change_log(spark, sf))
     changes = C.normalize(C.decode(log, L.ORDER_ENVELOPE), C.ORDERS, with_event_ts=True)
     return run_to_parquet(spark, closed_versions(changes, C.ORDERS, SCD2_DELAY), "closed_versions")
+
+
+class WrittenOn:
+    """The orders table while the change log is applied to it: each look at the log's
+    position finds one more batch, so every range is read in the middle of changes."""
+
+    def __init__(self, spark, sf):
+        self.base, self.log = orders_target(spark, sf), normalized(spark, sf)
+        self.batches = [r[0] for r in self.log.select("batch_id").distinct().orderBy("batch_id").collect()]
+        self.seen = 0
+
+    def position(self) -> int:
+        self.seen += 1
+        return self.batches[min(self.seen, len(self.batches)) - 1]
+
+    def rows(self, low, high):
+        # the read falls between two looks at the log: half of the next batch is there already
+        at = self.batches[min(self.seen, len(self.batches)) - 1]
+        after = self.batches[min(self.seen, len(self.batches) - 1)]
+        there = (F.col("batch_id") <= at) | ((F.col("batch_id") == after) & (F.col("offset") % 2 == 0))
+        inside = F.col("order_id").between(low, high - 1)
+        return C.apply_changes(self.base.filter(inside), self.log.filter(there & inside), C.ORDERS)
+
+    def changes(self, after, upto):
+        return self.log.filter((F.col("batch_id") > after) & (F.col("batch_id") <= upto))
+
+
+#: Ranges of the order keys that one query reads.
+SNAPSHOT_RANGES = 4
+
+
+@register("cdc_chunk_snapshot", sql=MERGED_SQL)
+def cdc_chunk_snapshot(spark, sf):
+    """Snapshot of the orders table in key ranges while its log goes on, stopped after half of them and
+    resumed by another run; chunk rows and log together give the state that all changes give."""
+    path, source = scratch_path(spark, "chunk_snapshot"), WrittenOn(spark, sf)
+    keys = source.base.agg(F.min("order_id"), F.max("order_id")).first()
+    ranges = list(S.key_ranges(keys[0], keys[1], (keys[1] - keys[0]) // SNAPSHOT_RANGES + 1))
+    S.snapshot_ranges(spark, source, C.ORDERS, path, ranges, limit=SNAPSHOT_RANGES // 2)
+    S.snapshot_ranges(spark, source, C.ORDERS, path, ranges)
+    log = source.log.withColumnRenamed("batch_id", "position")
+    last = C.collapse(S.chunk_changes(spark, path, C.ORDERS).unionByName(log), C.ORDERS, S.ORDER)
+    return last.filter("op <> 'd'").select(*C.ORDERS.target_columns)

@@ -265,17 +265,6 @@ def file_sizes(spark, path: str):
         .agg(F.count("*").alias("files"), F.avg("bytes").alias("mean_bytes"), F.min("bytes").alias("smallest_bytes"))
 
 
-@register("schema_drift")
-def schema_drift(spark, sf):
-    """Compare the inferred schema of each landed raw dataset with its expected schema."""
-    from rivulet.plans import lake
-    return CAT.schema_drift(spark, lake.landed(spark, sf), {
-        "products": "product_id string, name string, category string, price string",
-        "orders": "order_id string, customer_id string, order_timestamp string, status string, extra string",
-        "order_items": "order_id string, product_id string, quantity string, unit_price string",
-    })
-
-
 @register("snapshot_diff", sql=f"""
 WITH a AS ({state_sql(BATCHES_SQL.format(n=3))}), b AS ({state_sql(BATCHES_SQL.format(n=5))})
 SELECT 'removed' AS change, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) x

@@ -1,10 +1,9 @@
-"""Catalog scans, name-or-path loading and schema discovery."""
+"""Catalog scans and name-or-path loading (schema discovery: :mod:`rivulet.sources.discovery`)."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
@@ -35,27 +34,3 @@ def list_namespaces(spark: SparkSession) -> list[str]:
 
 def list_tables(spark: SparkSession, db: str) -> list[str]:
     return [t.name for t in spark.catalog.listTables(db)]
-
-
-def _as_struct(s) -> T.StructType:
-    """StructType, or a ``name type, ...`` string of simple types."""
-    if isinstance(s, T.StructType):
-        return s
-    from rivulet.operators.cdc import parse_type
-    fields = [f.strip().split(None, 1) for f in s.split(",") if f.strip()]
-    return T.StructType([T.StructField(n, parse_type(t)) for n, t in fields])
-
-
-def schema_drift(spark: SparkSession, base: str, expected: dict) -> DataFrame:
-    """One row per difference between the schema found in each raw folder and
-    the expected one: ``added``, ``missing`` or ``type_changed`` (schemas only;
-    the header is read, not the data)."""
-    rows = []
-    for ds, exp in expected.items():
-        found = spark.read.option("header", True).csv(f"{base}/bronze/{ds}").drop("ingestion_date").schema
-        e = {f.name: f.dataType.simpleString() for f in _as_struct(exp).fields}
-        g = {f.name: f.dataType.simpleString() for f in found.fields}
-        rows += [(ds, c, "added", None, g[c]) for c in g if c not in e]
-        rows += [(ds, c, "missing", e[c], None) for c in e if c not in g]
-        rows += [(ds, c, "type_changed", e[c], g[c]) for c in e if c in g and e[c] != g[c]]
-    return spark.createDataFrame(rows, "dataset string, column string, change string, expected string, found string")
