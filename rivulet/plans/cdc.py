@@ -237,6 +237,26 @@ CUSTOMERS_ENVELOPE = C.envelope_schema(C.row_image_schema({"customer_id": "long"
 CUSTOMERS_SCHEMA_ID = 2
 
 
+def customers_log(spark, sf):
+    """Change log of the customers: snapshot rows, then one update per order."""
+    c = T.table(spark, sf, "customer")
+    o = T.table(spark, sf, "orders")
+    snap = c.select(F.col("c_custkey").alias("customer_id"), F.lit("r").alias("op"), F.lit(0).cast("long").alias("ts_ms"),
+                    (F.col("c_custkey") % 4).cast("int").alias("partition"), F.lit(-1).cast("long").alias("offset"),
+                    F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
+                    F.lit(None).cast("long").alias("last_order_id"))
+    upd = (o.join(c, o.o_custkey == c.c_custkey, "inner")
+             .select(F.col("o_custkey").alias("customer_id"), F.lit("u").alias("op"),
+                     F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"),
+                     (F.col("o_custkey") % 4).cast("int").alias("partition"), F.col("o_orderkey").alias("offset"),
+                     F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
+                     F.col("o_orderkey").alias("last_order_id")))
+    image = F.struct("customer_id", "name", "segment", "last_order_id")
+    envelope = F.struct("op", "ts_ms", image.alias("after"), F.struct(F.lit("customers").alias("table")).alias("source"))
+    return snap.unionByName(upd).select("partition", "offset", F.timestamp_millis("ts_ms").alias("timestamp"),
+                                        add_frame(F.encode(F.to_json(envelope), "UTF-8"), CUSTOMERS_SCHEMA_ID).alias("value"))
+
+
 @register("cdc_customers", sql="""
 WITH ch AS (
   SELECT c_custkey AS customer_id, 'r' AS op, CAST(0 AS BIGINT) AS ts_ms, CAST(c_custkey % 4 AS INTEGER) AS p,
@@ -252,23 +272,7 @@ QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY ts_ms DESC, p DESC,
 def cdc_customers(spark, sf):
     """Multi-table capture: a log of a second table (customers: snapshot rows, then
     one update per order) through decode, normalise, collapse and merge, driven by its own config."""
-    c = T.table(spark, sf, "customer")
-    o = T.table(spark, sf, "orders")
-    snap = c.select(F.col("c_custkey").alias("customer_id"), F.lit("r").alias("op"), F.lit(0).cast("long").alias("ts_ms"),
-                    (F.col("c_custkey") % 4).cast("int").alias("partition"), F.lit(-1).cast("long").alias("offset"),
-                    F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
-                    F.lit(None).cast("long").alias("last_order_id"))
-    upd = (o.join(c, o.o_custkey == c.c_custkey, "inner")
-             .select(F.col("o_custkey").alias("customer_id"), F.lit("u").alias("op"),
-                     F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"),
-                     (F.col("o_custkey") % 4).cast("int").alias("partition"), F.col("o_orderkey").alias("offset"),
-                     F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
-                     F.col("o_orderkey").alias("last_order_id")))
-    image = F.struct("customer_id", "name", "segment", "last_order_id")
-    envelope = F.struct("op", "ts_ms", image.alias("after"))
-    log = snap.unionByName(upd).select("partition", "offset", F.timestamp_millis("ts_ms").alias("timestamp"),
-                                       add_frame(F.encode(F.to_json(envelope), "UTF-8"), CUSTOMERS_SCHEMA_ID).alias("value"))
-    changes = C.normalize(C.decode(log, CUSTOMERS_ENVELOPE), CUSTOMERS_CFG)
+    changes = C.normalize(C.decode(customers_log(spark, sf), CUSTOMERS_ENVELOPE), CUSTOMERS_CFG)
     empty = spark.createDataFrame([], C.row_image_schema({"customer_id": "long", **CUSTOMERS_CFG.columns}))
     return C.apply_changes(empty, changes, CUSTOMERS_CFG)
 

@@ -1,4 +1,4 @@
-"""Schemas found in the raw lake."""
+"""Schemas found in the raw lake, and schemas that change along the change log."""
 
 from __future__ import annotations
 
@@ -7,9 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.functions.frames import add_frame
+from rivulet.operators.cdc import row_image_schema
 from rivulet.plans import lake
+from rivulet.plans.cdc import EVENTS_CHANGES_SQL
 from rivulet.plans.registry import register
+from rivulet.sources import changelog as L
 from rivulet.sources import discovery as D
+from rivulet.sources import schemas as SC
+from rivulet.sources.tables import table
 
 #: What the datasets are expected to hold: some columns too many, some too few, some of another type.
 EXPECTED = {
@@ -71,3 +77,31 @@ def schema_drift(spark, sf):
     expected = spark.createDataFrame([(d, c, t) for d, cols in EXPECTED.items() for c, t in cols.items()],
                                      "dataset string, column string, type string")
     return D.drift(reduce(DataFrame.unionByName, map(found, EXPECTED)), expected)
+
+
+#: Three generations of one record: narrower numbers, then a renamed amount, then a new currency.
+WRITERS = {11: row_image_schema({"order_id": "int", "amount": "double", "status": "string"}),
+           12: row_image_schema({"order_id": "long", "total": "double", "status": "string"}),
+           13: row_image_schema({"order_id": "long", "total": "double", "status": "string", "currency": "string"})}
+READER = SC.ReaderSchema(row_image_schema({"order_id": "long", "total": "double", "status": "string", "currency": "string"}),
+                         {"currency": "EUR"}, {"total": ("amount",)})
+#: The day of the month at which the writer moves to the next generation.
+CHANGED_ON = (11, 21)
+
+
+@register("schema_generations", sql=f"""
+SELECT order_id, amount AS total, status, CASE WHEN gen = 13 THEN currency ELSE 'EUR' END AS currency, gen AS schema_id, "offset"
+FROM (SELECT *, CAST(CASE WHEN day(event_time) < {CHANGED_ON[0]} THEN 11 WHEN day(event_time) < {CHANGED_ON[1]} THEN 12 ELSE 13 END AS BIGINT) AS gen
+      FROM ({EVENTS_CHANGES_SQL}) e) g
+""")
+def schema_generations(spark, sf):
+    """One log written with three schemas in turn, decoded in one pass into the newest reader's fields."""
+    ch = L.events_changes(table(spark, sf, "events"))
+    day = F.dayofmonth("event_time")
+    record = F.when(day < CHANGED_ON[0], F.to_json(F.struct("order_id", "amount", "status"))) \
+        .when(day < CHANGED_ON[1], F.to_json(F.struct("order_id", F.col("amount").alias("total"), "status"))) \
+        .otherwise(F.to_json(F.struct("order_id", F.col("amount").alias("total"), "status", "currency")))
+    framed = F.when(day < CHANGED_ON[0], add_frame(F.encode(record, "UTF-8"), 11)) \
+        .when(day < CHANGED_ON[1], add_frame(F.encode(record, "UTF-8"), 12)).otherwise(add_frame(F.encode(record, "UTF-8"), 13))
+    log = ch.select("partition", "offset", F.col("event_time").alias("timestamp"), framed.alias("value"))
+    return SC.decode_versions(log, WRITERS, READER).drop("partition", "timestamp")

@@ -309,6 +309,22 @@ def recon_keys(spark, sf):
     return r.groupBy("status").agg(F.count(F.lit(1)).alias("keys"))
 
 
+@register("recon_tree", sql=f"""
+WITH s AS ({ORDERS_TARGET_SQL}), t AS ({MERGED_SQL})
+SELECT coalesce(s.order_id, t.order_id) AS order_id,
+       CASE WHEN t.order_id IS NULL THEN 'missing_in_target' WHEN s.order_id IS NULL THEN 'extra_in_target' ELSE 'changed' END AS status
+FROM s FULL OUTER JOIN t ON s.order_id = t.order_id
+WHERE s.order_id IS NULL OR t.order_id IS NULL OR s.customer_id IS DISTINCT FROM t.customer_id
+   OR s.amount IS DISTINCT FROM t.amount OR s.status IS DISTINCT FROM t.status
+""")
+def recon_tree(spark, sf):
+    """The keys that differ between the source orders and the CDC-merged table, found by descending into unequal key ranges only."""
+    from rivulet.operators.recon_tree import reconcile_tree
+
+    keys, _ = reconcile_tree(spark, orders_target(spark, sf), cdc_merge(spark, sf), "order_id", ["customer_id", "amount", "status"])
+    return keys
+
+
 def _totals(df, side):
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("amount_sum"),
                   F.sum(md5_prefix_int("order_id", "customer_id", "amount", "status")).alias("hash_total")

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from rivulet.operators import cdc as C
 from rivulet.operators import joins as J
-from rivulet.plans.cdc import EVENTS_CHANGES_SQL
+from rivulet.plans import lake
+from rivulet.plans.cdc import CUSTOMERS_CFG, CUSTOMERS_ENVELOPE, EVENTS_CHANGES_SQL, customers_log
 from rivulet.plans.registry import register
 from rivulet.plans.table import FULL_STATE_SQL, log_changes
 from rivulet.session import scratch_path
@@ -221,3 +222,83 @@ def late_rows(spark, sf):
        .write.mode("append").parquet(path))
     run()
     return spark.read.parquet(late).select("event_id", "ts", "watermark")
+
+
+@register("state_inspection", sql="""
+WITH newest AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT event_id) AS BIGINT) AS keys,
+       CAST(min(ts) + INTERVAL 1 HOUR AS TIMESTAMP) AS first_expiry, CAST(max(ts) + INTERVAL 1 HOUR AS TIMESTAMP) AS last_expiry,
+       true AS in_many_partitions, 'dedupeWithinWatermark' AS operator_name
+FROM events, newest WHERE ts + INTERVAL 1 HOUR > mark
+""")
+def state_inspection(spark, sf):
+    """What the de-duplication stream still remembers when it stops: the events younger than the watermark allows to forget."""
+    from rivulet.streaming.inspect import state_summary
+
+    src = spark.readStream.schema(EVENTS_SCHEMA).parquet(events_with_replay(spark, sf) + "/*")
+    out, ck = scratch_path(spark, "dedup_out"), scratch_path(spark, "dedup_ckpt")
+    to_parquet_available_now(W.dedup_within_watermark(src, "ts", ["event_id"], "1 hour"), out, ck)
+    return state_summary(spark, ck).groupBy("operator_name").agg(
+        F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.min("first_expiry").alias("first_expiry"),
+        F.max("last_expiry").alias("last_expiry"), (F.count_distinct("partition_id") > 1).alias("in_many_partitions"))
+
+
+@register("cdc_fan_out", sql=f"""
+SELECT 'orders' AS tbl, order_id AS key, status AS label, CAST(NULL AS BIGINT) AS last_order_id FROM ({FULL_STATE_SQL}) s
+UNION ALL
+SELECT 'customers', c_custkey, c_mktsegment,
+       (SELECT arg_max(o_orderkey, struct_pack(t := epoch_ms(o_orderdate), k := o_orderkey)) FROM orders WHERE o_custkey = c_custkey)
+FROM customer
+""")
+def cdc_fan_out(spark, sf):
+    """One log that holds two captured tables, read once per micro-batch and fed to a table each."""
+    from rivulet.streaming.fanout import start_fan_out, table_route
+
+    log = scratch_path(spark, "mixed_log")
+    orders = spark.read.schema(L.LOG_SCHEMA).parquet(L.events_change_log(spark, sf))
+    orders.select("partition", "offset", "timestamp", "value").unionByName(customers_log(spark, sf)).write.parquet(log)
+    schema = T.StructType([f for f in L.LOG_SCHEMA if f.name in ("partition", "offset", "timestamp", "value")])
+    to_orders = VersionedTable(spark, scratch_path(spark, "fan_orders"), C.ORDERS, event_order=True)
+    to_customers = VersionedTable(spark, scratch_path(spark, "fan_customers"), CUSTOMERS_CFG, event_order=True)
+    start_fan_out(spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(log),
+                  [table_route("orders", C.ORDERS, L.ORDER_ENVELOPE, to_orders),
+                   table_route("customers", CUSTOMERS_CFG, CUSTOMERS_ENVELOPE, to_customers)],
+                  scratch_path(spark, "fan_ckpt"), {"availableNow": True}).awaitTermination()
+    return to_orders.state().select(F.lit("orders").alias("tbl"), F.col("order_id").alias("key"), F.col("status").alias("label"),
+                                    F.lit(None).cast("long").alias("last_order_id")) \
+        .unionByName(to_customers.state().select(F.lit("customers").alias("tbl"), F.col("customer_id").alias("key"),
+                                                 F.col("segment").alias("label"), "last_order_id"))
+
+
+#: Rejected share at which the gated stream stops; the landed orders stay below it.
+STREAM_GATE = 0.25
+
+
+@register("stream_gate", sql=f"""
+SELECT order_id, customer_id, order_timestamp, status FROM ({lake.RAW_ORDERS_SQL}) r
+WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND order_timestamp <> '{lake.BAD_DATE}'
+  AND status NOT IN ('UNKNOWN', 'RETURNED')
+""")
+def stream_gate(spark, sf):
+    """A gated stream of raw orders: the first delivery lands, the second, half of it broken, stops the query uncommitted."""
+    from pyspark.errors import StreamingQueryException
+    from rivulet.operators.rules import order_rules
+    from rivulet.streaming.gate import start_gated
+
+    raw, path, ck = (scratch_path(spark, n) for n in ("gated_raw", "gated", "gated_ckpt"))
+    orders = lake.raw_orders(spark, sf)
+
+    def run():
+        src = spark.readStream.schema(orders.schema).parquet(raw)
+        start_gated(src, order_rules(), "orders", F.col("order_id"), path, ck, STREAM_GATE, {"availableNow": True}).awaitTermination()
+
+    orders.write.parquet(raw)
+    run()
+    broken = F.when(F.col("order_id").cast("long") % 2 == 0, F.lit("BROKEN")).otherwise(F.col("status"))
+    orders.withColumn("status", broken).write.mode("append").parquet(raw)
+    try:
+        run()
+    except StreamingQueryException as e:
+        if "RejectedShareTooHigh" not in str(e):
+            raise
+    return spark.read.schema(orders.schema).parquet(f"{path}/valid").select(*orders.columns)

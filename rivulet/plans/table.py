@@ -9,7 +9,8 @@ from rivulet.plans.cdc import EVENTS_CHANGES_SQL
 from rivulet.plans.gold import fact
 from rivulet.plans.registry import register
 from rivulet.plans.sqlparts import FACT_SQL
-from rivulet.session import file_statuses, published, scratch_path
+from rivulet.session import published, scratch_path
+from rivulet.sinks import compaction as CO
 from rivulet.sinks import tables as K
 from rivulet.sources import catalog as CAT
 from rivulet.sources import changelog as L
@@ -258,11 +259,35 @@ def file_profile(spark, sf):
 
 
 def file_sizes(spark, path: str):
-    """Files, mean and smallest size per batch folder; no row is read."""
-    rows = [(name, size) for name, size, _ in file_statuses(spark, path)]
-    return spark.createDataFrame(rows, "name string, bytes long") \
-        .groupBy(F.regexp_extract("name", "batch_id=(-?[0-9]+)", 1).cast("long").alias("batch_id")) \
-        .agg(F.count("*").alias("files"), F.avg("bytes").alias("mean_bytes"), F.min("bytes").alias("smallest_bytes"))
+    """Files, mean and smallest size per batch folder, from Spark's listing; no row is read."""
+    return CO.size_profile(CO.list_files(spark, path)).select(
+        F.regexp_extract("folder", "batch_id=(-?[0-9]+)", 1).cast("long").alias("batch_id"), "files", "mean_bytes", "smallest_bytes")
+
+
+#: Files of the day folders that one query compacts, and the sizes in bytes that make it pack them.
+SMALL_WRITERS, PACK_TARGET, PACK_SMALL = 24, 200_000, 100_000
+
+
+@register("compact_files", sql=f"""
+SELECT CAST(event_time AS DATE) AS day, CAST(count(*) AS BIGINT) AS changes, CAST(sum(user_id) AS BIGINT) AS user_sum,
+       true AS fewer_files, true AS in_bounds
+FROM (SELECT order_id AS user_id, event_time FROM ({EVENTS_CHANGES_SQL}) e) x GROUP BY 1
+""")
+def compact_files(spark, sf):
+    """A folder of many small files per day packed by bytes: same rows, fewer files, none larger than a bin may be."""
+    path = scratch_path(spark, "many_files")
+    ev = T.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    ev.repartition(SMALL_WRITERS, "event_id").write.partitionBy("day").parquet(path)
+    day = F.to_date(F.regexp_extract("folder", "day=([0-9-]+)", 1)).alias("day")
+    profile = lambda: CO.size_profile(CO.list_files(spark, path)).select(day, "files", "largest_bytes")
+    kept = scratch_path(spark, "profile_before")
+    profile().write.parquet(kept)
+    CO.compact_files(spark, path, ["day"], PACK_TARGET, PACK_SMALL)
+    before = spark.read.parquet(kept).select("day", F.col("files").alias("before"))
+    rows = spark.read.parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("changes"), F.sum("user_id").alias("user_sum"))
+    return rows.join(before, "day").join(profile(), "day").select(
+        "day", "changes", "user_sum", (F.col("files") < F.col("before")).alias("fewer_files"),
+        (F.col("largest_bytes") <= PACK_TARGET + PACK_SMALL).alias("in_bounds"))
 
 
 @register("snapshot_diff", sql=f"""
