@@ -41,23 +41,26 @@ def _to_silver(spark: SparkSession, base: str, name: str, columns: tuple[str, ..
     started = time.monotonic()
     fmt = "json" if name == "customers" else "csv"
     raw = read_bronze(spark, base, name, run.ingestion_date, fmt, ", ".join(f"{c} string" for c in columns),
-                      source_file="source_file")
+                      source_file="source_file", arrival="arrival")
     if name == "order_items":
-        raw = S.typed_items(raw, id_type, keep=("source_file",))
+        raw = S.typed_items(raw, id_type, keep=("source_file", "arrival"))
     observed, counters = Q.observe_job(Q.tag(raw, RULES[name]()), name, KEYS[name])
     path = scratch_path(spark, f"tagged_{name}")
     observed.write.parquet(path)
     tagged = spark.read.parquet(path)
-    payload = [c for c in raw.columns if c != "source_file"]
+    payload = [c for c in raw.columns if c not in ("source_file", "arrival")]
     record = F.concat_ws("-", *[F.col(c).cast("string") for c in KEYS[name]])
     valid, errors = Q.split(tagged, name, record, run.batch_id, F.col("source_file"), payload)
     valid = valid.drop("source_file")
+    # the last by business time where the rows have one, then the one that was landed last
     if name == "customers":
-        rows = S.silver_customers(valid)
+        rows = S.silver_customers(valid, "arrival")
+    elif name == "orders":
+        typed = S.typed_orders(valid, id_type=id_type, keep=("arrival",))
+        rows = S.keep_last(typed, KEYS[name], [F.col("order_timestamp").desc_nulls_last(), F.col("arrival").desc()])
     else:
-        rows = S.keep_last(S.typed_orders(valid, id_type=id_type) if name == "orders" else valid, KEYS[name],
-                           [F.col("order_timestamp").desc_nulls_last()] if name == "orders" else [])
-    write_table(rows, f"silver.{name}")
+        rows = S.keep_last(valid, KEYS[name], [F.col("arrival").desc()])
+    write_table(rows.drop("arrival"), f"silver.{name}")
     seen = counters.get
     written = spark.table(f"silver.{name}").count()
     metrics = (f"silver_{name}", run.batch_id, seen["read"], written, seen["rejected"],

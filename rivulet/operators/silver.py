@@ -26,10 +26,10 @@ def keep_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def silver_customers(raw: DataFrame) -> DataFrame:
-    """Masked copies of email and phone next to the raw ones; one row per
-    customer, the latest by ``created_at`` and ingestion date where the raw rows have them."""
-    latest = [F.col(c).desc_nulls_last() for c in ("created_at", "ingestion_date") if c in raw.columns]
+def silver_customers(raw: DataFrame, arrival: str = "ingestion_date") -> DataFrame:
+    """Masked copies of email and phone next to the raw ones; one row per customer, the latest by
+    ``created_at`` and ``arrival`` (a column that orders deliveries) where the raw rows have them."""
+    latest = [F.col(c).desc_nulls_last() for c in ("created_at", arrival) if c in raw.columns]
     masked = (raw.withColumn("email_masked", mask_prefix(F.col("email")))
                  .withColumn("phone_masked", mask_prefix(F.col("phone"))))
     return keep_last(masked, ["customer_id"], latest)
@@ -46,18 +46,30 @@ def typed_items(raw: DataFrame, id_type: str = "long", keep: tuple[str, ...] = (
                       (q * p).cast("decimal(18,4)").alias("line_total"), *keep)
 
 
-def typed_orders(raw: DataFrame, statuses: list[str] | None = None, id_type: str = "long") -> DataFrame:
+def typed_orders(raw: DataFrame, statuses: list[str] | None = None, id_type: str = "long", keep: tuple[str, ...] = ()) -> DataFrame:
     ts = F.try_to_timestamp(F.col("order_timestamp"))
     st = norm(F.col("status"))
     out = raw.select(F.col("order_id").try_cast(id_type).alias("order_id"),
                      F.col("customer_id").try_cast(id_type).alias("customer_id"),
                      ts.alias("order_timestamp"), st.alias("status"),
-                     F.to_date(ts).alias("order_date"))
+                     F.to_date(ts).alias("order_date"), *keep)
     if statuses is not None:
         out = out.withColumn("status", F.when(F.col("status").isin(statuses), F.col("status")))
     return out
 
 
+def add_cdc_audit_columns(changes: DataFrame, batch_id: str | Column, source_system: str) -> DataFrame:
+    """Audit columns of normalised changes: operation, place in the log, event time,
+    load time, batch id and source system (the operation and order columns become one set of names)."""
+    bid = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
+    return (changes.withColumn("cdc_op", F.col("op"))
+                   .withColumn("cdc_position", F.concat_ws(":", F.col("partition").cast("string"), F.col("offset").cast("string")))
+                   .withColumn("event_ts", F.timestamp_millis("ts_ms"))
+                   .withColumn("ingestion_ts", F.current_timestamp())
+                   .withColumn("batch_id", bid).withColumn("source_system", F.lit(source_system))
+                   .drop("op", "partition", "offset", "ts_ms"))
+
+
 def standardize_names(df: DataFrame, rename: dict[str, str] | None = None) -> DataFrame:
     """snake_case every column name, then apply the rename map (documented -> coded names)."""
     mapping = {c: snake_case(c) for c in df.columns}

@@ -27,21 +27,26 @@ from rivulet.sources import tables as T
 GATE_THRESHOLD = 0.05
 
 
+def _routed(raw, rules, name, record):
+    """Router of one landed dataset: every error row names the file that its row came from."""
+    payload = [c for c in raw.columns if c != "source_file"]
+    valid, errors = Q.split(Q.tag(raw, rules), name, record, lake.CTX.batch_id, F.col("source_file"), payload)
+    return valid.drop("source_file"), errors
+
+
 def routed_items(spark, sf):
-    raw = bronze(spark, sf, "order_items")
-    typed = S.typed_items(raw)
+    typed = S.typed_items(bronze(spark, sf, "order_items", source_file="source_file"), keep=("source_file",))
     rid = F.concat_ws("-", F.col("order_id").cast("string"), F.col("product_id").cast("string"))
-    return Q.route(typed, item_rules(), "order_items", rid, lake.CTX.batch_id)
+    return _routed(typed, item_rules(), "order_items", rid)
 
 
 def routed_orders(spark, sf):
-    raw = bronze(spark, sf, "orders")
-    return Q.route(raw, order_rules(), "orders", F.col("order_id"), lake.CTX.batch_id)
+    return _routed(bronze(spark, sf, "orders", source_file="source_file"), order_rules(), "orders", F.col("order_id"))
 
 
 def routed_customers(spark, sf):
-    raw = bronze(spark, sf, "customers", "json")
-    return Q.route(raw, customer_rules(), "customers", F.col("customer_id"), lake.CTX.batch_id)
+    raw = bronze(spark, sf, "customers", "json", source_file="source_file")
+    return _routed(raw, customer_rules(), "customers", F.col("customer_id"))
 
 
 TYPED_ITEMS_SQL = f"""
@@ -93,10 +98,14 @@ def all_errors(spark, sf) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@register("dq_errors", sql=ERRORS_SQL)
+@register("dq_errors", sql=f"""
+SELECT e.*, 'bronze/' || source_table || '/ingestion_date={lake.INGESTION_DATE}' AS source_file FROM ({ERRORS_SQL}) e
+""")
 def dq_errors(spark, sf):
-    """The error table (one row per broken rule); raw payload and load time left out of the comparison."""
-    return all_errors(spark, sf).drop("raw_payload", "created_at", "source_file")
+    """The error table (one row per broken rule) with the landed folder of each row's file; raw payload and
+    load time are left out of the comparison, and so is the file's own name, which Spark makes up."""
+    folder = F.regexp_extract("source_file", r"(bronze/[^/]+/[^/]+)/[^/]+$", 1)
+    return all_errors(spark, sf).drop("raw_payload", "created_at").withColumn("source_file", folder)
 
 
 @register("dq_summary", sql=f"""

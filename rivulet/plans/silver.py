@@ -9,6 +9,7 @@ from rivulet.functions.masks import column_policy_mask, mask_email, mask_phone,
 from rivulet.functions.time import batch_id_for_date
 from rivulet.operators import silver as S
 from rivulet.plans import lake
+from rivulet.plans.cdc import NORMALIZED_SQL, normalized
 from rivulet.plans.lake import (CUSTOMER_SCHEMA, RAW_CUSTOMERS_SQL, RAW_ITEMS_SQL, RAW_ORDERS_SQL,
                                 RAW_PRODUCTS_SQL)
 from rivulet.plans.registry import register
@@ -19,11 +20,11 @@ from rivulet.sources import tables as T
 ORDERS_RAW_SCHEMA = "order_id string, customer_id string, order_timestamp string, status string"
 
 
-def bronze(spark, sf, dataset, fmt="csv", schema=None, day=lake.INGESTION_DATE):
+def bronze(spark, sf, dataset, fmt="csv", schema=None, day=lake.INGESTION_DATE, **marks):
     base = lake.landed(spark, sf)
     if fmt == "json":
         schema = schema or CUSTOMER_SCHEMA
-    return FS.read_bronze(spark, base, dataset, day, fmt, schema)
+    return FS.read_bronze(spark, base, dataset, day, fmt, schema, **marks)
 
 
 @register("scan_json_multiline", sql=RAW_CUSTOMERS_SQL)
@@ -64,6 +65,17 @@ def bronze_audit(spark, sf):
                    F.bool_and(F.col("source_file").isNotNull()).alias("all_have_file")))
 
 
+@register("cdc_audit", sql=f"""
+SELECT order_id, customer_id, amount, status, ts, op AS cdc_op, CAST("partition" AS VARCHAR) || ':' || CAST("offset" AS VARCHAR) AS cdc_position,
+       epoch_ms(ts_ms) AS event_ts, CAST(batch_id AS VARCHAR) AS batch_id, 'erp' AS source_system, true AS stamped
+FROM ({NORMALIZED_SQL}) n
+""")
+def cdc_audit(spark, sf):
+    """Captured changes with their audit columns (the load time is only checked to be there)."""
+    rows = S.add_cdc_audit_columns(normalized(spark, sf), F.col("batch_id").cast("string"), "erp")
+    return rows.withColumn("stamped", F.col("ingestion_ts") <= F.current_timestamp()).drop("ingestion_ts")
+
+
 @register("silver_customers", sql=f"""
 SELECT customer_id, name, email, phone, country, segment,
        substr(email, 1, 2) || '***' AS email_masked, substr(phone, 1, 2) || '***' AS phone_masked

@@ -86,6 +86,23 @@ def test_bad_and_repeated_rows(spark, tmp_dir):
         run_medallion(spark, tmp_dir, DailyRun.for_day("2026-05-20"))
 
 
+def test_the_row_that_was_landed_last_stays(spark, tmp_dir):
+    """Repeated items, products and orders of a day: of one file the later line, of two files the later file."""
+    land(spark, tmp_dir, {**FILES, "order_items": "order_id,product_id,quantity,unit_price\nO001,P001,1,49.9\nO001,P001,5,49.9\n"
+                                                  "O002,P002,2,24.9\n",
+                          "products": "product_id,name,category,price\nP001,Keyboard,Accessories,49.9\nP002,Mouse,Accessories,24.9\n"
+                                      "P002,Mouse,Accessories,19.9\n"})
+    land(spark, tmp_dir, {"order_items": "order_id,product_id,quantity,unit_price\nO002,P002,1,24.9\n",
+                          "orders": "order_id,customer_id,order_timestamp,status\nO001,C001,2026-05-20T12:00:00Z,CANCELLED\n"})
+    run_medallion(spark, tmp_dir, DailyRun.for_day("2026-05-20"), gate=False)
+    assert rows(spark, "silver.order_items", "order_id", "quantity") == [("O001", Decimal("5.00")), ("O002", Decimal("1.00"))]
+    assert rows(spark, "silver.products", "product_id", "price")[1][1] in ("19.9", Decimal("19.90"))
+    assert rows(spark, "silver.orders", "order_id", "status")[0] == ("O001", "CANCELLED")
+    assert {(j, n) for j, n in rows(spark, "silver.job_metrics", "job", "duplicates")} >= {
+        ("silver_order_items", 2), ("silver_products", 1), ("silver_orders", 1)}
+    assert "arrival" not in spark.table("silver.order_items").columns
+
+
 def test_value_schema_lookup():
     schema = {"type": "struct", "fields": [{"name": "op", "type": "string", "nullable": True, "metadata": {}}]}
     doubly = json.dumps(json.dumps(schema))
