@@ -5,9 +5,10 @@ A line's hash is rare enough to link documents once it stands for
 after it until the run has that many, so a boilerplate line alone links
 nothing.  A document is paired with the earliest holder of each of its hashes,
 never with all of them, so pairs grow with the lines and every block of that
-many words is met in its earliest place.  Pairs are aligned by patience diff
-(lines unique on both sides, their longest increasing order, then the stretches
-between them), and aligned blocks of at least ``MIN_BLOCK_WORDS`` words are
+many words is met in its earliest place.  Pairs are aligned by patience diff over the
+runs of lines that link them (runs unique on both sides, their longest increasing
+order, then the stretches between them, by a longest common subsequence where
+none is unique), and aligned blocks of at least ``MIN_BLOCK_WORDS`` words are
 deleted from the later document, whose other lines are aligned again until it
 shares no such block with the earlier one: passages in another order and
 repeated ones go too.  The earliest copy of a line always stays.
@@ -15,7 +16,7 @@ repeated ones go too.  The earliest copy of a line always stays.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +27,8 @@ from rivulet.llm.common import binary_column, document_key, staged
 
 #: Words of the shortest block that is deleted.
 MIN_BLOCK_WORDS = 25
-#: Alignments of a pair before the shared runs that are left are taken at once.
-ROUNDS = 3
+#: Bits of an alignment table that are kept at once.
+LCS_BITS = 1 << 29
 
 
 def line_hashes(text: bytes | None, min_words: int = MIN_BLOCK_WORDS):
@@ -60,7 +61,8 @@ def line_hashes(text: bytes | None, min_words: int = MIN_BLOCK_WORDS):
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Aligned positions of two sequences, in order."""
+    """Aligned positions of two sequences, in order: elements unique on both sides in their longest
+    increasing order, then the same between them; a stretch without a unique one by its longest common subsequence."""
     found, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
@@ -78,6 +80,7 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
                 seen[seq[i]] = None if seq[i] in seen else i
         common = [(i, places[1][h]) for h, i in places[0].items() if i is not None and places[1].get(h) is not None]
         if not common:
+            found += [(a0 + i, b0 + j) for i, j in lcs(a[a0:a1], b[b0:b1])]
             continue
         common.sort()
         # longest increasing order of the places in b
@@ -98,66 +101,113 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def aligned_blocks(a: list, b: list, min_words: int = MIN_BLOCK_WORDS) -> list[int]:
-    """Positions in ``b`` of one alignment's blocks of at least ``min_words`` words."""
-    out, block, words, last = [], [], 0, None
-    for i, j in [*patience([x[2] for x in a], [x[2] for x in b]), (None, None)]:
-        here = (a[i][0], b[j][0]) if i is not None else None
-        if last is not None and (here is None or here != (last[0] + 1, last[1] + 1)):
-            if words >= min_words:
-                out += block
-            block, words = [], 0
-        if here is not None:
-            block.append(j)
-            words += b[j][3]
-        last = here
-    return out
-
+def lcs(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Aligned positions of a longest common subsequence; rows of bits, one per element of the shorter side.
 
-def shortest_runs(seq: list, min_words: int = MIN_BLOCK_WORDS):
-    """(start, end) of the shortest runs of neighbouring lines with ``min_words``
-    words, from each line on and up to each line."""
+    Sides too long for the rows to be kept at once are cut: the pieces of the longer
+    side are aligned one by one with what the shorter side has left.
+    """
+    if len(a) > len(b):
+        return [(i, j) for j, i in lcs(b, a)]
+    found, at = [], 0
+    piece = max(1, LCS_BITS // max(len(a), 1))
+    for start in range(0, len(b), piece):
+        part = b[start:start + piece]
+        places: dict[int, int] = {}
+        for j, h in enumerate(part):
+            places[h] = places.get(h, 0) | 1 << j
+        full = (1 << len(part)) - 1
+        state, rows = full, []
+        for h in a[at:]:
+            hit = state & places.get(h, 0)
+            state = ((state + hit) | (state - hit)) & full
+            rows.append(state)
+        i, j, pairs = len(rows), len(part), []
+        while i and j:
+            if rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+            else:
+                i -= 1
+                if not i or rows[i - 1] >> (j - 1) & 1:
+                    j -= 1
+                    pairs.append((at + i, start + j))
+        pairs.reverse()
+        found += pairs
+        at = found[-1][0] + 1 if found else 0
+    return found
+
+
+def runs(seq: list, min_words: int = MIN_BLOCK_WORDS) -> list[tuple[int, int]]:
+    """(start, hash) of the shortest run of neighbouring lines with ``min_words`` words from each line on that has one."""
     total = [0, *accumulate(x[3] for x in seq)]
     edges = [0, *(i for i in range(1, len(seq)) if seq[i][0] != seq[i - 1][0] + 1), len(seq)]
+    out = []
     for lo, hi in zip(edges, edges[1:]):
         for i in range(lo, hi):
             end = bisect_left(total, total[i] + min_words, i + 1, hi + 1)
-            if end <= hi:
-                yield i, end
-            start = bisect_right(total, total[i + 1] - min_words, lo, i + 1) - 1
-            if start >= lo:
-                yield start, i + 1
-
-
-def shared_lines(a: list, b: list, min_words: int = MIN_BLOCK_WORDS) -> list[int]:
-    """Positions in ``b`` that lie in a run of at least ``min_words`` words that ``a`` holds anywhere."""
-    held = {hash(tuple([x[2] for x in a[i:j]])) for i, j in shortest_runs(a, min_words)}
-    found = set()
-    for i, j in shortest_runs(b, min_words):
-        if hash(tuple([x[2] for x in b[i:j]])) in held:
-            found.update(range(i, j))
-    return sorted(found)
+            if end > hi:
+                break
+            out.append((i, hash(tuple([x[2] for x in seq[i:end]]))))
+    return out
+
+
+def aligned_blocks(a: list, b: list, anchors: list[tuple[int, int]], min_words: int = MIN_BLOCK_WORDS) -> set[int]:
+    """Positions in ``b`` of the blocks of at least ``min_words`` words around aligned anchors (i, j), in order.
+
+    From an anchor the alignment goes on line by line, back to the one before and
+    forth to the next, while lines are equal and neighbours on both sides.
+    """
+    out: set[int] = set()
+    last = (-1, -1)
+    for (i, j), (i2, j2) in zip(anchors, [*anchors[1:], (len(a), len(b))]):
+        if i <= last[0] or j <= last[1]:
+            continue  # inside the block before
+        near = lambda seq, n: seq[n][0] == seq[n - 1][0] + 1
+        s, t = i, j
+        while s - 1 > last[0] and t - 1 > last[1] and near(a, s) and near(b, t) and a[s - 1][2] == b[t - 1][2]:
+            s, t = s - 1, t - 1
+        e, f = i, j
+        while e < len(a) and f < len(b) and a[e][2] == b[f][2] and (e == i or near(a, e) and near(b, f)) \
+                and (e - i2 == f - j2 or e < i2 and f < j2):
+            e, f = e + 1, f + 1
+        if sum(x[3] for x in b[t:f]) >= min_words:
+            out.update(range(t, f))
+        last = (e - 1, f - 1)
+    return out
 
 
 def common_blocks(a: list, b: list, min_words: int = MIN_BLOCK_WORDS) -> list[int]:
     """Line indexes of ``b`` in blocks of at least ``min_words`` words shared with ``a``.
 
     ``a`` and ``b`` are lists of (place among the lines with words, index,
-    hash, words); a block is consecutive on both sides.  One alignment finds
-    blocks in one order and each once, so the lines it leaves are aligned with
-    the whole of ``a`` again.  What ``ROUNDS`` alignments leave (a passage
-    repeated many times), or one that finds no block (no line is unique, or
-    short lines in another order win), is taken from the shared runs directly.
+    hash, words); a block is consecutive on both sides.  The anchors of an
+    alignment are the rare line hashes: runs of ``min_words`` words that both
+    sides hold.  One alignment finds passages in one order and each once, so the
+    lines it leaves are aligned with the whole of ``a`` again, until the sides
+    share no such run: the last anchor of an alignment always yields its block.
+    The first alignment is that of the whole documents; later ones take what is
+    left of ``b`` in pieces of as many anchors as ``a`` has, so a passage repeated
+    many times doesn't cost an alignment of the whole for each repeat.
     """
-    out = []
-    for n in range(ROUNDS + 1):
-        b = [b[j] for j in shared_lines(a, b, min_words)]
-        if not b:
-            break
-        gone = set(aligned_blocks(a, b, min_words) if n < ROUNDS else ()) or set(range(len(b)))
+    of_a, out, whole = runs(a, min_words), [], True
+    known = {h for _, h in of_a}
+    while True:
+        of_b = [(j, h) for j, h in runs(b, min_words) if h in known]
+        if not of_b:
+            return sorted(out)
+        there = {h for _, h in of_b}
+        left = [(i, h) for i, h in of_a if h in there]
+        gone: set[int] = set()
+        size = len(of_b) if whole else len(left)
+        for n in range(0, len(of_b), size):
+            part = of_b[n:n + size]
+            pairs = patience([h for _, h in left], [h for _, h in part])
+            gone |= aligned_blocks(a, b, [(left[x][0], part[y][0]) for x, y in pairs], min_words)
+        if not gone:  # only if two different runs have one 64-bit hash
+            return sorted(out)
         out += [b[j][1] for j in gone]
         b = [x for j, x in enumerate(b) if j not in gone]
-    return sorted(out)
+        whole = False
 
 
 def deletions(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

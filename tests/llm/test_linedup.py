@@ -5,6 +5,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
+from rivulet.llm import linedup
 from rivulet.llm.linedup import MIN_BLOCK_WORDS, common_blocks, drop_common_blocks, line_hashes, patience
 from tests.llm.conftest import DOCS
 
@@ -159,3 +160,37 @@ def test_crossing_and_repeated_passages(spark):
 def test_many_repeats_take_linear_time():
     many = [(i, i, i % 3, 26) for i in range(60_000)]
     assert common_blocks(many[:3], many) == list(range(60_000))
+
+
+def test_lcs_is_longest():
+    rng = random.Random(5)
+    for _ in range(500):
+        a, b = ([rng.randrange(4) for _ in range(rng.randint(0, 14))] for _ in range(2))
+        got = linedup.lcs(a, b)
+        assert len(got) == lcs(a, b) and all(a[i] == b[j] for i, j in got)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
+def test_an_alignment_in_pieces_is_one(monkeypatch):
+    monkeypatch.setattr(linedup, "LCS_BITS", 40)
+    rng = random.Random(6)
+    for _ in range(200):
+        a, b = ([rng.randrange(4) for _ in range(rng.randint(0, 30))] for _ in range(2))
+        got = linedup.lcs(a, b)
+        assert all(a[i] == b[j] for i, j in got) and bool(got) == bool(set(a) & set(b))
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
+def test_only_the_alignment_deletes(monkeypatch):
+    """Without an alignment nothing goes, and one alignment takes a passage once."""
+    seq = lambda spec: [(p, p, h, w) for p, (h, w) in enumerate(spec)]
+    a, b = seq([(1, 30), (2, 30)]), seq([(2, 30), (9, 2), (1, 30)])
+    anchors = [(x[0], y[0]) for x, y in [((0, 0), (2, 0))]]
+    assert linedup.aligned_blocks(a, b, anchors) == {2}
+    calls = []
+    first = linedup.patience
+    monkeypatch.setattr(linedup, "patience", lambda x, y: calls.append(len(y)) or first(x, y))
+    assert common_blocks(a, b) == [0, 2] and len(calls) == 2
+    many = seq([(1, 30)] + [(7, 3), (1, 30)] * 500)
+    calls.clear()
+    assert len(common_blocks(seq([(1, 30)]), many)) == 501 and sum(calls) <= 2 * 501
