@@ -3,11 +3,13 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from importlib import metadata
 
+import numpy as np
 import zstandard
 from pyspark.sql import functions as F
 
-from rivulet.llm.quality import BASE_FIELDS, Bands, Judge, base_counts, keep_good, quality, repeated_words
+from rivulet.llm.quality import BASE_FIELDS, Bands, Judge, base_counts, base_failed, keep_good, quality, repeated_words
 from tests.llm.conftest import DOCS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -44,16 +46,24 @@ def test_repeated_words_with_many_different_words():
 
 
 def verdict(text, bands=Bands()):
-    """The method written out."""
+    """The method written out: nothing of the operator but its parameters."""
     data = (text or "").encode()
     n, *_, again = brute(text)
     if n < 10 or 100 * again > 20 * n:
         return False
     ratio = lambda d: len(d) / len(zstandard.ZstdCompressor(level=bands.level).compress(d))
-    low, high = Judge(bands).limits(len(data))
-    chunks = [data[i:i + bands.chunk_bytes] for i in range(0, len(data) - bands.chunk_bytes + 1, bands.chunk_bytes)]
-    out = [not bands.chunk[0] <= ratio(c) <= bands.chunk[1] for c in chunks]
-    return low <= ratio(data) <= high and sum(out) <= bands.chunk_share * len(out)
+    sizes = np.log([b[0] for b in bands.whole])
+    low, high = (np.interp(np.log(len(text)), sizes, [b[i] for b in bands.whole]) for i in (1, 2))
+    if not low <= ratio(data) <= high:
+        return False
+    step, below, above, chunks, at = bands.chunk_bytes, 0, 0, 0, 0
+    while len(data) >= step and at < len(data):
+        at = min(at, len(data) - step)
+        chunks += 1
+        below += ratio(data[at:at + step]) < bands.chunk[0]
+        above += ratio(data[at:at + step]) > bands.chunk[1]
+        at += step
+    return below <= bands.low_share * chunks and above <= bands.high_share * chunks
 
 
 def test_limits_are_interpolated():
@@ -86,14 +96,14 @@ def test_quality(spark, docs, clashing, empty):
 
 
 def test_whole_table_by_brute_force(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     got = {r.doc_id: r for r in quality(docs.select("doc_id", "text")).collect()}
     rows = docs.select("doc_id", "text").collect()
     assert len(got) == len(rows)
     for r in rows:
         assert tuple(got[r.doc_id][c] for c in BASE_FIELDS) == brute(r.text)
         assert got[r.doc_id].kept == verdict(r.text)
-    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").where("quality = 1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1")
     good = {r.doc_id for r in labels.collect()}
     passed_base = [r for r in got.values() if r.doc_id in good and not r.base_failed]
     assert passed_base and all(r.kept for r in passed_base)
@@ -126,7 +136,7 @@ def clean_text(table, lang, n_bytes):
 def test_very_long_clean_texts_stay():
     judge = Judge(Bands())
     for lang in ("de", "en", "es", "fr"):
-        for table, n_bytes in (("sf0.1", 100_000), ("sf0.1", 300_000), ("check_l", 1_000_000), ("check_l", 10_000_000)):
+        for table, n_bytes in (("sf0.1", 100_000), ("sf0.1", 300_000), ("sf0.1", 700_000)):
             text = clean_text(table, lang, n_bytes)
             assert judge.accepts(text), (lang, n_bytes, judge.ratio(text))
     # a text that says the same in other words is still too repetitive at any length
@@ -153,3 +163,61 @@ def test_texts_with_incompressible_lines_go():
     # the last, partial chunk counts
     clean = pool[:2 * 2048]
     assert judge.chunks_outside(clean + base64.encodebytes(rng.randbytes(1200))) == (3, 1)
+
+
+PROSE = [
+    # documentation, in several languages and scripts
+    "Before you start the service, copy the sample settings and change the two lines that name the data folder and the "
+    "port. The service refuses to start while either is missing, and says which. Logs go to the folder that the second "
+    "section names; they are rotated every night and kept for a fortnight. If you upgrade from an older release, run the "
+    "migration once with nobody connected: it takes a few minutes for every million records, and can be repeated safely "
+    "when it stops half-way. Backups are plain archives. To restore one, stop the service, unpack it next to the data "
+    "folder, and swap the names. Questions are welcome on the mailing list; please say which release you use.",
+    "Antes de empezar, copie el fichero de ejemplo y cambie las dos líneas que indican la carpeta de datos y el puerto. "
+    "El servicio no arranca si falta alguna de ellas y explica cuál. Los registros se guardan en la carpeta que aparece "
+    "en la segunda sección, se renuevan cada noche y se conservan dos semanas. Si viene de una versión anterior, ejecute "
+    "la migración una sola vez y sin usuarios conectados; tarda unos minutos por cada millón de filas y puede repetirse "
+    "sin riesgo cuando se interrumpe. Las copias de seguridad son archivos corrientes y se restauran con el servicio parado.",
+    "启动服务之前，请先复制示例配置文件，并修改其中的数据目录和端口两行。如果缺少任何一项，服务将拒绝启动并给出提示。日志写入第二节所指定的目录，"
+    "每天夜里轮换一次，保留两个星期。若从旧版本升级，请在无人连接时运行一次迁移程序；每百万条记录大约需要几分钟，中途停止后可以安全地重新执行。"
+    "备份是普通的压缩包，恢复时先停止服务，把它解压到数据目录旁边，再交换两个目录的名字即可。",
+    "サービスを起動する前に、見本の設定ファイルを複写し、データの置き場所とポート番号の二行を書き換えてください。どちらかが欠けていると起動せず、"
+    "足りない項目が表示されます。記録は二つ目の節で指定したフォルダーに書き込まれ、毎晩入れ替わり、二週間保存されます。古い版から更新する場合は、"
+    "誰も接続していないときに移行処理を一度だけ実行してください。途中で止まっても、もう一度安全に実行できます。",
+    # a licence of the short kind
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+    "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+    "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+    "is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be "
+    "included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY "
+    "KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+    "NONINFRINGEMENT.",
+]
+
+
+def test_real_prose_stays():
+    judge = Judge(Bands())
+    for text in PROSE:
+        assert judge.accepts(text.encode()), (text[:40], judge.ratio(text.encode()))
+    # licences and descriptions of the installed packages, whole and cut
+    found = 0
+    for package in ("numpy", "pandas", "pyarrow", "pytest", "hypothesis", "duckdb", "tokenizers", "py4j"):
+        try:
+            dist = metadata.distribution(package)
+        except metadata.PackageNotFoundError:
+            continue
+        texts = [dist.metadata.get_payload() or ""] + [
+            f.read_text(encoding="utf-8") for f in dist.files or () if re.search(r"(?i)licen[cs]e[^/]*(\.txt|\.md)?$", str(f))
+            and f.locate().is_file() and f.locate().stat().st_size < 200_000]
+        for text in texts:
+            data = text.encode()
+            if 600 <= len(data) and not base_failed(len(data.split()), repeated_words(data.split())):
+                found += 1
+                assert judge.accepts(data), (package, len(data), judge.ratio(data), judge.chunks_outside(data))
+    assert found >= 3
+
+
+def test_length_is_in_characters():
+    bands = Bands(whole=((100, 1.2, 3.0), (300, 1.4, 3.0)))
+    text = PROSE[2][:100]
+    assert len(text.encode()) > 250 and Judge(bands).accepts(text.encode()) == (Judge(bands).ratio(text.encode()) >= 1.2)
