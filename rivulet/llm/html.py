@@ -1,17 +1,24 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped so that every block element becomes a line; elements that
-are no article text by name, role or class (menus, page headers and footers,
-side bars, notices, adverts, forms, scripts, reader comments) leave blank
-lines.  The text lengths of the lines, links left out, are summed over a
-sliding window of lines.  The sum surges where text begins and dives to zero
-where as many blank lines follow as the window holds; the text between a surge
-and its dive is a stretch.  Those that hold a fair share of the largest one's text
-are chosen, and shorter ones between them or in a container of chosen text.  An
-element counts as no article text by a whole class, or by one part of a class
-(``cookie-notice``) unless it holds over half of the page's text.  Marked articles are a check afterwards: if a chosen stretch lies in
-one, the text is that of the marked articles, all of it; if none does (articles
-that are teasers beside the text), the choice stands.
+Markup is stripped so that every block element becomes a line; elements that are
+no article text by name, role or class (menus, page headers and footers, side
+bars, notices, adverts, forms, scripts, reader comments) leave blank lines, and so
+do the edges of containers, one for each.  No element with over half of the
+page's text is taken out that way, whatever it is called.
+
+The text lengths of the lines, links counted against them, are summed over a
+sliding window.  The sum *surges* where a window holds ``SURGE`` characters and
+*dives* where one holds fewer than ``DIVE``; the text between a surge and its
+dive, without short unmarked lines at its edges, is a core.  A stretch of lines
+without a gap of a whole window is chosen if its cores hold paragraphs or
+headings of ``SURGE`` characters, or ``BARE`` characters of any kind; all text between
+the first and the last chosen stretch stays, and so do paragraphs and headings
+beside them in a container of chosen text.  A page that surges nowhere gives the
+paragraphs it has, or else what text it has.
+
+Marked articles are a check afterwards: if a chosen stretch lies in one, the text
+is that of the marked articles, all of it; if none does (articles that are teasers
+beside the text), the choice stands.
 """
 
 from __future__ import annotations
@@ -26,13 +33,16 @@ from pyspark.sql import types as T
 from rivulet.llm.common import slices
 
 WINDOW_LINES = 3
-#: A stretch is chosen from this share of the largest one's text on.
-LEAST_SHARE = 0.25
+#: Characters in a window at which text begins, and below which it ends.
+SURGE, DIVE = 60, 10
+#: Characters of a stretch that is chosen without a paragraph or heading; a shorter line of no such element is no prose.
+BARE, SHORT = 200, 60
 
 # Element names and the words of class, id and role that mark what is no article text.
 BLOCKS = frozenset("""address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure
     footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead
     tr ul""".split())
+PARAGRAPHS = frozenset(["p", "blockquote", "pre", "dd", "h1", "h2", "h3", "h4", "h5", "h6"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NO_TEXT = frozenset("""applet aside button datalist dialog footer form head header iframe input label legend map menu nav
     noscript object optgroup option select template textarea title""".split())
@@ -52,6 +62,8 @@ MARKUP = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*>"
     r"|</?[a-zA-Z][^<>]*\Z", re.S | re.I)
+#: Elements that are never article text, however much they hold: menus, and what a page doesn't show as text.
+UNSEEN = frozenset("applet datalist head iframe input legend map menu nav noscript object optgroup option select template textarea title".split())
 #: Containers of lines; a line's own element (a paragraph, a heading, an item) is none.
 CONTAINERS = frozenset("article aside blockquote body center dd details div fieldset main section td th".split())
 #: First parts of a class that say what the element has or lacks, not what it is.
@@ -60,24 +72,23 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)",
 WORD = re.compile(r"[a-z]+")
 
 
-def _no_text(name: str, attributes: str, in_article: bool) -> int:
-    """Whether an element that opens holds no article text: 0 no, 1 by a word
-    that is one part of a class only (``widget-container``), 2 by its name or a whole class."""
-    if name in NO_TEXT and not (name == "header" and in_article):
+def _no_text(name: str, attributes: str, in_article: bool, listing: frozenset) -> int:
+    """Whether an element that opens holds no article text: 0 no, 1 by its name, role or class
+    unless it wraps the page's text, 2 whatever it holds."""
+    if name in UNSEEN:
         return 2
+    if name in NO_TEXT and not (name == "header" and in_article):
+        return 1
     if name in UNMARKED or "=" not in attributes:
         return 0
-    listed = REMARK_WORDS if name == "article" else NO_TEXT_WORDS - HEADER_WORDS if in_article else NO_TEXT_WORDS
-    found = 0
+    listed = listing & REMARK_WORDS if name == "article" else listing - HEADER_WORDS if in_article else listing
     for _, value in ATTRIBUTE.findall(attributes):
         for token in value.lower().strip("\"'").split():
             words = WORD.findall(token)
-            if token in listed:
-                return 2
             about = next((i for i, w in enumerate(words) if w in ABOUT), len(words))
-            if not listed.isdisjoint(words[:about]):
-                found = 1
-    return found
+            if token in listed or not listed.isdisjoint(words[:about]):
+                return 1
+    return 0
 
 
 def _wrappers(html: str) -> set[int]:
@@ -110,6 +121,8 @@ class _Page:
 
     def __init__(self):
         self.lines: list[tuple[str, int, bool]] = []
+        self.kinds: list[str] = []  # the paragraph or heading element of each line, "" for none
+        self.kind = ""
         self.holders: list[int] = []  # the container of each line
         self.up: dict[int, int] = {}  # the container of each container
         self.open: list[tuple[str, int]] = []
@@ -131,23 +144,27 @@ class _Page:
             if line:
                 self.lines.append((line, max(len(line) - self.linked, 0), self.article > 0))
                 self.holders.append(self.holder())
+                self.kinds.append(self.kind)
             self.parts.clear()
         self.linked = 0
 
-    def gap(self) -> None:
+    def gap(self, lines: int = WINDOW_LINES) -> None:
         self.end_line()
-        self.lines += [("", 0, self.article > 0)] * WINDOW_LINES
-        self.holders += [-1] * WINDOW_LINES
+        self.lines += [("", 0, self.article > 0)] * lines
+        self.holders += [-1] * lines
+        self.kinds += [""] * lines
 
     def holder(self) -> int:
         return self.open[-1][1] if self.open else -1
 
     def enter(self, name: str, start: int) -> None:
+        self.gap(1)
         self.up[start] = self.holder()
         self.open.append((name, start))
         self.opened[name] = self.opened.get(name, 0) + 1
 
     def leave(self, name: str) -> None:
+        self.gap(1)
         last = ""
         while last != name and self.opened.get(name):
             last = self.open.pop()[0]
@@ -159,7 +176,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     return _read(html).lines
 
 
-def _read(html: str) -> _Page:
+def _read(html: str, listing: frozenset = NO_TEXT_WORDS) -> _Page:
     page, at, wrappers = _Page(), 0, None
     skipped, depth = "", 0  # the element that is being left out, and how deep it is nested in itself
     for m in MARKUP.finditer(html):
@@ -191,6 +208,7 @@ def _read(html: str) -> _Page:
         if closing:
             if name in BLOCKS:
                 page.end_line()
+                page.kind = ""
             if name in CONTAINERS:
                 page.leave(name)
             if name in ("article", "main") and page.article:
@@ -203,7 +221,8 @@ def _read(html: str) -> _Page:
         attributes = m[4] or m[7] or ""
         if name in BLOCKS:
             page.end_line()
-        out = _no_text(name, attributes, page.article > 0)
+            page.kind = name if name in PARAGRAPHS else ""
+        out = _no_text(name, attributes, page.article > 0, listing)
         if out == 1:
             wrappers = _wrappers(html) if wrappers is None else wrappers
             out = start not in wrappers
@@ -228,49 +247,84 @@ def _read(html: str) -> _Page:
     return page
 
 
-def stretches(lengths: list[int], window: int = WINDOW_LINES) -> list[tuple[int, int]]:
-    """(surge, dive) of each stretch: from the line where a window's sum leaves
-    zero to the line after which it is zero again."""
+def stretches(lengths: list[int], window: int = WINDOW_LINES, surge: int = 1, dive: int = 1) -> list[tuple[int, int]]:
+    """(surge, dive) of each stretch: from the first line with text of a window whose sum reaches ``surge``
+    to the last line with text of one whose sum is below ``dive`` (or of the page)."""
     found, total, begin, last = [], 0, None, 0
     for i, n in enumerate([*lengths, *[0] * window]):
         total += n - (lengths[i - window] if i >= window else 0)
-        if total > 0:
-            if begin is None:
-                begin = i
-            if n:
-                last = i + 1
-        elif begin is not None:
+        if begin is None and total >= surge:
+            begin = next(k for k in range(max(i - window + 1, last), i + 1) if lengths[k])
+        if begin is not None and total < dive:
             found.append((begin, last))
             begin = None
+        elif n and begin is not None:
+            last = i + 1
+    if begin is not None:
+        found.append((begin, last))
     return found
 
 
-def main_text(html: str | None) -> str:
-    """The article's blocks in page order, joined by an empty line; "" if there is none."""
+def _prose(page: _Page, i: int, lengths: list[int]) -> bool:
+    """Whether a line is a paragraph, a heading or as long as one."""
+    return bool(page.kinds[i]) or lengths[i] >= SHORT
+
+
+def _core(page: _Page, a: int, b: int, lengths: list[int]) -> tuple[int, int] | None:
+    """The part of a stretch from its first surge to its last dive, with the paragraphs and headings
+    before and after it, without short unmarked lines at the edges."""
+    cores = stretches(lengths[a:b], WINDOW_LINES, SURGE, DIVE)
+    if not cores:
+        return None
+    s, e = a + cores[0][0], a + cores[-1][1]
+    s = next((i for i in range(a, s) if page.kinds[i]), s)
+    e = next((i + 1 for i in range(b - 1, e - 1, -1) if page.kinds[i]), e)
+    while s < e and not _prose(page, s, lengths):
+        s += 1
+    while s < e and not _prose(page, e - 1, lengths):
+        e -= 1
+    # the page's heading begins its text: what stands before it without being a paragraph is something else
+    top = next((i for i in range(s, e) if page.kinds[i] == "h1"), None)
+    if top is not None and not any(page.kinds[s:top]) and sum(lengths[s:top]) < sum(lengths[top:e]):
+        s = top
+    marked = sum(n for n, kind in zip(lengths[s:e], page.kinds[s:e]) if kind)
+    return (s, e) if marked >= SURGE or sum(lengths[s:e]) >= BARE else None
+
+
+def main_text(html: str | None, listing: frozenset = NO_TEXT_WORDS, check_marked: bool = True) -> str:
+    """The article's blocks in page order, joined by an empty line; "" if there is none.
+
+    ``listing`` are the words of class, id and role that pre-clean a page;
+    ``check_marked`` is the check against marked articles afterwards.
+    """
     if not html:
         return ""
-    page = _read(html)
+    page = _read(html, listing)
     lines = page.lines
-    # in an article a line of links only is still its text
-    lengths = [len(text) if inside else free for text, free, inside in lines]
+    # a link's text counts against its line; in a marked article a line of links only is still its text
+    lengths = [len(text) if inside and check_marked else max(2 * free - len(text), 0) for text, free, inside in lines]
     found = stretches(lengths)
     if not found:
         return ""
-    sums = [sum(lengths[a:b]) for a, b in found]
-    kept = [s for s, n in zip(found, sums) if n >= LEAST_SHARE * max(sums)]
-    if any(lines[a][2] for a, _ in kept):
+    cores = {(a, b): _core(page, a, b, lengths) for a, b in found}
+    chosen = [c for c in cores.values() if c] or [x for x in found if any(page.kinds[x[0]:x[1]])] or found
+    if check_marked and any(lines[a][2] for a, _ in chosen):
         kept = [(a, b) for a, b in found if lines[a][2]]
     else:
-        # short ones stay between the chosen, and where their container holds chosen text
+        # short ones stay between the chosen, and paragraphs where their container holds chosen text
         around = {-1}
-        for a, b in kept:
+        for a, b in chosen:
             for h in page.holders[a:b]:
                 while h not in around:
                     around.add(h)
                     h = page.up[h]
-        first, last = kept[0][0], kept[-1][1]
-        kept = [(a, b) for a, b in found if first <= a < last or any(
-            text and h in around for (text, _, _), h in zip(lines[a:b], page.holders[a:b]))]
+        first, last = chosen[0][0], chosen[-1][1]
+        kept = []
+        for (a, b), core in cores.items():
+            if core or first <= a < last or (a, b) in chosen:
+                kept.append(core or (a, b))
+            elif any(page.kinds[i] and page.holders[i] in around for i in range(a, b)):
+                kept.append((a, b))
     return "\n\n".join(text for a, b in kept for text, _, _ in lines[a:b] if text)
 
 

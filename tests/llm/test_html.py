@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +103,63 @@ def test_short_stretches_of_the_text_stay():
 
 def test_many_nested_wrappers():
     assert main_text("<div class=widget-area>" * 20_000 + LONG) == LONG.strip()
+
+
+def test_the_line_blocks_choose_without_marks_or_classes(spark):
+    """With the check of marked articles off and only menu and form words listed, every page gives the same text."""
+    few = frozenset(["nav", "navbar", "navigation", "menu", "form"])
+    for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect():
+        assert main_text(r.html, few, check_marked=False) == main_text(r.html)
+
+
+@pytest.mark.parametrize("wrapper", ['<form id="aspnetForm" action="/x">', '<div class="widget">', '<div role="form">', '<aside>',
+                                     '<div class="comments">'])
+def test_an_element_round_the_whole_page_takes_nothing_out(wrapper):
+    name = wrapper[1:].split()[0].rstrip(">")
+    inner = (f"<div class=ad>Buy</div><h1>Title</h1><p>{LONG}</p><form><input><label>Name</label></form><p>{LONG}</p>"
+             f"<div class='newsletter'>Get our letter</div>")
+    want = f"Title\n\n{LONG.strip()}\n\n{LONG.strip()}"
+    assert main_text(f"<body><nav>n</nav>{wrapper}{inner}</{name}></body>") == want
+    assert main_text(f"<body>{wrapper}<article>{inner}</article></{name}></body>") == want
+    assert main_text(f"<body>{wrapper}{wrapper}<p>{LONG}" + "</p>" + f"</{name}>" * 2 + "</body>") == LONG.strip()
+
+
+def test_unmarked_menus_and_footers_go():
+    menu = "".join(f"<div><a href=/{w}>{w}</a></div>" for w in ("Home", "News", "Sport", "Weather"))
+    plain = "".join(f"<div>{w}</div>" for w in ("Home", "News", "Sport", "Weather", "Contact us"))
+    items = "<ul>" + "".join(f"<li>{w}</li>" for w in ("Home", "News", "Sport", "Weather")) + "</ul>"
+    foot = "<div><span>Example Ltd</span></div><div>12 High Street</div><div>All rights reserved</div>"
+    text = f"<h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p><p>The end.</p>"
+    want = "\n\n".join(["Title", LONG.strip(), "Short.", LONG.strip(), "The end."])
+    for before in (menu, plain, items, f"<div>{plain}</div>", f"<div>{menu}{plain}</div>"):
+        for after in ("", foot, f"<div>{foot}</div>", items):
+            assert main_text(f"<body>{before}{text}{after}</body>") == want, (before, after)
+            assert main_text(f"<body>{before}<div><div>{text}</div></div>{after}</body>") == want, (before, after)
+
+
+def block_sums(lines, window=3, surge=60):
+    """Lines inside some window that holds enough text, by trying every window."""
+    lengths = [len(x) for x in lines]
+    inside = set()
+    for i in range(1 - window, len(lines)):
+        at = range(max(i, 0), min(i + window, len(lines)))
+        if sum(lengths[k] for k in at) >= surge:
+            inside |= {k for k in at if lengths[k]}
+    return inside
+
+
+def test_surges_by_brute_force():
+    """Plain pages of bare lines: what lies in a window with enough text is between the first surge and the last dive."""
+    rng = random.Random(3)
+    for _ in range(300):
+        lengths = [rng.choice([0, 0, 5, 20, 45, 90, 150]) for _ in range(rng.randint(0, 25))]
+        inside = block_sums(["x" * n for n in lengths])
+        found = stretches(lengths, 3, 60, 10)
+        covered = {k for a, b in found for k in range(a, b) if lengths[k]}
+        assert inside <= covered
+        assert all(a < b and lengths[a] and lengths[b - 1] for a, b in found)
+        assert all(x[1] <= y[0] for x, y in zip(found, found[1:]))
+        assert bool(found) == bool(inside)
+        for a, b in found:  # no dive inside: every window that ends between surge and dive holds something
+            for end in range(a + 3, b):
+                assert sum(lengths[end - 2:end + 1]) >= 10 or not any(lengths[end:b])
