@@ -302,3 +302,28 @@ def stream_gate(spark, sf):
         if "RejectedShareTooHigh" not in str(e):
             raise
     return spark.read.schema(orders.schema).parquet(f"{path}/valid").select(*orders.columns)
+
+
+@register("cdc_reset_replay", sql=FULL_STATE_SQL)
+def cdc_reset_replay(spark, sf):
+    """The streamed orders table after a reset: a replay that fails leaves readers on the first run, the next one
+    builds the table again from the start of the log, with a checkpoint of its own."""
+    from rivulet.streaming.replay import ReplayableOutput
+
+    out = ReplayableOutput(spark, scratch_path(spark, "orders_runs"))
+    log = L.events_change_log(spark, sf)
+
+    def start(data, checkpoint):
+        src = L.read_change_stream(spark, log, max_files_per_trigger=4 * L.PARTITIONS)
+        return start_cdc(src, VersionedTable(spark, data, C.ORDERS, event_order=True), C.ORDERS, L.ORDER_ENVELOPE, checkpoint,
+                         trigger={"availableNow": True})
+
+    def fails(data, checkpoint):
+        raise ConnectionError("the log can't be reached")
+
+    first = out.resume(start)
+    try:
+        out.reset(fails)
+    except ConnectionError:
+        assert out.path() == first
+    return VersionedTable(spark, out.reset(start), C.ORDERS, event_order=True).state()

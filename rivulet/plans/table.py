@@ -12,6 +12,7 @@ from rivulet.plans.sqlparts import FACT_SQL
 from rivulet.session import published, scratch_path
 from rivulet.sinks import compaction as CO
 from rivulet.sinks import tables as K
+from rivulet.sinks.retention import drop_old_days
 from rivulet.sources import catalog as CAT
 from rivulet.sources import changelog as L
 from rivulet.sources import tables as T
@@ -132,14 +133,12 @@ WHERE CAST(event_time AS DATE) > (SELECT max(CAST(event_time AS DATE)) FROM ({EV
 GROUP BY 1
 """)
 def retention(spark, sf):
-    """Raw change log kept for the last RETAIN_DAYS days before the newest record."""
+    """A change log laid out by day, cut to the last RETAIN_DAYS days: old day folders go, the kept ones are not touched."""
     log = spark.read.schema(L.LOG_SCHEMA).parquet(L.events_change_log(spark, sf))
-    newest = log.agg(F.to_date(F.max("timestamp")).alias("newest"))
-    kept = log.join(F.broadcast(newest), F.to_date("timestamp") > F.date_sub("newest", RETAIN_DAYS)).drop("newest")
-    kept_path = scratch_path(spark, "log_retained")
-    kept.write.partitionBy("batch_id").parquet(kept_path)
-    return (spark.read.schema(L.LOG_SCHEMA).parquet(kept_path)
-            .groupBy(F.to_date("timestamp").alias("day")).agg(F.count(F.lit(1)).alias("changes")))
+    path = scratch_path(spark, "log_by_day")
+    log.withColumn("day", F.to_date("timestamp")).repartition("day", F.col("offset") % 4).write.partitionBy("day").parquet(path)
+    drop_old_days(spark, path, "day", RETAIN_DAYS)
+    return spark.read.parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("changes"))
 
 
 @register("create_or_replace", sql=f"""

@@ -139,6 +139,20 @@ def _between(log: DataFrame, start: dict | str, end: dict | str) -> DataFrame:
     return log
 
 
+def kafka_options(kafka: dict, start: dict | str = "earliest", end: dict | str | None = None,
+                  fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Options of a topic read: committed records only, headers for a bounded read
+    (one with ``end``); offsets are ``earliest``/``latest`` or ``{partition: offset}``.  ``kafka`` has the last word."""
+    def place(x):
+        return x if isinstance(x, str) else json.dumps({kafka["subscribe"]: {str(p): o for p, o in x.items()}})
+
+    options = {"kafka.isolation.level": "read_committed", "startingOffsets": place(start),
+               "failOnDataLoss": str(fail_on_data_loss).lower()}
+    if end is not None:
+        options |= {"endingOffsets": place(end), "includeHeaders": "true"}
+    return options | kafka
+
+
 def read_change_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                        kafka: dict | None = None, start: dict | str = "earliest",
                        fail_on_data_loss: bool = True) -> DataFrame:
@@ -149,9 +163,7 @@ def read_change_stream(spark: SparkSession, path: str, max_files_per_trigger: in
     instead of stopping the query.
     """
     if kafka:
-        offsets = start if isinstance(start, str) else json.dumps({kafka["subscribe"]: start})
-        options = {"startingOffsets": offsets, "failOnDataLoss": str(fail_on_data_loss).lower(), **kafka}
-        return spark.readStream.format("kafka").options(**options).load()
+        return spark.readStream.format("kafka").options(**kafka_options(kafka, start, fail_on_data_loss=fail_on_data_loss)).load()
     reader = spark.readStream.schema(LOG_SCHEMA).option("pathGlobFilter", "*.parquet") \
         .option("ignoreMissingFiles", str(not fail_on_data_loss).lower())
     if max_files_per_trigger:
@@ -161,6 +173,4 @@ def read_change_stream(spark: SparkSession, path: str, max_files_per_trigger: in
 
 def read_kafka_batch(spark: SparkSession, kafka: dict, start: dict | str = "earliest", end: dict | str = "latest") -> DataFrame:
     """Bounded read of a topic with its headers (needs the Kafka data source on the class path)."""
-    place = lambda x: x if isinstance(x, str) else json.dumps({kafka["subscribe"]: x})
-    return spark.read.format("kafka").options(includeHeaders="true", startingOffsets=place(start),
-                                              endingOffsets=place(end), **kafka).load()
+    return spark.read.format("kafka").options(**kafka_options(kafka, start, end)).load()

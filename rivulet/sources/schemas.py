@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,26 @@ def value_schema(registry: dict | str, topic: str, version: str = "latest") -> T
     return T.StructType.fromJson(json.loads(normalize_schema_text(versions[str(version)])))
 
 
+def avro_available(spark: SparkSession) -> bool:
+    """Whether Spark's Avro module is on the class path."""
+    try:
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst", False,
+                                           spark._jvm.java.lang.Thread.currentThread().getContextClassLoader())
+        return True
+    except Py4JJavaError:
+        return False
+
+
+def decode_avro(log: DataFrame, schema_text: str, mode: str = "FAILFAST") -> DataFrame:
+    """Framed Avro records -> ``r`` (the decoded value) with partition, offset and timestamp; needs Spark's Avro module."""
+    if not avro_available(log.sparkSession):
+        raise RuntimeError("Avro payloads need the spark-avro module on the class path")
+    from pyspark.sql.avro.functions import from_avro
+
+    value = from_avro(strip_frame(F.col("value")), normalize_schema_text(schema_text), {"mode": mode})
+    return log.select(value.alias("r"), "partition", "offset", "timestamp")
+
+
 #: Types that a value of the named type widens to.
 _WIDER = {"int": ("bigint", "float", "double", "decimal"), "bigint": ("double", "decimal"), "float": ("double",),
           "decimal": ("decimal", "double"), "date": ("timestamp",), "string": ("binary",), "binary": ("string",)}

@@ -1,12 +1,16 @@
 """Compaction by bytes, and reconciliation by key ranges."""
 
 import random
+from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators.joins import reconcile_keys
 from rivulet.operators.recon_tree import reconcile_tree
+from rivulet.session import file_statuses
 from rivulet.sinks import compaction as CO
+from rivulet.sinks.retention import drop_old_days
 
 
 def test_bins_hold_bounded_bytes(spark):
@@ -50,3 +54,27 @@ def test_tree_finds_what_a_full_join_finds(spark):
     assert [r[1] for r in report] == [64, 4096, 1 << 20] and report[0][3] < 6001 and report[2][3] <= 12 and report[2][2] == 5
     keys, levels = reconcile_tree(spark, a, a, "id", ["v", "w"])
     assert keys.count() == 0 and {(r.unequal, r.rows) for r in levels.collect()} == {(0, 0)}
+
+
+def test_retention_drops_whole_days_only(spark, tmp_dir):
+    df = spark.range(300).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 10).cast("int")).alias("day"))
+    df.repartition(3).write.partitionBy("day").parquet(tmp_dir)
+    before = set(file_statuses(spark, tmp_dir))
+    assert [str(d) for d in drop_old_days(spark, tmp_dir, "day", 7)] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert set(file_statuses(spark, tmp_dir)) < before              # kept files are the same files
+    assert spark.read.parquet(tmp_dir).agg(F.min("day")).first()[0].isoformat() == "2024-01-04"
+    assert drop_old_days(spark, tmp_dir, "day", 7) == []
+    assert drop_old_days(spark, tmp_dir, "day", 2, newest=date(2024, 1, 7)) == [date(2024, 1, 4), date(2024, 1, 5)]
+
+
+def test_mart_export_and_jdbc_refusal(spark, tmp_dir, monkeypatch):
+    from rivulet.sources import jdbc
+
+    df = spark.createDataFrame([("2024-01", "a", 1), ("2024-02", "b", 2)], "month string, k string, n int")
+    jdbc.export_mart(df, f"{tmp_dir}/mart", partition_by=["month"])
+    jdbc.export_mart(df, f"{tmp_dir}/mart", partition_by=["month"])      # a rerun replaces
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/mart").select(*df.columns).collect())) == sorted(map(tuple, df.collect()))
+    assert spark.read.parquet(f"{tmp_dir}/mart/month=2024-02").count() == 1
+    monkeypatch.setattr(jdbc, "table_exists", lambda *a: False)
+    with pytest.raises(LookupError, match="no table t"):
+        jdbc.write_jdbc(df, "jdbc:none:", "t", {}, create_if_missing=False)

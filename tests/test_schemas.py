@@ -85,3 +85,12 @@ def test_schema_from_a_registry_folder(spark):
     fs.mkdirs(target.getParent())
     assert fs.rename(_file_system(spark, file_statuses(spark, staged)[0][0])[1], target)
     assert S.value_schema(folder, "t") == NEW and S.value_schema(folder, "t", "1") == MID
+
+
+def test_avro_says_what_is_missing(spark):
+    rows = log(spark, [(1, {"id": 1})])
+    if S.avro_available(spark):
+        assert S.decode_avro(rows, '{"type": "record", "name": "x", "fields": []}', "PERMISSIVE").columns[0] == "r"
+    else:
+        with pytest.raises(RuntimeError, match="spark-avro"):
+            S.decode_avro(rows, "{}")

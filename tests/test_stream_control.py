@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from rivulet.operators import cdc as C
 from rivulet.operators.quality import Rule
-from rivulet.session import path_exists, scratch_path
+from rivulet.session import file_statuses, path_exists, remove_path, scratch_path
 from rivulet.sources import changelog as L
 from rivulet.streaming import fanout, gate, inspect
 from rivulet.streaming import windows as W
-from rivulet.streaming.run import to_parquet_available_now
+from rivulet.streaming.replay import ReplayableOutput
+from rivulet.streaming.run import ProgressLog, to_parquet_available_now
 from rivulet.table import VersionedTable
 
 
@@ -115,3 +116,76 @@ def test_state_of_a_window_and_a_dedup(spark):
     s = inspect.state_summary(spark, ck2).collect()
     assert sum(r.keys for r in s) == 1 and s[0].operator_name == "stateStoreSave" and s[0].first_expiry is None
     assert inspect.state_rows(spark, ck2).first()["value"]["count"] == 6
+
+
+def test_reset_keeps_the_old_run_until_the_new_one_is_done(spark, tmp_dir):
+    src = scratch_path(spark, "src")
+    spark.range(5).write.parquet(src)
+    out = ReplayableOutput(spark, tmp_dir)
+    with pytest.raises(LookupError):
+        out.path()
+
+    def start(add=0, fail=False):
+        def run(data, checkpoint):
+            rows = spark.readStream.schema("id long").parquet(src).select((F.col("id") + add).alias("id"))
+            if fail:
+                rows = rows.select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+            return rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(data)
+        return run
+
+    read = lambda: sorted(r.id for r in spark.read.parquet(out.path()).collect())
+    out.resume(start())
+    spark.range(5, 7).write.mode("append").parquet(src)
+    out.resume(start())                       # goes on: nothing twice
+    assert read() == list(range(7)) and out.current() == 0
+    with pytest.raises(StreamingQueryException):
+        out.reset(start(10, fail=True))
+    assert read() == list(range(7))
+    out.reset(start(10))
+    assert read() == list(range(10, 17)) and out.current() == 1 and path_exists(spark, f"{tmp_dir}/run=0")
+    out.reset(start(20))
+    assert read() == list(range(20, 27)) and not path_exists(spark, f"{tmp_dir}/run=0") and path_exists(spark, f"{tmp_dir}/run=1")
+
+
+def test_progress_is_written_together(spark, tmp_dir):
+    src = scratch_path(spark, "src")
+    for i in range(4):
+        spark.range(i, i + 1).coalesce(1).write.mode("append").parquet(src)
+    log = ProgressLog(spark, tmp_dir, flush_every=100)
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(src)
+    to_parquet_available_now(stream, scratch_path(spark, "o"), scratch_path(spark, "c"))
+    rows = log.close()
+    assert rows.where("num_input_rows = 1").count() == 4
+    assert len(file_statuses(spark, tmp_dir)) <= 2
+
+
+def test_files_that_are_gone_stop_or_not(spark):
+    """fail_on_data_loss decides what a listed file that was removed does to the stream."""
+    for tolerant in (False, True):
+        log, out = scratch_path(spark, "log"), scratch_path(spark, "o")
+        spark.createDataFrame([record("a", 1, 1, 10, "x")], "partition int, offset long, timestamp timestamp, value binary") \
+            .coalesce(1).write.parquet(log)
+        src = L.read_change_stream(spark, log, fail_on_data_loss=not tolerant)
+        seen = []
+
+        def lose(batch, batch_id, log=log):
+            for name, _, _ in file_statuses(spark, log):
+                remove_path(spark, name)
+            seen.append(batch.count())
+
+        q = src.writeStream.foreachBatch(lose).option("checkpointLocation", scratch_path(spark, "c")).trigger(availableNow=True).start()
+        if tolerant:
+            q.awaitTermination()
+            assert seen == [0]
+        else:
+            with pytest.raises(StreamingQueryException):
+                q.awaitTermination()
+
+
+def test_topic_options():
+    kafka = {"kafka.bootstrap.servers": "b:9092", "subscribe": "t"}
+    assert L.kafka_options(kafka, {0: 5}) == {**kafka, "kafka.isolation.level": "read_committed",
+                                             "startingOffsets": '{"t": {"0": 5}}', "failOnDataLoss": "true"}
+    bounded = L.kafka_options({**kafka, "kafka.isolation.level": "read_uncommitted"}, "earliest", {1: 9}, fail_on_data_loss=False)
+    assert bounded["endingOffsets"] == '{"t": {"1": 9}}' and bounded["includeHeaders"] == "true"
+    assert bounded["failOnDataLoss"] == "false" and bounded["kafka.isolation.level"] == "read_uncommitted"
