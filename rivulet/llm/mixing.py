@@ -20,6 +20,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import staged
+
 OTHER = "*"
 CELL_DIGITS = 3
 WORD = r"[^\x20\x09-\x0D]+"
@@ -109,8 +111,12 @@ def leaf_of(tree: Tree, lang: Column, source: Column) -> Column:
 
 def order_key(seed: int, epoch: Column, id_col: Column, text: Column) -> Column:
     """Seeded place of a document in an epoch, as 32 hex digits; rows that repeat id and text tie."""
-    return F.md5(F.concat_ws("|", F.lit(seed), epoch, F.coalesce(id_col.cast("string"), F.lit("null")),
-                             F.md5(F.coalesce(text, F.lit("")))))
+    return order_key_of(seed, epoch, id_col, F.md5(F.coalesce(text, F.lit(""))))
+
+
+def order_key_of(seed: int, epoch: Column, id_col: Column, content: Column) -> Column:
+    """The same, from the MD5 of the text."""
+    return F.md5(F.concat_ws("|", F.lit(seed), epoch, F.coalesce(id_col.cast("string"), F.lit("null")), content))
 
 
 def mix(spark: SparkSession, docs: DataFrame, tree: Tree = TREE, budget_share: float = BUDGET_SHARE,
@@ -127,8 +133,12 @@ def mix(spark: SparkSession, docs: DataFrame, tree: Tree = TREE, budget_share: f
     """
     leaf, tokens, key = "__leaf", "__tokens", "__key"
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (leaf_out, tokens_out, epoch_out)])
-    placed = docs.withColumn(leaf, leaf_of(tree, F.col(lang_col), F.col(source_col))) \
+    counted = docs.withColumn(leaf, leaf_of(tree, F.col(lang_col), F.col(source_col))) \
         .withColumn(tokens, F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long"))
+    # the texts are read twice: here, for what decides, and at the end
+    content = "__content"
+    placed = staged(spark, counted.select(leaf, tokens, F.col(id_col).alias("__id"),
+                                          F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias(content)), "leaves")
     names = ["\t".join(x) for x in tree.leaves()]
     # at most one row for each leaf of the tree
     sums = {r[0]: r[1] for r in placed.where(F.col(leaf).isin(names)).groupBy(leaf).agg(F.sum(tokens)).collect()}
@@ -140,9 +150,9 @@ def mix(spark: SparkSession, docs: DataFrame, tree: Tree = TREE, budget_share: f
         whole = want // total if total else 0
         plan.append((name, whole, want - whole * total))
     plan = spark.createDataFrame(plan, f"{leaf} string, __whole long, __rest long")
-    keyed = placed.join(F.broadcast(plan), leaf) \
-        .withColumn(key, order_key(seed, F.col("__whole") + 1, F.col(id_col), F.col(text_col)))
-    part = keyed.where("__rest > 0").select(leaf, tokens, key, "__rest", F.substring(key, 1, CELL_DIGITS).alias("cell"))
+    small = placed.join(F.broadcast(plan.where("__rest > 0")), leaf) \
+        .withColumn(key, order_key_of(seed, F.col("__whole") + 1, F.col("__id"), F.col(content)))
+    part = small.select(leaf, tokens, key, "__rest", F.substring(key, 1, CELL_DIGITS).alias("cell"))
     # the cell in which a leaf's prefix ends, from the sums of its cells
     cells = part.groupBy(leaf, "cell", "__rest").agg(F.sum(tokens).alias("s"))
     until = F.sum("s").over(Window.partitionBy(leaf).orderBy("cell"))
@@ -156,6 +166,8 @@ def mix(spark: SparkSession, docs: DataFrame, tree: Tree = TREE, budget_share: f
             .agg(F.coalesce(F.max(F.when(F.col("reach") <= F.col("__rest"), F.col(key))), F.first("cell"))).collect()}
     # a leaf without an end takes its whole next epoch, or nothing of it
     bounds = spark.createDataFrame([(n, ends.get(n)) for n in names], f"{leaf} string, __end string")
+    keyed = counted.join(F.broadcast(plan.where("__whole > 0 OR __rest > 0")), leaf) \
+        .withColumn(key, F.when(F.col("__rest") > 0, order_key(seed, F.col("__whole") + 1, F.col(id_col), F.col(text_col))))
     more = F.when(F.col("__rest") > 0, F.coalesce(F.col(key) <= F.col("__end"), F.lit(True))).otherwise(False)
     return keyed.join(F.broadcast(bounds), leaf) \
         .withColumn("__times", F.col("__whole") + more.cast("long")).where("__times > 0") \

@@ -42,11 +42,12 @@ RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("
 @dataclass(frozen=True)
 class Propagation:
     """``damping``: share of a score that moves along the links in a round;
-    ``tolerance``: rounds end when the scores change by less in all;
+    ``tolerance``: rounds end when no host's score changes by more than this part of
+    the least distrust that blocks a host, however large the graph is;
     ``seed_share``: least distrust of a blocked host, as a share of the blocked seeds' mean."""
 
     damping: float = 0.85
-    tolerance: float = 1e-5
+    tolerance: float = 1e-4
     seed_share: float = 0.1
 
 
@@ -82,7 +83,10 @@ def propagate(spark: SparkSession, links: DataFrame, seeds: DataFrame, how: Prop
 
     Trust moves from a host to those it links to, in proportion to the links;
     distrust from a host to those that link to it.  The seeds' weights add up
-    to 1 on either side.  Hosts that nothing reaches are absent.
+    to 1 on either side.  Hosts that nothing reaches are absent.  Rounds end when the
+    largest change of a host is a small part of the level that decides:
+    ``seed_share`` of the blocked seeds' mean distrust, or of an even share of trust
+    where nothing is blocked.
     """
     total = seeds.agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).first()
     g, b = float(total["g"] or 0) or 1.0, float(total["b"] or 0) or 1.0
@@ -96,6 +100,8 @@ def propagate(spark: SparkSession, links: DataFrame, seeds: DataFrame, how: Prop
                                                         F.col("dst").alias("to"), (F.col("n") / F.col("all")).alias("w"))
                    .unionAll(links.join(into, "dst").select(F.lit("distrust"), F.col("dst"), F.col("src"),
                                                             F.col("n") / F.col("all"))), "moves")
+    blocked = seed.where("kind = 'distrust'").select("kind", "host")
+    n_seeds = max(seed.where("kind = 'trust'").count(), 1)
     restart = seed.select("kind", "host", (F.col("score") * (1 - how.damping)).alias("score"))
     score = seed.select("kind", "host", "score")
     while True:
@@ -103,9 +109,10 @@ def propagate(spark: SparkSession, links: DataFrame, seeds: DataFrame, how: Prop
             .select("kind", F.col("to").alias("host"), (how.damping * F.col("score") * F.col("w")).alias("score"))
         after = staged(spark, restart.unionAll(moved).groupBy("kind", "host").agg(F.sum("score").alias("score")), "rank")
         change = after.withColumnRenamed("score", "now").join(score, ["kind", "host"], "full") \
-            .agg(F.sum(F.abs(F.coalesce("now", F.lit(0.0)) - F.coalesce("score", F.lit(0.0))))).first()[0] or 0.0
+            .agg(F.max(F.abs(F.coalesce("now", F.lit(0.0)) - F.coalesce("score", F.lit(0.0))))).first()[0] or 0.0
         score = after
-        if change < how.tolerance:
+        level = score.join(blocked, ["kind", "host"]).agg(F.avg("score")).first()[0] or 1.0 / n_seeds
+        if change <= how.tolerance * how.seed_share * level:
             break
     pick = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)
     return score.groupBy("host").agg(pick("trust"), pick("distrust"))
