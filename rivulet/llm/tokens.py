@@ -8,11 +8,15 @@ keeps the one ending that agrees with the merge order, and emits the tokens
 that all remaining beginnings share; a final weight gives the rest.  States are
 determinised when first met, as lazy automata do, and kept by the worker.
 
-A text is cut into chunks.  The state map of a chunk is written as the bytes
-before its first certain boundary (where a white-space character follows
-another character, every pre-token ends whatever came before), a count, and the
-characters after its last certain boundary.  Maps compose associatively; they
-are folded pairwise, as in a parallel prefix scan.
+A text is cut into chunks.  Where a white-space character follows another
+character the transducer is in its first state whatever came before, so the map
+of a chunk from the state it is entered in to its count and last state is
+constant between its first and last such boundary.  It is written as the
+characters before the first one (to be run from whatever state comes in), a
+count, and the characters after the last one (whose run is the state that goes
+out).  Maps compose associatively, in a parallel prefix scan: within a task for
+texts of ordinary length, and for longer ones over (document, chunk) rows that
+are dealt to all tasks and composed in rounds, so no text is one task's work.
 """
 
 from __future__ import annotations
@@ -22,10 +26,13 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import slices, worker_cache
+from rivulet.llm.common import slices, staged, worker_cache
 
 OVER_LIMIT = 512
 CHUNK_CHARS = 1 << 16
+#: Texts over this are cut into rows of ``CHUNK_CHARS``; so many neighbouring rows are composed by one task in a round.
+LONG_CHARS = 1 << 20
+COMPOSED = 256
 #: Pre-tokens and states that a worker keeps; the tables start anew when they are full.
 KEPT_WORDS = 400_000
 KEPT_STATES = 200_000
@@ -85,6 +92,13 @@ class Transducer:
 
     def __init__(self, text: str):
         model = json.loads(text)
+        known = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        before = model.get("pre_tokenizer") or {}
+        odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+               if model["model"].get(k)]
+        if model["model"].get("type") != "BPE" or model.get("normalizer") or odd or {k: before.get(k) for k in known} != known \
+                or any(t.get(k) for t in model["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("only byte-level byte-pair vocabularies without a normalizer, with the usual pre-token pattern, are compiled")
         letters = byte_letters()
         spell = lambda token: bytes(letters[c] for c in token)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
@@ -250,7 +264,14 @@ class Counter:
         self.space = re.compile(f"[{SPACES}]").match
 
     def settled(self, text: str) -> int:
-        """Tokens of a stretch that begins and ends at certain boundaries."""
+        """Tokens of a stretch that begins and ends at certain boundaries; each special string in it is one token."""
+        if self.special is not None and self.special.search(text):
+            parts = self.special.split(text)
+            return sum(self.plain(p) for p in parts if p) + len(parts) - 1
+        return self.plain(text)
+
+    def plain(self, text: str) -> int:
+        """Tokens of a stretch without special strings."""
         # a class within the basic plane is matched much faster
         within = len(text.encode("utf-16-le")) == 2 * len(text)
         return sum(map(self.machine.words.__getitem__, (self.narrow if within else self.pretokens)(text)))
@@ -279,22 +300,22 @@ class Counter:
             return head, n + self.settled(tail), head2
         return (head + head2, n2, tail2) if n is None else (head, n, tail + head2)
 
-    def part(self, text: str) -> int:
-        """Tokens of a text without special strings."""
-        if len(text) <= CHUNK_CHARS:
-            return self.settled(text)
-        maps = [self.chunk_map(text[i:i + CHUNK_CHARS]) for i in range(0, len(text), CHUNK_CHARS)]
+    def scanned(self, maps: list[tuple]) -> tuple:
+        """The map of a stretch from those of its neighbouring parts, pair by pair."""
         while len(maps) > 1:
             maps = [self.compose(*maps[i:i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        head, n, tail = maps[0]
+        return maps[0]
+
+    def whole(self, found: tuple) -> int:
+        """Tokens of a text from its map: it begins in the first state and ends where it ends."""
+        head, n, tail = found
         return self.settled(head) + (0 if n is None else n + self.settled(tail))
 
     def count(self, text: str) -> int:
-        """Tokens of a text; each special string in it is one token."""
-        if self.special is None or not self.special.search(text):
-            return self.part(text)
-        parts = self.special.split(text)
-        return sum(self.part(p) for p in parts if p) + len(parts) - 1
+        """Tokens of a text."""
+        if len(text) <= CHUNK_CHARS:
+            return self.settled(text)
+        return self.whole(self.scanned([self.chunk_map(text[i:i + CHUNK_CHARS]) for i in range(0, len(text), CHUNK_CHARS)]))
 
 
 def token_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", over: int = OVER_LIMIT) -> DataFrame:
@@ -310,18 +331,23 @@ def token_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", o
     made = {"n_bytes": T.LongType(), "n_tokens": T.LongType(), "over_limit": T.BooleanType()}
     carried = [c for c in docs.columns if c not in made and c != text_col]
     schema = T.StructType([*[docs.schema[c] for c in carried], *[T.StructField(c, t) for c, t in made.items()]])
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
+    Transducer(tokenizer_json)  # a vocabulary that can't be compiled is refused before any task runs
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(tokenizer_json)
 
-    def run(batches):
+    def of_worker() -> Counter:
         import hashlib
 
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
         cache, key = worker_cache(), "tokens-" + hashlib.sha1(shared.value.encode()).hexdigest()
         if key not in cache:
             cache[key] = Counter(Transducer(shared.value))
-        counter = cache[key]
+        return cache[key]
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        counter = of_worker()
         for whole in batches:
             for batch in slices(whole, 8 << 20, text_col):
                 text = batch.column(batch.schema.get_field_index(text_col))
@@ -332,7 +358,63 @@ def token_counts(docs: DataFrame, tokenizer_json: str, text_col: str = "text", o
                             pa.array([x > over for x in n], pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*carried, *made])
 
-    return docs.select(*[F.col(f"`{c}`") for c in [*carried, text_col]]).mapInArrow(run, schema)
+    rows = docs.select(*[F.col(f"`{c}`") for c in [*carried, text_col]])
+    is_long = F.coalesce(F.length(text_col) > LONG_CHARS, F.lit(False))
+    return rows.where(~is_long).mapInArrow(run, schema).unionByName(
+        _long_counts(rows.where(is_long), carried, text_col, over, of_worker))
+
+
+def _long_counts(rows: DataFrame, carried: list[str], text_col: str, over: int, of_worker) -> DataFrame:
+    """The counts of long texts, from maps of their chunks that are composed in rounds."""
+    spark, text = rows.sparkSession, F.col("__text")
+    own = F.struct(*[F.col(f"`{c}`") for c in carried], F.octet_length(f"`{text_col}`").cast("long").alias("n_bytes"))
+    n_chunks = F.ceil(F.length(text) / CHUNK_CHARS).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), n_chunks - 1), lambda i: F.substr(text, i * CHUNK_CHARS + 1, F.lit(CHUNK_CHARS)))
+    # written once: a chunk row knows its text by the number it had then
+    chunks = staged(spark, rows.select(F.monotonically_increasing_id().alias("place"), own.alias("own"), F.col(f"`{text_col}`").alias("__text"))
+                    .select("place", "own", F.posexplode(pieces).alias("i", "chunk"))
+                    .select("place", "i", "chunk", F.when(F.col("i") == 0, F.col("own")).alias("first")), "chunks")
+    state = "place long, i int, head string, n long, tail string"
+
+    def maps(batches):
+        import pyarrow as pa
+
+        counter = of_worker()
+        for whole in batches:
+            for batch in slices(whole, 8 << 20, "chunk"):
+                found = [counter.chunk_map(t) for t in batch.column(2).to_pylist()]
+                counter.machine.forget()
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(
+                    zip(*found) if found else [[]] * 3, (pa.string(), pa.int64(), pa.string())))],
+                    names=["place", "i", "head", "n", "tail"])
+
+    def composed(key, table):
+        import pyarrow as pa
+
+        parts = sorted(zip(table.column("i").to_pylist(), table.column("head").to_pylist(), table.column("n").to_pylist(),
+                           table.column("tail").to_pylist()))
+        head, n, tail = of_worker().scanned([p[1:] for p in parts])
+        return pa.table({"place": pa.array([key[0].as_py()], pa.int64()), "i": pa.array([key[1].as_py()], pa.int32()),
+                         "head": [head], "n": pa.array([n], pa.int64()), "tail": [tail]})
+
+    spread = chunks.select("place", "i", "chunk").repartition("place", "i")
+    found = staged(spark, spread.mapInArrow(maps, state), "chunk-maps")
+    while (found.agg(F.max("i")).first()[0] or 0) > 0:
+        group = F.floor(F.col("i") / COMPOSED).cast("int").alias("g")
+        found = staged(spark, found.groupBy("place", group).applyInArrow(composed, state), "chunk-maps")
+
+    def ends(batches):
+        import pyarrow as pa
+
+        counter = of_worker()
+        for batch in batches:
+            n = [counter.whole(x) for x in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["place", "n_tokens"])
+
+    counts = found.mapInArrow(ends, "place long, n_tokens long")
+    return chunks.where("i = 0").join(counts, "place").select(
+        *[F.col(f"first.`{c}`") for c in carried], F.col("first.n_bytes").alias("n_bytes"), "n_tokens",
+        (F.col("n_tokens") > over).alias("over_limit"))
 
 
 def tokenizer_text(spark: SparkSession, name_or_path: str) -> str:

@@ -84,3 +84,29 @@ def test_whole_table(spark, library):
     got = {r.doc_id: r.n_tokens for r in K.token_counts(docs, K.tokenizer_text(spark, FILE)).collect()}
     rows = docs.collect()
     assert got == {r.doc_id: len(library.encode(r.text, add_special_tokens=False).ids) for r in rows}
+
+
+def test_long_texts_are_counted_in_rows(spark, library, monkeypatch):
+    """Texts cut into (document, chunk) rows, composed in several rounds, give what the library gives for the whole."""
+    monkeypatch.setattr(K, "CHUNK_CHARS", 11)
+    monkeypatch.setattr(K, "LONG_CHARS", 30)
+    monkeypatch.setattr(K, "COMPOSED", 3)
+    rng = random.Random(8)
+    parts = ["'s", " the", "ing", "12", "é", "漢字", "😀", "...", "<|endoftext|>", "\n", "  ", "x" * 40, " a b", "\u00a0"]
+    rows = [(i % 7, "".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))) for i in range(120)]
+    rows += [(None, None), (None, "y" * 500), (3, " " * 100), (3, " " * 100), (9, "<|endoftext|>" * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'mine' AS place", "'mine' AS i", "'mine' AS first")
+    with open(FILE, encoding="utf-8") as f:
+        got = sorted((tuple(r) for r in K.token_counts(df, f.read()).collect()), key=repr)
+    want = []
+    for d, t in rows:
+        n = len(library.encode(t, add_special_tokens=False).ids) if t else 0
+        want.append((d, "mine", "mine", "mine", len((t or "").encode()), n, n > 512))
+    assert got == sorted(want, key=repr)
+
+
+def test_other_kinds_of_vocabularies_are_refused(spark):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        other = f.read()
+    with pytest.raises(ValueError, match="byte-level"):
+        K.token_counts(spark.createDataFrame([(1, "a")], "doc_id long, text string"), other)
