@@ -66,7 +66,8 @@ def exact_percentiles(df: DataFrame, col: str, ps: list[float], by: tuple[str, .
     has no row.  The column is reduced to (value, count) pairs with partial
     aggregation and range-partitioned; the counts of whole partitions give each
     partition's first position, and a running count inside it finds the value.
-    No task holds all distinct values and nothing reaches the driver.
+    No task holds all distinct values and nothing reaches the driver.  The pairs
+    are written to the shared folder when this is called, before the result is asked.
     """
     by = list(by)
     spark = df.sparkSession

@@ -197,7 +197,9 @@ SELECT 'broken', check_name, CASE check_name WHEN 'gold_not_empty' THEN detail >
 def contract_checks(spark, sf):
     """The five contract checks on written tables, once as they are and once with
     one failure injected for each check (a column dropped, keys not
-    de-duplicated, shipped sales missing from the fact, errors of one rule lost, no gold rows)."""
+    de-duplicated, shipped sales missing from the fact, errors of one rule lost, no gold rows).
+    Where a table is as it should be, or a column or all rows were taken away, the
+    count is a fixed case, and the SQL twin states it as a number."""
     from rivulet.plans.silver import silver_keep_last
 
     def stored(df, name):

@@ -16,8 +16,10 @@ def test_bucketed_join_has_no_exchange(spark):
     a, b = unique_table_name(spark, "gold", "li_b"), unique_table_name(spark, "gold", "o_b")
     write_bucketed(li, a, "k", 8)
     write_bucketed(o, b, "k", 8)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    thresholds = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in thresholds}
+    for k in thresholds:
+        spark.conf.set(k, "-1")
     try:
         j = spark.table(a).join(spark.table(b), "k")
         plan = j._jdf.queryExecution().executedPlan().toString() if hasattr(j, "_jdf") else ""
@@ -25,8 +27,8 @@ def test_bucketed_join_has_no_exchange(spark):
         if plan:
             assert "Exchange hashpartitioning" not in plan
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_smoke_range_and_preview(spark):
