@@ -59,7 +59,10 @@ def discover_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("at")).where("value <> ''")
-    headers = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    # a text in the buffer of min_by alone makes Spark sort every line by its file; beside a
+    # collection (here of one number) the aggregate hashes: one line per file and task is held
+    headers = lines.where("start = 0").groupBy("file") \
+        .agg(F.min_by("value", "at").alias("header"), F.collect_set("start").alias("starts")).where("size(starts) > 0").drop("starts")
     width = headers.agg(F.max(F.size(F.split("header", F.lit("\\Q" + sep + "\\E"))))).first()[0] or 1
     generic = ", ".join(f"c{i} string" for i in range(width))
 

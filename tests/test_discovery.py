@@ -33,6 +33,15 @@ def test_a_header_alone_and_names_like_values(spark):
     assert types(D.discover_csv(spark, path)) == {"2024": "bigint", "true": "boolean", "name": "bigint"}
 
 
+def test_headers_are_found_without_sorting_the_lines(spark):
+    path = scratch_path(spark, "csv")
+    write_lines(spark, path, ["id,price", "1,2.5"], ["price,id,x", "3,2,"])
+    found = D.discover_csv(spark, path)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    assert types(found) == {"id": "bigint", "price": "double", "x": "void"}
+
+
 def test_json_lines_and_arrays(spark):
     path = scratch_path(spark, "json")
     rows = [{"a": 1, "b": 1.5, "c": "2024-01-01", "d": None, "e": [1], "f": {"x": 1}, "g": True},
