@@ -88,12 +88,13 @@ def decode(log: DataFrame, schema: T.StructType, mode: str = "FAILFAST", lenient
     """Log records -> ``r`` (the decoded envelope) plus partition/offset/timestamp.
 
     FAILFAST stops the query on an undecodable record, as the reference does;
-    use :func:`split_dead_letters` to route bad records instead.
+    use :func:`split_dead_letters` to route bad records instead.  The envelope
+    comes out of a generator, so that later filters on it do not parse it again.
     """
     strip = strip_frame_lenient if lenient_frame else strip_frame
     payload = strip(F.col("value")).cast("string")
     extra = [c for c in ("batch_id",) if c in log.columns]
-    return log.select(F.from_json(payload, schema, {"mode": mode}).alias("r"),
+    return log.select(F.explode(F.array(F.from_json(payload, schema, {"mode": mode}))).alias("r"),
                       "partition", "offset", "timestamp", *extra)
 
 

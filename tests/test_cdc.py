@@ -237,3 +237,12 @@ def test_a_published_folder_that_was_removed_is_built_again(spark):
     assert fs.delete(path, True)
     again = published(spark, name, build)
     assert again != first and published(spark, name, build) == again and spark.read.parquet(again).count() == 3
+
+
+def test_a_record_is_parsed_once(spark):
+    rows = [(0, 1, None, bytearray(b"\x00\x00\x00\x00\x01" + text)) for text in (
+        b'{"op": "c", "ts_ms": 1, "after": {"order_id": 5, "status": "NEW"}}', b'{"op": "u", "ts_ms": 2}')] + [(0, 2, None, None)]
+    log = spark.createDataFrame(rows, "partition int, offset long, timestamp timestamp, value binary")
+    changes = C.normalize(C.decode(log, L.ORDER_ENVELOPE), C.ORDERS)
+    assert [(r.op, r.order_id, r.status) for r in changes.collect()] == [("c", 5, "NEW")]  # no key, no row
+    assert changes._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
