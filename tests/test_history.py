@@ -107,3 +107,48 @@ def test_closed_versions_are_emitted_once_across_a_restart(spark):
     write_log(spark, log, [("u", 120, 6, 1, "C"), ("u", 30, 5, 1, "LATE"), ("d", 130, 7, 2, None), ("c", 200, 8, 3, "Z")], "b")
     assert run() == [(1, "A", 10, 20), (1, "B", 20, 120), (2, "X", 100, 130)]
     assert run() == [(1, "A", 10, 20), (1, "B", 20, 120), (2, "X", 100, 130)]
+
+
+def closed_by_stream(spark, log_rows, cfg, schema, delay="10 seconds"):
+    """What the stream of closed versions emits for change rows with ``event_ts``, and the query."""
+    src, ck, out = (scratch_path(spark, n) for n in ("src", "ck", "out"))
+    spark.createDataFrame(log_rows, schema).write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    stream = stream.withColumn("event_ts", F.timestamp_millis("ts_ms"))
+    q = to_parquet_available_now(closed_versions(stream, cfg, delay), out, ck)
+    return spark.read.parquet(out), q
+
+
+def test_a_key_costs_a_few_state_calls_however_many_changes_it_has(spark):
+    """2,500 changes of one key, some delivered twice: one timer and a row of state per lot, not per change."""
+    cfg = C.TableConfig("t", "id", {"v": "string"})
+    rows = [("u", 10 ** 6 + i * 1000, 0, i, 7, "AB"[i // 2 % 2]) for i in range(2500)]
+    out, q = closed_by_stream(spark, rows + rows[::50], cfg, "op string, ts_ms long, partition int, offset long, id long, v string")
+    timers = [int(op["customMetrics"]["numRegisteredTimers"]) for p in q.recentProgress for op in p["stateOperators"]]
+    state = [int(op["numRowsTotal"]) for p in q.recentProgress for op in p["stateOperators"]]
+    assert max(timers) == 1 and max(state) < 50
+    # the last ten seconds wait: a version that ends before them is closed
+    got = sorted((r.v, r.valid_from.timestamp() - 1000, r.valid_to.timestamp() - 1000, r.offset) for r in out.collect())
+    assert got == sorted(("AB"[i // 2 % 2], float(i), i + 2.0, i) for i in range(0, 2488, 2) if i + 2 < 2489)
+
+
+def test_images_of_closed_versions_come_back_as_they_were(spark):
+    """Strings that look like separators, NULLs, zeros of both signs, NaN and times with microseconds."""
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    cfg = C.TableConfig("t", "id", {"s": "string", "x": "double", "a": "decimal(12,2)", "n": "long", "b": "boolean",
+                                    "at": "timestamp", "on": "date", "raw": "binary"})
+    image = ('a "b"\n{c} \\ d e', 0.1 + 0.2, Decimal("-12345678.90"), 2 ** 62, True,
+             datetime(2024, 2, 3, 4, 5, 6, 789012), date(1969, 12, 31), bytearray(b"\x00\xff\n "))
+    empty, nan = (None,) * 8, ("", float("nan"), *[None] * 6)
+    zeros = [("z", z, *[None] * 6) for z in (0.0, -0.0)]
+    lots = [image, image, empty, empty, nan, nan, *zeros, image]
+    rows = [("u", 1000 * (i + 1), None, i, 1, *x) for i, x in enumerate(lots)] + [("c", 10 ** 6, None, 99, 2, *empty)]
+    out, _ = closed_by_stream(spark, rows, cfg, "op string, ts_ms long, partition int, offset long, id long, s string, x double, "
+                              "a decimal(12,2), n long, b boolean, at timestamp, on date, raw binary")
+    got = {r.offset: r for r in out.collect()}
+    assert sorted(got) == [0, 2, 4, 6] and all(r.partition is None for r in got.values())
+    assert tuple(got[0][c] for c in cfg.columns) == image and tuple(got[2][c] for c in cfg.columns) == empty
+    assert got[4].s == "" and got[4].x != got[4].x and got[4].a is None
+    assert [(r.valid_from.timestamp(), r.valid_to.timestamp()) for _, r in sorted(got.items())] == [(1, 3), (3, 5), (5, 7), (7, 9)]
