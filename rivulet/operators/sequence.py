@@ -4,9 +4,9 @@
 put every row of a key into one task.  Here the key's rows are cut into
 contiguous chunks of its order (a time bucket of the leading order column),
 the window runs per (key, chunk), and the value that crosses a chunk edge is
-carried over from the chunk's edge rows (one row per chunk, read off the same
-windowed data, whose shuffle Spark reuses), so a key holding a third of the
-data is spread over its chunks.
+carried over from the chunk's edge rows (one row per chunk), so a key holding a
+third of the data is spread over its chunks.  Rows meet the carried values by
+key and chunk, as the windows dealt them: they are not shuffled a second time.
 """
 
 from __future__ import annotations
@@ -19,6 +19,14 @@ def time_chunk(ts_ms: Column, chunk_ms: int) -> Column:
     return F.floor(ts_ms / F.lit(chunk_ms)).cast("long")
 
 
+#: Chunk of rows without a time; like NULL it comes before all others.
+NO_CHUNK = -(2 ** 63)
+
+
+def _chunked(df: DataFrame, chunk: Column) -> DataFrame:
+    return df.withColumn("_c", F.coalesce(chunk, F.lit(NO_CHUNK)))
+
+
 def _carry(edges: DataFrame, key: str, value: str, forward: bool, skip_nulls: bool = False) -> DataFrame:
     """Per (key, chunk): the edge value of the previous (or next) chunk."""
     if skip_nulls:
@@ -31,9 +39,9 @@ def _carry(edges: DataFrame, key: str, value: str, forward: bool, skip_nulls: bo
 
 
 def _join_carry(rows: DataFrame, carry: DataFrame, key: str) -> DataFrame:
-    """Attach the carried value by key and chunk; the chunk of rows without a time is NULL and matches itself."""
+    """Attach the carried value by key and chunk."""
     c = carry.select(F.col(key).alias("_ck"), F.col("_c").alias("_cc"), "_carry")
-    return rows.join(c, (rows[key] == c["_ck"]) & rows["_c"].eqNullSafe(c["_cc"]), "left").drop("_ck", "_cc")
+    return rows.join(c, (rows[key] == c["_ck"]) & (rows["_c"] == c["_cc"]), "left").drop("_ck", "_cc")
 
 
 def shift(df: DataFrame, key: str, order: list[str], value: Column, out: str, chunk: Column,
@@ -43,7 +51,7 @@ def shift(df: DataFrame, key: str, order: list[str], value: Column, out: str, ch
     ``order``, NULL first."""
     w = Window.partitionBy(key, "_c").orderBy(*[F.col(c) for c in order])
     step = F.lead if forward else F.lag
-    d = (df.withColumn("_c", chunk).withColumn("_v", value)
+    d = (_chunked(df, chunk).withColumn("_v", value)
            .withColumn("_inner", step("_v").over(w))
            .withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
            .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
@@ -58,7 +66,7 @@ def shift(df: DataFrame, key: str, order: list[str], value: Column, out: str, ch
 def last_non_null(df: DataFrame, key: str, order: list[str], value: str, out: str, chunk: Column) -> DataFrame:
     """``out`` = the last non-NULL ``value`` at or before each row (same key, in ``order``)."""
     w = Window.partitionBy(key, "_c").orderBy(*[F.col(c) for c in order])
-    d = (df.withColumn("_c", chunk)
+    d = (_chunked(df, chunk)
            .withColumn("_inner", F.last(value, ignorenulls=True).over(
                w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
            .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from rivulet.functions.frames import add_frame
 from rivulet.operators.cdc import envelope_schema, row_image_schema
-from rivulet.session import content_token, published
+from rivulet.session import content_token, published, shuffles_removed
 from rivulet.sources.tables import table
 
 LOG_SCHEMA = T.StructType([
@@ -115,8 +115,12 @@ def write_change_log(df_records: DataFrame, path: str, spread: int = WRITERS_PER
 def events_change_log(spark: SparkSession, sf_dir: str) -> str:
     """The events change log, written once for the events as they are now."""
     token = content_token(spark, LOG_LAYOUT_VERSION, path=f"{sf_dir.rstrip('/')}/events.parquet")
-    return published(spark, f"changelog-{token}", lambda folder: write_change_log(
-        envelope_records(events_changes(table(spark, sf_dir, "events"))), folder))
+
+    def build(folder: str) -> None:
+        with shuffles_removed(spark):
+            write_change_log(envelope_records(events_changes(table(spark, sf_dir, "events"))), folder)
+
+    return published(spark, f"changelog-{token}", build)
 
 
 def read_change_batch(spark: SparkSession, path: str, start: dict | str = "earliest",

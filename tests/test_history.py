@@ -1,6 +1,7 @@
 """Histories kept up incrementally: any order of delivery, late splits, deletes, replays, restarts."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +153,28 @@ def test_images_of_closed_versions_come_back_as_they_were(spark):
     assert tuple(got[0][c] for c in cfg.columns) == image and tuple(got[2][c] for c in cfg.columns) == empty
     assert got[4].s == "" and got[4].x != got[4].x and got[4].a is None
     assert [(r.valid_from.timestamp(), r.valid_to.timestamp()) for _, r in sorted(got.items())] == [(1, 3), (3, 5), (5, 7), (7, 9)]
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("at_once", [1, 2 ** 30])
+def test_a_merge_leaves_only_the_table_on_disk(spark, tmp_dir, monkeypatch, at_once):
+    """Shuffle files and staged rows go; buckets merged one by one give what all at once give."""
+    monkeypatch.setattr(H, "ROUND_BYTES", at_once, raising=False)
+    rng = random.Random(7)
+    rows = [(rng.choice("cuud"), rng.randrange(60), o, rng.randrange(40), rng.choice("AB")) for o in range(200)]
+    whole = changes(spark, rows).cache()
+    want = sorted(map(tuple, C.scd2_history(whole, C.ORDERS).collect()), key=repr)
+    before = shuffle_files(spark)
+    for odd in (0, 1, 1):
+        assert H.upsert_history(spark, tmp_dir, whole.where(F.col("offset") % 2 == odd), C.ORDERS, buckets=5) == 5
+    left = {n.split(tmp_dir)[1].split("/")[1] for n, _, _ in file_statuses(spark, tmp_dir)}
+    until = time.monotonic() + 20  # executors remove files a moment later
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert left == {"history"} and shuffle_files(spark) <= before
+    got = H.versions(H.read_history(spark, tmp_dir, C.ORDERS), C.ORDERS)
+    assert sorted(map(tuple, got.collect()), key=repr) == want
